@@ -1,0 +1,187 @@
+"""Latent codes: one small recurrent autoencoder per trajectory, trained next to the data."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from trailframe import schemas as S
+from trailframe.functions.columns import epoch_micros
+from trailframe.operators.cluster import LABEL, kmeans
+from trailframe.operators.enrich import in_parts
+from trailframe.operators.prep import min_max
+from trailframe.operators.segments import renumber_segments
+
+MAX_LEN = 256
+DECODERS = ("simple", "autoregressive", "addons")
+_ORDER = ["server_time", "device_time", "id"]
+
+
+def _trajectories(df: DataFrame, keys: list[str], features: Sequence[str], order: list[str], split: Column,
+                  max_len: int) -> DataFrame:
+    point = F.array(*[F.col(f).cast("double") for f in features])
+    return in_parts(df, keys, order, point, "points", split, max_len)
+
+
+def sequence_windows(df: DataFrame, keys: list[str], features: Sequence[str], order: list[str] = _ORDER,
+                     split: Column | None = None, max_len: int = MAX_LEN) -> DataFrame:
+    """(keys, part, window, values): stride-1 windows of half the trajectory's length, as arrays of feature arrays.
+
+    A trajectory of up to ``max_len`` positions is one part; a longer one is continued in further parts.
+    """
+    split = epoch_micros(F.col("server_time")) if split is None else split
+    parts = _trajectories(df, keys, features, order, split, max_len)
+    length = F.greatest(F.floor(F.size("points") / 2).cast("int"), F.lit(1))
+    windows = F.transform(F.sequence(F.lit(1), F.size("points") - length + 1), lambda i: F.slice("points", i, length))
+    return parts.select(*keys, "part", F.posexplode(windows).alias("window", "values"))
+
+
+class _Cell:
+    """An LSTM cell with gate order input, forget, candidate, output; keeps what the backward pass needs."""
+
+    def __init__(self, rng: np.random.Generator, inputs: int, units: int):
+        bound = np.sqrt(6.0 / (inputs + 4 * units))
+        self.w = rng.uniform(-bound, bound, (inputs, 4 * units))
+        q, r = np.linalg.qr(rng.standard_normal((4 * units, units)))
+        self.u = (q * np.sign(np.diag(r))).T
+        self.b = np.concatenate([np.zeros(units), np.ones(units), np.zeros(2 * units)])
+        self.units = units
+
+    def step(self, x, h, c):
+        k = self.units
+        z = x @ self.w + h @ self.u + self.b
+        gates = 1.0 / (1.0 + np.exp(-z))
+        i, f, o, g = gates[:k], gates[k:2 * k], gates[3 * k:], np.tanh(z[2 * k:3 * k])
+        c_new = f * c + i * g
+        t = np.tanh(c_new)
+        return o * t, c_new, (x, h, c, i, f, g, o, t)
+
+    def back(self, dh, dc, saved, grads):
+        x, h, c, i, f, g, o, t = saved
+        dc = dc + dh * o * (1 - t * t)
+        dz = np.concatenate([dc * g * i * (1 - i), dc * c * f * (1 - f), dc * i * (1 - g * g), dh * t * o * (1 - o)])
+        grads[0] += np.outer(x, dz)
+        grads[1] += np.outer(h, dz)
+        grads[2] += dz
+        return self.w @ dz, self.u @ dz, dc * f
+
+
+def _train(data: np.ndarray, latent: int, decoder: str, epochs: int, patience: int, seed: int) -> np.ndarray:
+    """Fit the autoencoder to the windows of one trajectory; the code is the final state of its last window."""
+    rng = np.random.default_rng(seed)
+    span = data.max(axis=0) - data.min(axis=0)
+    data = (data - data.min(axis=0)) / np.where(span == 0, 1.0, span)
+    n, d = data.shape
+    length = max(n // 2, 1)
+    windows = [data[i:i + length] for i in range(n - length + 1)]
+    fed_back = decoder == "autoregressive"
+    enc, dec = _Cell(rng, d, latent), _Cell(rng, d if fed_back else latent, latent)
+    bound = np.sqrt(6.0 / (latent + d))
+    out_w, out_b = rng.uniform(-bound, bound, (latent, d)), np.zeros(d)
+    weights = [enc.w, enc.u, enc.b, dec.w, dec.u, dec.b, out_w, out_b]
+    first, second, tick = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights], 0
+
+    def encode(x):
+        h, c, saved, outputs = np.zeros(latent), np.zeros(latent), [], []
+        for row in x:
+            h, c, s = enc.step(row, h, c)
+            saved.append(s)
+            outputs.append(h)
+        return h, c, saved, outputs
+
+    best, waited = np.inf, 0
+    for _ in range(epochs):
+        losses = []
+        for at in rng.permutation(len(windows)):
+            x = windows[at]
+            h, c, enc_saved, outputs = encode(x)
+            dec_saved, hidden, predicted = [], [], []
+            fed = x[-1]
+            for step in range(length):
+                h, c, s = dec.step(fed if fed_back else outputs[step], h, c)
+                fed = np.maximum(h @ out_w + out_b, 0.0)
+                dec_saved.append(s)
+                hidden.append(h)
+                predicted.append(fed)
+            error = np.array(predicted) - x
+            losses.append(float(np.mean(error * error)))
+            grads = [np.zeros_like(w) for w in weights]
+            dh, dc, carried, d_out = np.zeros(latent), np.zeros(latent), np.zeros(d), [None] * length
+            for step in reversed(range(length)):
+                dp = 2.0 * error[step] / error.size + (carried if fed_back else 0.0)
+                dp = dp * (predicted[step] > 0)
+                grads[6] += np.outer(hidden[step], dp)
+                grads[7] += dp
+                dx, dh, dc = dec.back(dh + out_w @ dp, dc, dec_saved[step], grads[3:6])
+                carried, d_out[step] = dx, dx
+            for step in reversed(range(length)):
+                _, dh, dc = enc.back(dh + (0.0 if fed_back else d_out[step]), dc, enc_saved[step], grads[0:3])
+            tick += 1
+            for w, g, m, v in zip(weights, grads, first, second):
+                m += 0.1 * (g - m)
+                v += 0.001 * (g * g - v)
+                w -= 1e-3 * (m / (1 - 0.9 ** tick)) / (np.sqrt(v / (1 - 0.999 ** tick)) + 1e-7)
+        loss = float(np.mean(losses))
+        best, waited = (loss, 0) if loss < best else (best, waited + 1)
+        if waited >= patience:
+            break
+    h, c, _, _ = encode(windows[-1])
+    return np.concatenate([h, c])
+
+
+def state_columns(latent: int) -> list[str]:
+    return [f"state_m{i}" for i in range(latent)] + [f"state_c{i}" for i in range(latent)]
+
+
+def latent_codes(df: DataFrame, keys: list[str], features: Sequence[str] = ("latitude", "longitude"), *,
+                 latent: int = 2, decoder: str = "simple", epochs: int = 10, patience: int = 2, seed: int = 42,
+                 order: list[str] = _ORDER, split: Column | None = None, max_len: int = MAX_LEN) -> DataFrame:
+    """(keys, part, state_m*, state_c*): the autoencoder state of every trajectory (part).
+
+    Rows with a null feature are left out. Spark orders and partitions the trajectories; each list of at most
+    ``max_len`` positions is trained on its own, so a long trajectory is several independent parts.
+    """
+    if decoder not in DECODERS:
+        raise ValueError(f"unknown decoder {decoder!r}")
+    split = epoch_micros(F.col("server_time")) if split is None else split
+    parts = _trajectories(df.dropna(subset=list(features)), keys, features, order, split, max_len)
+    parts = parts.withColumn("_seed", F.abs(F.xxhash64(*keys, "part", F.lit(seed))) % F.lit(2**31))
+    states = state_columns(latent)
+    schema = T.StructType([*[parts.schema[k] for k in keys], parts.schema["part"],
+                           *[T.StructField(s, T.DoubleType()) for s in states]])
+
+    def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            codes = np.array([
+                _train(np.array(list(map(list, p)), dtype=float), latent, decoder, epochs, patience, int(s))
+                for p, s in zip(batch["points"], batch["_seed"])]).reshape(len(batch), 2 * latent)
+            yield pd.concat([batch[[*keys, "part"]].reset_index(drop=True), pd.DataFrame(codes, columns=states)], axis=1)
+
+    return parts.mapInPandas(train, schema)
+
+
+def latent_clusters(codes: DataFrame, k: int, normalization: bool = True, seed: int = 42) -> DataFrame:
+    """K-means labels of latent codes, optionally scaled to [0, 1] first."""
+    states = [c for c in codes.columns if c.startswith("state_")]
+    scaled = codes.withColumns({f"_x_{s}": F.col(s) for s in states})
+    names = [f"_x_{s}" for s in states]
+    if normalization:
+        scaled = min_max(scaled, names)
+    return kmeans(scaled, names, k, seed).drop(*names)
+
+
+def label_positions(df: DataFrame, labelled: DataFrame, keys: list[str], order: list[str] = _ORDER,
+                    split: Column | None = None, max_len: int = MAX_LEN, renumber: bool = True) -> DataFrame:
+    """Give every position its trajectory's cluster; positions without one are dropped. Segments are renumbered."""
+    from trailframe.operators.ordered import Ordered
+
+    split = epoch_micros(F.col("server_time")) if split is None else split
+    indexed = Ordered.open(df, keys, order, split).row_index("_at").finish()
+    indexed = indexed.withColumn("part", F.floor(F.col("_at") / max_len).cast("long"))
+    joined = indexed.join(labelled.select(*keys, "part", LABEL), [*keys, "part"]).select(*df.columns, LABEL)
+    return renumber_segments(joined) if renumber and "timedelta_id" in df.columns else joined

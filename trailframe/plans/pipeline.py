@@ -1,2 +1,139 @@
-class Options: pass
-def run(): pass
+"""The full flow from raw tables to clusters, as options plus one function."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from trailframe import schemas as S
+from trailframe.operators import behavior, cluster, enrich, latent, plotdata, prep, profile, regions, segments, similar
+from trailframe.session import materialize
+
+
+@dataclass(frozen=True)
+class Options:
+    """Settings of a run; every step is off unless asked for."""
+
+    group_on_timedelta: bool = True
+    heuristic: bool = True
+    timedelta: float | str | None = None
+    timedelta_mode: str = "runs"
+    spreaddelta: float | None = None
+    edgedelta: float | None = None
+    seed: int = 42
+    max_rounds: int | None = None
+    clustering: bool = False
+    n_clusters: int | None = None
+    elbow_all: tuple[int, int] = (1, 20)
+    elbow_region: tuple[int, int] = (1, 30)
+    with_pca: bool = False
+    components: tuple[tuple[str, ...], ...] | int | None = tuple(tuple(c) for c in S.CLUSTERING_SUBSETS)
+    with_standardization: bool = False
+    with_normalization: bool = False
+    with_unit_norm: bool = False
+    only_north: bool = False
+    exam: bool = False
+    behavior: bool = False
+    window_width: int = S.WINDOW_WIDTH
+    window_offset: int | None = None
+    latent: bool = False
+    on_behavior: bool = False
+    decoder: str | None = None
+    epochs: int = 10
+    latent_dim: int = 2
+    dl_rows: int | None = None
+    profiles: bool = False
+    rentals_to_analyze: int | None = None
+
+    @property
+    def keys(self) -> list[str]:
+        return ["rental_id", "timedelta_id"] if self.group_on_timedelta else ["rental_id"]
+
+    @property
+    def scaling(self) -> dict:
+        parts = [list(c) for c in self.components] if isinstance(self.components, tuple) else self.components
+        return {"standardization": self.with_standardization, "normalization": self.with_normalization,
+                "norm": self.with_unit_norm, "pca": self.with_pca, "components": parts}
+
+
+def heuristics(pos_gen: DataFrame, options: Options) -> DataFrame:
+    """Segmentation, then the three groupings, each on the stored result of the one before."""
+    out = materialize(segments.timedelta(pos_gen, options.timedelta, options.timedelta_mode), "timedelta")
+    out = materialize(similar.spreaddelta(out, options.keys, options.spreaddelta, options.max_rounds), "spreaddelta")
+    out = materialize(similar.edgedelta(out, options.keys, options.edgedelta, options.seed, options.max_rounds), "edgedelta")
+    return materialize(similar.coorddelta(out, options.keys, options.spreaddelta, options.edgedelta, options.seed,
+                                          options.max_rounds), "coorddelta")
+
+
+def generate(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Raw tables to the generated ones (merge, dataset, pos, rental)."""
+    merge = materialize(enrich.merge_positions(tables["pos"], tables["rental"], tables["usr"], tables["device"]), "merge")
+    return {
+        "merge": merge,
+        "dataset": enrich.build_dataset(merge),
+        "pos": S.merge_to_pos_gen(merge),
+        "rental": enrich.valid_rentals(tables["rental"], merge),
+    }
+
+
+def _elbows(prepared: DataFrame, options: Options) -> DataFrame:
+    located = regions.with_region(prepared, options.only_north)
+    names = [r["region"] for r in located.select("region").distinct().orderBy("region").collect()]
+    scopes = [("all", prepared, range(*options.elbow_all))]
+    scopes += [(n, located.where(F.col("region") == n), range(*options.elbow_region)) for n in names]
+    out = None
+    for scope, frame, ks in scopes:
+        scaled, features = prep.preprocess(frame, S.CLUSTERING_COLS, **options.scaling)
+        rows = cluster.elbow(scaled, features, ks, options.seed).select(F.lit(scope).alias("scope"), "k", "wcss")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def run(spark: SparkSession, tables: dict[str, DataFrame], options: Options = Options()) -> dict[str, DataFrame]:
+    """Run the chosen steps and return their tables.
+
+    ``tables`` holds either the raw tables (pos, rental, usr, device) or generated ones (merge, pos).
+    """
+    out = dict(tables) if "merge" in tables else generate(tables)
+    keys = options.keys
+    if options.heuristic:
+        out["pos"] = heuristics(out["pos"], options)
+    if options.clustering:
+        prepared = materialize(prep.prepare(out["merge"], out["pos"]), "prepared")
+        if options.n_clusters is None:
+            out["elbow"] = _elbows(prepared, options)
+        else:
+            methods = S.EXAM_METHODS if options.exam else S.CLUSTER_METHODS
+            out["clusters"] = cluster.cluster_scopes(
+                prepared, options.n_clusters, methods=methods, only_north=options.exam or options.only_north,
+                include_all=not options.exam, seed=options.seed, **options.scaling)
+    if options.behavior or options.on_behavior:
+        out["moving_behavior_feature"] = behavior.behavior_features(
+            out["pos"], keys, options.window_width, options.window_offset)
+    if options.latent:
+        located = regions.filter_positions(out["pos"])
+        if options.on_behavior:
+            source, features = out["moving_behavior_feature"], S.BEHAVIOR_FEATURES
+            order, split = [S.BEHAVIOR_WINDOW_ID], F.col(S.BEHAVIOR_WINDOW_ID)
+        else:
+            source, features = located, ["latitude", "longitude"]
+            order, split = ["server_time", "device_time", "id"], None
+        source = regions.first_rows(source, options.dl_rows, [*keys, *order])
+        decoders = latent.DECODERS if options.decoder is None else (options.decoder,)
+        for decoder in decoders:
+            codes = materialize(latent.latent_codes(
+                source, keys, features, latent=options.latent_dim, decoder=decoder, epochs=options.epochs,
+                seed=options.seed, order=order, split=split), "codes")
+            labelled = latent.latent_clusters(codes, options.n_clusters or 5, options.with_normalization, options.seed)
+            out[f"latent_{decoder}"] = labelled
+            if not options.on_behavior:
+                out[f"latent_positions_{decoder}"] = regions.with_region(
+                    latent.label_positions(source, labelled, keys), options.exam or options.only_north)
+    if options.profiles:
+        out["profile"] = profile.describe(out["pos"])
+        out["region_profile"] = profile.region_summary(regions.with_region(out["pos"], options.only_north))
+        out["lines"] = plotdata.region_lines(regions.filter_positions(out["pos"]), keys, only_north=options.only_north,
+                                             rentals=options.rentals_to_analyze)
+    return out
