@@ -185,27 +185,36 @@ def mean_shift(df: DataFrame, features: Sequence[str], keys: Sequence[str], band
 
 
 # -- agglomerative -------------------------------------------------------------
-def _micro_clusters(df: DataFrame, features: Sequence[str], m: int, seed: int) -> tuple[list[tuple], np.ndarray, np.ndarray]:
-    """At most ``m`` summaries (centre, rows, radius). With at most ``m`` distinct points each point is its own."""
-    points = df.select(*features)
-    distinct = points.distinct().limit(m + 1).collect()
+def _micro_clusters(df: DataFrame, features: Sequence[str], m: int, seed: int, radii: bool):
+    """Rows tagged with one of at most ``m`` micro-clusters ``_m``, and their (centre, rows, radius) summaries.
+
+    With at most ``m`` distinct points each point is its own micro-cluster.
+    """
+    spark, names = df.sparkSession, [f"_c{i}" for i in range(len(features))]
+    distinct = df.select(*features).distinct().limit(m + 1).collect()
     if len(distinct) <= m:
         centres = sorted(tuple(float(r[f]) for f in features) for r in distinct)
     else:
-        model = _kmeans_model(_vectors(points, features).select(_VECTOR), m, seed)
-        centres = sorted(tuple(float(v) for v in c) for c in model.clusterCenters())
-    label = nearest_centre(features, centres)
-    table = F.array(*[F.array(*[F.lit(v) for v in c]) for c in centres])
-    tagged = points.withColumn("_m", label)
-    own = F.get(table, F.col("_m"))
-    gap = F.lit(0.0)
-    for i, f in enumerate(features):
-        gap = gap + (F.col(f) - F.get(own, F.lit(i))) * (F.col(f) - F.get(own, F.lit(i)))
-    stats = {r["_m"]: r for r in tagged.groupBy("_m").agg(
-        F.count(F.lit(1)).alias("n"), F.sqrt(F.max(gap)).alias("r")).collect()}
-    kept = [i for i in range(len(centres)) if i in stats]
-    return ([centres[i] for i in kept], np.array([stats[i]["n"] for i in kept], dtype=float),
-            np.array([stats[i]["r"] for i in kept]))
+        model = _kmeans_model(_vectors(df.select(*features), features).select(_VECTOR), m, seed)
+        centres = [tuple(float(v) for v in c) for c in model.clusterCenters()]
+    table = F.broadcast(spark.createDataFrame(
+        [(i, *c) for i, c in enumerate(centres)], ", ".join(["_m int", *[f"{n} double" for n in names]])))
+    same = reduce(lambda t, fn: t & (F.col(fn[0]) == F.col(fn[1])), zip(features, names), F.lit(True))
+    if len(distinct) <= m:
+        tagged = df.join(table, same).drop(*names)
+    else:
+        tagged = model.transform(_vectors(df, features)).withColumnRenamed(LABEL, "_m").drop(_VECTOR)
+    aggregates = [F.count(F.lit(1)).alias("n")]
+    measured = tagged
+    if radii:
+        measured = tagged.join(table, "_m")
+        gap = reduce(lambda t, fn: t + F.pow(F.col(fn[0]) - F.col(fn[1]), 2), zip(features, names), F.lit(0.0))
+        aggregates.append(F.sqrt(F.max(gap)).alias("r"))
+    stats = {r["_m"]: r for r in measured.groupBy("_m").agg(*aggregates).collect()}
+    kept = sorted(stats)
+    summary = ([centres[i] for i in kept], np.array([stats[i]["n"] for i in kept], dtype=float),
+               np.array([stats[i]["r"] if radii else 0.0 for i in kept]))
+    return tagged, kept, summary
 
 
 def merge_steps(centres: Sequence[tuple], sizes: np.ndarray, radii: np.ndarray, linkage: str) -> list[tuple]:
@@ -256,7 +265,8 @@ def _cut(m: int, steps: Sequence[tuple], k: int) -> list[int]:
 
 def linkage_table(df: DataFrame, features: Sequence[str], linkage: str, m: int = MICRO_CLUSTERS, seed: int = SEED) -> DataFrame:
     """(step, a, b, distance, size) of the merge tree over the micro-clusters."""
-    steps = merge_steps(*_micro_clusters(df, features, m, seed), linkage)
+    _, _, summary = _micro_clusters(df, features, m, seed, linkage != "ward")
+    steps = merge_steps(*summary, linkage)
     return df.sparkSession.createDataFrame(
         [(i, int(a), int(b), d, s) for i, (a, b, d, s) in enumerate(steps)], "step int, a int, b int, distance double, size long")
 
@@ -269,10 +279,10 @@ def agglomerative(df: DataFrame, features: Sequence[str], k: int, linkage: str,
     micro-clusters, and only those are merged. With at most ``m`` distinct points the result is exact. Beyond that,
     Ward merges are exact for the given micro-clusters and complete linkage uses their farthest possible distance.
     """
-    centres, sizes, radii = _micro_clusters(df, features, m, seed)
-    labels = _cut(len(centres), merge_steps(centres, sizes, radii, linkage), k)
-    of_micro = F.array(*[F.lit(v) for v in labels])
-    return df.withColumn(LABEL, F.get(of_micro, nearest_centre(features, centres)))
+    tagged, kept, summary = _micro_clusters(df, features, m, seed, linkage != "ward")
+    labels = _cut(len(kept), merge_steps(*summary, linkage), k)
+    table = df.sparkSession.createDataFrame(list(zip(kept, labels)), f"_m int, {LABEL} int")
+    return tagged.join(F.broadcast(table), "_m").drop("_m")
 
 
 # -- all methods -----------------------------------------------------------------

@@ -150,7 +150,10 @@ def latent_codes(df: DataFrame, keys: list[str], features: Sequence[str] = ("lat
         raise ValueError(f"unknown decoder {decoder!r}")
     split = epoch_micros(F.col("server_time")) if split is None else split
     parts = _trajectories(df.dropna(subset=list(features)), keys, features, order, split, max_len)
-    parts = parts.withColumn("_seed", F.abs(F.xxhash64(*keys, "part", F.lit(seed))) % F.lit(2**31))
+    # Training costs far more than moving the lists, so spread them over all cores whatever their size in bytes.
+    spark = df.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = parts.repartition(tasks, *keys, "part").withColumn("_seed", F.abs(F.xxhash64(*keys, "part", F.lit(seed))) % F.lit(2**31))
     states = state_columns(latent)
     schema = T.StructType([*[parts.schema[k] for k in keys], parts.schema["part"],
                            *[T.StructField(s, T.DoubleType()) for s in states]])
