@@ -736,7 +736,7 @@ def raw_csv_merge(spark, d):
     for name, frames in (("pos", [made["pos"].where(even), made["pos"].where(~even)]), ("rental", [made["rental"]]),
                          ("usr", [made["usr"]]), ("device", [made["device"]])):
         for file, df in zip(S.RAW_FILES[name], frames):
-            df.write.option("header", True).csv(f"{folder}/{file}")
+            table_source.write_csv(df, f"{folder}/{file}")
     return enrich.merge_positions(**table_source.read_all_raw(spark, folder))
 
 
@@ -763,7 +763,8 @@ def parquet_roundtrip(spark, d):
 def stream_ingest(spark, d):
     """The event file as a stream of positions, joined to static tables, appended to a table and read back."""
     made = fixtures.tables(spark, d)
-    events = ingest.position_stream(spark, f"{d}/events.parquet", "parquet", schema=fixtures.table(spark, d, "events").schema)
+    events = ingest.position_stream(spark, d, "parquet", schema=fixtures.table(spark, d, "events").schema,
+                                    pattern="events.parquet")
     target = scratch_path(spark, "stream")
     ingest.start_ingest(fixtures.pos_from_events(events), made["rental"], made["usr"], made["device"], target,
                         scratch_path(spark, "stream-state")).awaitTermination()

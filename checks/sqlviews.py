@@ -142,17 +142,19 @@ def box_rounds(name: str, with_spread: bool, limit: int | None = None, edge_delt
     frame = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
     return over("groups", f"""SELECT g.rental_id{shown}, coalesce(s.i, 0)::bigint AS {name}
         FROM groups g LEFT JOIN (SELECT rental_id, i FROM st WHERE hit) s USING (rental_id)""", copies, recursive=f"""
-    st(i, rental_id, n, ml, mo, dl, dlo, {cols}, prio, hit) AS (
-      SELECT 0::bigint, rental_id, n, ml, mo, dl, dlo, {cols}, md5('42:' || rental_id), false FROM groups
+    st(i, rental_id, n, ml, mo, dl, dlo, {cols}, prio, lastp, hit) AS (
+      SELECT 0::bigint, rental_id, n, ml, mo, dl, dlo, {cols}, md5('42:' || rental_id), '', false FROM groups
       UNION ALL
-      SELECT DISTINCT i + 1, rental_id, n, ml, mo, dl, dlo, {cols}, prio, {inside}
+      SELECT DISTINCT i + 1, rental_id, n, ml, mo, dl, dlo, {cols}, prio, sp, {inside}
       FROM (SELECT *, {', '.join(f'first_value({m}) OVER w AS c_{m}' for m in measures)}
         FROM (SELECT *, {dist} AS d FROM (
           SELECT o.*, p.pos_id, {', '.join(f'avg({e}) FILTER (p.pos_id IS NOT NULL) OVER () AS av_{e}' for e in EDGES)},
             {', '.join(f'stddev_samp({m}) FILTER (p.pos_id IS NOT NULL) OVER () AS sd_{m}' for m in measures)}
           FROM (SELECT *, first_value(ml) OVER s AS sl, first_value(mo) OVER s AS so, first_value(dl) OVER s AS tl,
-                  first_value(dlo) OVER s AS tlo FROM st WHERE NOT hit{stop}
-                WINDOW s AS (ORDER BY CASE WHEN i = 0 AND n = 1 THEN 1 ELSE 0 END, prio {frame})) o
+                  first_value(dlo) OVER s AS tlo FROM (
+              SELECT *, coalesce(CASE WHEN i = 0 THEN min(prio) FILTER (n > 1) OVER () ELSE min(prio) FILTER (prio > lastp) OVER () END,
+                min(prio) OVER ()) AS sp FROM st WHERE NOT hit{stop})
+                WINDOW s AS (ORDER BY CASE WHEN prio = sp THEN 0 ELSE 1 END {frame})) o
           LEFT JOIN {votes} p ON p.rental_id = o.rental_id AND p.latitude BETWEEN sl - 2 * tl AND sl + 2 * tl
             AND p.longitude BETWEEN so - 2 * tlo AND so + 2 * tlo))
         WINDOW w AS (ORDER BY CASE WHEN pos_id IS NULL THEN 1 ELSE 0 END, d, rental_id {frame})))""")

@@ -222,21 +222,23 @@ def _box_rounds(groups: DataFrame, positions: DataFrame, keys: list[str], name:
             delta += _deltas(spread_delta, stats, S.SPREADS, 0.25)
         return _Box(tuple(measures), _vector(best or start, measures), delta)
 
-    finished = False
+    # Starts follow one hashed order, round after round, and begin again at its end: a group that its own box missed is
+    # not tried again before the others. A bounded head of the order is enough for a batch.
+    last, finished = "", False
     while not finished:
-        # The order is drawn once, so the next start is always the first open group in it; a bounded head of the
-        # order is enough for a batch.
-        head = ledger.left.orderBy("_order").limit(4 * BATCH_ROUNDS).collect()
+        head = ledger.left.where(f"_order > '{last}'").orderBy("_order").limit(4 * BATCH_ROUNDS).collect()
         if ledger.next_id == 1:
-            head = ledger.left.where("n > 1").orderBy("_order").limit(1).collect() + head
+            several = ledger.left.where("n > 1").orderBy("_order").limit(1).collect()
+            head = several + [row for row in head if several and row["_order"] > several[0]["_order"]] or head
+        if not head:
+            finished, last = not last, ""
+            continue
         boxes: list[_Box] = []
-        finished = not head
         for row in head:
-            if ledger.exhausted(boxes):
-                finished = True
-                break
-            if len(boxes) == BATCH_ROUNDS:
+            finished = ledger.exhausted(boxes)
+            if finished or len(boxes) == BATCH_ROUNDS:
                 break
+            last = row["_order"]
             if not any(box.covers(row) for box in boxes):
                 boxes.append(box_for(row, boxes))
         if boxes:

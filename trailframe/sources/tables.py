@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from trailframe import schemas as S
 
+# Fixed value: timestamps in CSV files keep their microseconds.
+CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _RAW = {"device": S.DEVICE, "pos": S.POS, "rental": S.RENTAL, "usr": S.USR}
 
 
@@ -28,6 +30,10 @@ def read_all_raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {**read_support(spark, folder), "pos": read_raw(spark, folder, "pos")}
 
 
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    df.write.mode(mode).option("header", True).option("timestampNTZFormat", CSV_TIME).csv(path)
+
+
 def generated_schemas(keys: list[str]) -> dict[str, T.StructType]:
     return {"dataset": S.DATASET, "merge": S.MERGE, "pos": S.POS_GEN, "rental": S.RENTAL,
             "moving_behavior_feature": S.behavior_schema(keys)}
@@ -47,7 +53,7 @@ def store_generated(tables: Mapping[str, DataFrame], folder: str, fmt: str = "pa
         if fmt == "csv":
             lists = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
             df = df.withColumns({c: F.to_json(c) for c in lists})
-            df.write.mode("overwrite").option("header", True).csv(_location(folder, name, fmt))
+            write_csv(df, _location(folder, name, fmt), "overwrite")
         else:
             df.write.mode("overwrite").parquet(_location(folder, name, fmt))
         stored.append(name)

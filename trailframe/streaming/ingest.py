@@ -12,13 +12,15 @@ from trailframe.operators.enrich import merge_positions
 
 
 def position_stream(spark: SparkSession, path: str, fmt: str = "csv", files_per_trigger: int | None = None,
-                    schema=S.POS) -> DataFrame:
+                    schema=S.POS, pattern: str | None = None) -> DataFrame:
     """A stream over a folder of position files; ``files_per_trigger`` bounds one micro-batch."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if pattern is not None:
+        reader = reader.option("pathGlobFilter", pattern)
     return reader.load(path)
 
 
