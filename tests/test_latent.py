@@ -1,0 +1,61 @@
+import numpy as np
+import pytest
+
+from trailframe.operators import latent
+
+
+def test_windows(track):
+    out = latent.sequence_windows(track([(1, i, 44 + i, 12) for i in range(5)] + [(2, 0, 44, 12)]), ["rental_id"], ["latitude"])
+    got = {(r["rental_id"], r["window"]): [p[0] for p in r["values"]] for r in out.collect()}
+    assert got == {(1, 0): [44, 45], (1, 1): [45, 46], (1, 2): [46, 47], (1, 3): [47, 48], (2, 0): [44]}
+
+
+def _rows():
+    rng = np.random.default_rng(1)
+    return [(k, i, 44 + rng.random(), 12 + rng.random()) for k in range(3) for i in range(6)] + [(9, 0, 44, 12)]
+
+
+@pytest.mark.parametrize("decoder", ["simple", "autoregressive"])
+def test_codes_are_reproducible(track, decoder):
+    df = track(_rows())
+    run = lambda: latent.latent_codes(df, ["rental_id"], decoder=decoder, epochs=3).orderBy("rental_id").toPandas()
+    a, b = run(), run()
+    assert list(a.columns) == ["rental_id", "part", "state_m0", "state_m1", "state_c0", "state_c1"]
+    assert len(a) == 4 and a.equals(b) and np.isfinite(a.to_numpy()).all()
+
+
+def test_addons_is_the_simple_decoder(track):
+    df = track(_rows())
+    codes = [latent.latent_codes(df, ["rental_id"], decoder=d, epochs=2).orderBy("rental_id").toPandas() for d in ("simple", "addons")]
+    assert codes[0].equals(codes[1])
+
+
+def test_long_trajectories_continue_in_parts(track):
+    df = track([(1, i, 44 + i / 10, 12) for i in range(10)])
+    codes = latent.latent_codes(df, ["rental_id"], epochs=1, max_len=4)
+    assert sorted(r["part"] for r in codes.collect()) == [0, 1, 2]
+    labelled = latent.latent_clusters(codes, 2)
+    assert latent.label_positions(df, labelled, ["rental_id"], max_len=4, renumber=False).count() == 10
+
+
+def test_cell_gradient():
+    rng = np.random.default_rng(3)
+    cell, x, h, c = latent._Cell(rng, 3, 2), rng.random(3), rng.random(2), rng.random(2)
+    grads = [np.zeros_like(w) for w in (cell.w, cell.u, cell.b)]
+    _, _, saved = cell.step(x, h, c)
+    dx, dh, dc = cell.back(np.array([1.0, 2.0]), np.array([0.5, -1.0]), saved, grads)
+
+    def value():
+        out_h, out_c, _ = cell.step(x, h, c)
+        return out_h @ [1.0, 2.0] + out_c @ [0.5, -1.0]
+
+    for target, grad in ((cell.w, grads[0]), (cell.u, grads[1]), (cell.b, grads[2]), (x, dx), (h, dh), (c, dc)):
+        flat, want = target.reshape(-1), np.asarray(grad).reshape(-1)
+        for i in range(flat.size):
+            keep = flat[i]
+            flat[i] = keep + 1e-6
+            up = value()
+            flat[i] = keep - 1e-6
+            down = value()
+            flat[i] = keep
+            assert abs((up - down) / 2e-6 - want[i]) < 1e-6
