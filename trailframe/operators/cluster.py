@@ -87,11 +87,15 @@ def elbow(df: DataFrame, features: Sequence[str], ks: Iterable[int], seed: int =
 
 
 # -- Gaussian mixture --------------------------------------------------------
-def gaussian_mixture(df: DataFrame, features: Sequence[str], k: int, seed: int = SEED) -> DataFrame:
+def gaussian_mixture(df: DataFrame, features: Sequence[str], k: int, seed: int = SEED, restarts: int = 3) -> DataFrame:
+    """Most likely component of each row; of several seeded fits the one with the highest likelihood is used."""
     vectors = _vectors(df, features)
-    model = GaussianMixture(k=k, seed=seed, featuresCol=_VECTOR, predictionCol=LABEL, probabilityCol="_p").fit(
-        vectors.select(_VECTOR))
-    return model.transform(vectors).drop(_VECTOR, "_p")
+    rows = vectors.select(_VECTOR).persist()
+    fits = [GaussianMixture(k=k, seed=seed + i, featuresCol=_VECTOR, predictionCol=LABEL, probabilityCol="_p").fit(rows)
+            for i in range(restarts)]
+    rows.unpersist()
+    best = max(fits, key=lambda fit: fit.summary.logLikelihood)
+    return best.transform(vectors).drop(_VECTOR, "_p")
 
 
 # -- mean shift --------------------------------------------------------------

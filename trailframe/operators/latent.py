@@ -48,7 +48,7 @@ class _Cell:
         bound = np.sqrt(6.0 / (inputs + 4 * units))
         self.w = rng.uniform(-bound, bound, (inputs, 4 * units))
         q, r = np.linalg.qr(rng.standard_normal((4 * units, units)))
-        self.u = (q * np.sign(np.diag(r))).T
+        self.u = np.ascontiguousarray((q * np.sign(np.diag(r))).T)
         self.b = np.concatenate([np.zeros(units), np.ones(units), np.zeros(2 * units)])
         self.units = units
 

@@ -141,3 +141,23 @@ def region_lines(df: DataFrame, keys: Sequence[str], label: str | None = None, o
             "_rank", F.row_number().over(Window.partitionBy("region").orderBy("rental_id")))
         located = located.join(ids.where(F.col("_rank") <= rentals).drop("_rank"), ["region", "rental_id"], "left_semi")
     return polylines(located, ["region", *keys], "longitude", "latitude", label, **kw)
+
+
+def cluster_lines(prepared: DataFrame, clusters: DataFrame, keys: Sequence[str], rentals: int | None = None,
+                  row: Sequence[str] = ("rental_id", "pos_id")) -> DataFrame:
+    """(scope, method, keys, cluster_id, part, points): clustered lines of every scope and method.
+
+    ``prepared`` holds float-second times, ``clusters`` is the labelled output of a clustering run.
+    """
+    shown = first_rentals(prepared, rentals)
+    labelled = shown.join(clusters, list(row))
+    return polylines(labelled, ["scope", "method", *keys], "longitude", "latitude", "cluster_id",
+                     order=["server_time", "device_time", "pos_id"], split=F.col("server_time"))
+
+
+def cluster_summary(prepared: DataFrame, clusters: DataFrame, features: Sequence[str],
+                    row: Sequence[str] = ("rental_id", "pos_id")) -> DataFrame:
+    """(scope, method, cluster_id, rows, means and deviations) for every scope and method."""
+    return prepared.join(clusters, list(row)).groupBy("scope", "method", "cluster_id").agg(
+        F.count(F.lit(1)).alias("rows"), *[F.avg(f).alias(f"{f}_mean") for f in features],
+        *[F.stddev_samp(f).alias(f"{f}_std") for f in features])

@@ -108,6 +108,9 @@ class _Ledger:
     def __init__(self, groups: DataFrame, keys: list[str], name: str, max_rounds: int | None):
         self.keys, self.name, self.max_rounds = keys, name, max_rounds
         self.session = groups.sparkSession.newSession()
+        for key, value in groups.sparkSession.conf.getAll.items():
+            if key.startswith("spark.sql.") and self.session.conf.isModifiable(key):
+                self.session.conf.set(key, value)
         self.session.conf.set("spark.sql.adaptive.enabled", "false")
         self.done_path = scratch_path(groups.sparkSession, name)
         self.wrote = False

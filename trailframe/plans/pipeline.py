@@ -109,6 +109,12 @@ def run(spark: SparkSession, tables: dict[str, DataFrame], options: Options = Op
             out["clusters"] = cluster.cluster_scopes(
                 prepared, options.n_clusters, methods=methods, only_north=options.exam or options.only_north,
                 include_all=not options.exam, seed=options.seed, **options.scaling)
+            out["clusters"] = materialize(out["clusters"], "clusters")
+            out["cluster_summary"] = plotdata.cluster_summary(prepared, out["clusters"], S.CLUSTERING_COLS)
+            out["cluster_lines"] = plotdata.cluster_lines(prepared, out["clusters"], keys, options.rentals_to_analyze)
+            if any(m.endswith("agglomerative") for m in methods):
+                scaled, features = prep.preprocess(prepared, S.CLUSTERING_COLS, **options.scaling)
+                out["linkage"] = cluster.linkage_table(scaled, features, "ward", seed=options.seed)
     if options.behavior or options.on_behavior:
         out["moving_behavior_feature"] = behavior.behavior_features(
             out["pos"], keys, options.window_width, options.window_offset)
