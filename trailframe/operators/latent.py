@@ -18,6 +18,7 @@ from trailframe.operators.prep import min_max
 from trailframe.operators.segments import renumber_segments
 
 MAX_LEN = 256
+BLOCK = 256
 DECODERS = ("simple", "autoregressive", "addons")
 _ORDER = ["server_time", "device_time", "id"]
 
@@ -42,7 +43,10 @@ def sequence_windows(df: DataFrame, keys: list[str], features: Sequence[str], or
 
 
 class _Cell:
-    """An LSTM cell with gate order input, forget, candidate, output; keeps what the backward pass needs."""
+    """An LSTM cell with gate order input, forget, candidate, output; keeps what the backward pass needs.
+
+    All arrays may carry leading axes, so one call steps many independent cells.
+    """
 
     def __init__(self, rng: np.random.Generator, inputs: int, units: int):
         bound = np.sqrt(6.0 / (inputs + 4 * units))
@@ -52,11 +56,18 @@ class _Cell:
         self.b = np.concatenate([np.zeros(units), np.ones(units), np.zeros(2 * units)])
         self.units = units
 
+    @staticmethod
+    def stack(cells: Sequence["_Cell"]) -> "_Cell":
+        stacked = object.__new__(_Cell)
+        stacked.units = cells[0].units
+        stacked.w, stacked.u, stacked.b = (np.stack([getattr(c, n) for c in cells]) for n in ("w", "u", "b"))
+        return stacked
+
     def step(self, x, h, c):
         k = self.units
-        z = x @ self.w + h @ self.u + self.b
+        z = _rows(x, self.w) + _rows(h, self.u) + self.b
         gates = 1.0 / (1.0 + np.exp(-z))
-        i, f, o, g = gates[:k], gates[k:2 * k], gates[3 * k:], np.tanh(z[2 * k:3 * k])
+        i, f, o, g = gates[..., :k], gates[..., k:2 * k], gates[..., 3 * k:], np.tanh(z[..., 2 * k:3 * k])
         c_new = f * c + i * g
         t = np.tanh(c_new)
         return o * t, c_new, (x, h, c, i, f, g, o, t)
@@ -64,74 +75,90 @@ class _Cell:
     def back(self, dh, dc, saved, grads):
         x, h, c, i, f, g, o, t = saved
         dc = dc + dh * o * (1 - t * t)
-        dz = np.concatenate([dc * g * i * (1 - i), dc * c * f * (1 - f), dc * i * (1 - g * g), dh * t * o * (1 - o)])
-        grads[0] += np.outer(x, dz)
-        grads[1] += np.outer(h, dz)
+        dz = np.concatenate(
+            [dc * g * i * (1 - i), dc * c * f * (1 - f), dc * i * (1 - g * g), dh * t * o * (1 - o)], axis=-1)
+        grads[0] += x[..., :, None] * dz[..., None, :]
+        grads[1] += h[..., :, None] * dz[..., None, :]
         grads[2] += dz
-        return self.w @ dz, self.u @ dz, dc * f
+        return _columns(self.w, dz), _columns(self.u, dz), dc * f
+
+
+def _rows(x, w):
+    return (x[..., None, :] @ w)[..., 0, :]
 
 
-def _train(data: np.ndarray, latent: int, decoder: str, epochs: int, patience: int, seed: int) -> np.ndarray:
-    """Fit the autoencoder to the windows of one trajectory; the code is the final state of its last window."""
-    rng = np.random.default_rng(seed)
-    span = data.max(axis=0) - data.min(axis=0)
-    data = (data - data.min(axis=0)) / np.where(span == 0, 1.0, span)
-    n, d = data.shape
+def _columns(w, z):
+    return (w @ z[..., None])[..., 0]
+
+
+def _train(data: np.ndarray, latent: int, decoder: str, epochs: int, patience: int, seeds: Sequence[int]) -> np.ndarray:
+    """Fit one autoencoder per trajectory of a (trajectory, position, feature) block, all of one length, side by side.
+
+    Each has its own weights, window order and early stop. Its code is the final state of its last window.
+    """
+    many, n, d = data.shape
+    rngs = [np.random.default_rng(int(s)) for s in seeds]
+    low, span = data.min(axis=1, keepdims=True), np.ptp(data, axis=1, keepdims=True)
+    data = (data - low) / np.where(span == 0, 1.0, span)
     length = max(n // 2, 1)
-    windows = [data[i:i + length] for i in range(n - length + 1)]
     fed_back = decoder == "autoregressive"
-    enc, dec = _Cell(rng, d, latent), _Cell(rng, d if fed_back else latent, latent)
+    enc = _Cell.stack([_Cell(rng, d, latent) for rng in rngs])
+    dec = _Cell.stack([_Cell(rng, d if fed_back else latent, latent) for rng in rngs])
     bound = np.sqrt(6.0 / (latent + d))
-    out_w, out_b = rng.uniform(-bound, bound, (latent, d)), np.zeros(d)
+    out_w = np.stack([rng.uniform(-bound, bound, (latent, d)) for rng in rngs])
+    out_b = np.zeros((many, d))
     weights = [enc.w, enc.u, enc.b, dec.w, dec.u, dec.b, out_w, out_b]
     first, second, tick = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights], 0
+    blank, each = np.zeros((many, latent)), np.arange(many)[:, None]
 
     def encode(x):
-        h, c, saved, outputs = np.zeros(latent), np.zeros(latent), [], []
-        for row in x:
-            h, c, s = enc.step(row, h, c)
+        h, c, saved, outputs = blank, blank, [], []
+        for step in range(length):
+            h, c, s = enc.step(x[:, step], h, c)
             saved.append(s)
             outputs.append(h)
         return h, c, saved, outputs
 
-    best, waited = np.inf, 0
+    best, waited, active = np.full(many, np.inf), np.zeros(many, dtype=int), np.ones(many, dtype=bool)
     for _ in range(epochs):
-        losses = []
-        for at in rng.permutation(len(windows)):
-            x = windows[at]
+        losses = np.zeros(many)
+        order = np.stack([rng.permutation(n - length + 1) for rng in rngs])
+        for at in order.T:
+            x = data[each, at[:, None] + np.arange(length)]
             h, c, enc_saved, outputs = encode(x)
             dec_saved, hidden, predicted = [], [], []
-            fed = x[-1]
+            fed = x[:, -1]
             for step in range(length):
                 h, c, s = dec.step(fed if fed_back else outputs[step], h, c)
-                fed = np.maximum(h @ out_w + out_b, 0.0)
+                fed = np.maximum(_rows(h, out_w) + out_b, 0.0)
                 dec_saved.append(s)
                 hidden.append(h)
                 predicted.append(fed)
-            error = np.array(predicted) - x
-            losses.append(float(np.mean(error * error)))
+            error = np.stack(predicted, axis=1) - x
+            losses += np.mean(error * error, axis=(1, 2))
             grads = [np.zeros_like(w) for w in weights]
-            dh, dc, carried, d_out = np.zeros(latent), np.zeros(latent), np.zeros(d), [None] * length
+            dh, dc, carried, d_out = blank, blank, 0.0, [0.0] * length
             for step in reversed(range(length)):
-                dp = 2.0 * error[step] / error.size + (carried if fed_back else 0.0)
-                dp = dp * (predicted[step] > 0)
-                grads[6] += np.outer(hidden[step], dp)
+                dp = (2.0 * error[:, step] / (length * d) + (carried if fed_back else 0.0)) * (predicted[step] > 0)
+                grads[6] += hidden[step][:, :, None] * dp[:, None, :]
                 grads[7] += dp
-                dx, dh, dc = dec.back(dh + out_w @ dp, dc, dec_saved[step], grads[3:6])
-                carried, d_out[step] = dx, dx
+                carried, dh, dc = dec.back(dh + _columns(out_w, dp), dc, dec_saved[step], grads[3:6])
+                d_out[step] = 0.0 if fed_back else carried
             for step in reversed(range(length)):
-                _, dh, dc = enc.back(dh + (0.0 if fed_back else d_out[step]), dc, enc_saved[step], grads[0:3])
+                _, dh, dc = enc.back(dh + d_out[step], dc, enc_saved[step], grads[0:3])
             tick += 1
             for w, g, m, v in zip(weights, grads, first, second):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
-                w -= 1e-3 * (m / (1 - 0.9 ** tick)) / (np.sqrt(v / (1 - 0.999 ** tick)) + 1e-7)
-        loss = float(np.mean(losses))
-        best, waited = (loss, 0) if loss < best else (best, waited + 1)
-        if waited >= patience:
+                change = 1e-3 * (m / (1 - 0.9 ** tick)) / (np.sqrt(v / (1 - 0.999 ** tick)) + 1e-7)
+                w -= change * active.reshape(-1, *[1] * (w.ndim - 1))
+        better = losses < best
+        best, waited = np.where(better, losses, best), np.where(better, 0, waited + 1)
+        active &= waited < patience
+        if not active.any():
             break
-    h, c, _, _ = encode(windows[-1])
-    return np.concatenate([h, c])
+    h, c, _, _ = encode(data[:, n - length:])
+    return np.concatenate([h, c], axis=-1)
 
 
 def state_columns(latent: int) -> list[str]:
@@ -150,19 +177,28 @@ def latent_codes(df: DataFrame, keys: list[str], features: Sequence[str] = ("lat
         raise ValueError(f"unknown decoder {decoder!r}")
     split = epoch_micros(F.col("server_time")) if split is None else split
     parts = _trajectories(df.dropna(subset=list(features)), keys, features, order, split, max_len)
-    # Training costs far more than moving the lists, so spread them over all cores whatever their size in bytes.
+    # Training costs far more than moving the lists, so spread them over all cores whatever their size in bytes;
+    # lists of one length go together, because equal lengths train side by side.
     spark = df.sparkSession
     tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    parts = parts.repartition(tasks, *keys, "part").withColumn("_seed", F.abs(F.xxhash64(*keys, "part", F.lit(seed))) % F.lit(2**31))
+    salt = F.pmod(F.xxhash64(*keys, "part"), F.lit(max(1, tasks // 16)))
+    parts = parts.repartition(tasks, F.size("points"), salt).withColumn(
+        "_seed", F.abs(F.xxhash64(*keys, "part", F.lit(seed))) % F.lit(2**31))
     states = state_columns(latent)
     schema = T.StructType([*[parts.schema[k] for k in keys], parts.schema["part"],
                            *[T.StructField(s, T.DoubleType()) for s in states]])
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            codes = np.array([
-                _train(np.array(list(map(list, p)), dtype=float), latent, decoder, epochs, patience, int(s))
-                for p, s in zip(batch["points"], batch["_seed"])]).reshape(len(batch), 2 * latent)
+            codes = np.empty((len(batch), 2 * latent))
+            rows_of: dict[int, list[int]] = {}
+            for i, points in enumerate(batch["points"]):
+                rows_of.setdefault(len(points), []).append(i)
+            for rows in rows_of.values():
+                for start in range(0, len(rows), BLOCK):
+                    block = rows[start:start + BLOCK]
+                    data = np.array([list(map(list, batch["points"].iloc[i])) for i in block], dtype=float)
+                    codes[block] = _train(data, latent, decoder, epochs, patience, batch["_seed"].iloc[block])
             yield pd.concat([batch[[*keys, "part"]].reset_index(drop=True), pd.DataFrame(codes, columns=states)], axis=1)
 
     return parts.mapInPandas(train, schema)
