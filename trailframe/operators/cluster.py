@@ -141,8 +141,7 @@ def mean_shift_centres(df: DataFrame, features: Sequence[str], bandwidth: float,
     centre = [f"c{i}" for i in range(d)]
     cells = [f"_cell{i}" for i in range(min(d, 3))]
     moving = materialize(points.select(*binned).distinct(), "starts")
-    settled_path = scratch_path(df.sparkSession, "settled")
-    wrote = False
+    base = scratch_path(df.sparkSession, "shifts")
     for shift in range(max_shifts + 1):
         neighbours = F.array(*[
             F.struct(*[(F.floor(F.col(f"c{i}") / F.lit(bandwidth)).cast("long") + o).alias(c)
@@ -155,19 +154,17 @@ def mean_shift_centres(df: DataFrame, features: Sequence[str], bandwidth: float,
         means = near.groupBy(*centre).agg(
             F.sum("w").alias("hits"), *[(F.sum(F.col(f"x{i}") * F.col("w")) / F.sum("w")).alias(f"m{i}") for i in range(d)])
         step = reduce(lambda t, i: t + (F.col(f"m{i}") - F.col(f"c{i}")) * (F.col(f"m{i}") - F.col(f"c{i}")), range(d), F.lit(0.0))
-        moved = materialize(means.select(*[F.col(f"m{i}").alias(f"c{i}") for i in range(d)], "hits",
-                                         (F.sqrt(step) <= F.lit(1e-3 * bandwidth)).alias("still")), "moved")
-        last = shift == max_shifts
-        moved.where(F.lit(last) | F.col("still")).select(*centre, "hits").write.mode("append").parquet(settled_path)
-        wrote = True
-        moving = moved.where(~F.col("still")).select(*centre).distinct()
-        if last or moving.isEmpty():
+        path = f"{base}/shift={shift}"
+        means.select(*[F.col(f"m{i}").alias(f"c{i}") for i in range(d)], "hits",
+                     (F.sqrt(step) <= F.lit(1e-3 * bandwidth)).alias("still")).write.parquet(path)
+        moving = df.sparkSession.read.parquet(path).where(~F.col("still")).select(*centre).distinct()
+        if shift == max_shifts or moving.isEmpty():
             break
     points.unpersist()
-    if not wrote:
-        return []
     # Keep the strongest centre, drop the ones within a bandwidth of it, repeat: one small job per final cluster.
-    left = df.sparkSession.read.parquet(settled_path).persist()
+    left = df.sparkSession.read.parquet(base).where(F.col("still") | (F.col("shift") == max_shifts)).select(
+        *centre, "hits").persist()
+    stored = left
     centres: list[tuple] = []
     while True:
         top = left.orderBy(F.desc("hits"), *[F.desc(c) for c in centre]).limit(1).collect()
@@ -176,6 +173,7 @@ def mean_shift_centres(df: DataFrame, features: Sequence[str], bandwidth: float,
         best = tuple(float(top[0][c]) for c in centre)
         centres.append(best)
         left = left.where(sq_distance([F.col(c) for c in centre], best) > F.lit(bandwidth * bandwidth))
+    stored.unpersist()
     return centres
 
 
