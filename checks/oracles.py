@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.sqlviews import (
-    EDGES, FEATURES, KEYS12, LAT, LON, MERGE18, POS_BOX, SPREADS, box_rounds, over, r, spread_rounds, union_columns,
+    EDGES, FEATURES, KEYS12, MERGE18, POS_BOX, SPREADS, box_rounds, over, r, spread_rounds, union_columns,
 )
 
 W = "PARTITION BY rental_id ORDER BY server_time, device_time, pos_id"
@@ -402,3 +402,7 @@ ORACLES["map_layer"] = over("segs", f"""SELECT {r('latitude + 1.2::double', 9)}
 ORACLES["map_centre"] = over("merge_all", f"SELECT {r('avg(latitude)')} AS latitude, {r('avg(longitude)')} AS longitude FROM merge_all")
 ORACLES["feature_target_points"] = over("regress", " UNION ALL ".join(
     f"SELECT '{f}' AS feature, {f}::double AS x, y AS target FROM regress" for f in "qdt"))
+ORACLES["cluster_lines"] = over("located", f"SELECT 'all' AS scope, 'region' AS method, * FROM ({_lines('rental_id, cluster_id', 'labelled')})",
+                                LABELLED)
+ORACLES["cluster_summary"] = over(
+    "located", f"SELECT 'all' AS scope, 'region' AS method, * FROM ({_stats(['latitude', 'longitude', 'speed'])})", LABELLED)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,9 +57,8 @@ def features(spark: SparkSession, d: str) -> DataFrame:
     """Positions inside the box with the spreads and edges of their rental."""
     pos = pos_gen(spark, d)
     ext = similar.extents(pos, RENTAL)
-    inside = regions.filter_positions(pos).select("rental_id", F.col("id").alias("pos_id"), "latitude", "longitude",
-                                                  "device_id" if "device_id" in pos.columns else F.lit(None).alias("_"))
-    return inside.drop("_").join(ext, RENTAL).select(*ROW, *S.CLUSTERING_COLS)
+    inside = regions.filter_positions(pos).select("rental_id", F.col("id").alias("pos_id"), "latitude", "longitude")
+    return inside.join(ext, RENTAL).select(*ROW, *S.CLUSTERING_COLS)
 
 
 def located(spark: SparkSession, d: str) -> DataFrame:
@@ -508,6 +506,24 @@ def cluster_report(spark, d):
     return rounded(out, [c for c in out.columns if c.endswith(("_mean", "_std", "silhouette"))])
 
 
+def _scoped(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Prepared rows and region labels in the shape of a clustering run."""
+    labels = _labelled(spark, d).select(F.lit("all").alias("scope"), F.lit("region").alias("method"), *ROW, "cluster_id")
+    return prep.prepare(merge(spark, d)), labels
+
+
+@query
+def cluster_lines(spark, d):
+    return _line_text(plotdata.cluster_lines(*_scoped(spark, d), RENTAL))
+
+
+@query
+def cluster_summary(spark, d):
+    names = ["latitude", "longitude", "speed"]
+    out = plotdata.cluster_summary(*_scoped(spark, d), names)
+    return rounded(out, [c for c in out.columns if c.endswith(("_mean", "_std"))])
+
+
 # -- regression --------------------------------------------------------------------------------------
 def _coefficients(fit: regress.Fit, spark) -> DataFrame:
     return rounded(fit.table(spark), ["coefficient"], 3)

@@ -46,21 +46,6 @@ def rate_of_turn(d_lat: Column, d_lon: Column) -> Column:
     )
 
 
-def in_box(columns: Sequence[Column], centre: Sequence[float], delta: Sequence[float]) -> Column:
-    """Inclusive ``centre - delta <= column <= centre + delta`` in every dimension."""
-    hit = F.lit(True)
-    for column, c, d in zip(columns, centre, delta):
-        hit = hit & column.between(F.lit(float(c - d)), F.lit(float(c + d)))
-    return hit
-
-
-def l1_distance(columns: Sequence[Column], centre: Sequence[float]) -> Column:
-    total = F.lit(0.0)
-    for column, c in zip(columns, centre):
-        total = total + F.abs(column - F.lit(float(c)))
-    return total
-
-
 def sq_distance(columns: Sequence[Column], centre: Sequence[float]) -> Column:
     total = F.lit(0.0)
     for column, c in zip(columns, centre):

@@ -137,7 +137,7 @@ def mean_shift_centres(df: DataFrame, features: Sequence[str], bandwidth: float,
     names = [f"x{i}" for i in range(d)]
     points = df.select(*[F.col(f).cast("double").alias(n) for f, n in zip(features, names)])
     points = points.groupBy(*names).agg(F.count(F.lit(1)).alias("w")).select(*names, "w", *_cells(names, bandwidth)).persist()
-    binned = [(F.round(F.col(n) / F.lit(bandwidth)) * F.lit(bandwidth)).alias(f"c{i}") for i, n in enumerate(names)]
+    binned = [(F.bround(F.col(n) / F.lit(bandwidth)) * F.lit(bandwidth)).alias(f"c{i}") for i, n in enumerate(names)]
     centre = [f"c{i}" for i in range(d)]
     cells = [f"_cell{i}" for i in range(min(d, 3))]
     moving = materialize(points.select(*binned).distinct(), "starts")
