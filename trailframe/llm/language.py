@@ -25,9 +25,9 @@ WINDOW = 256
 SNIPPET = 128
 TRAIN_PER_LANG = 400
 MAX_LANGS = 200
-EPOCHS = 8
+STEPS = 160
 BATCH = 64
-RATE = 0.01
+RATE = 0.02
 SEED = 5
 #: Windows that go through the network together.
 WIDE = 2048
@@ -36,70 +36,87 @@ UNKNOWN = "und"
 Weights = dict[str, np.ndarray]
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+GATES = "zrc"  # update, reset, candidate
+
+
+def squash(x: np.ndarray) -> np.ndarray:
+    """Softsign, in place: as good as tanh here and several times cheaper."""
+    x /= np.abs(x) + 1
+    return x
+
+
+def slope(u: np.ndarray) -> np.ndarray:
+    """Derivative of ``squash`` in terms of its value."""
+    v = 1 - np.abs(u)
+    return v * v
 
 
 def fresh(labels: int, rng: np.random.Generator) -> Weights:
-    """Per direction: input table, recurrent gates and candidate; then the shared output layer."""
+    """Per direction and gate: an input table and a recurrent matrix; then the output layer."""
     made = {}
     for d in "fb":
-        made[f"x{d}"] = rng.normal(0, 0.3, (256, 3 * HIDDEN))
-        made[f"g{d}"] = rng.normal(0, 0.3, (HIDDEN, 2 * HIDDEN))
-        made[f"c{d}"] = rng.normal(0, 0.3, (HIDDEN, HIDDEN))
+        for g in GATES:
+            made[f"x{g}{d}"] = rng.normal(0, 0.3, (256, HIDDEN))
+            made[f"h{g}{d}"] = rng.normal(0, 0.3, (HIDDEN, HIDDEN))
         made[f"o{d}"] = rng.normal(0, 0.3, (HIDDEN, labels))
     made["bias"] = np.zeros(labels)
     return {k: v.astype(np.float32) for k, v in made.items()}
 
 
 def run(w: Weights, d: str, x: np.ndarray, keep: list | None = None) -> np.ndarray:
-    """States (steps, rows, hidden) of direction ``d`` over bytes ``x`` (rows, steps)."""
-    rows, steps = x.shape
+    """States (steps, rows, hidden) of direction ``d`` over bytes ``x`` (steps, rows)."""
+    steps, rows = x.shape
     h = np.zeros((rows, HIDDEN), dtype=np.float32)
     states = np.empty((steps, rows, HIDDEN), dtype=np.float32)
+    tables, inner = [w[f"x{g}{d}"] for g in GATES], [w[f"h{g}{d}"] for g in GATES]
     for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
-        seen = w[f"x{d}"][x[:, t]]
-        gates = sigmoid(seen[:, : 2 * HIDDEN] + h @ w[f"g{d}"])
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        new = np.tanh(seen[:, 2 * HIDDEN:] + (r * h) @ w[f"c{d}"])
+        seen = x[t]
+        u = squash(np.take(tables[0], seen, axis=0) + h @ inner[0])
+        v = squash(np.take(tables[1], seen, axis=0) + h @ inner[1])
+        z, r = u * 0.5 + 0.5, v * 0.5 + 0.5
+        c = squash(np.take(tables[2], seen, axis=0) + (r * h) @ inner[2])
         if keep is not None:
-            keep.append((t, h, z, r, new))
-        h = h + z * (new - h)
-        states[t] = h
+            keep.append((t, h, u, v, z, r, c))
+        h = np.add(h, z * (c - h), out=states[t])
     return states
 
 
 def posteriors(w: Weights, x: np.ndarray) -> np.ndarray:
-    """(steps, rows, labels) probabilities of every byte."""
-    logits = run(w, "f", x) @ w["of"] + run(w, "b", x) @ w["ob"] + w["bias"]
-    np.exp(logits - logits.max(axis=2, keepdims=True), out=logits)
-    return logits / logits.sum(axis=2, keepdims=True)
+    """(steps, rows, labels) probabilities of every byte of ``x`` (steps, rows)."""
+    logits = run(w, "f", x).reshape(-1, HIDDEN) @ w["of"]
+    logits += run(w, "b", x).reshape(-1, HIDDEN) @ w["ob"]
+    logits += w["bias"]
+    np.clip(logits, -40, 40, out=logits)
+    np.exp(logits, out=logits)
+    logits /= logits @ np.ones((logits.shape[1], 1), dtype=np.float32)
+    return logits.reshape(*x.shape, -1)
 
 
 def _gradients(w: Weights, x: np.ndarray, y: np.ndarray, mask: np.ndarray) -> Weights:
+    """Backpropagation through time over bytes ``x`` (steps, rows)."""
     kept: dict[str, list] = {"f": [], "b": []}
     states = {d: run(w, d, x, kept[d]) for d in "fb"}
-    logits = states["f"] @ w["of"] + states["b"] @ w["ob"] + w["bias"]
-    e = np.exp(logits - logits.max(axis=2, keepdims=True))
+    e = np.exp(np.clip(states["f"] @ w["of"] + states["b"] @ w["ob"] + w["bias"], -40, 40))
     delta = e / e.sum(axis=2, keepdims=True)
     delta[:, np.arange(len(y)), y] -= 1
-    delta *= mask.T[:, :, None] / max(1.0, float(mask.sum()))
+    delta *= mask[:, :, None] / max(1.0, float(mask.sum()))
     grad = {k: np.zeros_like(v) for k, v in w.items()}
     grad["bias"] = delta.sum(axis=(0, 1))
     for d in "fb":
         grad[f"o{d}"] = np.tensordot(states[d], delta, axes=((0, 1), (0, 1)))
-        back = np.zeros((len(x), HIDDEN), dtype=np.float32)
-        for t, h, z, r, new in reversed(kept[d]):
+        back = np.zeros((x.shape[1], HIDDEN), dtype=np.float32)
+        for t, h, u, v, z, r, c in reversed(kept[d]):
             dh = delta[t] @ w[f"o{d}"].T + back
-            dnew = dh * z * (1 - new * new)
-            dz = dh * (new - h) * z * (1 - z)
-            drh = dnew @ w[f"c{d}"].T
-            dr = drh * h * r * (1 - r)
-            dgate = np.concatenate([dz, dr], axis=1)
-            grad[f"g{d}"] += h.T @ dgate
-            grad[f"c{d}"] += (r * h).T @ dnew
-            np.add.at(grad[f"x{d}"], x[:, t], np.concatenate([dgate, dnew], axis=1))
-            back = dh * (1 - z) + drh * r + dgate @ w[f"g{d}"].T
+            dc = dh * z * slope(c)
+            dz = dh * (c - h) * 0.5 * slope(u)
+            through = dc @ w[f"hc{d}"].T
+            dr = through * h * 0.5 * slope(v)
+            grad[f"hz{d}"] += h.T @ dz
+            grad[f"hr{d}"] += h.T @ dr
+            grad[f"hc{d}"] += (r * h).T @ dc
+            for g, part in zip(GATES, (dz, dr, dc), strict=True):
+                np.add.at(grad[f"x{g}{d}"], x[t], part)
+            back = dh * (1 - z) + through * r + dz @ w[f"hz{d}"].T + dr @ w[f"hr{d}"].T
     return grad
 
 
@@ -111,21 +128,19 @@ def train(snippets: list[bytes], y: np.ndarray, labels: int) -> Weights:
     for i, s in enumerate(snippets):
         x[i, : len(s)] = np.frombuffer(s, dtype=np.uint8)
         mask[i, : len(s)] = 1
+    x, mask = np.ascontiguousarray(x.T), np.ascontiguousarray(mask.T)
     w = fresh(labels, rng)
     first, second = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
-    step = 0
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(x))
-        for k in range(0, len(x), BATCH):
-            rows, step = order[k:k + BATCH], step + 1
-            grad = _gradients(w, x[rows], y[rows], mask[rows])
-            norm = float(np.sqrt(sum(float((g * g).sum()) for g in grad.values())))
-            for name, g in grad.items():
-                g = g / max(1.0, norm)
-                first[name] = 0.9 * first[name] + 0.1 * g
-                second[name] = 0.999 * second[name] + 0.001 * g * g
-                scale = RATE * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-                w[name] = (w[name] - scale * first[name] / (np.sqrt(second[name]) + 1e-8)).astype(np.float32)
+    for step in range(1, STEPS + 1):
+        rows = rng.choice(len(y), min(BATCH, len(y)), replace=False)
+        grad = _gradients(w, x[:, rows], y[rows], mask[:, rows])
+        norm = float(np.sqrt(sum(float((g * g).sum()) for g in grad.values())))
+        rate = RATE * (1 - 0.9 * step / STEPS) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+        for name, g in grad.items():
+            g = g / max(1.0, norm)
+            first[name] = 0.9 * first[name] + 0.1 * g
+            second[name] = 0.999 * second[name] + 0.001 * g * g
+            w[name] = (w[name] - rate * first[name] / (np.sqrt(second[name]) + 1e-8)).astype(np.float32)
     return w
 
 
@@ -157,7 +172,7 @@ def pooled(w: Weights, raw: list[bytes], labels: int) -> np.ndarray:
         for k in range(0, len(x), WIDE):
             some = by_length[k:k + WIDE]
             longest = int(size[some].max())
-            p = posteriors(w, x[some, :longest])
+            p = posteriors(w, np.ascontiguousarray(x[some, :longest].T))
             p *= (np.arange(longest)[:, None] < size[some])[:, :, None]
             np.add.at(sums, place[some], p.sum(axis=0))
             np.add.at(counts, place[some], size[some])

@@ -8,7 +8,7 @@ a whole short template of one shingle has a Jaccard similarity of at least 1/4,
 a chance of at most 0.75^32 = 0.0001; two shingles or more lie below 0.5^32. Copies of four shingles or more contain equal
 windows, which always collide.
 
-Retrieved windows give hits: shingles that the template holds too, compared as texts. Hits of a template closer than the
+Retrieved windows give hits: shingles that the template holds too, compared by their 64-bit hashes. Hits of a template closer than the
 template is long form a stretch; a stretch counts when it holds at least ``CONTAINMENT`` of the template's shingles.
 
 Templates are a fixed list of at most ``MAX_TEMPLATES``, so their bands fit into literals of the plan.
@@ -75,10 +75,6 @@ def minima(hashes: list[Column]) -> list[Column]:
     return [F.least(*[h.bitwiseXOR(F.lit(c)) for h in hashes]) for c in constants()]
 
 
-def text_of(words: Column, at: Column | int) -> Column:
-    return F.array_join(F.slice(words, at, SHINGLE), " ")
-
-
 def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     """(template, words, hashes) of a bounded list."""
     if len(templates) > MAX_TEMPLATES:
@@ -97,23 +93,25 @@ def template_bands(templates: DataFrame) -> DataFrame:
 
 
 def retrieve(docs: DataFrame, bands: DataFrame) -> DataFrame:
-    """(doc_id, template, position, words) of text windows that share a band with a template window."""
-    known: list[set[int]] = [set() for _ in range(BANDS)]
-    for row in bands.select("band", "low").distinct().collect():  # at most MAX_TEMPLATES x shingles x BANDS values
-        known[row["band"]].add(row["low"])
-    texts = docs.select("doc_id", split_words(F.col("text")).alias("words"))
-    hashed = texts.select("doc_id", "words", let(F.col("words"), shingle_hashes).alias("hashes"))
-    windows = hashed.filter(F.size("hashes") > 0).select(
-        "doc_id", "words", "hashes", F.explode(F.sequence(F.lit(0), F.size("hashes") - 1, F.lit(STRIDE))).alias("at"))
-    cells = windows.select("doc_id", "words", "at", *[F.get("hashes", F.col("at") + i).alias(f"h{i}") for i in range(WINDOW)])
-    lows = minima([F.col(f"h{i}") for i in range(WINDOW)])
-    shared = F.lit(False)
-    for low, values in zip(lows, known, strict=True):
-        shared = shared | low.isin(sorted(values))
-    found = cells.filter(shared).select(
-        "doc_id", "at", F.slice("words", F.col("at") + 1, WINDOW + SHINGLE - 1).alias("words"),
-        F.posexplode(F.array(*lows)).alias("band", "low"))
-    return found.join(F.broadcast(bands), ["band", "low"]).select("doc_id", "template", "at", "words").distinct()
+    """(doc_id, template, at, h0..) of text windows that share a band with a template window.
+
+    A shared minimum is a shingle of both, so windows without any template minimum are put aside before their bands are
+    computed; this loses none.
+    """
+    lows = {(r["band"], r["low"]) for r in bands.select("band", "low").distinct().collect()}  # bounded by MAX_TEMPLATES
+    known = sorted({low ^ constants()[band] for band, low in lows})
+    hashed = docs.select("doc_id", let(split_words(F.col("text")), shingle_hashes).alias("h0"))
+    shifted = [F.slice("h0", i + 1, F.size("h0")).alias(f"h{i}") for i in range(1, WINDOW)]
+    cells = hashed.filter(F.size("h0") > 0).select("doc_id", F.posexplode(F.arrays_zip("h0", *shifted)).alias("at", "w"))
+    cells = cells.filter(F.col("at") % STRIDE == 0).select("doc_id", "at", *[F.col(f"w.h{i}").alias(f"h{i}") for i in range(WINDOW)])
+    touched = F.lit(False)
+    for i in range(WINDOW):
+        touched = touched | F.col(f"h{i}").isin(known)
+    touching = cells.filter(F.coalesce(touched, F.lit(False))).repartition("doc_id")
+    marks = F.posexplode(F.array(*minima([F.col(f"h{i}") for i in range(WINDOW)]))).alias("band", "low")
+    names = [f"h{i}" for i in range(WINDOW)]
+    return touching.select("doc_id", "at", *names, marks).join(F.broadcast(bands), ["band", "low"]).select(
+        "doc_id", "template", "at", *names).distinct()
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
@@ -121,11 +119,9 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     spark = docs.sparkSession
     known = template_table(spark, TEMPLATES if templates is None else templates)
     found = retrieve(docs, template_bands(known))
-    each = F.explode(F.sequence(F.lit(1), F.greatest(F.size("words") - (SHINGLE - 1), F.lit(1)))).alias("i")
-    shingles = found.select("doc_id", "template", "at", "words", each).select(
-        "doc_id", "template", (F.col("at") + F.col("i") - 1).alias("pos"), text_of(F.col("words"), F.col("i")).alias("shingle"))
-    own = known.select("template", F.explode(F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.size("hashes")), lambda i: text_of(F.col("words"), i)))).alias("shingle"))
+    shingles = found.select("doc_id", "template", "at", F.posexplode(F.array(*[F.col(f"h{i}") for i in range(WINDOW)])).alias("i", "shingle"))
+    shingles = shingles.select("doc_id", "template", (F.col("at") + F.col("i")).alias("pos"), "shingle")
+    own = known.select("template", F.explode(F.array_distinct("hashes")).alias("shingle"))
     own = own.withColumn("total", F.count(F.lit(1)).over(W.partitionBy("template")))
     hits = shingles.join(F.broadcast(own), ["template", "shingle"]).distinct()
     ordered = W.partitionBy("doc_id", "template").orderBy("pos")

@@ -152,8 +152,8 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def links(distinct: DataFrame) -> DataFrame:
     """A spanning forest (a, b) of all pairs of ``distinct`` fingerprints within the radius."""
-    part = lambda k: F.shiftrightunsigned("fp", 16 * k).bitwiseAND(F.lit(0xFFFF)) + F.lit(k * 65536)
-    spread = distinct.select("fp", F.explode(F.array(*[part(k) for k in range(4)])).cast("long").alias("part"))
+    part = lambda k: (F.shiftrightunsigned("fp", 16 * k).bitwiseAND(F.lit(0xFFFF)) + F.lit(k * 65536)).cast("long")
+    spread = distinct.select("fp", F.explode(F.array(*[part(k) for k in range(4)])).alias("part"))
     blocks = spread.groupBy("part").count().filter(F.col("count") > CELL).select(
         "part", F.ceil(F.col("count") / CELL).cast("int").alias("blocks"))
     placed = spread.join(blocks, "part", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
