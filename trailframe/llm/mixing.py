@@ -168,17 +168,18 @@ def _fill_sql(name: str, source: str, parent: str, order: str) -> str:
     ELSE max(CASE WHEN lim <= lvl * weight THEN NULL ELSE lvl END) OVER ({by}) * weight END AS given FROM {name}_a)"""
 
 
-ORACLE = f"""
+def oracle(fraction: float = FRACTION, max_epochs: int = MAX_EPOCHS) -> str:
+    return f"""
 WITH c AS (
   SELECT doc_id, lang, source, [{", ".join(f"'{x}'" for x in DOMAINS)}][
       try_cast(nullif(regexp_extract(source, '[0-9]{{1,9}}$'), '') AS INT) % {len(DOMAINS)} + 1] AS domain,
     len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens FROM documents),
 leaf AS (
-  SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens, (sum(n_tokens) * {MAX_EPOCHS})::DOUBLE AS lim
+  SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens, (sum(n_tokens) * {max_epochs})::DOUBLE AS lim
   FROM c GROUP BY ALL HAVING sum(n_tokens) > 0),
 d0 AS (
   SELECT domain, sum(lim) AS lim, {_case('domain', DOMAIN_WEIGHTS)} AS weight,
-    least(sum(sum(tokens)) OVER () * {FRACTION}::DOUBLE, sum(sum(lim)) OVER ()) AS budget FROM leaf GROUP BY domain),
+    least(sum(sum(tokens)) OVER () * {fraction}::DOUBLE, sum(sum(lim)) OVER ()) AS budget FROM leaf GROUP BY domain),
 {_fill_sql('d1', 'd0', '', 'domain').strip()},
 l0 AS (
   SELECT leaf.domain, leaf.lang, sum(leaf.lim) AS lim, {_case('leaf.lang', LANG_WEIGHTS)} AS weight, any_value(d1.given) AS budget
@@ -200,3 +201,6 @@ t AS (
   SELECT *, min(CASE WHEN upto >= rest THEN k END) OVER (PARTITION BY domain, lang, source) AS cut FROM r)
 SELECT doc_id, domain, lang, source, n_tokens, unnest(range(epochs + CASE WHEN rest > 0 AND k <= cut THEN 1 ELSE 0 END)) AS epoch FROM t
 """
+
+
+ORACLE = oracle()
