@@ -138,18 +138,25 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
 
 def _oracle() -> str:
     rows = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in TEMPLATES.items())
-    five = " || ' ' || ".join(f"w[p + {j}]" for j in range(SHINGLE))
+    later = ", ".join(f"lead(x, {j}) OVER o AS x{j}" for j in range(1, SHINGLE))
+    five = "x || ' ' || " + " || ' ' || ".join(f"x{j}" for j in range(1, SHINGLE))
+
+    def shingles(key: str, source: str) -> str:
+        return (f"SELECT {key}, p - 1 AS pos, {five} AS s FROM (SELECT {key}, p, x, {later} FROM "
+                f"(SELECT {key}, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM {source}) "
+                f"WINDOW o AS (PARTITION BY {key} ORDER BY p)) WHERE x{SHINGLE - 1} IS NOT NULL")
+
     return f"""
 WITH t AS (
   SELECT template, list_filter(regexp_split_to_array(lower(x), '{BREAK}'), lambda s: s <> '') AS w FROM (VALUES {rows}) v(template, x)),
 ts AS (
-  SELECT DISTINCT template, {five} AS s FROM (SELECT template, w, unnest(range(1, len(w) - {SHINGLE - 2})) AS p FROM t)),
+  SELECT DISTINCT template, s FROM ({shingles('template', 't')})),
 tot AS (
   SELECT template, count(*) AS total FROM ts GROUP BY template),
 d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{BREAK}'), lambda s: s <> '') AS w FROM documents),
 ds AS (
-  SELECT doc_id, p - 1 AS pos, {five} AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - {SHINGLE - 2})) AS p FROM d)),
+  {shingles('doc_id', 'd')}),
 hits AS (
   SELECT DISTINCT doc_id, template, pos, s, total FROM ds JOIN ts USING (s) JOIN tot USING (template)),
 far AS (

@@ -160,10 +160,12 @@ def report(docs: DataFrame) -> DataFrame:
 ORACLE = f"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+each AS (
+  SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
 tri AS (
-  SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM d WHERE len(w) >= 3),
+  SELECT doc_id, p, x, lead(x, 1) OVER o AS y, lead(x, 2) OVER o AS z FROM each WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
 twice AS (
-  SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, w[p], w[p + 1], w[p + 2]) AS c FROM tri),
+  SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, x, y, z) AS c FROM tri WHERE z IS NOT NULL),
 rep AS (
   SELECT doc_id, count(DISTINCT q) AS n_repeat_words
   FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS q FROM twice WHERE c >= 2) GROUP BY doc_id),
