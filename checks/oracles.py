@@ -92,15 +92,9 @@ ORACLES["group_edges"] = over("segs", f"""SELECT DISTINCT rental_id, timedelta_i
 ORACLES["group_moments"] = over("groups", f"""SELECT rental_id, n, {r('ml', 9)} AS mean_latitude, {r('mo', 9)} AS mean_longitude,
     {r('dl', 9)} AS std_latitude, {r('dlo', 9)} AS std_longitude FROM groups""")
 ORACLES["spreaddelta"] = f"SELECT rental_id, {_rounded(SPREADS, 9)}, spreaddelta_id FROM ({spread_rounds()})"
-ORACLES["edgedelta_round"] = box_rounds("edgedelta_id", False, 1)
 ORACLES["edgedelta"] = box_rounds("edgedelta_id", False)
-ORACLES["coorddelta_round"] = box_rounds("coorddelta_id", True, 1)
 ORACLES["coorddelta_fixed"] = box_rounds("coorddelta_id", True, None, 0.01, 0.002)
 ORACLES["coorddelta"] = box_rounds("coorddelta_id", True)
-ORACLES["pipeline_run"] = over("segs", f"""SELECT pos_id AS id, rental_id, timedelta_id, time_gap, spreaddelta_id, edgedelta_id, coorddelta_id
-    FROM segs JOIN ({spread_rounds(1)}) USING (rental_id) JOIN ({box_rounds('edgedelta_id', False, 1)}) USING (rental_id)
-    JOIN ({box_rounds('coorddelta_id', True, 1)}) USING (rental_id)""")
-
 # -- behaviour -------------------------------------------------------------------------
 
 
@@ -238,6 +232,14 @@ ORACLES["pca_subsets"] = over("feat", f"SELECT rental_id, pos_id, {r('latitude')
     f"{r(f'({a} - p{i}.ma) * p{i}.wa + ({b} - p{i}.mb) * p{i}.wb')} AS pc{i}" for i, (a, b) in enumerate(PAIRS2, start=2))
     + " FROM feat, p2, p3, p4", *[_component(i, a, b) for i, (a, b) in enumerate(PAIRS2, start=2)])
 
+P0 = _component(0, "latitude", "longitude")
+ORACLES["pca_fixed"] = over("feat", f"SELECT rental_id, pos_id, {r('(latitude - p0.ma) * p0.wa + (longitude - p0.mb) * p0.wb')} AS pc0 FROM feat, p0", P0)
+ORACLES["pca_auto"] = over("feat", f"""SELECT rental_id, pos_id, {r('(latitude - p0.ma) * p0.wa + (longitude - p0.mb) * p0.wb')} AS pc0,
+    {r('((latitude - p0.ma) * -p0.wb + (longitude - p0.mb) * p0.wa) * CASE WHEN abs(p0.wb) >= abs(p0.wa) THEN -sign(p0.wb) ELSE sign(p0.wa) END')} AS pc1
+    FROM feat, p0""", P0)
+ORACLES["pca_variance"] = over("feat", f"""SELECT 1 AS component, {r('(1 + abs(corr(latitude, longitude))) / 2')} AS cumulative FROM feat
+    UNION ALL SELECT 2, {r('1.0::double')}""")
+
 # -- clustering ----------------------------------------------------------------------------------
 
 
@@ -264,15 +266,46 @@ ORACLES["bandwidth_estimate"] = over("feat", f"SELECT {r('avg(d)')} AS bandwidth
 NUMBER = "CASE region WHEN 'N-E' THEN 0 WHEN 'N-W' THEN 1 WHEN 'S-E' THEN 2 ELSE 3 END"
 LABELLED = ("labelled", f"SELECT *, ({NUMBER})::bigint AS cluster_id FROM located WHERE region IS NOT NULL")
 SCORES = [
-    ("sample", "SELECT rental_id, pos_id, latitude, longitude, cluster_id FROM labelled ORDER BY md5('42:' || rental_id || ':' || pos_id) LIMIT 20000"),
-    ("sums", """SELECT a.rental_id, a.pos_id, a.cluster_id AS own, b.cluster_id AS other, count(*) AS n,
-        sum(sqrt((a.latitude - b.latitude) ** 2 + (a.longitude - b.longitude) ** 2)) AS s FROM sample a, sample b GROUP BY 1, 2, 3, 4"""),
-    ("inner_outer", """SELECT rental_id, pos_id, max(CASE WHEN own = other THEN s / greatest(n - 1, 1) END) AS a,
-        max(CASE WHEN own = other THEN n END) AS n, min(CASE WHEN own <> other THEN s / n END) AS b FROM sums GROUP BY 1, 2"""),
+    ("sums", """SELECT cluster_id AS c, count(*) AS n, avg(latitude) AS la, avg(longitude) AS lo,
+        var_pop(latitude) + var_pop(longitude) AS v FROM labelled GROUP BY 1"""),
+    ("gaps2", """SELECT l.pos_id, l.rental_id, l.cluster_id, s.c, s.n, (l.latitude - s.la) ** 2 + (l.longitude - s.lo) ** 2 + s.v AS d
+        FROM labelled l, sums s"""),
+    ("inner_outer", """SELECT rental_id, pos_id, max(n) FILTER (c = cluster_id) AS n, min(d) FILTER (c <> cluster_id) AS b,
+        max(d * n / greatest(n - 1, 1)) FILTER (c = cluster_id) AS a FROM gaps2 GROUP BY 1, 2"""),
     ("scores", "SELECT CASE WHEN n = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END AS s FROM inner_outer"),
 ]
 ORACLES["silhouette"] = over("located", f"SELECT count(*)::bigint AS points, {r('avg(s)')} AS silhouette FROM scores", LABELLED, *SCORES)
 
+# The fixture's cities lie far apart, so every method with four clusters must return them: user_id mod 4.
+CITY = "(rental_id // 10) % 4"
+BY_CITY = over("feat", f"SELECT rental_id, pos_id, min(pos_id) OVER (PARTITION BY {CITY}) AS cluster_id FROM feat")
+for name in ("kmeans_ml", "gmm", "meanshift", "agglomerative_ward", "agglomerative_complete"):
+    ORACLES[name] = BY_CITY
+REGION_OF = f"CASE {CITY} WHEN 0 THEN 'N-E' WHEN 1 THEN 'N-W' WHEN 2 THEN 'S-E' ELSE 'S-W' END"
+METHODS = "(SELECT unnest(['k-means', 'mean-shift', 'gaussian-mixture', 'full-agglomerative', 'ward-agglomerative']) AS method)"
+ORACLES["cluster_scopes"] = over("feat", f"""SELECT scope, method, rental_id, pos_id, cluster_id FROM (
+    SELECT 'all' AS scope, rental_id, pos_id, min(pos_id) OVER (PARTITION BY {CITY}) AS cluster_id FROM feat UNION ALL
+    SELECT {REGION_OF}, rental_id, pos_id, min(pos_id) OVER (PARTITION BY {CITY}) FROM feat), {METHODS}""")
+WSS = "sum((latitude - la) ** 2 + (longitude - lo) ** 2)"
+ORACLES["elbow_wcss"] = over("feat", f"""SELECT 1 AS k, {r(WSS, 3)} AS wcss FROM (SELECT *, avg(latitude) OVER () AS la, avg(longitude) OVER () AS lo FROM feat)
+    UNION ALL SELECT 4, {r(WSS, 3)} FROM (SELECT *, avg(latitude) OVER c AS la, avg(longitude) OVER c AS lo FROM feat WINDOW c AS (PARTITION BY {CITY}))""")
+ORACLES["elbow_regions"] = over("feat", f"""SELECT 'all' AS scope, 1 AS k, {r(WSS, 3)} AS wcss FROM (
+    SELECT *, avg(latitude) OVER () AS la, avg(longitude) OVER () AS lo FROM feat) UNION ALL
+    SELECT {REGION_OF} AS scope, 1, {r(WSS, 3)} FROM (
+    SELECT *, avg(latitude) OVER c AS la, avg(longitude) OVER c AS lo FROM feat WINDOW c AS (PARTITION BY {CITY})) GROUP BY 1""")
+
+
+def _ward(a: str, b: str) -> str:
+    """Ward distance of two unions of cities, given as lists of their numbers."""
+    part = lambda x, i: f"(SELECT count(*) AS n{i}, avg(latitude) AS la{i}, avg(longitude) AS lo{i} FROM feat WHERE {CITY} IN ({x}))"
+    return (f"SELECT sqrt(2.0::double * n1 * n2 / (n1 + n2) * ((la1 - la2) ** 2 + (lo1 - lo2) ** 2)) AS distance, n1 + n2 AS size "
+            f"FROM {part(a, 1)}, {part(b, 2)}")
+
+
+ORACLES["linkage_table"] = over("feat", " UNION ALL ".join(
+    f"SELECT {back}::bigint AS back, {r('distance', 1)} AS distance, size::bigint AS size FROM ({_ward(a, b)})"
+    for back, a, b in ((2, "0", "3"), (1, "0, 3", "2"), (0, "0, 2, 3", "1"))))
+
 
 def _stats(names: list[str]) -> str:
     return "SELECT cluster_id, count(*)::bigint AS rows, " + ", ".join(
@@ -322,7 +355,7 @@ ORACLES["linreg_residuals"] = over("regress", f"""SELECT l_orderkey, l_linenumbe
     FROM lineitem), fit)""", *SAMPLE_FIT)
 ORACLES["coef_importance"] = over("regress", f"""SELECT kind, number::bigint AS number, feature, {r('w', 3)} AS coefficient FROM (
     SELECT 'min_positive' AS kind, * FROM (SELECT * FROM ws WHERE w > 0 ORDER BY w, number LIMIT 1) UNION ALL
-    SELECT 'max_positive', * FROM (SELECT * FROM ws ORDER BY w DESC, number LIMIT 1) UNION ALL
+    SELECT 'max_positive', * FROM (SELECT * FROM ws WHERE w > 0 ORDER BY w DESC, number LIMIT 1) UNION ALL
     SELECT 'min_absolute', * FROM (SELECT * FROM ws ORDER BY abs(w), number LIMIT 1) UNION ALL
     SELECT 'max_absolute', * FROM (SELECT * FROM ws ORDER BY abs(w) DESC, number LIMIT 1))""", *SAMPLE_FIT, (
     "ws", "SELECT 1 AS number, 'q' AS feature, wq AS w FROM fit UNION ALL SELECT 2, 'd', wd FROM fit UNION ALL SELECT 3, 't', wt FROM fit"))
@@ -337,11 +370,13 @@ ORACLES["probability_plot"] = over("regress", f"""SELECT rank, ordered, {r("CASE
       ELSE (rank - 0.3175::double) / (n + 0.365::double) END AS p FROM (SELECT y, row_number() OVER (ORDER BY y)::bigint AS rank,
       count(*) OVER () AS n FROM regress))))""")
 
-# -- latent codes, sensors ---------------------------------------------------------------------------------------
-ORACLES["sequence_windows"] = over("merge_all", f"""SELECT rental_id, 0::bigint AS part, w::bigint AS "window", len::bigint AS length,
+# -- sequences, sensors -------------------------------------------------------------------------------------------
+ORACLES["sequence_windows"] = over("merge_all", f"""SELECT rental_id, w::bigint AS "window", count(*)::bigint AS length,
     {r('sum(latitude)')} AS latitude, {r('sum(longitude)')} AS longitude FROM (
-    SELECT *, unnest(generate_series(greatest(0, rw - len + 1), least(rw, n - len))) AS w FROM (
-      SELECT *, greatest(n // 2, 1) AS len FROM numbered)) GROUP BY rental_id, w, len""", _numbered("rental_id", "merge_all"))
+    SELECT *, unnest(generate_series(greatest(0, rw - 11), least(rw, greatest(n - 12, 0)))) AS w FROM numbered)
+    GROUP BY rental_id, w""", _numbered("rental_id", "merge_all"))
+ORACLES["label_positions"] = over("segs", """SELECT rental_id, pos_id AS id, (dense_rank() OVER (ORDER BY rental_id, timedelta_id))::bigint AS timedelta_id,
+    rental_id % 7 AS cluster_id FROM segs WHERE rental_id % 7 <> 3""")
 LONG = "CASE WHEN num BETWEEN 1 AND 9 THEN true WHEN num BETWEEN 11 AND 16 THEN false END"
 SLOTS = ", ".join(f"s{i}" for i in range(12))
 TRIALS = f"{SLOTS}, {LONG} AS is_long, subject, kind AS trial_type, num AS trial_number"
@@ -349,7 +384,7 @@ ORACLES["sensor_trials"] = over("sensor", f"SELECT {TRIALS} FROM sensor")
 ORACLES["trial_flags"] = over("sensor", f"""SELECT kind AS trial_type, num AS trial_number, {LONG} AS is_long, count(*)::bigint AS rows
     FROM sensor GROUP BY 1, 2, 3""")
 ORACLES["subject_mask"] = over("sensor", f"""SELECT {TRIALS} FROM sensor JOIN (SELECT kind, num,
-    ((row_number() OVER (ORDER BY kind, num) - 1) * 5) % 24 + 1 AS chosen FROM (SELECT DISTINCT kind, num FROM sensor ORDER BY 1, 2 LIMIT 15))
+    ((row_number() OVER (ORDER BY kind, num) - 1) * 5) % 24 + 1 AS chosen FROM (SELECT DISTINCT kind, num FROM sensor))
     USING (kind, num) WHERE subject = chosen""")
 ORACLES["sensor_subject_join"] = over("sensor", f"""SELECT s0, {LONG} AS is_long, subject, kind AS trial_type, num AS trial_number,
     {r('60 + abs(c_acctbal) / 200')} AS weight, (150 + c_nationkey)::double AS height, (20 + c_nationkey)::double AS age,
@@ -394,7 +429,7 @@ def _lines(keys: str, source: str = "segs") -> str:
 
 ORACLES["polylines"] = over("segs", _lines("rental_id, timedelta_id"))
 ORACLES["label_lines_3d"] = over("segs", f"SELECT *, timedelta_id::double AS z FROM ({_lines('rental_id, timedelta_id')})")
-ORACLES["facet_lines"] = over("segs", _lines("rental_id, timedelta_id", f"(SELECT * FROM segs WHERE rental_id IN {FIRST100})"))
+ORACLES["facet_lines"] = over("segs", _lines("rental_id, timedelta_id"))
 ORACLES["region_lines"] = over("segs", _lines("region, rental_id, timedelta_id",
                                               f"(SELECT * FROM (SELECT *, {REGION} AS region FROM segs) WHERE region IS NOT NULL)"))
 ORACLES["map_layer"] = over("segs", f"""SELECT {r('latitude + 1.2::double', 9)} AS latitude, {r('longitude - 1.2::double', 9)} AS longitude,
@@ -402,7 +437,30 @@ ORACLES["map_layer"] = over("segs", f"""SELECT {r('latitude + 1.2::double', 9)}
 ORACLES["map_centre"] = over("merge_all", f"SELECT {r('avg(latitude)')} AS latitude, {r('avg(longitude)')} AS longitude FROM merge_all")
 ORACLES["feature_target_points"] = over("regress", " UNION ALL ".join(
     f"SELECT '{f}' AS feature, {f}::double AS x, y AS target FROM regress" for f in "qdt"))
-ORACLES["cluster_lines"] = over("located", f"SELECT 'all' AS scope, 'region' AS method, * FROM ({_lines('rental_id, cluster_id', 'labelled')})",
-                                LABELLED)
+CITIES = ("cities", f"SELECT *, min(pos_id) OVER (PARTITION BY {CITY}) AS cluster_id FROM merge_all WHERE {POS_BOX}")
+EXAM = "(SELECT unnest(['k-means', 'mean-shift', 'ward-agglomerative']) AS method)"
+ORACLES["cluster_lines"] = over("merge_all", f"SELECT 'all' AS scope, * FROM {EXAM}, ({_lines('rental_id, cluster_id', 'cities')})", CITIES)
 ORACLES["cluster_summary"] = over(
-    "located", f"SELECT 'all' AS scope, 'region' AS method, * FROM ({_stats(['latitude', 'longitude', 'speed'])})", LABELLED)
+    "merge_all", f"SELECT 'all' AS scope, * FROM {EXAM}, ({_stats(['latitude', 'longitude', 'speed']).replace('labelled', 'cities')})", CITIES)
+WINDOWS = """(SELECT rental_id, CASE WHEN n < 2 THEN 0 WHEN n <= 12 THEN 1 ELSE ceil((n - 12) / 6.0::double)::bigint + 1 END AS windows
+    FROM (SELECT rental_id, count(*) AS n FROM merge_all GROUP BY 1))"""
+ORACLES["generated_roundtrip"] = over("segs", f"""SELECT s.rental_id, pos_id AS id, timedelta_id, time_gap, start_time, stop_time, rental_km, windows
+    FROM segs s JOIN {WINDOWS} w ON w.rental_id = s.rental_id WHERE windows > 0""")
+ORACLES["stream_chunks"] = MERGED
+ORACLES["pipeline_run"] = over("segs", f"""SELECT pos_id AS id, rental_id, timedelta_id, time_gap, spreaddelta_id, edgedelta_id, coorddelta_id, windows
+    FROM segs JOIN ({spread_rounds()}) USING (rental_id) JOIN ({box_rounds('edgedelta_id', False)}) USING (rental_id)
+    JOIN ({box_rounds('coorddelta_id', True)}) USING (rental_id) JOIN {WINDOWS} USING (rental_id) WHERE windows > 0""")
+ORACLES["broken_input"] = over("pos rental usr device", """SELECT rental_id, id, latitude, NOT (first IS NULL OR last IS NULL) AS grouped FROM (
+    SELECT *, first_value(latitude) OVER w AS first, last_value(latitude) OVER w AS last FROM (
+      SELECT r.id AS rental_id, p.id, CASE WHEN p.id % 7 <> 0 THEN latitude END AS latitude, server_time, device_time FROM rental r
+      JOIN pos p ON p.device_id = r.device_id AND greatest(p.server_time, p.device_time) <= CASE WHEN r.id % 4 = 1 THEN TIMESTAMP '9999-12-31' ELSE stop_time END
+        AND least(p.server_time, p.device_time) >= start_time
+      JOIN usr u ON u.id = r.user_id JOIN device d ON d.id = r.device_id)
+    WINDOW w AS (PARTITION BY rental_id ORDER BY server_time, device_time, id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))""")
+SHAPE = [("id", "bigint"), ("rental_id", "bigint"), ("timedelta_id", "bigint"), ("spreaddelta_id", "bigint"), ("edgedelta_id", "bigint"),
+         ("coorddelta_id", "bigint"), ("latitude", "double"), ("longitude", "double"), ("spread_latitude", "double"),
+         ("spread_longitude", "double"), ("edge_latitude_start", "double"), ("edge_latitude_stop", "double"),
+         ("edge_longitude_start", "double"), ("edge_longitude_stop", "double"), ("speed", "double"),
+         ("server_time", "timestamp_ntz"), ("device_time", "timestamp_ntz"), ("time_gap", "double")]
+ORACLES["table_shape"] = over("merge_all", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{t}' AS dtype, {i} AS position, count(*) AS rows FROM merge_all" for i, (c, t) in enumerate(SHAPE)))

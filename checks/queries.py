@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trailframe import schemas as S
 from trailframe.functions import columns as X
 from trailframe.operators import (
-    behavior, cluster, enrich, latent, plotdata, prep, profile, quality, regions, regress, segments, sensors, similar,
+    behavior, cluster, enrich, plotdata, prep, profile, quality, regions, regress, segments, sensors, sequences, similar,
 )
 from trailframe.plans import fixtures, pipeline
 from trailframe.session import materialize, scratch_path
@@ -21,6 +21,7 @@ from trailframe.streaming import ingest
 RENTAL = ["rental_id"]
 SEGMENT = ["rental_id", "timedelta_id"]
 ROW = ["rental_id", "pos_id"]
+PLACE = ["latitude", "longitude"]
 REGRESSORS, TARGET = ["q", "d", "t"], "y"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,7 +43,8 @@ def rounded(df: DataFrame, names: list[str], digits: int = 6) -> DataFrame:
 
 
 def merge(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.merge_positions(**fixtures.tables(spark, d))
+    """The enriched positions, written once, so that steps that read them twice don't join them twice."""
+    return materialize(enrich.merge_positions(**fixtures.tables(spark, d)), "merge")
 
 
 def pos_gen(spark: SparkSession, d: str) -> DataFrame:
@@ -54,11 +56,11 @@ def segmented(spark: SparkSession, d: str) -> DataFrame:
 
 
 def features(spark: SparkSession, d: str) -> DataFrame:
-    """Positions inside the box with the spreads and edges of their rental."""
+    """Positions inside the box with the spreads and edges of their rental, written once."""
     pos = pos_gen(spark, d)
     ext = similar.extents(pos, RENTAL)
     inside = regions.filter_positions(pos).select("rental_id", F.col("id").alias("pos_id"), "latitude", "longitude")
-    return inside.join(ext, RENTAL).select(*ROW, *S.CLUSTERING_COLS)
+    return materialize(inside.join(ext, RENTAL).select(*ROW, *S.CLUSTERING_COLS), "features")
 
 
 def located(spark: SparkSession, d: str) -> DataFrame:
@@ -74,7 +76,7 @@ def lineitem(spark: SparkSession, d: str) -> DataFrame:
 # -- joins -------------------------------------------------------------------
 @query
 def merge_positions(spark, d):
-    return merge(spark, d)
+    return enrich.merge_positions(**fixtures.tables(spark, d))
 
 
 @query
@@ -249,21 +251,11 @@ def spreaddelta(spark, d):
     return rounded(similar.spread_ids(pos_gen(spark, d), RENTAL), S.SPREADS, 9)
 
 
-@query
-def edgedelta_round(spark, d):
-    return similar.edge_ids(pos_gen(spark, d), RENTAL, max_rounds=1)
-
-
 @query
 def edgedelta(spark, d):
     return similar.edge_ids(pos_gen(spark, d), RENTAL)
 
 
-@query
-def coorddelta_round(spark, d):
-    return similar.coord_ids(pos_gen(spark, d), RENTAL, max_rounds=1)
-
-
 @query
 def coorddelta_fixed(spark, d):
     """With both half-widths given, the rounds use them instead of deviations."""
@@ -406,20 +398,26 @@ def pca_subsets(spark, d):
 
 @query
 def pca_variance(spark, d):
-    return prep.variance_curve(features(spark, d), S.CLUSTERING_COLS)
+    return rounded(prep.variance_curve(features(spark, d), PLACE), ["cumulative"])
 
 
 @query
 def pca_auto(spark, d):
-    out, names = prep.project(prep.standardize(features(spark, d), S.CLUSTERING_COLS), S.CLUSTERING_COLS, None)
-    return out.select(*ROW, *names)
+    out, names = prep.project(features(spark, d), PLACE, None)
+    return rounded(out.select(*ROW, *names), names)
+
+
+@query
+def pca_fixed(spark, d):
+    out, names = prep.project(features(spark, d), PLACE, 1)
+    return rounded(out.select(*ROW, *names), names)
 
 
 # -- clustering ----------------------------------------------------------------------------------
-def _scaled(spark, d) -> tuple[DataFrame, list[str]]:
-    out, names = prep.preprocess(features(spark, d), S.CLUSTERING_COLS, standardization=True, pca=True,
-                                 components=S.CLUSTERING_SUBSETS)
-    return materialize(out.select(*ROW, *names), "scaled"), names
+def numbered(df: DataFrame, by: list[str] = []) -> DataFrame:
+    """Labels in a form that doesn't depend on the method's numbering: the smallest pos_id of the cluster."""
+    first = df.groupBy(*by, "cluster_id").agg(F.min("pos_id").alias("first"))
+    return df.join(first, [*by, "cluster_id"]).select(*by, *ROW, F.col("first").alias("cluster_id"))
 
 
 @query
@@ -432,55 +430,61 @@ def kmeans_lloyd(spark, d):
 
 @query
 def kmeans_ml(spark, d):
-    df, names = _scaled(spark, d)
-    return cluster.kmeans(df, names, 5).select(*ROW, "cluster_id")
+    return numbered(cluster.kmeans(features(spark, d), PLACE, 4))
 
 
 @query
 def elbow_wcss(spark, d):
-    df, names = _scaled(spark, d)
-    return cluster.elbow(df, names, range(1, 20))
+    return rounded(cluster.elbow(features(spark, d), PLACE, [1, 4]), ["wcss"], 3)
+
+
+@query
+def elbow_regions(spark, d):
+    """The elbow table of every region and of all rows, as the flow without a cluster count makes it."""
+    out = pipeline.elbows(features(spark, d), pipeline.Options(elbow_all=(1, 2), elbow_region=(1, 2)), PLACE)
+    return rounded(out, ["wcss"], 3)
 
 
 @query
 def gmm(spark, d):
-    df, names = _scaled(spark, d)
-    return cluster.gaussian_mixture(df, names, 5).select(*ROW, "cluster_id")
+    return numbered(cluster.gaussian_mixture(features(spark, d), PLACE, 4))
 
 
 @query
 def bandwidth_estimate(spark, d):
-    return rounded(cluster.bandwidth_estimate(features(spark, d), S.CLUSTERING_COLS, ROW), ["bandwidth"])
+    return rounded(cluster.bandwidth_estimate(features(spark, d), S.CLUSTERING_COLS, ROW, 500), ["bandwidth"])
 
 
 @query
 def meanshift(spark, d):
-    df, names = _scaled(spark, d)
-    return cluster.mean_shift(df, names, ROW).select(*ROW, "cluster_id")
+    return numbered(cluster.mean_shift(features(spark, d), PLACE, 1.0))
 
 
 @query
 def agglomerative_ward(spark, d):
-    df, names = _scaled(spark, d)
-    return cluster.agglomerative(df, names, 5, "ward").select(*ROW, "cluster_id")
+    return numbered(cluster.agglomerative(features(spark, d), PLACE, 4, "ward"))
 
 
 @query
 def agglomerative_complete(spark, d):
-    df, names = _scaled(spark, d)
-    return cluster.agglomerative(df, names, 5, "complete").select(*ROW, "cluster_id")
+    return numbered(cluster.agglomerative(features(spark, d), PLACE, 4, "complete"))
 
 
 @query
 def linkage_table(spark, d):
-    df, names = _scaled(spark, d)
-    return cluster.linkage_table(df, names, "ward")
+    """The last three merges: the four cities, whose order follows from their centres and sizes."""
+    steps = cluster.linkage_table(features(spark, d), PLACE, "ward")
+    last = steps.withColumn("_back", F.max("step").over(Window.partitionBy(F.lit(0))) - F.col("step")).where("_back < 3")
+    return rounded(last.select(F.col("_back").cast("long").alias("back"), "distance", "size"), ["distance"], 1)
 
 
 @query
 def cluster_scopes(spark, d):
-    return cluster.cluster_scopes(features(spark, d), 4, methods=S.EXAM_METHODS, only_north=True, include_all=False,
-                                  standardization=True, pca=True, components=S.CLUSTERING_SUBSETS)
+    """Every method on every region and on all rows; a region is one city, so each finds one cluster there."""
+    df = features(spark, d)
+    whole = cluster.cluster_scopes(df, 4, columns=PLACE, bandwidth=1.0, scopes=["all"])
+    each = cluster.cluster_scopes(df, 1, columns=PLACE, bandwidth=1.0, include_all=False)
+    return numbered(whole.unionByName(each), ["scope", "method"])
 
 
 def _labelled(spark, d) -> DataFrame:
@@ -491,7 +495,7 @@ def _labelled(spark, d) -> DataFrame:
 
 @query
 def silhouette(spark, d):
-    return rounded(quality.silhouette(_labelled(spark, d), ["latitude", "longitude"], ROW), ["silhouette"])
+    return rounded(quality.silhouette(_labelled(spark, d), PLACE), ["silhouette"])
 
 
 @query
@@ -502,14 +506,15 @@ def cluster_stats(spark, d):
 
 @query
 def cluster_report(spark, d):
-    out = quality.cluster_report(_labelled(spark, d), ["latitude", "longitude"], ROW)
+    out = quality.cluster_report(_labelled(spark, d), PLACE)
     return rounded(out, [c for c in out.columns if c.endswith(("_mean", "_std", "silhouette"))])
 
 
 def _scoped(spark, d) -> tuple[DataFrame, DataFrame]:
-    """Prepared rows and region labels in the shape of a clustering run."""
-    labels = _labelled(spark, d).select(F.lit("all").alias("scope"), F.lit("region").alias("method"), *ROW, "cluster_id")
-    return prep.prepare(merge(spark, d)), labels
+    """Prepared rows and the labels of a clustering run over all rows."""
+    prepared = prep.prepare(merge(spark, d))
+    labels = cluster.cluster_scopes(prepared, 4, columns=PLACE, methods=S.EXAM_METHODS, bandwidth=1.0, scopes=["all"])
+    return prepared, numbered(labels, ["scope", "method"])
 
 
 @query
@@ -583,39 +588,21 @@ def probability_plot(spark, d):
     return rounded(regress.probability_points(lineitem(spark, d), "y"), ["theoretical"])
 
 
-# -- latent codes ---------------------------------------------------------------------------------------
+# -- sequences ------------------------------------------------------------------------------------------
 @query
 def sequence_windows(spark, d):
-    out = latent.sequence_windows(pos_gen(spark, d), RENTAL, ["latitude", "longitude"])
+    out = sequences.sequence_windows(pos_gen(spark, d), RENTAL, PLACE, 12)
     total = lambda i: F.aggregate("values", F.lit(0.0), lambda t, p: t + p[i])
-    return rounded(out.select("rental_id", "part", F.col("window").cast("long").alias("window"),
+    return rounded(out.select("rental_id", F.col("window").cast("long").alias("window"),
                               F.size("values").cast("long").alias("length"), total(0).alias("latitude"),
-                              total(1).alias("longitude")), ["latitude", "longitude"])
-
-
-@query
-def latent_codes(spark, d):
-    return latent.latent_codes(pos_gen(spark, d), RENTAL)
+                              total(1).alias("longitude")), PLACE)
 
 
 @query
-def latent_codes_autoregressive(spark, d):
-    return latent.latent_codes(pos_gen(spark, d), RENTAL, decoder="autoregressive")
-
-
-@query
-def latent_codes_behavior(spark, d):
-    feats = behavior.behavior_features(pos_gen(spark, d), RENTAL)
-    return latent.latent_codes(feats, RENTAL, S.BEHAVIOR_FEATURES, order=[S.BEHAVIOR_WINDOW_ID],
-                               split=F.col(S.BEHAVIOR_WINDOW_ID))
-
-
-@query
-def latent_clusters(spark, d):
-    pos = materialize(segmented(spark, d), "segmented")
-    codes = materialize(latent.latent_codes(pos, RENTAL), "codes")
-    return regions.with_region(latent.label_positions(pos, latent.latent_clusters(codes, 5), RENTAL)).select(
-        "rental_id", "id", "timedelta_id", "region", "cluster_id")
+def label_positions(spark, d):
+    """Labels of trajectories brought back to their positions, with the segments renumbered."""
+    labels = pos_gen(spark, d).select("rental_id", (F.col("rental_id") % 7).alias("cluster_id")).distinct().where("cluster_id <> 3")
+    return sequences.label_positions(segmented(spark, d), labels, RENTAL).select("rental_id", "id", "timedelta_id", "cluster_id")
 
 
 # -- sensors ----------------------------------------------------------------------------------------------
@@ -652,12 +639,16 @@ def trial_flags(spark, d):
 
 @query
 def subject_mask(spark, d):
-    return _plain(sensors.select_subjects(_trials(spark, d), [(i * 5) % 24 + 1 for i in range(S.TRIAL_COUNT)]))
+    trials = _trials(spark, d)
+    place = F.row_number().over(Window.orderBy(S.TRIAL_TYPE, "trial number"))
+    mask = trials.select(S.TRIAL_TYPE, "trial number").distinct().withColumn(
+        S.TRIAL_SUBJECT, ((place - 1) * 5 % 24 + 1).cast("int"))
+    return _plain(sensors.select_subjects(trials, mask))
 
 
 @query
 def sensor_subject_join(spark, d):
-    info = fixtures.table(spark, d, "customer").where("c_custkey BETWEEN 1 AND 24").select(
+    info = fixtures.table(spark, d, "customer").select(
         F.col("c_custkey").cast("int").alias("code"), (60 + F.abs("c_acctbal") / 200).alias("weight"),
         (150 + F.col("c_nationkey")).cast("double").alias("height"), (20 + F.col("c_nationkey")).cast("double").alias("age"),
         (F.col("c_custkey") % 2).cast("int").alias("gender"))
@@ -787,9 +778,50 @@ def stream_ingest(spark, d):
     return spark.read.schema(S.MERGE).parquet(target)
 
 
+@query
+def generated_roundtrip(spark, d):
+    """Positions with filled heuristic columns, stored as CSV with rentals and features, and read back."""
+    folder = scratch_path(spark, "generated")
+    made = pipeline.generate(fixtures.tables(spark, d))
+    made["pos"] = materialize(segments.timedelta(made["pos"]), "segments")
+    made["moving_behavior_feature"] = behavior.behavior_features(made["pos"], RENTAL)
+    table_source.store_generated(made, folder, "csv")
+    back = table_source.load_generated(spark, folder, RENTAL, "csv")
+    counts = back["moving_behavior_feature"].groupBy("rental_id").agg(F.count(F.lit(1)).alias("windows"))
+    rentals = back["rental"].select(F.col("id").alias("rental_id"), "start_time", "stop_time", F.col("km").alias("rental_km"))
+    return _segments(back["pos"]).join(rentals, "rental_id").join(counts, "rental_id")
+
+
+@query
+def stream_chunks(spark, d):
+    """As stream_ingest, from several files taken one per trigger."""
+    made, folder = fixtures.tables(spark, d), scratch_path(spark, "chunks")
+    for part in range(3):
+        fixtures.table(spark, d, "events").where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(folder)
+    events = ingest.position_stream(spark, folder, "parquet", schema=fixtures.table(spark, d, "events").schema, files_per_trigger=1)
+    target = scratch_path(spark, "stream")
+    ingest.start_ingest(fixtures.pos_from_events(events), made["rental"], made["usr"], made["device"], target,
+                        scratch_path(spark, "stream-state")).awaitTermination()
+    return spark.read.schema(S.MERGE).parquet(target)
+
+
+@query
+def broken_input(spark, d):
+    """Null coordinates and a stop time in the year 9999: no row is lost and no rental multiplies."""
+    made = fixtures.tables(spark, d)
+    hole = F.col("id") % 7 == 0
+    made["pos"] = made["pos"].withColumns({c: F.when(~hole, F.col(c)) for c in PLACE})
+    far = F.when(F.col("id") % 4 == 1, F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")).otherwise(F.col("stop_time"))
+    made["rental"] = made["rental"].withColumn("stop_time", far)
+    pos = S.merge_to_pos_gen(materialize(enrich.merge_positions(**made), "broken"))
+    ids = similar.edge_ids(pos, RENTAL, delta=0.5).select("rental_id", (F.col("edgedelta_id") > 0).alias("grouped"))
+    return pos.join(ids, "rental_id").select("rental_id", "id", "latitude", "grouped")
+
+
 @query
 def pipeline_run(spark, d):
-    """Raw tables to segments and behaviour features through the options object."""
-    out = pipeline.run(spark, fixtures.tables(spark, d), pipeline.Options(
-        group_on_timedelta=False, max_rounds=1, behavior=True))
-    return out["pos"].select("id", "rental_id", "timedelta_id", "spreaddelta_id", "edgedelta_id", "coorddelta_id", "time_gap")
+    """Raw tables to segments, all three groupings to their last round, and behaviour features."""
+    out = pipeline.run(spark, fixtures.tables(spark, d), pipeline.Options(group_on_timedelta=False, behavior=True))
+    windows = out["moving_behavior_feature"].groupBy("rental_id").agg(F.count(F.lit(1)).alias("windows"))
+    return out["pos"].join(windows, "rental_id").select(
+        "id", "rental_id", "timedelta_id", "spreaddelta_id", "edgedelta_id", "coorddelta_id", "time_gap", "windows")

@@ -54,7 +54,7 @@ BASE = {
     "groups": """SELECT e.*, m.* EXCLUDE (rental_id) FROM edges e JOIN (SELECT rental_id, count(*)::bigint AS n,
         max(latitude) - min(latitude) AS spread_latitude, max(longitude) - min(longitude) AS spread_longitude,
         avg(latitude) AS ml, avg(longitude) AS mo, coalesce(stddev_samp(latitude), 0) AS dl,
-        coalesce(stddev_samp(longitude), 0) AS dо FROM merge_all GROUP BY 1) m USING (rental_id)""".replace("dо", "dlo"),
+        coalesce(stddev_samp(longitude), 0) AS dlo FROM merge_all GROUP BY 1) m USING (rental_id)""",
     "feat": f"""SELECT m.rental_id, m.pos_id, m.latitude, m.longitude, g.spread_latitude, g.spread_longitude,
         {', '.join('g.' + e for e in EDGES)} FROM merge_all m JOIN groups g USING (rental_id) WHERE {POS_BOX}""",
     "located": """SELECT *, CASE WHEN latitude >= 43 AND latitude < 44.3 AND longitude >= 12 THEN 'N-E'

@@ -46,13 +46,23 @@ def test_components(df, blobs):
     out, names = prep.project(df, ABC, 2)
     np.testing.assert_allclose(_matrix(out, names), (x - x.mean(axis=0)) @ vt[:2].T, atol=1e-9)
     share = s ** 2 / (s ** 2).sum()
-    np.testing.assert_allclose(prep.fit_components(df, ABC).variance, share, atol=1e-9)
+    np.testing.assert_allclose(prep.fit_components(prep.Moments.of(df, ABC)).variance, share, atol=1e-9)
 
 
 def test_component_count(df):
     curve = [r["cumulative"] for r in prep.variance_curve(df, ABC).orderBy("component").collect()]
     want = next(i for i, c in enumerate(curve, 1) if c > 0.8)
-    assert prep.component_count(df, ABC) == want and prep.component_count(df, ABC, True) == max(want - 1, 1)
+    moments = prep.Moments.of(df, ABC)
+    assert prep.component_count(moments) == want and prep.component_count(moments, True) == max(want - 1, 1)
+
+
+def test_preparation_reads_its_input_once(df, spark):
+    """All scalers and components follow from one aggregate."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("prepare", "prepare")
+    prep.preprocess(df, ABC, standardization=True, normalization=True, pca=True, components=[["a", "b"], ["c"]])
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup("prepare")) <= 3
 
 
 def test_describe_equals_pandas(df, blobs):
@@ -87,7 +97,7 @@ def test_bandwidth(df, blobs):
     x = blobs[ABC].to_numpy()
     d = np.sort(np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)), axis=1)
     want = d[:, int(len(x) * 0.2) - 1].mean()
-    assert abs(cluster.bandwidth_estimate(df, ABC, ["id"]).first()[0] - want) < 1e-9
+    assert abs(cluster.bandwidth_estimate(df, ABC, ["id"], 500).first()[0] - want) < 1e-9
 
 
 def test_mean_shift_equals_brute_force(df, blobs):
@@ -109,10 +119,17 @@ def test_mean_shift_equals_brute_force(df, blobs):
         if all(np.linalg.norm(np.subtract(c, k)) > h for k in kept):
             kept.append(c)
     np.testing.assert_allclose(sorted(cluster.mean_shift_centres(df, ["a", "b"], h)), sorted(kept), atol=1e-9)
-    labelled = cluster.mean_shift(df, ["a", "b"], ["id"], h)
+    labelled = cluster.mean_shift(df, ["a", "b"], h)
     assert labelled.select("cluster_id").distinct().count() == len(kept)
 
 
+def test_mean_shift_needs_a_bandwidth_and_settles(df):
+    with pytest.raises(ValueError):
+        cluster.cluster(df, ABC, "mean-shift", 3)
+    with pytest.raises(RuntimeError):
+        cluster.mean_shift_centres(df, ["a", "b"], 2.5, max_shifts=0)
+
+
 def _naive_tree(x, k, linkage):
     groups = [[i] for i in range(len(x))]
     while len(groups) > k:
@@ -148,19 +165,19 @@ def test_agglomerative_condenses_many_points(df):
 
 @pytest.mark.parametrize("method", ["k-means", "gaussian-mixture"])
 def test_library_methods_find_the_blobs(df, method):
-    out = cluster.cluster(df, ABC, method, 3, ["id"])
+    out = cluster.cluster(df, ABC, method, 3)
     assert out.select("cluster_id").distinct().count() == 3
-    assert quality.silhouette(out, ABC, ["id"]).first()["silhouette"] > 0.4
+    assert quality.silhouette(out, ABC).first()["silhouette"] > 0.4
 
 
 def test_unknown_method(df):
     with pytest.raises(ValueError):
-        cluster.cluster(df, ABC, "magic", 3, ["id"])
+        cluster.cluster(df, ABC, "magic", 3)
 
 
 def test_silhouette(df, blobs):
     x, label = blobs[ABC].to_numpy(), np.array([0] * 60 + [1] * 69 + [2])
-    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    d = ((x[:, None] - x[None]) ** 2).sum(-1)
     scores = []
     for i in range(len(x)):
         own = label == label[i]
@@ -171,7 +188,11 @@ def test_silhouette(df, blobs):
         b = min(d[i][label == o].mean() for o in set(label) - {label[i]})
         scores.append((b - a) / max(a, b))
     out = df.withColumn("cluster_id", F.when(F.col("id") < 60, 0).when(F.col("id") < 129, 1).otherwise(2))
-    assert abs(quality.silhouette(out, ABC, ["id"]).first()["silhouette"] - np.mean(scores)) < 1e-9
+    assert abs(quality.silhouette(out, ABC).first()["silhouette"] - np.mean(scores)) < 1e-9
+
+
+def test_silhouette_of_one_cluster(df):
+    assert quality.silhouette(df.withColumn("cluster_id", F.lit(1)), ABC).first() == (130, 0.0)
 
 
 def _regression(spark, n=200):
@@ -188,8 +209,10 @@ def test_regression_variants_agree(spark):
     np.testing.assert_allclose([*plain.coefficients, plain.bias], want, rtol=1e-6)
     exact = regress.fit_exact(df, ["p", "q"], "y")
     np.testing.assert_allclose(exact.coefficients, want[:2] * x.std(axis=0, ddof=1), rtol=1e-9)
-    gradient = regress.fit_gradient(df, ["p", "q"], "y", rate=1e-3)
-    assert gradient.converged and gradient.iterations > 1
+    gradient = regress.fit_gradient(df, ["p", "q"], "y")
+    assert gradient.iterations > 1
+    twice = regress.fit_gradient(df.unionByName(df), ["p", "q"], "y", preprocess=False, rate=1e-3)
+    np.testing.assert_allclose(twice.coefficients, np.linalg.solve(x.T @ x, x.T @ y), rtol=1e-6)
     np.testing.assert_allclose(gradient.coefficients, exact.coefficients, rtol=1e-9)
     mse = np.mean((y - np.c_[x, np.ones(len(x))] @ want) ** 2)
     assert abs(exact.mse(df).first()[0] - mse) < 1e-9
@@ -202,9 +225,11 @@ def test_origin_fit_uses_mean_residual(spark):
     np.testing.assert_allclose([*fit.coefficients, fit.bias], [*theta, y.mean() - theta @ x.mean(axis=0)], rtol=1e-7)
 
 
-def test_gradient_descent_stays_stable_on_a_large_rate(spark):
+@pytest.mark.parametrize("rate", [10.0, 1e-9])
+def test_gradient_descent_that_does_not_settle_fails(spark, rate):
     _, _, df = _regression(spark)
-    assert regress.fit_gradient(df, ["p", "q"], "y", rate=10.0).converged
+    with pytest.raises(RuntimeError):
+        regress.fit_gradient(df, ["p", "q"], "y", rate=rate, max_iterations=5000)
 
 
 def test_importance(spark):
@@ -213,6 +238,19 @@ def test_importance(spark):
     assert got == {"min_positive": "b", "max_positive": "c", "min_absolute": "b", "max_absolute": "a"}
 
 
+def test_importance_without_a_positive_coefficient(spark):
+    fit = regress.Fit(("a", "b"), "y", (-1.0, -2.0), 0.0, (0.0,) * 2, (1.0,) * 2)
+    got = {r["kind"]: r["feature"] for r in regress.coefficient_importance(fit, spark).collect()}
+    assert got == {"min_absolute": "a", "max_absolute": "b"}
+
+
+def test_probability_points_of_a_repeated_value(spark, hot, monkeypatch):
+    monkeypatch.setattr(regress, "RANK_BLOCK", 10)
+    df = spark.createDataFrame([(0.0,)] * 95 + [(float(i),) for i in range(1, 5)] + [(None,)], "v double")
+    rows = regress.probability_points(df, "v").orderBy("rank").collect()
+    assert [r["rank"] for r in rows] == list(range(1, 100)) and [r["ordered"] for r in rows] == [0.0] * 95 + [1.0, 2.0, 3.0, 4.0]
+
+
 def test_probability_points_with_a_large_table(spark, hot):
     df = spark.range(1, 300).select((F.col("id") * 1.0).alias("v"))
     rows = regress.probability_points(df, "v").orderBy("rank").collect()

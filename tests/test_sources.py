@@ -1,9 +1,10 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from trailframe import schemas as S
-from trailframe.operators import enrich, regions, sensors
+from trailframe.operators import enrich, prep, regions, sensors
 from trailframe.plans import fixtures, pipeline
 from trailframe.sources import sensors as sensor_source
 from trailframe.sources import tables
@@ -33,10 +34,18 @@ def test_generated_roundtrip(spark, tmp_path):
         assert sorted(tables.store_generated(made, folder, fmt)) == ["dataset", "merge", "pos", "rental"]
         back = tables.load_generated(spark, folder, ["rental_id"], fmt)
         assert same(back["merge"], made["merge"]) and back["moving_behavior_feature"].isEmpty()
-        assert same(back["dataset"], made["dataset"].drop("part"))
+        assert same(back["dataset"], made["dataset"])
         assert back["pos"].schema.names == S.POS_GEN.names
 
 
+def test_parts_of_long_rentals_come_back_in_order(spark, tmp_path):
+    merge = pipeline.generate(fixtures.tables(spark, SF))["merge"]
+    parts = enrich.build_dataset(merge, part_rows=10)
+    tables.store_generated({"dataset": parts}, str(tmp_path), "csv")
+    back = tables.load_generated(spark, str(tmp_path), ["rental_id"], "csv")["dataset"]
+    assert same(back, parts) and back.where("part > 0").count() > 0 and back.where("size(rental_positions) > 10").isEmpty()
+
+
 def test_remembered_computes_once(spark, tmp_path):
     calls = []
 
@@ -69,8 +78,9 @@ def test_sensor_tree(spark, tmp_path):
     assert got == {("dws", 1): (True, 1), ("dws", 11): (False, 2), ("wlk", 10): (None, 1)}
     joined = sensors.with_subject_info(trials, sensor_source.read_subject_info(spark, str(tmp_path / "info.csv")))
     assert joined.count() == 2 and "code" not in joined.columns
-    assert sensors.select_subjects(trials, [1, 1, 1] + [0] * 12).count() == 2
-    assert sensors.select_subjects(trials).count() == 0
+    mask = spark.createDataFrame([("dws", 1, 1), ("dws", 11, 1), ("wlk", 10, 1)], "`trial type` string, `trial number` int, subject int")
+    assert sensors.select_subjects(trials, mask).count() == 2
+    assert sensors.select_subjects(trials, mask.limit(0)).count() == 0
 
 
 def test_regions(spark):
@@ -83,9 +93,38 @@ def test_regions(spark):
 
 def test_pipeline_with_everything(spark):
     out = pipeline.run(spark, fixtures.tables(spark, SF), pipeline.Options(
-        group_on_timedelta=False, max_rounds=2, clustering=True, n_clusters=2, with_pca=True, with_standardization=True,
-        exam=True, behavior=True, latent=True, decoder="simple", epochs=1, profiles=True))
+        group_on_timedelta=False, clustering=True, n_clusters=2, bandwidth=1.0, with_pca=True, with_standardization=True,
+        exam=True, behavior=True, profiles=True))
     assert out["pos"].where("timedelta_id is null or coorddelta_id is null").isEmpty()
     assert {r["method"] for r in out["clusters"].select("method").distinct().collect()} == set(S.EXAM_METHODS)
-    assert not out["moving_behavior_feature"].isEmpty() and not out["latent_positions_simple"].isEmpty()
-    assert not out["region_profile"].isEmpty()
+    assert not out["moving_behavior_feature"].isEmpty() and not out["region_profile"].isEmpty()
+
+
+def test_segment_keys_to_the_last_round(spark):
+    """The default two-column key: every segment gets an id of every grouping."""
+    pos = pipeline.generate(fixtures.tables(spark, SF))["pos"].where("rental_id < 12")
+    out = pipeline.heuristics(pos, pipeline.Options())
+    assert out.where("timedelta_id < 1 or spreaddelta_id < 1 or edgedelta_id < 1 or coorddelta_id < 1").isEmpty()
+    for name in ("spreaddelta_id", "edgedelta_id", "coorddelta_id"):
+        assert out.groupBy("rental_id", "timedelta_id").agg(F.countDistinct(name).alias("n")).where("n <> 1").isEmpty()
+
+
+def test_clustering_without_heuristics_is_refused(spark):
+    with pytest.raises(ValueError):
+        pipeline.run(spark, fixtures.tables(spark, SF), pipeline.Options(heuristic=False, clustering=True, n_clusters=2))
+
+
+def test_rows_without_a_segment_stay(spark):
+    made = pipeline.generate(fixtures.tables(spark, SF))
+    ready = prep.prepare(made["merge"], made["pos"])
+    assert ready.count() == regions.filter_positions(made["merge"]).count()
+    assert ready.where("timedelta_id is not null").isEmpty()
+
+
+def test_far_stop_times_do_not_multiply_rentals(spark):
+    made = fixtures.tables(spark, SF)
+    far = made["rental"].withColumn("stop_time", F.lit("9999-12-31 00:00:00").cast("timestamp_ntz"))
+    spread = enrich.interval_join(made["pos"], far.withColumnRenamed("id", "rental_id"))
+    assert spread.count() > 0
+    low, high = enrich._days(made["pos"], 86400).first()
+    assert high - low < 40

@@ -7,7 +7,7 @@ from functools import reduce
 from itertools import product
 
 import numpy as np
-from pyspark.ml.clustering import GaussianMixture, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +20,10 @@ from trailframe.session import materialize, scratch_path
 
 LABEL = "cluster_id"
 SEED = 42
-BANDWIDTH_QUANTILE, BANDWIDTH_SAMPLE = 0.2, 500
+BANDWIDTH_QUANTILE = 0.2
 MAX_SHIFTS = 300
-MICRO_CLUSTERS = 300
+#: Points that hierarchical clustering condenses a table to, whatever its size.
+MICRO_CLUSTERS = 200
 _VECTOR = "_features"
 
 
@@ -87,15 +88,63 @@ def elbow(df: DataFrame, features: Sequence[str], ks: Iterable[int], seed: int =
 
 
 # -- Gaussian mixture --------------------------------------------------------
-def gaussian_mixture(df: DataFrame, features: Sequence[str], k: int, seed: int = SEED, restarts: int = 3) -> DataFrame:
-    """Most likely component of each row; of several seeded fits the one with the highest likelihood is used."""
+def gaussian_mixture(df: DataFrame, features: Sequence[str], k: int, seed: int = SEED, iterations: int = 100,
+                     tolerance: float = 1e-3, ridge: float = 1e-6) -> DataFrame:
+    """Most likely component of each row, by expectation maximisation from a k-means start.
+
+    A step is one aggregate of weighted moments over all rows; the driver holds the ``k`` means and covariances. It ends
+    when the mean log-likelihood gains less than ``tolerance``.
+    """
+    if k == 1:
+        return df.withColumn(LABEL, F.lit(0))
+    d, names = len(features), [f"x{i}" for i in range(len(features))]
     vectors = _vectors(df, features)
-    rows = vectors.select(_VECTOR).persist()
-    fits = [GaussianMixture(k=k, seed=seed + i, featuresCol=_VECTOR, predictionCol=LABEL, probabilityCol="_p").fit(rows)
-            for i in range(restarts)]
+    model = _kmeans_model(vectors.select(_VECTOR), k, seed)
+    rows = model.transform(vectors).select(LABEL, *[F.col(f).cast("double").alias(n) for f, n in zip(features, names)]).persist()
+    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+    start = rows.groupBy(LABEL).agg(
+        F.count(F.lit(1)).alias("n"), *[F.avg(n).alias(n) for n in names],
+        *[F.covar_pop(names[i], names[j]).alias(f"c{i}_{j}") for i, j in pairs]).orderBy(LABEL).collect()
+    weights = np.array([r["n"] for r in start], dtype=float)
+    means = np.array([[r[n] for n in names] for r in start])
+    covs = np.array([[[r[f"c{min(i, j)}_{max(i, j)}"] for j in range(d)] for i in range(d)] for r in start])
+    weights, before = weights / weights.sum(), -np.inf
+    for _ in range(iterations):
+        logs = _log_densities([F.col(n) for n in names], weights, means, covs + ridge * np.eye(d))
+        top = F.greatest(*logs)
+        packed = rows.select(*names, F.array(*logs).alias("_l"), top.alias("_t"))
+        total = F.aggregate("_l", F.lit(0.0), lambda t, v: t + F.exp(v - F.col("_t")))
+        shared = packed.select(*names, (F.log(total) + F.col("_t")).alias("_all"), "_l").select(
+            *names, "_all", *[F.exp(F.get("_l", F.lit(j)) - F.col("_all")).alias(f"r{j}") for j in range(len(means))])
+        away = lambda j, i: F.col(names[i]) - F.lit(float(means[j][i]))
+        sums = shared.agg(F.avg("_all").alias("fit"), F.count(F.lit(1)).alias("n"), *[a for j in range(len(means)) for a in (
+            F.sum(f"r{j}").alias(f"w{j}"), *[F.sum(F.col(f"r{j}") * away(j, i)).alias(f"m{j}_{i}") for i in range(d)],
+            *[F.sum(F.col(f"r{j}") * away(j, i) * away(j, h)).alias(f"s{j}_{i}_{h}") for i, h in pairs])]).first()
+        mass = np.maximum([sums[f"w{j}"] for j in range(len(means))], 1e-12)
+        shift = np.array([[sums[f"m{j}_{i}"] for i in range(d)] for j in range(len(means))]) / mass[:, None]
+        second = np.array([[[sums[f"s{j}_{min(i, h)}_{max(i, h)}"] for h in range(d)] for i in range(d)]
+                           for j in range(len(means))]) / mass[:, None, None]
+        weights, means, covs = mass / sums["n"], means + shift, second - shift[:, :, None] * shift[:, None, :]
+        if sums["fit"] - before < tolerance:
+            break
+        before = sums["fit"]
     rows.unpersist()
-    best = max(fits, key=lambda fit: fit.summary.logLikelihood)
-    return best.transform(vectors).drop(_VECTOR, "_p")
+    logs = _log_densities([F.col(f).cast("double") for f in features], weights, means, covs + ridge * np.eye(d))
+    best = F.array_max(F.array(*[F.struct(log.alias("l"), F.lit(-j).alias("j")) for j, log in enumerate(logs)]))
+    return df.withColumn(LABEL, -best["j"])
+
+
+def _log_densities(x: list[Column], weights: np.ndarray, means: np.ndarray, covs: np.ndarray) -> list[Column]:
+    """Log of weight times normal density of each component, without the shared constant."""
+    out = []
+    for w, m, c in zip(weights, means, covs):
+        white = np.linalg.inv(np.linalg.cholesky(c))
+        squares = F.lit(0.0)
+        for i in range(len(m)):
+            part = reduce(lambda t, j: t + (x[j] - F.lit(float(m[j]))) * F.lit(float(white[i, j])), range(i + 1), F.lit(0.0))
+            squares = squares + part * part
+        out.append(F.lit(float(np.log(w) + np.log(np.diag(white)).sum())) - squares / 2)
+    return out
 
 
 # -- mean shift --------------------------------------------------------------
@@ -104,9 +153,8 @@ def sample_rows(df: DataFrame, keys: Sequence[str], n: int, seed: int = SEED) ->
     return df.withColumn("_h", hash_order(*[F.col(k) for k in keys], seed=seed)).orderBy("_h").limit(n).drop("_h")
 
 
-def bandwidth_estimate(df: DataFrame, features: Sequence[str], keys: Sequence[str],
-                       quantile: float = BANDWIDTH_QUANTILE, n_samples: int = BANDWIDTH_SAMPLE,
-                       seed: int = SEED) -> DataFrame:
+def bandwidth_estimate(df: DataFrame, features: Sequence[str], keys: Sequence[str], n_samples: int,
+                       quantile: float = BANDWIDTH_QUANTILE, seed: int = SEED) -> DataFrame:
     """One row ``bandwidth``: mean distance of the sampled points to their neighbour at the quantile, self included.
 
     The sample (at most ``n_samples`` points) travels as one array, so no pairs of rows are produced.
@@ -158,11 +206,13 @@ def mean_shift_centres(df: DataFrame, features: Sequence[str], bandwidth: float,
         means.select(*[F.col(f"m{i}").alias(f"c{i}") for i in range(d)], "hits",
                      (F.sqrt(step) <= F.lit(1e-3 * bandwidth)).alias("still")).write.parquet(path)
         moving = df.sparkSession.read.parquet(path).where(~F.col("still")).select(*centre).distinct()
-        if shift == max_shifts or moving.isEmpty():
+        if moving.isEmpty():
             break
+    else:
+        raise RuntimeError(f"mean shift has not settled after {max_shifts} moves")
     points.unpersist()
     # Keep the strongest centre, drop the ones within a bandwidth of it, repeat: one small job per final cluster.
-    left = df.sparkSession.read.parquet(base).where(F.col("still") | (F.col("shift") == max_shifts)).select(
+    left = df.sparkSession.read.parquet(base).where("still").select(
         *centre, "hits").persist()
     stored = left
     centres: list[tuple] = []
@@ -177,57 +227,34 @@ def mean_shift_centres(df: DataFrame, features: Sequence[str], bandwidth: float,
     return centres
 
 
-def mean_shift(df: DataFrame, features: Sequence[str], keys: Sequence[str], bandwidth: float | None = None,
-               seed: int = SEED) -> DataFrame:
-    if bandwidth is None:
-        bandwidth = bandwidth_estimate(df, features, keys, seed=seed).first()["bandwidth"]
-    if not bandwidth:
-        return df.withColumn(LABEL, F.lit(0))
+def mean_shift(df: DataFrame, features: Sequence[str], bandwidth: float) -> DataFrame:
+    """Label of the nearest mean-shift centre; ``bandwidth_estimate`` proposes a bandwidth from a sample."""
+    if not bandwidth > 0:
+        raise ValueError("mean shift needs a positive bandwidth")
     return df.withColumn(LABEL, nearest_centre(features, mean_shift_centres(df, features, float(bandwidth))))
 
 
 # -- agglomerative -------------------------------------------------------------
-def _micro_clusters(df: DataFrame, features: Sequence[str], m: int, seed: int, radii: bool):
-    """Rows tagged with one of at most ``m`` micro-clusters ``_m``, and their (centre, rows, radius) summaries.
+def _micro_clusters(df: DataFrame, features: Sequence[str], m: int, seed: int):
+    """Rows tagged with one of at most ``m`` k-means micro-clusters ``_m``, and their centres and row counts."""
+    vectors = _vectors(df, features)
+    model = _kmeans_model(vectors.select(_VECTOR), m, seed)
+    tagged = model.transform(vectors).withColumnRenamed(LABEL, "_m").drop(_VECTOR)
+    centres = [tuple(float(v) for v in c) for c in model.clusterCenters()]
+    sizes = {r["_m"]: r["n"] for r in tagged.groupBy("_m").agg(F.count(F.lit(1)).alias("n")).collect()}
+    kept = sorted(sizes)
+    return tagged, kept, ([centres[i] for i in kept], np.array([sizes[i] for i in kept], dtype=float))
 
-    With at most ``m`` distinct points each point is its own micro-cluster.
-    """
-    spark, names = df.sparkSession, [f"_c{i}" for i in range(len(features))]
-    distinct = df.select(*features).distinct().limit(m + 1).collect()
-    if len(distinct) <= m:
-        centres = sorted(tuple(float(r[f]) for f in features) for r in distinct)
-    else:
-        model = _kmeans_model(_vectors(df.select(*features), features).select(_VECTOR), m, seed)
-        centres = [tuple(float(v) for v in c) for c in model.clusterCenters()]
-    table = F.broadcast(spark.createDataFrame(
-        [(i, *c) for i, c in enumerate(centres)], ", ".join(["_m int", *[f"{n} double" for n in names]])))
-    same = reduce(lambda t, fn: t & (F.col(fn[0]) == F.col(fn[1])), zip(features, names), F.lit(True))
-    if len(distinct) <= m:
-        tagged = df.join(table, same).drop(*names)
-    else:
-        tagged = model.transform(_vectors(df, features)).withColumnRenamed(LABEL, "_m").drop(_VECTOR)
-    aggregates = [F.count(F.lit(1)).alias("n")]
-    measured = tagged
-    if radii:
-        measured = tagged.join(table, "_m")
-        gap = reduce(lambda t, fn: t + F.pow(F.col(fn[0]) - F.col(fn[1]), 2), zip(features, names), F.lit(0.0))
-        aggregates.append(F.sqrt(F.max(gap)).alias("r"))
-    stats = {r["_m"]: r for r in measured.groupBy("_m").agg(*aggregates).collect()}
-    kept = sorted(stats)
-    summary = ([centres[i] for i in kept], np.array([stats[i]["n"] for i in kept], dtype=float),
-               np.array([stats[i]["r"] if radii else 0.0 for i in kept]))
-    return tagged, kept, summary
-
-
-def merge_steps(centres: Sequence[tuple], sizes: np.ndarray, radii: np.ndarray, linkage: str) -> list[tuple]:
-    """(a, b, distance, size) per merge over a bounded set of summaries; merged node ``i`` is numbered ``m + i``."""
+
+def merge_steps(centres: Sequence[tuple], sizes: np.ndarray, linkage: str) -> list[tuple]:
+    """(a, b, distance, size) per merge of a bounded set of weighted points; merged node ``i`` is numbered ``m + i``."""
     points, n = np.array(centres, dtype=float), np.array(sizes, dtype=float)
     m = len(points)
     plain = np.sqrt(((points[:, None, :] - points[None, :, :]) ** 2).sum(-1))
     if linkage == "ward":
         dist = plain * np.sqrt(2 * n[:, None] * n[None, :] / (n[:, None] + n[None, :]))
     else:
-        dist = plain + radii[:, None] + radii[None, :]
+        dist = plain
     np.fill_diagonal(dist, np.inf)
     node, steps = list(range(m)), []
     for step in range(m - 1):
@@ -267,7 +294,7 @@ def _cut(m: int, steps: Sequence[tuple], k: int) -> list[int]:
 
 def linkage_table(df: DataFrame, features: Sequence[str], linkage: str, m: int = MICRO_CLUSTERS, seed: int = SEED) -> DataFrame:
     """(step, a, b, distance, size) of the merge tree over the micro-clusters."""
-    _, _, summary = _micro_clusters(df, features, m, seed, linkage != "ward")
+    _, _, summary = _micro_clusters(df, features, m, seed)
     steps = merge_steps(*summary, linkage)
     return df.sparkSession.createDataFrame(
         [(i, int(a), int(b), d, s) for i, (a, b, d, s) in enumerate(steps)], "step int, a int, b int, distance double, size long")
@@ -277,22 +304,25 @@ def agglomerative(df: DataFrame, features: Sequence[str], k: int, linkage: str,
                   seed: int = SEED) -> DataFrame:
     """Hierarchical clusters of all rows through at most ``m`` micro-clusters.
 
-    Hierarchical merging needs all pairwise distances, which no large table allows; rows are first condensed to
-    micro-clusters, and only those are merged. With at most ``m`` distinct points the result is exact. Beyond that,
-    Ward merges are exact for the given micro-clusters and complete linkage uses their farthest possible distance.
+    Hierarchical merging needs all pairwise distances, which no large table allows, so every table is condensed to
+    micro-clusters by k-means and their centres are merged: Ward weights them by their rows, complete linkage takes the
+    largest distance between centres. Tables with fewer distinct points keep each of them as a centre.
     """
-    tagged, kept, summary = _micro_clusters(df, features, m, seed, linkage != "ward")
+    tagged, kept, summary = _micro_clusters(df, features, m, seed)
     labels = _cut(len(kept), merge_steps(*summary, linkage), k)
     table = df.sparkSession.createDataFrame(list(zip(kept, labels)), f"_m int, {LABEL} int")
     return tagged.join(F.broadcast(table), "_m").drop("_m")
 
 
 # -- all methods -----------------------------------------------------------------
-def cluster(df: DataFrame, features: Sequence[str], method: str, k: int, keys: Sequence[str], seed: int = SEED) -> DataFrame:
+def cluster(df: DataFrame, features: Sequence[str], method: str, k: int, seed: int = SEED,
+            bandwidth: float | None = None) -> DataFrame:
     if method == "k-means":
         return kmeans(df, features, k, seed)
     if method == "mean-shift":
-        return mean_shift(df, features, keys, seed=seed)
+        if bandwidth is None:
+            raise ValueError("mean shift needs a bandwidth")
+        return mean_shift(df, features, bandwidth)
     if method == "gaussian-mixture":
         return gaussian_mixture(df, features, k, seed)
     if method == "full-agglomerative":
@@ -304,20 +334,25 @@ def cluster(df: DataFrame, features: Sequence[str], method: str, k: int, keys: S
 
 def cluster_scopes(prepared: DataFrame, k: int, *, keys: Sequence[str] = ("rental_id", "pos_id"),
                    columns: Sequence[str] = S.CLUSTERING_COLS, methods: Sequence[str] = S.CLUSTER_METHODS,
-                   only_north: bool = False, include_all: bool = True, seed: int = SEED, **scaling) -> DataFrame:
-    """(scope, method, keys, cluster_id) for every region and, with ``include_all``, for all rows together."""
+                   only_north: bool = False, include_all: bool = True, seed: int = SEED,
+                   bandwidth: float | None = None, scopes: Sequence[str] | None = None, **scaling) -> DataFrame:
+    """(scope, method, keys, cluster_id) for every region and, with ``include_all``, for all rows together.
+
+    ``scopes`` names the wanted ones among the regions and ``all``.
+    """
     narrow = materialize(prepared.select(*dict.fromkeys([*keys, *columns, "latitude", "longitude"])), "prepared")
     located = with_region(narrow, only_north)
-    scopes = [r["region"] for r in located.select("region").distinct().orderBy("region").collect()]
-    frames = {s: located.where(F.col("region") == s) for s in scopes}
+    names = [r["region"] for r in located.select("region").distinct().orderBy("region").collect()]
+    frames = {s: located.where(F.col("region") == s) for s in names}
     if include_all:
         frames["all"] = narrow
+    frames = {s: f for s, f in frames.items() if scopes is None or s in scopes}
     parts = []
     for scope, frame in frames.items():
         scaled, features = preprocess(frame, columns, **scaling)
         scaled = materialize(scaled.select(*keys, *features), "scaled")
         for method in methods:
-            labelled = cluster(scaled, features, method, k, keys, seed)
+            labelled = cluster(scaled, features, method, k, seed, bandwidth)
             parts.append(labelled.select(F.lit(scope).alias("scope"), F.lit(method).alias("method"), *keys,
                                          F.col(LABEL).cast("int").alias(LABEL)))
     return reduce(DataFrame.unionByName, parts)

@@ -32,24 +32,33 @@ def rental_attributes(rental: DataFrame, usr: DataFrame, device: DataFrame) -> D
     )
 
 
+def _days(pos: DataFrame, bucket_seconds: int) -> DataFrame:
+    """One row: the first and last time bucket that holds a position."""
+    bucket = _bucket(F.col("server_time"), bucket_seconds)
+    return pos.agg(F.min(bucket).alias("_low"), F.max(bucket).alias("_high"))
+
+
 def interval_join(pos: DataFrame, rentals: DataFrame, bucket_seconds: int = BUCKET_SECONDS,
                   span: tuple[str, str] | None = None) -> DataFrame:
     """Every (rental, position) pair with the same device and the position's clocks inside the rental.
 
     Rentals are repeated once per time bucket they touch, so the equality key is (device, bucket): one busy device is
     spread over all its days instead of meeting all its rentals in one task. Small rental tables are broadcast by
-    Spark's own size check; larger ones sort-merge with adaptive skew splitting. ``span`` (first, last timestamp of
-    the positions) keeps rentals with a broken stop time from repeating far beyond the data.
+    Spark's own size check; larger ones sort-merge with adaptive skew splitting. Rentals only repeat within the time that
+    positions cover, so a broken stop time (year 9999) doesn't multiply them. That time is ``span`` (first, last
+    timestamp) or, without it and for tables that aren't streams, two numbers aggregated from the positions' clock column.
     """
-    start, stop = F.col("start_time"), F.col("stop_time")
-    if span is not None:
-        start = F.greatest(start, F.to_timestamp_ntz(F.lit(span[0])))
-        stop = F.least(stop, F.to_timestamp_ntz(F.lit(span[1])))
+    start, stop = _bucket(F.col("start_time"), bucket_seconds), _bucket(F.col("stop_time"), bucket_seconds)
     spread = rentals.where(F.col("start_time") <= F.col("stop_time"))
     if span is not None:
-        spread = spread.where(start <= stop)
-    spread = spread.withColumn(
-        "_bucket", F.explode(F.sequence(_bucket(start, bucket_seconds), _bucket(stop, bucket_seconds))))
+        low, high = (_bucket(F.to_timestamp_ntz(F.lit(s)), bucket_seconds) for s in span)
+    elif pos.isStreaming:
+        low, high = start, stop
+    else:
+        spread = spread.join(F.broadcast(_days(pos, bucket_seconds)), F.lit(True))
+        low, high = F.col("_low"), F.col("_high")
+    first, last = F.greatest(start, low), F.least(stop, high)
+    spread = spread.where(first <= last).withColumn("_bucket", F.explode(F.sequence(first, last))).drop("_low", "_high")
     located = pos.withColumnsRenamed(S.POS_TO_MERGE).withColumn("_bucket", _bucket(F.col("server_time"), bucket_seconds))
     return located.join(spread, ["device_id", "_bucket"]).where(
         time_contained(F.col("server_time"), F.col("device_time"), F.col("start_time"), F.col("stop_time"))
@@ -87,8 +96,8 @@ def in_parts(df: DataFrame, keys: list[str], order: list[str], value: Column, na
              split: Column, part_rows: int = LIST_ROWS, position: str = "_at") -> DataFrame:
     """Group into ordered lists of at most ``part_rows`` entries: columns ``keys``, ``part``, ``name``.
 
-    A group that fits has the single part 0. A larger one continues in part 1, 2, ..., so no row of the result and no
-    aggregation buffer grows with the group.
+    ``part`` (0, 1, ...) belongs to the row key of every such table, at every size: a row holds one stretch of a group, so
+    neither a row nor an aggregation buffer grows with the group.
     """
     indexed = Ordered.open(df, keys, order, split).row_index(position).finish()
     listed = indexed.withColumn("part", F.floor(F.col(position) / part_rows).cast("long")).groupBy(*keys, "part").agg(

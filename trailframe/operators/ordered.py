@@ -9,7 +9,9 @@ positions that task becomes the whole job, so such keys are cut into consecutive
   split points exist in total, whatever the data size; they are fixed on the driver so that a recomputed task sees the
   same chunks.
 * Windows then partition by key and chunk, and what crosses a chunk border (the last row, the running total so far, the
-  group total) comes from a per-chunk aggregate, which has the same small bound and is broadcast.
+  group total) comes from a per-chunk aggregate, which has the same small bound and is broadcast. The chunked rows are
+  written before the first step and after every step, so the upstream is read twice (count, chunks) and each step reads
+  stored rows: once in full and once, narrowly, for its border table.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trailframe.session import materialize
+
 MIN_HOT_ROWS = 5_000_000
 SHARES = 4096
 _CHUNK, _HOT = "_chunk", "_hot"
@@ -95,7 +99,7 @@ class Ordered:
         )
         joined = joined.withColumn(_HOT, F.col("_points").isNotNull()).withColumn(
             _CHUNK, F.when(F.col(_HOT), search).otherwise(F.lit(0))).drop("_points")
-        return Ordered(joined, tuple(keys), tuple(order), True)
+        return Ordered(materialize(joined, "ordered"), tuple(keys), tuple(order), True)
 
     # -- helpers -----------------------------------------------------------
     @property
@@ -121,6 +125,10 @@ class Ordered:
     def with_df(self, df: DataFrame) -> "Ordered":
         return replace(self, df=df)
 
+    def _stored(self, df: DataFrame) -> "Ordered":
+        """After a chunked step the rows are written, so the next step's border table doesn't repeat this one's work."""
+        return self.with_df(materialize(df, "ordered"))
+
     def with_columns(self, columns: Mapping[str, Column]) -> "Ordered":
         return self.with_df(self.df.withColumns(dict(columns)))
 
@@ -142,7 +150,7 @@ class Ordered:
         out = out.withColumns({
             new: F.when(F.col("_first"), F.col(f"_carry.{new}")).otherwise(F.col(new)) for new in columns
         }).drop("_first", "_carry")
-        return self.with_df(out)
+        return self._stored(out)
 
     def running_sum(self, columns: Mapping[str, Column]) -> "Ordered":
         """Inclusive running totals in group order."""
@@ -158,7 +166,7 @@ class Ordered:
         out = out.withColumns({
             n: F.coalesce(F.col(n) + F.col(f"_o_{n}"), F.col(n), F.col(f"_o_{n}")) for n in columns
         }).drop(*[f"_o_{n}" for n in columns])
-        return self.with_df(out)
+        return self._stored(out)
 
     def row_index(self, name: str) -> "Ordered":
         """Zero-based position inside the group."""
@@ -176,7 +184,7 @@ class Ordered:
         out = out.withColumns({
             n: F.when(F.col(_HOT), F.col(f"_g_{n}")).otherwise(F.col(n)) for n in aggregates
         }).drop(*[f"_g_{n}" for n in aggregates])
-        return self.with_df(out)
+        return self._stored(out)
 
 
 def dense_index(keys: DataFrame, order: Sequence[str], name: str, split: Column) -> DataFrame:

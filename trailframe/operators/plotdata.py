@@ -99,8 +99,8 @@ def label_lines_3d(df: DataFrame, keys: Sequence[str], x: str, y: str, label: st
 
 
 def facet_lines(df: DataFrame, rentals: int | None = None, **kw) -> DataFrame:
-    """Lines per rental and segment, for the preview rentals (100 unless told otherwise)."""
-    shown = first_rentals(df, rentals, force=rentals is None)
+    """Lines per rental and segment, of all rentals or of the first so many."""
+    shown = first_rentals(df, rentals)
     return polylines(shown, ["rental_id", "timedelta_id"], "longitude", "latitude", **kw)
 
 

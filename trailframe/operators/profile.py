@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from trailframe.functions.columns import epoch_seconds
 from trailframe.operators.ordered import Ordered
+from trailframe.session import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -42,10 +43,10 @@ def exact_quantiles(values: DataFrame, keys: Sequence[str], probabilities: Seque
                     value: str = "value") -> DataFrame:
     """(keys, q, quantile): linear-interpolation quantiles without gathering a group.
 
-    Values are first counted (repeats collapse map-side), then a running count in value order locates the one or two
-    values each quantile lies between.
+    Values are first counted (repeats collapse map-side) and the counts written once; a running count in value order then
+    locates the one or two values each quantile lies between.
     """
-    counted = values.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_w"))
+    counted = materialize(values.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_w")), "value-counts")
     ordered = Ordered.open(counted, list(keys), [value], F.col(value)).running_sum({"_upto": F.col("_w")})
     ordered = ordered.group_total({"_n": F.sum("_w")})
     ranked = ordered.finish().withColumn("_from", F.col("_upto") - F.col("_w"))
@@ -70,14 +71,15 @@ def describe(df: DataFrame, names: Sequence[str] | None = None, by: Sequence[str
     names = profiled_columns(df) if names is None else list(names)
     names = [n for n in names if n not in by]
     times = [f.name for f in df.schema.fields if _is_time(f) and f.name in names]
-    values = long_values(df, names, by)
     keys = [*by, "column"]
-    moments = values.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    if times:
-        moments = moments.withColumn("std", F.when(~F.col("column").isin(times), F.col("std")))
-    quantiles = exact_quantiles(values, keys).groupBy(*keys).agg(*[
+    stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    numeric = df.select(*by, *[c.alias(f"v{i}") for i, c in enumerate(_numeric(df, names))])
+    wide = numeric.groupBy(*by).agg(*[f(f"v{i}").alias(f"{s}{i}") for i in range(len(names)) for s, f in stats.items()])
+    entry = lambda i, n: F.struct(F.lit(n).alias("column"), *[
+        (F.lit(None).cast("double") if s == "std" and n in times else F.col(f"{s}{i}")).alias(s) for s in stats])
+    moments = wide.select(*by, F.explode(F.array(*[entry(i, n) for i, n in enumerate(names)])).alias("_e")).select(
+        *by, "_e.*").where("count > 0")
+    quantiles = exact_quantiles(long_values(df, names, by), keys).groupBy(*keys).agg(*[
         F.max(F.when(F.col("q") == p, F.col("quantile"))).alias(f"q{int(p * 100)}") for p in QUARTILES])
     joined = moments.join(quantiles, keys)
     return joined.select(*keys, "count", "mean", "std", "min", "q25", "q50", "q75", "max")

@@ -2,63 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailframe.operators.cluster import LABEL, SEED, sample_rows
+from trailframe.operators.cluster import LABEL
 
-SILHOUETTE_SAMPLE = 20_000
+#: More clusters than this are refused: every row is compared with every cluster.
+MAX_CLUSTERS = 10_000
 
 
-def silhouette(df: DataFrame, features: Sequence[str], keys: Sequence[str], label: str = LABEL,
-               sample: int = SILHOUETTE_SAMPLE, seed: int = SEED) -> DataFrame:
-    """One row (points, silhouette): mean Euclidean silhouette of a reproducible sample.
+def silhouette(df: DataFrame, features: Sequence[str], label: str = LABEL) -> DataFrame:
+    """One row (points, silhouette): mean silhouette of all rows under squared Euclidean distance.
 
-    The sample is at most ``sample`` points whatever the table holds, so it can be shared with every task, which then
-    scores its own slice of the sample in blocks.
+    The mean squared distance of a row to a cluster follows from the cluster's mean and variance, so one aggregate per
+    cluster and one expression per row give the exact score in linear time. It is another metric than the plain
+    Euclidean silhouette, which needs all pairs. A row alone in its cluster scores 0, and so does a single cluster.
     """
-    picked = sample_rows(df.select(*keys, *features, label), keys, sample, seed).select(*features, label).persist()
-    local = picked.toPandas()
-    points = local[list(features)].to_numpy(dtype=float)
-    codes, groups = pd.factorize(local[label], sort=True)
-    member = np.zeros((len(points), len(groups)))
-    member[np.arange(len(points)), codes] = 1.0
-    names, sizes = list(features), member.sum(axis=0)
-    shared = df.sparkSession.sparkContext.broadcast((points, member, sizes, list(groups)))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        all_points, belongs, counts, ids = shared.value
-        for batch in batches:
-            x = batch[names].to_numpy(dtype=float)
-            own = np.array([ids.index(v) for v in batch[label]])
-            scores = np.empty(len(x))
-            for i in range(0, len(x), 256):
-                block, mine = x[i:i + 256], own[i:i + 256]
-                squared = np.zeros((len(block), len(all_points)))
-                for j in range(block.shape[1]):
-                    squared += np.square(block[:, j, None] - all_points[None, :, j])
-                totals = np.sqrt(squared) @ belongs
-                rows = np.arange(len(block))
-                size = counts[mine]
-                inner = totals[rows, mine] / np.maximum(size - 1, 1)
-                means = totals / counts
-                means[rows, mine] = np.inf
-                outer = means.min(axis=1)
-                best = np.maximum(inner, outer)
-                with np.errstate(invalid="ignore"):
-                    value = np.where((size == 1) | (best == 0), 0.0, (outer - inner) / np.where(best == 0, 1.0, best))
-                scores[i:i + 256] = value
-            yield pd.DataFrame({"s": scores})
-
-    if len(groups) < 2:
-        raise ValueError("a silhouette needs at least two clusters")
-    spread = picked.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    return spread.mapInPandas(score, "s double").agg(
-        F.count(F.lit(1)).alias("points"), F.avg("s").alias("silhouette"))
+    means = F.array(*[F.avg(f) for f in features])
+    spread = reduce(lambda t, f: t + F.var_pop(f), features, F.lit(0.0))
+    clusters = df.groupBy(F.col(label).alias("c")).agg(F.count(F.lit(1)).alias("n"), means.alias("m"), spread.alias("v"))
+    packed = clusters.agg(F.collect_list(F.struct("c", "n", "m", "v")).alias("_all"))
+    point = F.array(*[F.col(f).cast("double") for f in features])
+    gap = lambda e: F.aggregate(
+        F.zip_with(F.col("_x"), e["m"], lambda x, m: (x - m) * (x - m)), F.lit(0.0), lambda t, v: t + v) + e["v"]
+    every = F.when(F.size("_all") <= MAX_CLUSTERS, F.transform("_all", lambda e: F.struct(e["c"], e["n"], gap(e).alias("d"))))
+    rows = df.select(F.col(label).alias("_c"), point.alias("_x")).join(F.broadcast(packed), F.lit(True)).select(
+        "_c", F.coalesce(every, F.raise_error(F.lit(f"more than {MAX_CLUSTERS} clusters"))).alias("_d"))
+    own = F.filter("_d", lambda e: e["c"].eqNullSafe(F.col("_c")))[0]
+    other = F.array_min(F.transform(F.filter("_d", lambda e: ~e["c"].eqNullSafe(F.col("_c"))), lambda e: e["d"]))
+    scored = rows.select(own["n"].alias("n"), own["d"].alias("d"), other.alias("b")).withColumn(
+        "a", F.col("d") * F.col("n") / F.greatest(F.col("n") - 1, F.lit(1)))
+    most = F.greatest("a", "b")
+    score = F.when(F.col("b").isNull() | (F.col("n") == 1) | (most == 0), 0.0).otherwise((F.col("b") - F.col("a")) / most)
+    return scored.agg(F.count(F.lit(1)).alias("points"), F.avg(score).alias("silhouette"))
 
 
 def cluster_stats(df: DataFrame, features: Sequence[str], label: str = LABEL) -> DataFrame:
@@ -68,8 +47,7 @@ def cluster_stats(df: DataFrame, features: Sequence[str], label: str = LABEL) ->
         *[F.stddev_samp(f).alias(f"{f}_std") for f in features])
 
 
-def cluster_report(df: DataFrame, features: Sequence[str], keys: Sequence[str], scored: Sequence[str] | None = None,
-                   label: str = LABEL) -> DataFrame:
+def cluster_report(df: DataFrame, features: Sequence[str], scored: Sequence[str] | None = None, label: str = LABEL) -> DataFrame:
     """Cluster statistics with the overall silhouette (of the ``scored`` features) next to them."""
-    score = silhouette(df, scored or features, keys, label).select("silhouette")
+    score = silhouette(df, scored or features, label).select("silhouette")
     return cluster_stats(df, features, label).join(F.broadcast(score), F.lit(True))

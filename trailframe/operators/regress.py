@@ -14,7 +14,11 @@ from pyspark.sql import functions as F
 from trailframe.functions.columns import normal_quantile
 from trailframe.operators.ordered import Ordered
 
-LEARNING_RATE = 1e-5
+LEARNING_RATE = 0.05
+#: Largest relative change of a settled coefficient.
+SETTLED = 1e-13
+#: Ranks that one value gets at once.
+RANK_BLOCK = 65_536
 
 
 @dataclass(frozen=True)
@@ -28,7 +32,6 @@ class Fit:
     shift: tuple[float, ...]
     scale: tuple[float, ...]
     iterations: int = 0
-    converged: bool = True
 
     def scaled(self) -> list[Column]:
         return [(F.col(f) - F.lit(m)) / F.lit(s) for f, m, s in zip(self.features, self.shift, self.scale)]
@@ -95,40 +98,57 @@ def fit_exact(df: DataFrame, features: Sequence[str], target: str, preprocess: b
 
 
 def fit_gradient(df: DataFrame, features: Sequence[str], target: str, preprocess: bool = True,
-                 rate: float = LEARNING_RATE, seed: int = 42, max_iterations: int = 1_000_000) -> Fit:
-    """Full-batch gradient descent from a random start until the coefficients no longer change.
+                 rate: float = LEARNING_RATE, seed: int = 42, max_iterations: int = 100_000) -> Fit:
+    """Full-batch gradient descent on the mean squared error from a random start until the coefficients settle.
 
-    The gradient needs only X'X and X'y, so the data is read once. The fixed rate multiplies a sum over rows and would
-    diverge on large tables; it is lowered to the largest stable rate where needed.
+    The gradient needs only X'X and X'y, so the data is read once. It is a mean over rows, so a rate means the same on
+    every table size. Raises ``RuntimeError`` when the iterations don't settle (a rate too small or too large).
     """
     shift, scale = _scaling(df, features, preprocess, F.stddev_samp)
-    gram, cross, means, y, _ = _moments(df, features, target, shift, scale)
-    step = 2.0 * min(rate, 0.5 / float(np.linalg.eigvalsh(gram).max()))
+    gram, cross, means, y, n = _moments(df, features, target, shift, scale)
     theta = np.random.default_rng(seed).random(len(features))
-    iterations, converged = 0, False
-    while iterations < max_iterations and not converged:
-        moved = theta + step * (cross - gram @ theta)
-        iterations += 1
-        converged = bool((moved == theta).all())
+    for done in range(1, max_iterations + 1):
+        moved = theta + 2.0 * rate * (cross - gram @ theta) / n
+        change = float(np.abs(moved - theta).max())
         theta = moved
-    return Fit(tuple(features), target, tuple(map(float, theta)), float(y - theta @ means), shift, scale,
-               iterations, converged)
+        if not change < 1e100:
+            break
+        if change <= SETTLED * max(1.0, float(np.abs(theta).max())):
+            return Fit(tuple(features), target, tuple(map(float, theta)), float(y - theta @ means), shift, scale, done)
+    raise RuntimeError(f"gradient descent did not settle at rate {rate} within {max_iterations} iterations")
 
 
 def coefficient_importance(fit: Fit, spark) -> DataFrame:
-    """(kind, number, feature, coefficient) of the extreme coefficients; numbers start at 1."""
-    c = np.array(fit.coefficients)
-    picks = [("min_positive", int(np.argmin(np.where(c > 0, c, np.inf)))), ("max_positive", int(np.argmax(c))),
-             ("min_absolute", int(np.argmin(np.abs(c)))), ("max_absolute", int(np.argmax(np.abs(c))))]
-    return spark.createDataFrame([(k, i + 1, fit.features[i], float(c[i])) for k, i in picks],
-                                 "kind string, number int, feature string, coefficient double")
-
-
-def probability_points(df: DataFrame, name: str, order: Sequence[str] = ()) -> DataFrame:
-    """(rank, theoretical, ordered): normal probability plot with Filliben's order-statistic medians."""
-    ordered = Ordered.open(df.select(name, *[o for o in order if o != name]), [], [name, *order], F.col(name))
-    ranked = ordered.running_sum({"rank": F.lit(1)}).finish()
-    counted = ranked.join(F.broadcast(df.agg(F.count(name).alias("_n"))), F.lit(True))
+    """(kind, number, feature, coefficient) of the extreme coefficients; numbers start at 1, the first of equal ones wins.
+
+    The two positive kinds have no row when no coefficient is positive.
+    """
+    rows = [(i, f, float(c)) for i, (f, c) in enumerate(zip(fit.features, fit.coefficients), start=1)]
+    table = spark.createDataFrame(rows, "number int, feature string, coefficient double")
+    c, entry = F.col("coefficient"), F.struct("number", "feature", "coefficient")
+    rank = lambda value: F.struct(value.alias("v"), F.col("number"))
+    kinds = {
+        "min_positive": F.when(c > 0, rank(c)), "max_positive": F.when(c > 0, rank(-c)),
+        "min_absolute": rank(F.abs(c)), "max_absolute": rank(-F.abs(c)),
+    }
+    best = table.agg(*[F.min_by(entry, by).alias(kind) for kind, by in kinds.items()])
+    entries = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("e")) for kind in kinds])
+    return best.select(F.explode(entries).alias("x")).where("x.e IS NOT NULL").select("x.kind", "x.e.*")
+
+
+def probability_points(df: DataFrame, name: str) -> DataFrame:
+    """(rank, theoretical, ordered): normal probability plot with Filliben's order-statistic medians.
+
+    Repeated values are counted first and get their range of ranks in blocks, so neither a frequent value nor the whole
+    column is ordered in one task. Nulls have no rank.
+    """
+    counted = df.where(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("_w"))
+    ranked = Ordered.open(counted, [], [name], F.col(name)).running_sum({"_upto": F.col("_w")}).finish()
+    total = ranked.agg(F.max("_upto").alias("_n"))
+    start = F.explode(F.sequence(F.col("_upto") - F.col("_w") + 1, F.col("_upto"), F.lit(RANK_BLOCK).cast("long"))).alias("_from")
+    blocks = ranked.select(name, "_upto", start).repartition(F.col("_from"))
+    each = blocks.select(name, F.explode(F.sequence("_from", F.least(F.col("_upto"), F.col("_from") + RANK_BLOCK - 1))).alias("rank"))
+    counted = each.join(F.broadcast(total), F.lit(True))
     n, i = F.col("_n"), F.col("rank")
     edge = F.pow(F.lit(0.5), 1.0 / n)
     median = F.when(i == n, edge).when(i == 1, 1.0 - edge).otherwise((i - 0.3175) / (n + 0.365))

@@ -94,9 +94,11 @@ def timedelta(pos_gen: DataFrame, threshold: int | float | str | None = None, mo
 def renumber_segments(df: DataFrame) -> DataFrame:
     """Replace the per-rental ``timedelta_id`` by one dense number over all rentals, in (rental, segment) order.
 
-    Only the distinct (rental, segment) pairs are numbered; the rows get their number by a key join.
+    Only the distinct (rental, segment) pairs are numbered; the rows get their number by a key join. Rows without a
+    segment stay and keep none.
     """
-    pairs = df.select("rental_id", "timedelta_id").distinct()
-    numbered = dense_index(pairs, ["rental_id", "timedelta_id"], "_segment", F.col("rental_id"))
-    return df.join(numbered, ["rental_id", "timedelta_id"]).withColumn(
-        "timedelta_id", F.col("_segment").cast("long")).select(*df.columns)
+    pairs = df.select("rental_id", "timedelta_id").where("timedelta_id IS NOT NULL").distinct()
+    numbered = dense_index(pairs, ["rental_id", "timedelta_id"], "_segment", F.col("rental_id")).select(
+        F.col("rental_id").alias("_r"), F.col("timedelta_id").alias("_t"), "_segment")
+    same = F.col("rental_id").eqNullSafe(F.col("_r")) & (F.col("timedelta_id") == F.col("_t"))
+    return df.join(numbered, same, "left").withColumn("timedelta_id", F.col("_segment").cast("long")).select(*df.columns)

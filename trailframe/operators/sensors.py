@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,18 +13,13 @@ def trial_is_long(trial: Column) -> Column:
     return F.when(trial.between(*S.LONG_TRIALS), True).when(trial.between(*S.SHORT_TRIALS), False)
 
 
-def select_subjects(trials: DataFrame, mask: Sequence[int] | None = None) -> DataFrame:
-    """Keep one subject per trial: ``mask[i]`` is the subject of the i-th trial in (type, number) order.
+def select_subjects(trials: DataFrame, mask: DataFrame) -> DataFrame:
+    """Keep the chosen subjects of each trial; ``mask`` holds (trial type, trial number, subject) in the trials' names.
 
-    Without a mask of the right length no subject matches, so nothing is kept. Needs ``trial number``.
+    Trials that the mask doesn't name are dropped.
     """
-    if mask is None or len(mask) != S.TRIAL_COUNT:
-        mask = [0] * S.TRIAL_COUNT
-    known = trials.select(S.TRIAL_TYPE, "trial number").distinct().orderBy(S.TRIAL_TYPE, "trial number").limit(len(mask))
-    chosen = [(r[0], r[1], int(s)) for r, s in zip(known.collect(), mask)]
-    table = trials.sparkSession.createDataFrame(
-        chosen, f"`{S.TRIAL_TYPE}` string, `trial number` int, `{S.TRIAL_SUBJECT}` int")
-    return trials.join(F.broadcast(table), [S.TRIAL_TYPE, "trial number", S.TRIAL_SUBJECT], "left_semi").select(*[
+    keys = [S.TRIAL_TYPE, "trial number", S.TRIAL_SUBJECT]
+    return trials.join(mask.select(*[F.col(f"`{k}`") for k in keys]), keys, "left_semi").select(*[
         F.col(f"`{c}`") for c in trials.columns])
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -72,10 +73,22 @@ def group_moments(pos: DataFrame, keys: list[str]) -> DataFrame:
 def attach(df: DataFrame, groups: DataFrame, keys: list[str], columns: Sequence[str]) -> DataFrame:
     """Write per-group columns back to every row of the group.
 
-    The row side may be split by adaptive skew handling, the group side has one row per key.
+    The row side may be split by adaptive skew handling, the group side has one row per key. Null keys match each other.
     """
-    side = groups.select(*keys, *columns)
-    return df.drop(*columns).join(side, keys).select(*df.columns)
+    return _by_key(df.drop(*columns), groups.select(*keys, *columns), keys).select(*df.columns)
+
+
+def _by_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys that may be null."""
+    other = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    match = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    return left.join(other, match).drop(*[f"_key_{k}" for k in keys])
+
+
+def _split(groups: DataFrame, measures: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Groups that have all measures, and the ones without (all or their end coordinates null), which get id 0."""
+    known = reduce(lambda t, n: t & F.col(n).isNotNull(), measures, F.lit(True))
+    return groups.where(known), groups.where(~known)
 
 
 @dataclass(frozen=True)
@@ -105,8 +118,8 @@ class _Ledger:
     execution off, which saves a planning step per job.
     """
 
-    def __init__(self, groups: DataFrame, keys: list[str], name: str, max_rounds: int | None):
-        self.keys, self.name, self.max_rounds = keys, name, max_rounds
+    def __init__(self, groups: DataFrame, keys: list[str], name: str):
+        self.keys, self.name = keys, name
         self.session = groups.sparkSession.newSession()
         for key, value in groups.sparkSession.conf.getAll.items():
             if key.startswith("spark.sql.") and self.session.conf.isModifiable(key):
@@ -123,9 +136,6 @@ class _Ledger:
         df.write.parquet(path)
         return self.session.read.schema(df.schema).parquet(path)
 
-    def exhausted(self, boxes: Sequence[_Box]) -> bool:
-        return self.max_rounds is not None and self.next_id + len(boxes) > self.max_rounds
-
     def vote(self, where: str, by: Sequence[str], measures: Sequence[str]) -> tuple[Row, Row | None]:
         """Of the rows under ``where``: count, deviations, and the row nearest (L1) to their mean in ``by``."""
         voters = self.rows.where(where)
@@ -151,13 +161,10 @@ class _Ledger:
         self.next_id += len(boxes)
 
     def result(self, spark: SparkSession) -> DataFrame:
-        """(keys, id); groups left over by a round limit get 0."""
+        """(keys, id) of every group that took part."""
         rest = self.left.select(*self.keys, F.lit(0).cast("long").alias(self.name))
-        if self.wrote:
-            if not rest.isEmpty():
-                rest.write.mode("append").parquet(self.done_path)
-            return spark.read.schema(rest.schema).parquet(self.done_path)
-        rest.write.parquet(self.done_path)
+        if not self.wrote:
+            rest.write.parquet(self.done_path)
         return spark.read.schema(rest.schema).parquet(self.done_path)
 
 
@@ -171,20 +178,25 @@ def _deltas(fixed: float | None, stats: Row, names: Sequence[str], factor: float
     return tuple(float(stats[f"std_{n}"] or 0.0) * factor for n in names)
 
 
-def spread_ids(pos: DataFrame, keys: list[str], delta: float | None = None,
-               max_rounds: int | None = None) -> DataFrame:
+def _with_ids(groups: DataFrame, missing: DataFrame, ids: DataFrame, keys: list[str], name: str,
+              columns: Sequence[str]) -> DataFrame:
+    """(keys, columns, id), with id 0 for groups without measures."""
+    out = _by_key(groups.select(*keys, *columns), ids, keys).select(*keys, *columns, name)
+    return out.unionByName(missing.select(*keys, *columns, F.lit(0).cast("long").alias(name)))
+
+
+def spread_ids(pos: DataFrame, keys: list[str], delta: float | None = None) -> DataFrame:
     """(keys, spreads, spreaddelta_id): each round is centred on the group nearest to the mean spread.
 
     The box half-width is ``delta``, or a quarter of the standard deviation of the groups still without an id.
     """
-    groups = materialize(group_spread(pos, keys), "spreads")
-    ledger = _Ledger(groups, keys, "spreaddelta_id", max_rounds)
+    groups, missing = _split(materialize(group_spread(pos, keys), "spreads"), S.SPREADS)
+    ledger = _Ledger(groups, keys, "spreaddelta_id")
     finished = False
     while not finished:
         boxes: list[_Box] = []
         while len(boxes) < BATCH_ROUNDS:
-            stats, best = (None, None) if ledger.exhausted(boxes) else ledger.vote(
-                _uncovered(boxes), S.SPREADS, S.SPREADS)
+            stats, best = ledger.vote(_uncovered(boxes), S.SPREADS, S.SPREADS)
             if best is None:
                 finished = True
                 break
@@ -192,7 +204,7 @@ def spread_ids(pos: DataFrame, keys: list[str], delta: float | None = None,
                               _deltas(delta, stats, S.SPREADS, 0.25)))
         if boxes:
             ledger.settle(boxes)
-    return groups.join(ledger.result(pos.sparkSession), keys)
+    return _with_ids(groups, missing, ledger.result(pos.sparkSession), keys, "spreaddelta_id", S.SPREADS)
 
 
 def _clustered(df: DataFrame) -> DataFrame:
@@ -203,17 +215,23 @@ def _clustered(df: DataFrame) -> DataFrame:
 
 
 def _first_copy(pos_gen: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows that agree in everything but the group key count once, for the smallest key."""
-    rest = [c for c in pos_gen.columns if c not in keys]
-    return pos_gen.groupBy(*rest).agg(F.min(F.struct(*keys)).alias("_key")).select(
-        *[F.col(f"_key.{k}").alias(k) for k in keys], *rest)
+    """Rows that agree in everything but the group key count once, for the smallest key.
+
+    They are recognised by two 64-bit hashes of the row and its id, so only the columns that vote are shuffled.
+    """
+    rest = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in pos_gen.columns if c not in keys]
+    marks = [F.xxhash64(*rest).alias("_h1"), F.xxhash64(F.lit(1), *rest).alias("_h2")]
+    voting = ["latitude", "longitude", *[c for c in S.EDGES if c in pos_gen.columns]]
+    return pos_gen.groupBy("id", *marks).agg(
+        F.min(F.struct(*keys)).alias("_key"), *[F.first(c).alias(c) for c in voting]).select(
+        *[F.col(f"_key.{k}").alias(k) for k in keys], *voting)
 
 
 def _box_rounds(groups: DataFrame, positions: DataFrame, keys: list[str], name: str, edge_delta: float | None,
-                spread_delta: float | None, with_spread: bool, seed: int, max_rounds: int | None) -> DataFrame:
+                spread_delta: float | None, with_spread: bool, seed: int) -> DataFrame:
     measures = [*S.EDGES, *S.SPREADS] if with_spread else list(S.EDGES)
     ordered = groups.withColumn("_order", hash_order(*[F.col(k) for k in keys], seed=seed))
-    ledger = _Ledger(ordered, keys, name, max_rounds)
+    ledger = _Ledger(ordered, keys, name)
     ledger.rows = ledger.stored(_clustered(positions.select(*keys, "latitude", "longitude", *measures)))
 
     def box_for(start: Row, boxes: Sequence[_Box]) -> _Box:
@@ -238,8 +256,7 @@ def _box_rounds(groups: DataFrame, positions: DataFrame, keys: list[str], name:
             continue
         boxes: list[_Box] = []
         for row in head:
-            finished = ledger.exhausted(boxes)
-            if finished or len(boxes) == BATCH_ROUNDS:
+            if len(boxes) == BATCH_ROUNDS:
                 break
             last = row["_order"]
             if not any(box.covers(row) for box in boxes):
@@ -249,46 +266,43 @@ def _box_rounds(groups: DataFrame, positions: DataFrame, keys: list[str], name:
     return ledger.result(groups.sparkSession)
 
 
-def edge_ids(pos_gen: DataFrame, keys: list[str], delta: float | None = None, seed: int = 42,
-             max_rounds: int | None = None) -> DataFrame:
+def edge_ids(pos_gen: DataFrame, keys: list[str], delta: float | None = None, seed: int = 42) -> DataFrame:
     """(keys, edges, edgedelta_id): each round starts from a pseudo-random open group.
 
     Positions of open groups within two standard deviations of that group's mean position vote, one vote per position,
     for a mean edge; the nearest group's edge is the centre. The half-width is ``delta`` or twice the voters' edge
-    standard deviation. In the first round a group of a single row is not picked while a longer one exists.
+    standard deviation. In the first round a group of a single row is not picked while a longer one exists. Groups whose
+    first or last coordinate is null get id 0.
     """
-    edges = group_edges(pos_gen, keys)
-    groups = materialize(edges.join(group_moments(pos_gen, keys), keys), "edges")
-    rows = _first_copy(attach(pos_gen, groups, keys, S.EDGES), keys)
-    ids = _box_rounds(groups, rows, keys, "edgedelta_id", delta, None, False, seed, max_rounds)
-    return groups.select(*keys, *S.EDGES).join(ids, keys)
+    edges = materialize(_by_key(group_edges(pos_gen, keys), group_moments(pos_gen, keys), keys), "edges")
+    groups, missing = _split(edges, [*S.EDGES, "mean_latitude", "mean_longitude"])
+    rows = _first_copy(_by_key(pos_gen.drop(*S.EDGES), groups.select(*keys, *S.EDGES), keys).select(*pos_gen.columns), keys)
+    ids = _box_rounds(groups, rows, keys, "edgedelta_id", delta, None, False, seed)
+    return _with_ids(groups, missing, ids, keys, "edgedelta_id", S.EDGES)
 
 
 def coord_ids(pos_gen: DataFrame, keys: list[str], spread_delta: float | None = None, edge_delta: float | None = None,
-              seed: int = 42, max_rounds: int | None = None) -> DataFrame:
+              seed: int = 42) -> DataFrame:
     """(keys, coorddelta_id): like ``edge_ids``, but a group must also lie in a spread box around the centre group."""
     extent = pos_gen.groupBy(*keys).agg(*_spread_aggregates(), *_edge_aggregates())
-    groups = materialize(_unpack_edges(extent).join(group_moments(pos_gen, keys), keys), "coords")
+    extent = materialize(_by_key(_unpack_edges(extent), group_moments(pos_gen, keys), keys), "coords")
+    groups, missing = _split(extent, [*S.EDGES, *S.SPREADS, "mean_latitude", "mean_longitude"])
     rows = attach(pos_gen, groups, keys, [*S.EDGES, *S.SPREADS])
-    return _box_rounds(groups, rows, keys, "coorddelta_id", edge_delta, spread_delta, True, seed, max_rounds)
+    ids = _box_rounds(groups, rows, keys, "coorddelta_id", edge_delta, spread_delta, True, seed)
+    return _with_ids(groups, missing, ids, keys, "coorddelta_id", [])
 
 
-def spreaddelta(pos_gen: DataFrame, keys: list[str], delta: float | None = None,
-                max_rounds: int | None = None) -> DataFrame:
-    ids = spread_ids(pos_gen, keys, delta, max_rounds)
-    return attach(pos_gen, ids, keys, [*S.SPREADS, "spreaddelta_id"])
+def spreaddelta(pos_gen: DataFrame, keys: list[str], delta: float | None = None) -> DataFrame:
+    return attach(pos_gen, spread_ids(pos_gen, keys, delta), keys, [*S.SPREADS, "spreaddelta_id"])
 
 
-def edgedelta(pos_gen: DataFrame, keys: list[str], delta: float | None = None, seed: int = 42,
-              max_rounds: int | None = None) -> DataFrame:
-    ids = edge_ids(pos_gen, keys, delta, seed, max_rounds)
-    return attach(pos_gen, ids, keys, [*S.EDGES, "edgedelta_id"])
+def edgedelta(pos_gen: DataFrame, keys: list[str], delta: float | None = None, seed: int = 42) -> DataFrame:
+    return attach(pos_gen, edge_ids(pos_gen, keys, delta, seed), keys, [*S.EDGES, "edgedelta_id"])
 
 
 def coorddelta(pos_gen: DataFrame, keys: list[str], spread_delta: float | None = None,
-               edge_delta: float | None = None, seed: int = 42, max_rounds: int | None = None) -> DataFrame:
-    ids = coord_ids(pos_gen, keys, spread_delta, edge_delta, seed, max_rounds)
-    return attach(pos_gen, ids, keys, ["coorddelta_id"])
+               edge_delta: float | None = None, seed: int = 42) -> DataFrame:
+    return attach(pos_gen, coord_ids(pos_gen, keys, spread_delta, edge_delta, seed), keys, ["coorddelta_id"])
 
 
 def extents(pos_gen: DataFrame, keys: list[str]) -> DataFrame:

@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailframe import schemas as S
-from trailframe.operators import behavior, cluster, enrich, latent, plotdata, prep, profile, regions, segments, similar
+from trailframe.operators import behavior, cluster, enrich, plotdata, prep, profile, regions, segments, similar
 from trailframe.session import materialize
 
 
 @dataclass(frozen=True)
 class Options:
-    """Settings of a run; every step is off unless asked for."""
+    """Settings of a run. The heuristics are on, every other step is off unless asked for.
+
+    Clustering with mean shift needs ``bandwidth``.
+    """
 
     group_on_timedelta: bool = True
     heuristic: bool = True
@@ -23,9 +26,9 @@ class Options:
     spreaddelta: float | None = None
     edgedelta: float | None = None
     seed: int = 42
-    max_rounds: int | None = None
     clustering: bool = False
     n_clusters: int | None = None
+    bandwidth: float | None = None
     elbow_all: tuple[int, int] = (1, 20)
     elbow_region: tuple[int, int] = (1, 30)
     with_pca: bool = False
@@ -38,12 +41,6 @@ class Options:
     behavior: bool = False
     window_width: int = S.WINDOW_WIDTH
     window_offset: int | None = None
-    latent: bool = False
-    on_behavior: bool = False
-    decoder: str | None = None
-    epochs: int = 10
-    latent_dim: int = 2
-    dl_rows: int | None = None
     profiles: bool = False
     rentals_to_analyze: int | None = None
 
@@ -61,10 +58,10 @@ class Options:
 def heuristics(pos_gen: DataFrame, options: Options) -> DataFrame:
     """Segmentation, then the three groupings, each on the stored result of the one before."""
     out = materialize(segments.timedelta(pos_gen, options.timedelta, options.timedelta_mode), "timedelta")
-    out = materialize(similar.spreaddelta(out, options.keys, options.spreaddelta, options.max_rounds), "spreaddelta")
-    out = materialize(similar.edgedelta(out, options.keys, options.edgedelta, options.seed, options.max_rounds), "edgedelta")
-    return materialize(similar.coorddelta(out, options.keys, options.spreaddelta, options.edgedelta, options.seed,
-                                          options.max_rounds), "coorddelta")
+    out = materialize(similar.spreaddelta(out, options.keys, options.spreaddelta), "spreaddelta")
+    out = materialize(similar.edgedelta(out, options.keys, options.edgedelta, options.seed), "edgedelta")
+    return materialize(similar.coorddelta(out, options.keys, options.spreaddelta, options.edgedelta, options.seed),
+                       "coorddelta")
 
 
 def generate(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -78,14 +75,15 @@ def generate(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def _elbows(prepared: DataFrame, options: Options) -> DataFrame:
+def elbows(prepared: DataFrame, options: Options, columns: list[str] = S.CLUSTERING_COLS) -> DataFrame:
+    """(scope, k, wcss) for all rows and for every region."""
     located = regions.with_region(prepared, options.only_north)
     names = [r["region"] for r in located.select("region").distinct().orderBy("region").collect()]
     scopes = [("all", prepared, range(*options.elbow_all))]
     scopes += [(n, located.where(F.col("region") == n), range(*options.elbow_region)) for n in names]
     out = None
     for scope, frame, ks in scopes:
-        scaled, features = prep.preprocess(frame, S.CLUSTERING_COLS, **options.scaling)
+        scaled, features = prep.preprocess(frame, columns, **options.scaling)
         rows = cluster.elbow(scaled, features, ks, options.seed).select(F.lit(scope).alias("scope"), "k", "wcss")
         out = rows if out is None else out.unionByName(rows)
     return out
@@ -102,41 +100,24 @@ def run(spark: SparkSession, tables: dict[str, DataFrame], options: Options = Op
         out["pos"] = heuristics(out["pos"], options)
     if options.clustering:
         prepared = materialize(prep.prepare(out["merge"], out["pos"]), "prepared")
+        if profile.any_null(prepared, S.CLUSTERING_COLS).first()[0]:
+            raise ValueError("clustering needs the heuristic columns of every row: run with heuristic=True or pass generated tables")
         if options.n_clusters is None:
-            out["elbow"] = _elbows(prepared, options)
+            out["elbow"] = elbows(prepared, options)
         else:
             methods = S.EXAM_METHODS if options.exam else S.CLUSTER_METHODS
             out["clusters"] = cluster.cluster_scopes(
                 prepared, options.n_clusters, methods=methods, only_north=options.exam or options.only_north,
-                include_all=not options.exam, seed=options.seed, **options.scaling)
+                include_all=not options.exam, seed=options.seed, bandwidth=options.bandwidth, **options.scaling)
             out["clusters"] = materialize(out["clusters"], "clusters")
             out["cluster_summary"] = plotdata.cluster_summary(prepared, out["clusters"], S.CLUSTERING_COLS)
             out["cluster_lines"] = plotdata.cluster_lines(prepared, out["clusters"], keys, options.rentals_to_analyze)
             if any(m.endswith("agglomerative") for m in methods):
                 scaled, features = prep.preprocess(prepared, S.CLUSTERING_COLS, **options.scaling)
                 out["linkage"] = cluster.linkage_table(scaled, features, "ward", seed=options.seed)
-    if options.behavior or options.on_behavior:
+    if options.behavior:
         out["moving_behavior_feature"] = behavior.behavior_features(
             out["pos"], keys, options.window_width, options.window_offset)
-    if options.latent:
-        located = regions.filter_positions(out["pos"])
-        if options.on_behavior:
-            source, features = out["moving_behavior_feature"], S.BEHAVIOR_FEATURES
-            order, split = [S.BEHAVIOR_WINDOW_ID], F.col(S.BEHAVIOR_WINDOW_ID)
-        else:
-            source, features = located, ["latitude", "longitude"]
-            order, split = ["server_time", "device_time", "id"], None
-        source = regions.first_rows(source, options.dl_rows, [*keys, *order])
-        decoders = latent.DECODERS if options.decoder is None else (options.decoder,)
-        for decoder in decoders:
-            codes = materialize(latent.latent_codes(
-                source, keys, features, latent=options.latent_dim, decoder=decoder, epochs=options.epochs,
-                seed=options.seed, order=order, split=split), "codes")
-            labelled = latent.latent_clusters(codes, options.n_clusters or 5, options.with_normalization, options.seed)
-            out[f"latent_{decoder}"] = labelled
-            if not options.on_behavior:
-                out[f"latent_positions_{decoder}"] = regions.with_region(
-                    latent.label_positions(source, labelled, keys), options.exam or options.only_north)
     if options.profiles:
         out["profile"] = profile.describe(out["pos"])
         out["region_profile"] = profile.region_summary(regions.with_region(out["pos"], options.only_north))

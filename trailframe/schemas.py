@@ -38,7 +38,7 @@ MERGE = _schema(
     ("pos_id", _L), ("latitude", _D), ("longitude", _D), ("speed", _D),
     ("server_time", _TS), ("device_time", _TS),
 )
-DATASET = _schema(*_RENTAL_ATTRIBUTES, ("rental_positions", T.ArrayType(_L)))
+DATASET = _schema(*_RENTAL_ATTRIBUTES, ("rental_positions", T.ArrayType(_L)), ("part", _L))
 POS_GEN = _schema(
     ("id", _L), ("rental_id", _L), ("timedelta_id", _L), ("spreaddelta_id", _L), ("edgedelta_id", _L),
     ("coorddelta_id", _L), ("latitude", _D), ("longitude", _D), ("spread_latitude", _D), ("spread_longitude", _D),
@@ -93,15 +93,11 @@ GENERATED_FILES = {
 }
 
 SENSOR_COLS = [
-    f"{group}.{axis}"
-    for group, axes in (
-        ("attitude", ("roll", "pitch", "yaw")), ("gravity", ("x", "y", "z")),
-        ("rotationRate", ("x", "y", "z")), ("userAcceleration", ("x", "y", "z")),
-    )
-    for axis in axes
+    "attitude.roll", "attitude.pitch", "attitude.yaw", "gravity.x", "gravity.y", "gravity.z",
+    "rotationRate.x", "rotationRate.y", "rotationRate.z", "userAcceleration.x", "userAcceleration.y", "userAcceleration.z",
 ]
 TRIAL_LONG, TRIAL_SUBJECT, TRIAL_TYPE = "is long", "subject", "trial type"
-LONG_TRIALS, SHORT_TRIALS, TRIAL_COUNT = (1, 9), (11, 16), 15
+LONG_TRIALS, SHORT_TRIALS = (1, 9), (11, 16)
 # ---------------------------------------------------------------------------
 
 
