@@ -1,9 +1,13 @@
 import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
+from trailframe.operators import behavior, segments
 from trailframe.operators.ordered import Ordered, dense_index, hot_key_rows
 from trailframe.operators.profile import exact_quantiles
+from trailframe.session import materialize
 
 
 def _frame(spark, seed=1):
@@ -45,6 +49,23 @@ def test_hot_keys_are_chunked_and_equal(spark, hot):
     _same(out, _expected(df))
 
 
+def _work(plan):
+    """Nodes of the last plan of a frame that ran."""
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    return {name: len(re.findall(rf"[ *+:-]{name}[ (]", text)) for name in ("Window", "Sort", "FileScan", "Scan")}
+
+
+@pytest.mark.parametrize("operator", [segments.timedelta, lambda df: behavior.movement_steps(df, ["rental_id"])])
+def test_hot_plans_do_not_double(spark, track, hot, operator):
+    """With hot keys every step reads stored rows: no plan holds more than one step's windows and scans."""
+    df = materialize(track([(0 if i % 2 else i % 5, 10 * i, 44 + i / 1e4, 12 - i / 1e4) for i in range(200)]), "hot")
+    chunked = operator(df)
+    work = _work(chunked)
+    assert work["Window"] <= 3 and work["FileScan"] <= 3
+    spark.conf.unset("trailframe.hot.minRows")
+    assert sorted(map(str, chunked.collect())) == sorted(map(str, operator(df).collect()))
+
+
 def test_hot_chunks_are_bounded(spark, hot):
     ordered = Ordered.open(spark.range(400).select(F.lit(1).alias("k"), "id"), ["k"], ["id"], F.col("id"))
     sizes = [r["count"] for r in ordered.df.groupBy("_chunk").count().collect()]
