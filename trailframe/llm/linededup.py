@@ -136,8 +136,8 @@ def spans(docs: DataFrame) -> DataFrame:
     context = (sources.join(anchors, "d").select("d", "units", F.explode("list").alias("x")).select("d", "units", "x.*")
                .select("gram", "d", "p", F.slice("units", low + 1, F.col("p") - low).alias("left"),
                        F.slice("units", F.col("p") + F.col("n") + 1, F.lit(WINDOW_WORDS)).alias("right")))
-    context = context.groupBy("gram").agg(F.first("d").alias("d"), F.first("p").alias("p"), F.first("left").alias("left"),
-                                          F.first("right").alias("right"))
+    context = materialize(context.groupBy("gram").agg(  # written, so that a skewed gram can be split in the join below
+        F.first("d").alias("d"), F.first("p").alias("p"), F.first("left").alias("left"), F.first("right").alias("right")), "winnow-context")
     later = each.filter("doc_id is not null").join(context, "gram").filter("doc_id <> d or at <> p")
     matches = later.groupBy("doc_id").agg(F.collect_list(F.struct("at", "size", "left", "right")).alias("matches"))
     return scanned.select("doc_id", "units").join(matches, "doc_id").mapInPandas(
