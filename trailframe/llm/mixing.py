@@ -38,6 +38,8 @@ DEFAULT_WEIGHT = 0.05
 BUCKET_ROWS = 4096
 TREE = ("domain", "lang", "source")
 LEAF = "__leaf"
+#: Leaf tables of at most so many rows (under 30 MB) are broadcast; larger ones are joined by a shuffle.
+BROADCAST_LEAVES = 200_000
 
 
 def domain_of(source: Column) -> Column:
@@ -94,17 +96,23 @@ def order_key(epoch: Column, doc_id: Column, seed: int) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
 
 
-def plan(counted: DataFrame, fraction: float, max_epochs: int, seed: int) -> DataFrame:
-    """One row per leaf: whole epochs and, for the partial one, the last order key taken (null: none)."""
+def at_leaves(rows: DataFrame, leaves: DataFrame, known: int) -> DataFrame:
+    """``rows`` joined to the leaf table of ``known`` rows, without dealing them by leaf while that table is small."""
+    return rows.join(F.broadcast(leaves) if known <= BROADCAST_LEAVES else leaves, LEAF)
+
+
+def plan(counted: DataFrame, fraction: float, max_epochs: int, seed: int) -> tuple[DataFrame, int]:
+    """One row per leaf: whole epochs and, for the partial one, the last order key taken (null: none); and their number."""
     sums = counted.groupBy(*TREE).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
     sums = materialize(sums, "mix-leaves")
-    largest = sums.agg(F.max("rows")).first()[0] or 1
+    largest, known = sums.agg(F.max("rows"), F.count(F.lit(1))).first()
+    largest = largest or 1
     digits = max(1, math.ceil(math.log(max(largest / BUCKET_ROWS, 1), 16)))
     made = budgets(sums.filter(F.col("tokens") > 0).select(*TREE, "tokens"), fraction, max_epochs)
     leaves = materialize(
         made.select(leaf_key().alias(LEAF), "budget", F.floor(F.col("budget") / F.col("tokens")).cast("int").alias("epochs"),
                     (F.col("budget") % F.col("tokens")).alias("rest")), "mix-budgets")
-    keyed = counted.join(leaves.filter(F.col("rest") > 0), LEAF).select(
+    keyed = at_leaves(counted, leaves.filter(F.col("rest") > 0), known).select(
         LEAF, "n_tokens", "rest", order_key(F.col("epochs"), F.col("doc_id"), seed).alias("key"))
     keyed = keyed.withColumn("bucket", F.substring("key", 1, digits))
     buckets = keyed.groupBy(LEAF, "bucket").agg(F.sum("n_tokens").alias("tokens"), F.first("rest").alias("rest"))
@@ -112,17 +120,18 @@ def plan(counted: DataFrame, fraction: float, max_epochs: int, seed: int) -> Dat
     cut = (buckets.withColumn("upto", running).filter((F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("tokens") < F.col("rest")))
            .groupBy(LEAF).agg(F.min_by("bucket", "bucket").alias("bucket"),
                               F.min_by(F.col("upto") - F.col("tokens"), F.col("bucket")).alias("before")))
+    cut = F.broadcast(cut) if known <= BROADCAST_LEAVES else cut  # one row a leaf
     inside = keyed.join(cut, [LEAF, "bucket"]).withColumn(
         "upto", F.col("before") + F.sum("n_tokens").over(W.partitionBy(LEAF).orderBy("key")))
     last = inside.filter(F.col("upto") >= F.col("rest")).groupBy(LEAF).agg(F.min("key").alias("cut_key"))
-    return leaves.select(LEAF, "epochs").join(last, LEAF, "left")
+    return materialize(leaves.select(LEAF, "epochs").join(last, LEAF, "left"), "mix-plan"), known
 
 
-def select(rows: DataFrame, leaves: DataFrame, seed: int) -> DataFrame:
+def select(rows: DataFrame, leaves: DataFrame, known: int, seed: int) -> DataFrame:
     """``rows`` (with doc_id and the leaf key) once per epoch that takes them, with column ``__epoch``."""
     partial = F.col("cut_key").isNotNull() & (order_key(F.col("epochs"), F.col("doc_id"), seed) <= F.col("cut_key"))
     times = F.col("epochs") + F.when(partial, 1).otherwise(0)
-    return (rows.join(leaves, LEAF).withColumn("__times", times).filter(F.col("__times") > 0)
+    return (at_leaves(rows, leaves, known).withColumn("__times", times).filter(F.col("__times") > 0)
             .withColumn("__epoch", F.explode(F.sequence(F.lit(0), F.col("__times") - 1)))
             .drop("__times", "epochs", "cut_key"))
 
@@ -135,19 +144,20 @@ def counted(docs: DataFrame) -> DataFrame:
 def mixture(docs: DataFrame, fraction: float = FRACTION, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """(doc_id, domain, lang, source, n_tokens, epoch) of every row of the mixture."""
     rows = counted(docs)
-    return select(rows, plan(rows, fraction, max_epochs, seed), seed).select(
+    return select(rows, *plan(rows, fraction, max_epochs, seed), seed).select(
         "doc_id", *TREE, "n_tokens", F.col("__epoch").cast("long").alias("epoch"))
 
 
 def select_documents(docs: DataFrame, fraction: float, max_epochs: int = 1, seed: int = SEED) -> DataFrame:
     """The mixture's rows of ``docs`` with all their columns."""
-    leaves = plan(counted(docs), fraction, max_epochs, seed).select(
+    leaves, known = plan(counted(docs), fraction, max_epochs, seed)
+    leaves = leaves.select(
         LEAF, F.col("epochs").alias("__epochs"), F.col("cut_key").alias("__cut"))
     key = F.concat_ws("/", *[F.coalesce(F.concat(F.lit("="), c), F.lit("-")) for c in (
         domain_of(F.col("source")), F.col("lang"), F.col("source"))])
     partial = F.col("__cut").isNotNull() & (order_key(F.col("__epochs"), F.col("doc_id"), seed) <= F.col("__cut"))
     times = F.col("__epochs") + F.when(partial, 1).otherwise(0)
-    return (docs.withColumn(LEAF, key).join(leaves, LEAF).withColumn("__times", times).filter(F.col("__times") > 0)
+    return (at_leaves(docs.withColumn(LEAF, key), leaves, known).withColumn("__times", times).filter(F.col("__times") > 0)
             .withColumn("__epoch", F.explode(F.sequence(F.lit(0), F.col("__times") - 1))).select(*docs.columns))
 
 
