@@ -184,11 +184,21 @@ def held_out() -> Column:
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
-    """At most ``TRAIN_PER_LANG`` snippets per language, chosen and cut by hash, never from held-out rows."""
+    """At most ``TRAIN_PER_LANG`` snippets per language, chosen and cut by hash, never from held-out rows.
+
+    The rows of a language are first thinned to a few times that number, by its row count, so few rows meet in one task.
+    """
+    able = docs.filter(~held_out() & F.col("lang").isNotNull())
+    counts = able.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGS + 1).collect()
+    if len(counts) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
+    every = F.lit(1).cast("long")
+    for r in counts:
+        every = F.when(F.col("lang") == r["lang"], F.lit(max(1, r["n"] // (4 * TRAIN_PER_LANG))).cast("long")).otherwise(every)
     size = F.greatest(F.length("text") - SNIPPET, F.lit(0)) + 1
     at = (F.pmod(F.xxhash64("doc_id", "text"), size) + 1).cast("int")
-    rows = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
-        "lang", F.substring(F.col("text"), at, F.lit(SNIPPET)).alias("snippet"), F.xxhash64("doc_id").alias("h"))
+    rows = able.filter(F.col("text").rlike(r"\p{L}")).withColumn("__h", F.xxhash64("text", "doc_id")).filter(
+        F.pmod(F.col("__h"), every) == 0).select("lang", F.substring(F.col("text"), at, F.lit(SNIPPET)).alias("snippet"), F.col("__h").alias("h"))
     rank = F.row_number().over(W.partitionBy("lang").orderBy("h", "snippet"))
     return rows.withColumn("rank", rank).filter(F.col("rank") <= TRAIN_PER_LANG).select("lang", "snippet", "h")
 
@@ -199,8 +209,6 @@ def fit(docs: DataFrame) -> tuple[list[str], Weights | None]:
     langs = sorted({r[0] for r in rows})
     if not langs:
         return [], None
-    if len(langs) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
     snippets = [r[2].encode("utf-8", "replace")[:SNIPPET] for r in rows]
     return langs, train(snippets, np.array([langs.index(r[0]) for r in rows]), len(langs))
 
