@@ -144,39 +144,36 @@ def spans(docs: DataFrame) -> DataFrame:
         _extend, "doc_id long, mark long, begin array<int>, end array<int>")
 
 
-def _kept(text: str | None, marks: list | None) -> tuple[str | None, int, int]:
-    """New text, number of units and of deleted units."""
-    if text is None:
-        return None, 0, 0
+def _kept(text: str | None, marks: list | None) -> tuple[str | None, int]:
+    """New text and the number of deleted units."""
+    if text is None or marks is None or not len(marks):
+        return text, 0
     ends = cuts(text)
-    if marks is None or not len(marks):
-        return text, len(ends), 0
     own = xxhash.xxh64_intdigest(np.array(units(text)[0], dtype=np.uint64).tobytes()) >> 1
     bounds, drop = [0, *ends], np.zeros(len(ends), dtype=bool)
     for m in marks:
         if m["mark"] == own:
             for a, b in zip(m["begin"], m["end"], strict=True):
                 drop[a:b] = True
-    return "".join(text[bounds[i]:bounds[i + 1]] for i in np.nonzero(~drop)[0]), len(ends), int(drop.sum())
+    return "".join(text[bounds[i]:bounds[i + 1]] for i in np.nonzero(~drop)[0]), int(drop.sum())
 
 
-REWRITTEN = T.StructType([T.StructField("text", T.StringType()), T.StructField("units", T.LongType()),
-                           T.StructField("dropped", T.LongType())])
+REWRITTEN = T.StructType([T.StructField("text", T.StringType()), T.StructField("dropped", T.LongType())])
 
 
 @F.pandas_udf(REWRITTEN)
 def _rewrite(texts: pd.Series, marks: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_kept(t, m) for t, m in zip(texts, marks, strict=True)], columns=["text", "units", "dropped"])
+    return pd.DataFrame([_kept(t, m) for t, m in zip(texts, marks, strict=True)], columns=["text", "dropped"])
 
 
 def cut(docs: DataFrame) -> DataFrame:
-    """``docs`` with later repeated runs cut from ``text``, plus ``__units`` and ``__dropped``."""
+    """``docs`` with later repeated runs cut from ``text``, plus ``__dropped``."""
     found = spans(docs).groupBy("doc_id").agg(F.collect_set(F.struct("mark", "begin", "end")).alias("__marks"))
     joined = docs.join(found, "doc_id", "left").withColumn("__new", _rewrite("text", "__marks"))
     return joined.select(*[F.col("__new.text").alias("text") if c == "text" else F.col(c) for c in docs.columns],
-                         F.col("__new.units").alias("__units"), F.col("__new.dropped").alias("__dropped"))
+                         F.col("__new.dropped").alias("__dropped"))
 
 
 def report(docs: DataFrame) -> DataFrame:
     return cut(docs.select("doc_id", "text")).select(
-        "doc_id", "text", F.col("__units").alias("n_units"), F.col("__dropped").alias("n_dropped"))
+        "doc_id", "text", F.col("__dropped").alias("n_dropped"))
