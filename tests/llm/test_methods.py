@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -313,6 +314,22 @@ def test_paraphrase_needs_the_answer(documents, spark):
     assert got.keys() == {1, 3} and got[3]
 
 
+def test_every_verbatim_copy_is_found(documents, spark, monkeypatch):
+    """Short, common-word, long and many items, each word for word in the middle of other text."""
+    rng = random.Random(11)
+    common = "the of and to in a is".split()
+    texts = ["Is it 42?", "Ostrava", "to be or not", "is the a of to in and the of a", " ".join(rng.choices(common, k=40)), prose(50, 400)]
+    texts += [f"{prose(100 + k, 6 + k % 50, 300)}." for k in range(60)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows = [(k, f"{prose(200 + k, 37 + k, 90)} {t} {prose(300 + k, 90, 90)}", "en", "a") for k, t in enumerate(texts)]
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 40)
+    docs = documents(rows)
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, items).filter("copied").collect()}
+    assert {(k, k) for k in range(len(texts))} <= got
+    monkeypatch.setattr(decontaminate, "MIN_COSINE", 2.0)  # the exact retrieval alone
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, items).filter("copied").collect()} == got
+
+
 def test_blocks_cover_the_benchmark(spark, monkeypatch):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     docs = spark.read.parquet(f"{SF}/documents.parquet")
