@@ -314,6 +314,18 @@ def test_paraphrase_needs_the_answer(documents, spark):
     assert got.keys() == {1, 3} and got[3]
 
 
+def test_paraphrase_of_a_single_sentence(documents, spark):
+    frame = "which of the seven painted {} {} rivers crosses {} the northern {} desert before {} reaching {} city {} gate"
+    item = frame.format("ostrava", "velmora", "quintel", "zarbeth", "lomerin", "tarvid", "ubresk")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    changed = item.replace("seven", "nine").replace("painted", "drawn").replace("northern", "dry").replace("reaching", "its").replace("gate", "door")
+    other = frame.format("alpha", "beta", "gamma", "delta", "epsilon", "zeta", "eta")
+    rows = [(1, f"{prose(1, 60)} {changed}. {prose(2, 60)}", "en", "a"), (2, f"{prose(3, 60)} {other}. {prose(4, 60)}", "en", "a")]
+    rows += [(k, f"{prose(k, 60)} gate city reaching before desert northern crosses rivers painted seven which", "en", "a") for k in range(10, 14)]
+    got = {r["doc_id"]: r["copied"] for r in decontaminate.leaks(documents(rows), items).collect()}
+    assert got == {1: False}
+
+
 def test_every_verbatim_copy_is_found(documents, spark, monkeypatch):
     """Short, common-word, long and many items, each word for word in the middle of other text."""
     rng = random.Random(11)
