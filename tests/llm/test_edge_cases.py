@@ -3,6 +3,7 @@
 import pytest
 
 import corpus_pipeline
+from tests.llm.conftest import prose
 from trailframe.llm import chat, decontaminate, language, licenses, linededup, mixing, pii, quality, sharding, simhash
 
 
@@ -68,3 +69,12 @@ def test_last_stage(awkward, spark, tmp_path):
 def test_one_of_each_group_stays(awkward):
     kept = [r["doc_id"] for r in simhash.keep_one(awkward).select("doc_id").collect()]
     assert sorted(x for x in kept if x is not None) == [1, 4, 6, 7, 8, 9]
+
+
+def test_rows_without_an_id_or_with_a_repeated_one_stay(documents):
+    texts = [prose(60 + k, 80) for k in range(4)]
+    ids = [None, None, None, 5, 5, 5, None]
+    rows = [(i, texts[k], "en", "a") for i, k in zip(ids, [0, 1, 0, 2, 3, 0, 3], strict=True)]
+    kept = simhash.keep_one(documents(rows)).select("doc_id", "text").collect()
+    assert sorted(r["text"] for r in kept) == sorted(texts)
+    assert {r["text"]: r["doc_id"] for r in kept} == {texts[0]: 5, texts[1]: None, texts[2]: 5, texts[3]: 5}

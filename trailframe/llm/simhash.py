@@ -166,19 +166,31 @@ def links(distinct: DataFrame) -> DataFrame:
     return dealt.mapInPandas(_compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row of ``docs``."""
-    marked = fingerprints(docs)
+def _named(marked: DataFrame) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint of ``marked``."""
     distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     roots = components(links(distinct))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fp", "component_id")
+    return rooted.join(lowest, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row of ``docs``."""
+    marked = fingerprints(docs)
+    named = _named(marked).select("fp", "component_id")
     return marked.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each group of near copies: the one with the smallest doc_id."""
-    kept = near_duplicates(docs).select(F.col("component_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi").dropDuplicates(["doc_id"])
+    """``docs`` with one row of each group of near copies: the one with the smallest doc_id (null last), then text hash."""
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    marked = materialize(docs.select("doc_id", fingerprint_udf("text").alias("fp"), digest.alias("digest")), "simhash-keyed")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("digest"))
+    best = marked.groupBy("fp").agg(F.min(order).alias("best")).join(_named(marked).select("fp", "root"), "fp")
+    kept = best.groupBy("root").agg(F.min("best").alias("best")).select(
+        F.col("best.id").alias("__id"), F.col("best.digest").alias("__digest"))
+    chosen = docs.withColumn("__key", digest).join(
+        kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__digest")), "left_semi")
+    return chosen.dropDuplicates(["doc_id", "__key"]).drop("__key")
