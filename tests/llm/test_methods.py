@@ -78,6 +78,22 @@ def test_cells_add_up(documents, monkeypatch):
     assert max(size.values()) < 1.05 * min(size.values())
 
 
+def test_long_texts_over_many_cells(documents, monkeypatch):
+    monkeypatch.setattr(sharding, "CELL_ITEMS", 500)
+    rng = random.Random(4)
+    texts = [f"{i} " + "a" * rng.randrange(200, 400) for i in range(8000)]
+    for k in range(16):  # about half a shard each, far above a cell's share
+        texts[k * 480 + 7] = f"{k} " + "b " * 15_000
+    got = sharding.assign(documents([(i, t, "en", "a") for i, t in enumerate(texts)])).collect()
+    held, slots = Counter(), defaultdict(list)
+    for r in got:
+        held[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    mean = sum(held.values()) / sharding.SHARDS
+    assert len(got) == len(texts) and max(held.values()) < 1.02 * mean and min(held.values()) > 0.98 * mean
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
 def test_equal_texts_stay_together(spark):
     """Only groups beyond a quarter of a shard are split."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

@@ -2,9 +2,10 @@
 
 Equal texts form a group that is placed as one item with a vector (bytes, tokens, rows). Items are dealt into cells of about
 ``CELL_ITEMS`` by hash; every cell packs its items, largest first, into all shards, each where the dot product of its vector with
-the shard's residual capacity in that cell is highest among the shards that still have room for its bytes. Cells are independent tasks,
-and as each one is balanced by itself so is their sum. A group larger than a share of a cell's shard (a third of all rows may be
-copies of one text) is first split into pieces by a hash of doc_id.
+the shard's residual capacity in that cell is highest among the shards that still have room for its bytes. Items above ``LARGE`` of a
+cell's shard are placed first, in one global pass (at most SHARDS / LARGE for each cell and measure); every cell then fills its part of
+what is left of each shard, beginning with another shard where several are equal. Cells are independent tasks. A group larger than a
+share of a cell's shard (a third of all rows may be copies of one text) is first split into pieces by a hash of doc_id.
 
 Slots number the rows of a shard without gaps: rows are numbered inside each (shard, cell) and shifted by the counts of the
 cells before, so no shard is sorted as a whole.
@@ -34,14 +35,24 @@ ROW_BYTES = 16
 CELL_ITEMS = 8192
 #: A group larger than this part of a cell's shard is split.
 PIECE = 0.25
+#: An item larger than this part of a cell's shard is placed before the cells.
+LARGE = 0.5
 NAMES = ("bytes", "tokens", "rows")
 
 
-def pack(items: np.ndarray, shards: int = SHARDS) -> np.ndarray:
-    """Shard of each item; ``items`` has one row of (bytes, tokens, rows) each."""
-    capacity = np.maximum(items.sum(axis=0) / shards, 1e-9)
+def pack(items: np.ndarray, shards: int = SHARDS, room: np.ndarray | None = None, capacity: np.ndarray | None = None,
+         turn: int = 0) -> np.ndarray:
+    """Shard of each item; ``items`` has one row of (bytes, tokens, rows) each.
+
+    ``room`` has the free part of each shard in proportion, ``capacity`` that of a whole shard; equal shards are taken from ``turn`` on.
+    """
+    capacity = np.maximum(items.sum(axis=0) / shards if capacity is None else capacity, 1e-9)
     need = items / capacity
     residual = np.ones((shards, items.shape[1]))
+    if room is not None:
+        mean = room.mean(axis=0)
+        residual = np.where(mean > 0, room / np.maximum(mean, 1e-9), residual)
+    residual = np.roll(residual, -turn, axis=0)
     out = np.empty(len(items), dtype=np.int64)
     for k in np.argsort(-items[:, 0], kind="stable"):
         score = residual @ need[k]
@@ -52,13 +63,38 @@ def pack(items: np.ndarray, shards: int = SHARDS) -> np.ndarray:
             score[tight] = -np.inf
             s = int(score.argmax())
         residual[s] -= need[k]
-        out[k] = s
+        out[k] = (s + turn) % shards
     return out
 
 
-def _pack_cell(cell: pd.DataFrame) -> pd.DataFrame:
-    cell = cell.sort_values(["bytes", "group", "piece"], ascending=[False, True, True])
-    return cell[["group", "piece", "cell"]].assign(shard=pack(cell[list(NAMES)].to_numpy(dtype=float)))
+PACKED = "group string, piece int, cell int, shard long"
+
+
+def _packer(room: np.ndarray | None, capacity: np.ndarray | None):
+    def packed(cell: pd.DataFrame) -> pd.DataFrame:
+        cell = cell.sort_values(["bytes", "group", "piece"], ascending=[False, True, True])
+        items, turn = cell[list(NAMES)].to_numpy(dtype=float), max(0, int(cell["cell"].iloc[0])) % SHARDS
+        return cell[["group", "piece", "cell"]].assign(shard=pack(items, SHARDS, room, capacity, turn))
+
+    return packed
+
+
+def _pack(items: DataFrame, cells: int, total: np.ndarray) -> DataFrame:
+    """(group, piece, cell, shard) of every item; those placed before the cells have cell -1."""
+    own = F.pmod(F.xxhash64("group", "piece"), F.lit(cells)).cast("int")
+    if cells == 1:
+        return items.withColumn("cell", own).groupBy("cell").applyInPandas(_packer(None, None), PACKED)
+    large = F.lit(False)
+    for name, whole_table in zip(NAMES, total, strict=True):
+        large = large | (F.col(name) > max(1.0, LARGE * whole_table / (cells * SHARDS)))
+    items = materialize(items.withColumn("cell", F.when(large, F.lit(-1)).otherwise(own)), "shard-weights")
+    first = materialize(items.filter("cell = -1").groupBy("cell").applyInPandas(_packer(None, total / SHARDS), PACKED), "shard-large")
+    used = np.zeros((SHARDS, len(NAMES)))
+    sums = items.join(first.drop("cell"), ["group", "piece"]).groupBy("shard").agg(*[F.sum(x).alias(x) for x in NAMES])
+    for row in sums.collect():  # at most one row per shard
+        used[row["shard"]] = [row[x] for x in NAMES]
+    room = np.maximum(total / SHARDS - used, 0.0)
+    return first.unionByName(items.filter("cell >= 0").groupBy("cell").applyInPandas(_packer(room, None), PACKED))
 
 
 def assign(docs: DataFrame) -> DataFrame:
@@ -68,8 +104,8 @@ def assign(docs: DataFrame) -> DataFrame:
         "doc_id", (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).cast("long").alias("text_crc32"), word_count(F.col("text")).alias("tokens"),
         F.sha2(text, 256).alias("group")), "shard-rows")
-    groups = rows.groupBy("group").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
-    total = groups.agg(F.count(F.lit(1)), F.sum("bytes"), F.sum("rows")).first()
+    groups = rows.groupBy("group").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"), F.sum("tokens").alias("tokens"))
+    total = groups.agg(F.count(F.lit(1)), F.sum("bytes"), F.sum("rows"), F.sum("tokens")).first()
     cells = max(1, math.ceil(total[0] / CELL_ITEMS))
     share = lambda x: max(1.0, PIECE * float(x or 0) / (cells * SHARDS))
     pieces = F.ceil(F.greatest(F.col("bytes") / share(total[1]), F.col("rows") / share(total[2])))
@@ -78,9 +114,8 @@ def assign(docs: DataFrame) -> DataFrame:
     placed = rows.join(split, "group", "left").withColumn("piece", piece).drop("pieces")
     items = placed.groupBy("group", "piece").agg(
         F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
-    items = items.withColumn("cell", F.pmod(F.xxhash64("group", "piece"), F.lit(cells)).cast("int"))
-    packed = items.groupBy("cell").applyInPandas(_pack_cell, "group string, piece int, cell int, shard long")
-    packed = materialize(packed, "shard-items")
+    sums = np.array([total[1] or 0, total[3] or 0, total[2] or 0], dtype=float)
+    packed = materialize(_pack(items, cells, sums), "shard-items")
     numbered = materialize(placed.join(packed, ["group", "piece"]).drop("group", "piece", "tokens"), "shard-dealt")
     counts = numbered.groupBy("shard", "cell").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(W.partitionBy("shard").orderBy("cell")) - F.col("n")
