@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trailframe.llm import chat, decontaminate, language, licenses, linededup, mixing, pii, quality, sharding, simhash
+from trailframe.llm import chat, decontaminate, language, licenses, linededup, mixing, negatives, pii, quality, secrets, sharding, simhash, whitening
 from trailframe.llm.common import table
 
 
-def _documents(operator):
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return operator(table(spark, sf_dir, "documents"))
+def _over(name: str):
+    def with_operator(operator):
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return operator(table(spark, sf_dir, name))
 
-    return query
+        return query
+
+    return with_operator
+
+
+_documents, _embeddings = _over("documents"), _over("embeddings")
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +41,9 @@ QUERIES = {
     "op8_mixing": _documents(mixing.mixture),
     "op9_chat_formatting": op9,
     "op10_line_dedup": _documents(linededup.report),
+    "op11_hard_negatives": _embeddings(negatives.hard_negatives),
+    "op12_secret_scans": _documents(secrets.scan),
+    "op13_embedding_whitening": _embeddings(whitening.whitened_embeddings),
 }
 
 ORACLES = {
@@ -42,4 +51,5 @@ ORACLES = {
     "op4_quality_rules": quality.ORACLE,
     "op8_mixing": mixing.ORACLE,
     "op9_chat_formatting": chat.ORACLE,
+    "op11_hard_negatives": negatives.ORACLE,
 }
