@@ -1,18 +1,26 @@
 """Grouping trajectories by extent (spread), by end points (edges), and by both.
 
 Each grouping runs in rounds: choose a centre among the groups that have no id yet, then give the round's number to
-every such group inside a box around it. The rounds depend on each other, so the driver runs them in sequence, but it
-holds only the boxes (a few numbers per round); groups and positions stay distributed. A batch of rounds filters with
-the batch's boxes; after each batch the leftover rows are written to the checkpoint folder, which keeps plans short and
-lets the tables shrink as ids are given out.
+every such group inside a box around it. The rounds depend on each other, but the driver holds only the boxes (a few
+numbers per round); groups and positions stay distributed. After each batch of rounds the leftover rows are written to the
+checkpoint folder, which keeps plans short and lets the tables shrink as ids are given out.
+
+The edge and coordinate rounds of a batch are guessed together: one scan takes the votes of all its starts, counted
+per group, and the boxes are then guessed from these counts, each under the boxes last guessed for the starts before it,
+until a guess confirms itself. The first unconfirmed start of a guess is always right, and starts far from each other are
+right at once, so a batch takes fewer jobs than rounds, with the result of one round after the other. A spread round needs one aggregate: the group nearest to the mean
+comes from a list of near groups, as long as the mean has not moved so far that another could be nearer.
 """
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +28,11 @@ from trailframe import schemas as S
 from trailframe.functions.columns import hash_order
 from trailframe.session import materialize, scratch_path
 
-BATCH_ROUNDS = 16
+BATCH_ROUNDS = 64
+#: Near groups that the driver holds for the spread rounds.
+NEAR_GROUPS = 1000
+#: Merged latitude intervals by which a scan of a batch is pruned.
+SCAN_INTERVALS = 8
 CELL_DEGREES = 0.01
 _ORDER = ("server_time", "device_time", "id")
 
@@ -100,15 +112,40 @@ class _Box:
     def bounds(self) -> list[tuple[str, float, float]]:
         return [(n, c - d, c + d) for n, c, d in zip(self.columns, self.centre, self.delta)]
 
-    def sql(self) -> str:
-        return " AND ".join(f"{n} BETWEEN {low!r}D AND {high!r}D" for n, low, high in self.bounds())
-
     def covers(self, row: Row) -> bool:
         return all(low <= row[n] <= high for n, low, high in self.bounds())
 
 
-def _uncovered(boxes: Sequence[_Box]) -> str:
-    return " AND ".join(f"NOT ({box.sql()})" for box in boxes) or "true"
+def _same(a: _Box, b: _Box) -> bool:
+    """Equal but for the order in which deviations were added up."""
+    return a.centre == b.centre and all(math.isclose(x, y, rel_tol=1e-11, abs_tol=1e-18) for x, y in zip(a.delta, b.delta))
+
+
+def _merged(intervals: Sequence[tuple[float, float]]) -> list[tuple[float, float]]:
+    """At most ``SCAN_INTERVALS`` intervals over the given ones, joined across the smallest gaps."""
+    out: list[tuple[float, float]] = []
+    for low, high in sorted(intervals):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
+        else:
+            out.append((low, high))
+    while len(out) > SCAN_INTERVALS:
+        at = min(range(len(out) - 1), key=lambda k: out[k + 1][0] - out[k][1])
+        out[at:at + 2] = [(out[at][0], out[at + 1][1])]
+    return out
+
+
+def _first_cover(boxes: dict[int, _Box]) -> Column:
+    """The smallest number of a box that covers the row, or null; the boxes are one constant, so plans keep their code."""
+    if not boxes:
+        return F.lit(None).cast("long")
+    columns = next(iter(boxes.values())).columns
+    rows = [{"j": j} | {f"{end}{k}": v for k, (_, *ends) in enumerate(box.bounds()) for end, v in zip(("lo", "hi"), ends)}
+            for j, box in sorted(boxes.items())]
+    fields = ", ".join(f"lo{k}: double, hi{k}: double" for k in range(len(columns)))
+    constant = F.from_json(F.lit(json.dumps(rows)), f"array<struct<j: bigint, {fields}>>")
+    inside = lambda b: reduce(lambda t, k: t & F.col(columns[k]).between(b[f"lo{k}"], b[f"hi{k}"]), range(len(columns)), F.lit(True))
+    return F.get(F.filter(constant, inside), F.lit(0))["j"]
 
 
 class _Ledger:
@@ -136,28 +173,60 @@ class _Ledger:
         df.write.parquet(path)
         return self.session.read.schema(df.schema).parquet(path)
 
-    def vote(self, where: str, by: Sequence[str], measures: Sequence[str]) -> tuple[Row, Row | None]:
-        """Of the rows under ``where``: count, deviations, and the row nearest (L1) to their mean in ``by``."""
-        voters = self.rows.where(where)
-        stats = voters.selectExpr(
-            "count(*) AS n", *[f"avg({n}) AS avg_{n}" for n in by],
-            *[f"stddev_samp({n}) AS std_{n}" for n in measures]).collect()[0]
-        if stats["n"] == 0:
-            return stats, None
-        distance = " + ".join(f"abs({n} - {stats[f'avg_{n}']!r}D)" for n in by)
-        best = voters.selectExpr(
-            f"min_by(struct({', '.join(measures)}), struct({distance} AS distance, {', '.join(self.keys)})) AS best")
-        return stats, best.collect()[0]["best"]
+    def small(self, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
+        """A local table of a number and doubles; from Arrow, so that it is part of the plan and no job makes it."""
+        columns = [pa.array([row[k] for row in rows], pa.float64() if k else pa.int64()) for k in range(len(names))]
+        return self.session.createDataFrame(pa.table(columns, names=list(names)))
+
+    def ballots(self, starts: Sequence[Row], measures: Sequence[str]) -> DataFrame:
+        """(keys, measures, near): how many rows of each open group lie near which start; one scan for a whole batch.
+
+        Near means within two standard deviations of the start's mean position. The start's own measures come along.
+        """
+        lat, lon = "latitude", "longitude"
+        ranges = [(i, *[v for n in (lat, lon) for v in (s[f"mean_{n}"] - 2 * s[f"std_{n}"], s[f"mean_{n}"] + 2 * s[f"std_{n}"])],
+                   *_vector(s, measures)) for i, s in enumerate(starts)]
+        fence = " OR ".join(f"{lat} BETWEEN {a!r}D AND {b!r}D" for a, b in _merged([r[1:3] for r in ranges]))
+        table = self.small(ranges, ["i", "lat_lo", "lat_hi", "lon_lo", "lon_hi", *[f"o_{n}" for n in measures]])
+        inside = F.col(lat).between(F.col("lat_lo"), F.col("lat_hi")) & F.col(lon).between(F.col("lon_lo"), F.col("lon_hi"))
+        each = self.rows.where(fence).join(F.broadcast(table), inside).groupBy("i", *self.keys).agg(
+            F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for n in measures for c in (n, f"o_{n}")])
+        start = F.struct("i", "n", *[f"o_{n}" for n in measures])
+        return self.stored(each.groupBy(*self.keys, *measures).agg(F.collect_list(start).alias("near")))  # one entry a start at most
+
+    def vote(self, ballots: DataFrame, first: int, boxes: dict[int, _Box], by: Sequence[str],
+             measures: Sequence[str]) -> dict[int, tuple[Row, Row]]:
+        """From start ``first`` on: deviations of the voters, and the measures of the voter nearest (L1) to their mean in ``by``.
+
+        The voters of a start are the rows near it that no box with a smaller number covers.
+        """
+        open_to = F.coalesce(_first_cover(boxes), F.lit(len(boxes) + (max(boxes) if boxes else 0) + BATCH_ROUNDS))
+        near = F.filter("near", lambda x: x["i"].between(F.lit(first), open_to))
+        voters = ballots.select(*self.keys, *measures, F.inline(near))
+        moved = {n: F.col(n) - F.col(f"o_{n}") for n in measures}  # added up around the start, so that no deviation is drowned
+        sums = voters.groupBy("i").agg(F.sum("n").alias("_n"), *[F.first(f"o_{n}").alias(f"o_{n}") for n in measures], *[
+            f for n in measures for f in (F.sum(F.col("n") * moved[n]).alias(f"_s_{n}"), F.sum(F.col("n") * moved[n] * moved[n]).alias(f"_q_{n}"))])
+        square = lambda n: F.greatest(F.col(f"_q_{n}") - F.col(f"_s_{n}") * F.col(f"_s_{n}") / F.col("_n"), F.lit(0.0))
+        stats = sums.select("i", *[(F.col(f"o_{n}") + F.col(f"_s_{n}") / F.col("_n")).alias(f"avg_{n}") for n in by],
+                            *[F.when(F.col("_n") > 1, F.sqrt(square(n) / (F.col("_n") - 1))).alias(f"std_{n}") for n in measures])
+        distance = reduce(lambda t, n: t + F.abs(F.col(n) - F.col(f"avg_{n}")), by, F.lit(0.0))
+        best = voters.join(F.broadcast(stats), "i").groupBy("i").agg(
+            F.min_by(F.struct(*measures), F.struct(distance.alias("_distance"), *self.keys)).alias("best"),
+            *[F.first(f"std_{n}").alias(f"std_{n}") for n in measures]).collect()
+        return {row["i"]: (row, row["best"]) for row in best}
+
+    def open(self, boxes: Sequence[_Box]) -> DataFrame:
+        """Groups that neither an earlier batch nor ``boxes`` cover."""
+        return self.left.where(_first_cover(dict(enumerate(boxes))).isNull())
 
     def settle(self, boxes: Sequence[_Box]) -> None:
         """Number the groups of a finished batch and keep the others for the next one."""
-        branches = " ".join(f"WHEN {box.sql()} THEN {self.next_id + i}L" for i, box in enumerate(boxes))
+        first = _first_cover({self.next_id + i: box for i, box in enumerate(boxes)})
         same = self.rows is self.left
-        self.left.selectExpr(*self.keys, f"CASE {branches} END AS {self.name}").where(f"{self.name} IS NOT NULL").write.mode(
-            "append").parquet(self.done_path)
+        self.left.select(*self.keys, first.alias(self.name)).where(F.col(self.name).isNotNull()).write.mode("append").parquet(self.done_path)
         self.wrote = True
-        self.left = self.stored(self.left.where(_uncovered(boxes)))
-        self.rows = self.left if same else self.stored(self.rows.where(_uncovered(boxes)))
+        self.left = self.stored(self.left.where(first.isNull()))
+        self.rows = self.left if same else self.stored(self.rows.where(first.isNull()))
         self.next_id += len(boxes)
 
     def result(self, spark: SparkSession) -> DataFrame:
@@ -172,10 +241,10 @@ def _vector(row: Row, names: Sequence[str]) -> tuple[float, ...]:
     return tuple(float(row[n]) for n in names)
 
 
-def _deltas(fixed: float | None, stats: Row, names: Sequence[str], factor: float) -> tuple[float, ...]:
+def _deltas(fixed: float | None, stats: Row | None, names: Sequence[str], factor: float) -> tuple[float, ...]:
     if fixed is not None:
         return (float(fixed),) * len(names)
-    return tuple(float(stats[f"std_{n}"] or 0.0) * factor for n in names)
+    return tuple(float(stats[f"std_{n}"] or 0.0) * factor if stats else 0.0 for n in names)
 
 
 def _with_ids(groups: DataFrame, missing: DataFrame, ids: DataFrame, keys: list[str], name: str,
@@ -192,21 +261,67 @@ def spread_ids(pos: DataFrame, keys: list[str], delta: float | None = None) -> D
     """
     groups, missing = _split(materialize(group_spread(pos, keys), "spreads"), S.SPREADS)
     ledger = _Ledger(groups, keys, "spreaddelta_id")
-    finished = False
+    finished, near = False, _Near(ledger, S.SPREADS)
     while not finished:
         boxes: list[_Box] = []
         while len(boxes) < BATCH_ROUNDS:
-            stats, best = ledger.vote(_uncovered(boxes), S.SPREADS, S.SPREADS)
-            if best is None:
+            stats = ledger.open(boxes).selectExpr(
+                "count(*) AS n", *[f"avg({n}) AS avg_{n}" for n in S.SPREADS],
+                *[f"stddev_samp({n}) AS std_{n}" for n in S.SPREADS]).collect()[0]
+            if stats["n"] == 0:
                 finished = True
                 break
+            best = near.nearest(tuple(stats[f"avg_{n}"] for n in S.SPREADS), boxes)
             boxes.append(_Box(tuple(S.SPREADS), _vector(best, S.SPREADS),
                               _deltas(delta, stats, S.SPREADS, 0.25)))
         if boxes:
             ledger.settle(boxes)
+            near.drop(boxes)
     return _with_ids(groups, missing, ledger.result(pos.sparkSession), keys, "spreaddelta_id", S.SPREADS)
 
 
+class _Near:
+    """The open group nearest (L1) to a mean that moves from round to round.
+
+    Holds the ``NEAR_GROUPS`` groups nearest to an earlier mean. Any other group is at least as far from that mean as the
+    last of them, so a listed group stays the nearest while it is closer than that distance less the mean's move.
+    """
+
+    def __init__(self, ledger: _Ledger, measures: Sequence[str]):
+        self.ledger, self.measures = ledger, measures
+        self.rows: list[Row] = []
+        self.origin, self.radius = (), -math.inf
+
+    def nearest(self, mean: tuple[float, ...], boxes: Sequence[_Box]) -> Row:
+        found = self._listed(mean, boxes)
+        if found is None:
+            distance = " + ".join(f"abs({n} - {m!r}D)" for n, m in zip(self.measures, mean))
+            order = [F.expr(distance), *self.ledger.keys]
+            self.rows = self.ledger.open(boxes).orderBy(*order).limit(NEAR_GROUPS).collect()
+            self.origin = mean
+            self.radius = self._distance(self.rows[-1], mean) if len(self.rows) == NEAR_GROUPS else math.inf
+            return self.rows[0]
+        return found
+
+    def drop(self, boxes: Sequence[_Box]) -> None:
+        self.rows = [row for row in self.rows if not any(box.covers(row) for box in boxes)]
+
+    def _distance(self, row: Row, mean: tuple[float, ...]) -> float:
+        total = 0.0
+        for n, m in zip(self.measures, mean):
+            total += abs(row[n] - m)
+        return total
+
+    def _listed(self, mean: tuple[float, ...], boxes: Sequence[_Box]) -> Row | None:
+        rows = [row for row in self.rows if not any(box.covers(row) for box in boxes)]
+        if not rows:
+            return None
+        far = lambda row: (self._distance(row, mean), *[(row[k] is not None, row[k]) for k in self.ledger.keys])
+        best = min(rows, key=far)
+        moved = sum(abs(a - b) for a, b in zip(mean, self.origin))
+        return best if self._distance(best, mean) < (self.radius - moved) * (1 - 1e-9) else None
+
+
 def _clustered(df: DataFrame) -> DataFrame:
     """Sort by grid cell across the cluster, so that a coordinate box reads only the file parts that overlap it."""
     cell = lambda c: F.floor(F.col(c) / CELL_DEGREES)
@@ -234,35 +349,52 @@ def _box_rounds(groups: DataFrame, positions: DataFrame, keys: list[str], name:
     ledger = _Ledger(ordered, keys, name)
     ledger.rows = ledger.stored(_clustered(positions.select(*keys, "latitude", "longitude", *measures)))
 
-    def box_for(start: Row, boxes: Sequence[_Box]) -> _Box:
-        reach = _Box(("latitude", "longitude"), (start["mean_latitude"], start["mean_longitude"]),
-                     (2 * start["std_latitude"], 2 * start["std_longitude"]))
-        stats, best = ledger.vote(f"{reach.sql()} AND {_uncovered(boxes)}", S.EDGES, measures)
-        delta = _deltas(edge_delta, stats, S.EDGES, 2.0)
-        if with_spread:
-            delta += _deltas(spread_delta, stats, S.SPREADS, 0.25)
-        return _Box(tuple(measures), _vector(best or start, measures), delta)
+    def rounds(head: Sequence[Row]) -> tuple[list[_Box], Row]:
+        """The boxes of the next rounds and the last start that was looked at."""
+        ballots = ledger.ballots(head, measures)
+
+        def guess(boxes: dict[int, _Box]) -> dict[int, _Box]:
+            votes, out = ledger.vote(ballots, at, boxes, S.EDGES, measures), {}
+            for i in range(at, len(head)):
+                stats, best = votes.get(i, (None, head[i]))
+                delta = _deltas(edge_delta, stats, S.EDGES, 2.0)
+                if with_spread:
+                    delta += _deltas(spread_delta, stats, S.SPREADS, 0.25)
+                out[i] = _Box(tuple(measures), _vector(best, measures), delta)
+            return out
+
+        final: dict[int, _Box] = {}
+        guessed: dict[int, _Box] = {}
+        at = 0  # starts before this one are decided
+        while at < len(head):
+            assumed = dict(final)  # of the guessed boxes, those whose start the ones before leave open
+            for i in sorted(guessed):
+                if i >= at and not any(box.covers(head[i]) for box in assumed.values()):
+                    assumed[i] = guessed[i]
+            guessed = guess(assumed)
+            agreed = True
+            while at < len(head) and agreed:
+                before, covered = assumed.get(at), any(box.covers(head[at]) for box in final.values())
+                if not covered:
+                    final[at] = before if before is not None and _same(before, guessed[at]) else guessed[at]
+                agreed = final.get(at) is before  # otherwise the later votes assumed something else
+                at += 1
+        return list(final.values()), head[-1]
 
     # Starts follow one hashed order, round after round, and begin again at its end: a group that its own box missed is
     # not tried again before the others. A bounded head of the order is enough for a batch.
     last, finished = "", False
     while not finished:
-        head = ledger.left.where(f"_order > '{last}'").orderBy("_order").limit(4 * BATCH_ROUNDS).collect()
+        head = ledger.left.where(f"_order > '{last}'").orderBy("_order").limit(BATCH_ROUNDS).collect()
         if ledger.next_id == 1:
             several = ledger.left.where("n > 1").orderBy("_order").limit(1).collect()
             head = several + [row for row in head if several and row["_order"] > several[0]["_order"]] or head
         if not head:
             finished, last = not last, ""
             continue
-        boxes: list[_Box] = []
-        for row in head:
-            if len(boxes) == BATCH_ROUNDS:
-                break
-            last = row["_order"]
-            if not any(box.covers(row) for box in boxes):
-                boxes.append(box_for(row, boxes))
-        if boxes:
-            ledger.settle(boxes)
+        boxes, end = rounds(head)
+        last = end["_order"]
+        ledger.settle(boxes)
     return ledger.result(groups.sparkSession)
 
 
