@@ -4,6 +4,7 @@ import datetime as dt
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -471,3 +472,20 @@ def test_cuts_are_those_of_all_grams(docs):
     extra = sum(max(0, found[i] - len(want[i])) for i in want)
     total = sum(map(len, want.values()))
     assert total > 50 and missed <= 0.05 * total and extra <= 0.05 * total
+
+
+@pytest.mark.parametrize("piece", ["-", ".", "a.", "a@", "a@a.", "a-.", '"', "1-", "1..", 'token = "a'])
+def test_pii_is_linear_on_any_text(spark, piece):
+    text = f"x@{piece * (1_000_000 // len(piece))} y"
+    start = time.time()
+    got = pii.report(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert got["text"] == text and got["n_replaced"] == 0 and time.time() - start < 20
+
+
+def test_pii_long_secrets_keep_their_length(spark):
+    rows = [(n, f'token = "{"Ab1_" * (n // 4)}"') for n in (16, 64, 200, 1000)]
+    for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert len(r["text"]) == r["doc_id"] + 10 and r["n_replaced"] == 1 and "Ab1_" not in r["text"]
+    more = spark.createDataFrame([(1, "a.b-c@mail.example.co.uk. x@y.zz, x@y"), (2, "-" * 70 + "a@b.com")], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_replaced"] for r in pii.report(more).collect()}
+    assert got == {1: 2, 2: 0}
