@@ -1,56 +1,95 @@
 """Line deduplication by winnowing over line hashes.
 
-A text is cut into units: lines, and sentences inside long lines. From every unit starts a gram, the shortest run of units with
-at least ``GRAM_WORDS`` words. In every window of gram starts within ``WINDOW_WORDS`` words the gram with the smallest hash (the last
-of equal ones) is a fingerprint. Whatever two texts share is cut the same way, so a shared passage of at least
-``WINDOW_WORDS + GRAM_WORDS`` words plus one unit holds a common fingerprint for certain.
+A text is cut into units: lines, sentences, and inside them short pieces whose borders depend on the words alone (after a word with a certain
+hash, one word in ``PIECE_WORDS`` on average). So whatever two texts share is cut the same way wherever it stands, also in mid-sentence or in a text
+without any punctuation. From every unit starts a gram, the shortest run of units with at least ``GRAM_WORDS`` words. In every window of gram starts
+within ``WINDOW_WORDS`` words the gram with the smallest hash (the last of equal ones) is a fingerprint. A shared passage whose whole units hold
+``WINDOW_WORDS + GRAM_WORDS`` words plus one unit has a common fingerprint for certain.
 
-Every fingerprint keeps its first position (smallest doc_id, then place); each later one is joined to it and the match is extended
+Every fingerprint keeps its first position (smallest row key, then place); each later one is joined to it and the match is extended
 both ways, unit by unit. One window's length of context is enough: a longer match has fingerprints of its own further on.
 Units of later runs are deleted; the first occurrence stays. Positions are never paired among themselves, so a passage in a third
 of all texts costs one row per occurrence.
 
+Words are hashed by prefix sums over the bytes of the text, units by prefix sums over their words, so no loop runs over words.
+
 Defined cases: null texts stay null and blank ones as they are; texts with fewer than ``GRAM_WORDS`` words are never touched; doc_id
-orders the texts, rows with a null doc_id come last and are matched but never cut; rows that repeat a doc_id are all compared and cut
-as that document (equal rows are cut equally); an empty table gives no rows. Other columns are kept by ``cut``.
+orders the texts, then a hash of the text, and rows with a null doc_id come last; rows equal in doc_id and text are one text and are cut equally; an
+empty table gives no rows. Other columns are kept by ``cut``.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trailframe.session import materialize
 
 GRAM_WORDS = 16
-WINDOW_WORDS = 24
-BORDER = re.compile(r"\n|[.!?]+(?=\s)")
-
-
-def cuts(text: str) -> list[int]:
-    """Ends of the units of a text."""
-    ends = [m.end() for m in BORDER.finditer(text)]
-    if not ends or ends[-1] < len(text):
-        ends.append(len(text))
-    return ends
-
-
-def units(text: str) -> tuple[list[int], list[int]]:
-    """Hashes and word counts of the units of a text; white space around a unit doesn't count."""
-    hashes, words, at = [], [], 0
-    for end in cuts(text):
-        inner = text[at:end].strip()
-        hashes.append(xxhash.xxh64_intdigest(inner.encode("utf-8", "replace")))
-        words.append(len(inner.split()))
-        at = end
-    return hashes, words
+WINDOW_WORDS = 16
+PIECE_WORDS = 6
+BLANKS = np.zeros(256, dtype=bool)
+BLANKS[[9, 10, 11, 12, 13, 32]] = True
+STOPS = np.zeros(256, dtype=bool)
+STOPS[[33, 46, 63]] = True
+#: Odd multipliers of the prefix sums and of the mixing steps. Fixed values.
+BYTE_FACTOR, WORD_FACTOR = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+MIX = np.uint64(0xFF51AFD7ED558CCD)
+
+
+class Powers:
+    """Powers of an odd number and of its inverse modulo 2^64, made longer when a text needs it."""
+
+    def __init__(self, factor: int) -> None:
+        self.factors = np.array([factor, pow(factor, -1, 1 << 64)], dtype=np.uint64)
+        self.table = np.ones((2, 1), dtype=np.uint64)
+
+    def __call__(self, n: int) -> np.ndarray:
+        while self.table.shape[1] < n:
+            size = self.table.shape[1]
+            step = np.array([[pow(int(f), size, 1 << 64)] for f in self.factors], dtype=np.uint64)
+            self.table = np.concatenate((self.table, self.table * step), axis=1)
+        return self.table
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(33))) * MIX
+    return (x ^ (x >> np.uint64(33))) * MIX
+
+
+def run_hashes(values: np.ndarray, begin: np.ndarray, end: np.ndarray, powers: Powers) -> np.ndarray:
+    """Hash of ``values[begin:end]`` for each pair, equal for equal runs wherever they stand."""
+    up, down = powers(len(values) + 1)
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * up[:len(values)], out=sums[1:])
+    return mixed((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64) * MIX)
+
+
+BYTES, WORDS = Powers(BYTE_FACTOR), Powers(WORD_FACTOR)
+
+
+def units(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, word counts and ends (in UTF-8 bytes) of the units of a text; white space around a unit doesn't count."""
+    raw = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
+    blank = np.concatenate(([True], BLANKS[raw], [True]))
+    edge = np.flatnonzero(blank[1:] != blank[:-1])
+    begin, end = edge[::2], edge[1::2]
+    if not len(begin):
+        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    words = run_hashes(raw.astype(np.uint64) + np.uint64(1), begin, end, BYTES)
+    lines = np.concatenate(([0], np.cumsum(raw == 10)))
+    closes = STOPS[raw[end - 1]] | ((words >> np.uint64(40)) % np.uint64(PIECE_WORDS) == 0)
+    closes[:-1] |= lines[begin[1:]] > lines[end[:-1]]
+    closes[-1] = True
+    last = np.flatnonzero(closes)
+    first = np.concatenate(([0], last[:-1] + 1))
+    ends = np.append(begin[first[1:]], len(raw))  # the blanks after a unit belong to it
+    return run_hashes(words, first, last + 1, WORDS), last + 1 - first, ends
 
 
 def winnow(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -61,9 +100,7 @@ def winnow(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarra
     real = np.nonzero((last < len(ends)) & (words > 0))[0]
     if not len(real):
         return real, real, np.empty(0, dtype=np.int64)
-    raw = hashes.tobytes()
-    grams = np.array([xxhash.xxh64_intdigest(raw[8 * a:8 * b + 8]) for a, b in zip(real.tolist(), last[real].tolist(), strict=True)],
-                     dtype=np.uint64)
+    grams = run_hashes(hashes, real, last[real] + 1, WORDS)
     place = starts[real]
     reach = np.searchsorted(place, place + WINDOW_WORDS)
     best = np.arange(len(real))
@@ -79,20 +116,19 @@ def winnow(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-            h, n = units(text)
-            h = np.array(h, dtype=np.uint64)
-            at, size, gram = winnow(h, np.array(n, dtype=np.int64))
+        for doc_id, mark, text in zip(batch["doc_id"], batch["mark"], batch["text"], strict=True):
+            h, n, _ = units(text)
+            at, size, gram = winnow(h, n)
             if len(at):
-                rows.append((None if pd.isna(doc_id) else int(doc_id), h.view(np.int64), at, size, gram))
+                rows.append((None if pd.isna(doc_id) else int(doc_id), mark, h.view(np.int64), at, size, gram))
         if rows:
-            yield pd.DataFrame(rows, columns=["doc_id", "units", "at", "size", "gram"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "mark", "units", "at", "size", "gram"]).astype({"doc_id": "Int64"})
 
 
 def _spans(rows: pd.DataFrame) -> pd.DataFrame:
     """Extend the matches of each text and merge them into spans (first unit, unit after the last)."""
     out = []
-    for doc_id, own, matches in zip(rows["doc_id"], rows["units"], rows["matches"], strict=True):
+    for row, own, matches in zip(rows["row"], rows["units"], rows["matches"], strict=True):
         hit = np.zeros(len(own) + 1, dtype=np.int32)
         for m in matches:
             lo, hi, left, right = m["at"], m["at"] + m["size"], m["left"], m["right"]
@@ -108,9 +144,8 @@ def _spans(rows: pd.DataFrame) -> pd.DataFrame:
             hit[hi] -= 1
         inside = np.concatenate(([0], (np.cumsum(hit[:-1]) > 0).astype(np.int8), [0]))
         edge = np.diff(inside)
-        out.append((doc_id, xxhash.xxh64_intdigest(np.asarray(own).tobytes()) >> 1,
-                    np.nonzero(edge == 1)[0].tolist(), np.nonzero(edge == -1)[0].tolist()))
-    return pd.DataFrame(out, columns=["doc_id", "mark", "begin", "end"])
+        out.append((row, np.nonzero(edge == 1)[0].tolist(), np.nonzero(edge == -1)[0].tolist()))
+    return pd.DataFrame(out, columns=["row", "begin", "end"])
 
 
 def _extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -119,59 +154,62 @@ def _extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield _spans(batch)
 
 
+def row_key(doc_id: str, mark: str) -> Column:
+    """Orders the texts: by doc_id, the rows without one last, then by the hash of the text."""
+    return F.struct(F.col(doc_id).isNull().alias("none"), F.coalesce(doc_id, F.lit(0)).cast("long").alias("id"), F.col(mark).alias("mark"))
+
+
 def spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark, begin, end): unit spans to delete; ``mark`` tells texts of one doc_id apart."""
-    scanned = docs.filter(F.col("text").isNotNull()).select("doc_id", "text").mapInPandas(
-        _scan, "doc_id long, units array<long>, at array<int>, size array<int>, gram array<long>")
-    scanned = materialize(scanned, "winnow")
-    each = scanned.select("doc_id", F.explode(F.arrays_zip("gram", "at", "size")).alias("f")).select(
-        "doc_id", "f.gram", "f.at", "f.size")
-    place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("d"), F.col("at").alias("p"), F.col("size").alias("n"))
-    firsts = materialize(each.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.min(place).alias("first"))
-                         .filter("c > 1").select("gram", F.col("first.d").alias("d"), F.col("first.p").alias("p"), F.col("first.n").alias("n")),
-                         "winnow-first")
-    anchors = firsts.groupBy("d").agg(F.collect_list(F.struct("gram", "p", "n")).alias("list"))
-    sources = scanned.select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("d"), "units")
+    """(row, begin, end): unit spans to delete, by row key."""
+    scanned = docs.filter(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInPandas(
+        _scan, "doc_id long, mark long, units array<long>, at array<int>, size array<int>, gram array<long>")
+    scanned = materialize(scanned.select(row_key("doc_id", "mark").alias("row"), "units", "at", "size", "gram"), "winnow")
+    each = scanned.select("row", F.explode(F.arrays_zip("gram", "at", "size")).alias("f")).select("row", "f.gram", "f.at", "f.size")
+    place = F.struct("row", F.col("at").alias("p"), F.col("size").alias("n"))
+    # A gram that stands at one place only (also of equal rows) has nothing to delete.
+    firsts = (each.groupBy("gram").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last")
+              .select("gram", F.col("first.row").alias("row"), F.col("first.p").alias("p"), F.col("first.n").alias("n")))
+    firsts = materialize(firsts, "winnow-first")
     low = F.greatest(F.col("p") - WINDOW_WORDS, F.lit(0))
-    context = (sources.join(anchors, "d").select("d", "units", F.explode("list").alias("x")).select("d", "units", "x.*")
-               .select("gram", "d", "p", F.slice("units", low + 1, F.col("p") - low).alias("left"),
+    anchors = firsts.groupBy("row").agg(F.collect_list(F.struct("gram", "p", "n")).alias("list"))  # at most a text's fingerprints
+    context = (scanned.select("row", "units").join(anchors, "row").select("row", "units", F.inline("list"))
+               .select("gram", F.col("row").alias("first"), "p", F.slice("units", low + 1, F.col("p") - low).alias("left"),
                        F.slice("units", F.col("p") + F.col("n") + 1, F.lit(WINDOW_WORDS)).alias("right")))
-    context = materialize(context.groupBy("gram").agg(  # written, so that a skewed gram can be split in the join below
-        F.first("d").alias("d"), F.first("p").alias("p"), F.first("left").alias("left"), F.first("right").alias("right")), "winnow-context")
-    later = each.filter("doc_id is not null").join(context, "gram").filter("doc_id <> d or at <> p")
-    matches = later.groupBy("doc_id").agg(F.collect_list(F.struct("at", "size", "left", "right")).alias("matches"))
-    return scanned.select("doc_id", "units").join(matches, "doc_id").mapInPandas(
-        _extend, "doc_id long, mark long, begin array<int>, end array<int>")
+    context = materialize(context.dropDuplicates(["gram"]), "winnow-context")  # written, so that a skewed gram can be split in the join below
+    later = each.join(context, "gram").filter((F.col("row") != F.col("first")) | (F.col("at") != F.col("p")))
+    matches = later.groupBy("row").agg(F.collect_set(F.struct("at", "size", "left", "right")).alias("matches"))
+    once = scanned.select("row", "units").dropDuplicates(["row"])
+    return once.join(matches, "row").mapInPandas(
+        _extend, "row struct<none: boolean, id: bigint, mark: bigint>, begin array<int>, end array<int>")
 
 
-def _kept(text: str | None, marks: list | None) -> tuple[str | None, int]:
+def _kept(text: str | None, begin: list | None, end: list | None) -> tuple[str | None, int]:
     """New text and the number of deleted units."""
-    if text is None or marks is None or not len(marks):
+    if text is None or begin is None or not len(begin):
         return text, 0
-    ends = cuts(text)
-    own = xxhash.xxh64_intdigest(np.array(units(text)[0], dtype=np.uint64).tobytes()) >> 1
-    bounds, drop = [0, *ends], np.zeros(len(ends), dtype=bool)
-    for m in marks:
-        if m["mark"] == own:
-            for a, b in zip(m["begin"], m["end"], strict=True):
-                drop[a:b] = True
-    return "".join(text[bounds[i]:bounds[i + 1]] for i in np.nonzero(~drop)[0]), int(drop.sum())
+    raw = text.encode("utf-8", "replace")
+    bounds = np.concatenate(([0], units(text)[2]))
+    at = np.concatenate(([0], bounds[np.asarray(end)]))
+    to = np.concatenate((bounds[np.asarray(begin)], [len(raw)]))
+    return b"".join(raw[a:b] for a, b in zip(at, to, strict=True)).decode("utf-8", "replace"), int(np.sum(np.asarray(end) - np.asarray(begin)))
 
 
 REWRITTEN = T.StructType([T.StructField("text", T.StringType()), T.StructField("dropped", T.LongType())])
 
 
 @F.pandas_udf(REWRITTEN)
-def _rewrite(texts: pd.Series, marks: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_kept(t, m) for t, m in zip(texts, marks, strict=True)], columns=["text", "dropped"])
+def _rewrite(texts: pd.Series, begin: pd.Series, end: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([_kept(*x) for x in zip(texts, begin, end, strict=True)], columns=["text", "dropped"])
 
 
 def cut(docs: DataFrame) -> DataFrame:
-    """``docs`` with later repeated runs cut from ``text``, plus ``__dropped``."""
-    found = spans(docs).groupBy("doc_id").agg(F.collect_set(F.struct("mark", "begin", "end")).alias("__marks"))
-    joined = docs.join(found, "doc_id", "left").withColumn("__new", _rewrite("text", "__marks"))
-    return joined.select(*[F.col("__new.text").alias("text") if c == "text" else F.col(c) for c in docs.columns],
-                         F.col("__new.dropped").alias("__dropped"))
+    """``docs`` with later repeated runs cut from ``text``, plus ``__dropped``; extra columns may have any name."""
+    whole = docs.select(F.struct(*docs.columns).alias("all"), F.xxhash64("text").alias("mark"), "doc_id").select(
+        "all", row_key("doc_id", "mark").alias("row"))
+    joined = whole.join(spans(docs), "row", "left")
+    hit = joined.withColumn("new", F.when(F.col("begin").isNotNull(), _rewrite("all.text", "begin", "end")))
+    return hit.select(*[F.coalesce("new.text", "all.text").alias("text") if c == "text" else F.col(f"all.`{c}`").alias(c) for c in docs.columns],
+                      F.coalesce("new.dropped", F.lit(0).cast("long")).alias("__dropped"))
 
 
 def report(docs: DataFrame) -> DataFrame:
