@@ -468,7 +468,7 @@ def test_cuts_are_those_of_all_grams(docs):
     """Runs of 40 words or more are cut in full; of the shorter ones, below the guarantee, some have no fingerprint."""
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     want = brute_units(texts)
-    found = {r["row"]["id"]: {u for a, b in zip(r["begin"], r["end"], strict=True) for u in range(a, b)} for r in linededup.spans(docs).collect()}
+    found = {r["id"]: {u for a, b in zip(r["begin"], r["end"], strict=True) for u in range(a, b)} for r in linededup.spans(docs).collect()}
     long, missed_short = 0, 0
     for i, units in want.items():
         words, cut = linededup.units(texts[i] or "")[1], found.get(i, set())

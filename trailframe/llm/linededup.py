@@ -32,7 +32,9 @@ from trailframe.session import materialize
 
 GRAM_WORDS = 16
 WINDOW_WORDS = 16
-PIECE_WORDS = 6
+#: Context of a fingerprint on either side: a window, and a gram because units are whole.
+REACH_WORDS = WINDOW_WORDS + GRAM_WORDS
+PIECE_WORDS = 8
 BLANKS = np.zeros(256, dtype=bool)
 BLANKS[[9, 10, 11, 12, 13, 32]] = True
 STOPS = np.zeros(256, dtype=bool)
@@ -92,14 +94,14 @@ def units(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return run_hashes(words, first, last + 1, WORDS), last + 1 - first, ends
 
 
-def winnow(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places, lengths and hashes of the fingerprints of one text."""
+def winnow(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of one text: place, length, and units of a window's context on both sides (four rows), and hashes."""
     ends = np.cumsum(words)
     starts = ends - words
     last = np.searchsorted(ends, starts + GRAM_WORDS)
     real = np.nonzero((last < len(ends)) & (words > 0))[0]
     if not len(real):
-        return real, real, np.empty(0, dtype=np.int64)
+        return np.empty((4, 0), dtype=np.int32), np.empty(0, dtype=np.int64)
     grams = run_hashes(hashes, real, last[real] + 1, WORDS)
     place = starts[real]
     reach = np.searchsorted(place, place + WINDOW_WORDS)
@@ -110,28 +112,39 @@ def winnow(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarra
         other = np.minimum(other, len(real) - 1)
         best = np.where(inside & (grams[other] <= grams[best]), other, best)
     chosen = np.unique(best)
-    return real[chosen], last[real[chosen]] - real[chosen] + 1, grams[chosen].view(np.int64)
+    at, to = real[chosen], last[real[chosen]] + 1
+    left = at - np.maximum(0, np.searchsorted(starts, starts[at] - REACH_WORDS) - 1)
+    right = np.searchsorted(starts, ends[to - 1] + REACH_WORDS, side="right") - to
+    return np.stack([at, to - at, left, right]).astype(np.int32), grams[chosen].view(np.int64)
+
+
+def short(hashes: np.ndarray) -> np.ndarray:
+    """32 bits of each unit hash, enough to extend a match by."""
+    return (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+SCANNED = ["id", "mark", "units", "at", "size", "left", "right", "gram"]
 
 
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for doc_id, mark, text in zip(batch["doc_id"], batch["mark"], batch["text"], strict=True):
+        for doc_id, mark, text in zip(batch["id"], batch["mark"], batch["text"], strict=True):
             h, n, _ = units(text)
-            at, size, gram = winnow(h, n)
-            if len(at):
-                rows.append((None if pd.isna(doc_id) else int(doc_id), mark, h.view(np.int64), at, size, gram))
+            places, gram = winnow(h, n)
+            if len(gram):
+                rows.append((doc_id, mark, short(h), *places, gram))
         if rows:
-            yield pd.DataFrame(rows, columns=["doc_id", "mark", "units", "at", "size", "gram"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=SCANNED)
 
 
 def _spans(rows: pd.DataFrame) -> pd.DataFrame:
     """Extend the matches of each text and merge them into spans (first unit, unit after the last)."""
     out = []
-    for row, own, matches in zip(rows["row"], rows["units"], rows["matches"], strict=True):
+    for doc_id, mark, own, matches in zip(rows["id"], rows["mark"], rows["units"], rows["matches"], strict=True):
         hit = np.zeros(len(own) + 1, dtype=np.int32)
         for m in matches:
-            lo, hi, left, right = m["at"], m["at"] + m["size"], m["left"], m["right"]
+            lo, hi, left, right = m["at"], m["at"] + m["size"], m["before"], m["after"]
             for x in left[::-1]:
                 if lo == 0 or own[lo - 1] != x:
                     break
@@ -144,8 +157,8 @@ def _spans(rows: pd.DataFrame) -> pd.DataFrame:
             hit[hi] -= 1
         inside = np.concatenate(([0], (np.cumsum(hit[:-1]) > 0).astype(np.int8), [0]))
         edge = np.diff(inside)
-        out.append((row, np.nonzero(edge == 1)[0].tolist(), np.nonzero(edge == -1)[0].tolist()))
-    return pd.DataFrame(out, columns=["row", "begin", "end"])
+        out.append((doc_id, mark, np.nonzero(edge == 1)[0].tolist(), np.nonzero(edge == -1)[0].tolist()))
+    return pd.DataFrame(out, columns=["id", "mark", "begin", "end"])
 
 
 def _extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -154,33 +167,32 @@ def _extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield _spans(batch)
 
 
-def row_key(doc_id: str, mark: str) -> Column:
-    """Orders the texts: by doc_id, the rows without one last, then by the hash of the text."""
-    return F.struct(F.col(doc_id).isNull().alias("none"), F.coalesce(doc_id, F.lit(0)).cast("long").alias("id"), F.col(mark).alias("mark"))
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` in a struct, with the row key (id, mark) that orders the texts; rows without a doc_id come last."""
+    return docs.select(F.struct(*docs.columns).alias("all"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"),
+                       F.xxhash64("text").alias("mark"))
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """(row, begin, end): unit spans to delete, by row key."""
-    scanned = docs.filter(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInPandas(
-        _scan, "doc_id long, mark long, units array<long>, at array<int>, size array<int>, gram array<long>")
-    scanned = materialize(scanned.select(row_key("doc_id", "mark").alias("row"), "units", "at", "size", "gram"), "winnow")
-    each = scanned.select("row", F.explode(F.arrays_zip("gram", "at", "size")).alias("f")).select("row", "f.gram", "f.at", "f.size")
-    place = F.struct("row", F.col("at").alias("p"), F.col("size").alias("n"))
-    # A gram that stands at one place only (also of equal rows) has nothing to delete.
-    firsts = (each.groupBy("gram").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last")
-              .select("gram", F.col("first.row").alias("row"), F.col("first.p").alias("p"), F.col("first.n").alias("n")))
+    """(id, mark, begin, end): unit spans to delete, by row key."""
+    scanned = keyed(docs).filter("all.text is not null").select("id", "mark", "all.text").mapInPandas(
+        _scan, "id long, mark long, units array<int>, at array<int>, size array<int>, left array<int>, right array<int>, gram array<long>")
+    scanned = materialize(scanned, "winnow")
+    each = scanned.select("id", "mark", F.inline(F.arrays_zip("gram", "at", "size", "left", "right")))
+    place = F.struct("id", "mark", "at", "size", "left", "right")
+    firsts = each.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.min(place).alias("first")).filter("c > 1").select("gram", "first.*")
     firsts = materialize(firsts, "winnow-first")
-    low = F.greatest(F.col("p") - WINDOW_WORDS, F.lit(0))
-    anchors = firsts.groupBy("row").agg(F.collect_list(F.struct("gram", "p", "n")).alias("list"))  # at most a text's fingerprints
-    context = (scanned.select("row", "units").join(anchors, "row").select("row", "units", F.inline("list"))
-               .select("gram", F.col("row").alias("first"), "p", F.slice("units", low + 1, F.col("p") - low).alias("left"),
-                       F.slice("units", F.col("p") + F.col("n") + 1, F.lit(WINDOW_WORDS)).alias("right")))
+    anchors = firsts.groupBy("id", "mark").agg(F.collect_list(F.struct("gram", "at", "size", "left", "right")).alias("list"))  # a text's fingerprints at most
+    context = scanned.select("id", "mark", "units").join(anchors, ["id", "mark"]).select("id", "mark", "units", F.inline("list")).select(
+        "gram", F.col("id").alias("first_id"), F.col("mark").alias("first_mark"), F.col("at").alias("first_at"),
+        F.slice("units", F.col("at") - F.col("left") + 1, F.col("left")).alias("before"),
+        F.slice("units", F.col("at") + F.col("size") + 1, F.col("right")).alias("after"))
     context = materialize(context.dropDuplicates(["gram"]), "winnow-context")  # written, so that a skewed gram can be split in the join below
-    later = each.join(context, "gram").filter((F.col("row") != F.col("first")) | (F.col("at") != F.col("p")))
-    matches = later.groupBy("row").agg(F.collect_set(F.struct("at", "size", "left", "right")).alias("matches"))
-    once = scanned.select("row", "units").dropDuplicates(["row"])
-    return once.join(matches, "row").mapInPandas(
-        _extend, "row struct<none: boolean, id: bigint, mark: bigint>, begin array<int>, end array<int>")
+    later = each.select("gram", "id", "mark", "at", "size").join(context, "gram").filter(
+        "id <> first_id or mark <> first_mark or at <> first_at")
+    matches = later.groupBy("id", "mark").agg(F.collect_set(F.struct("at", "size", "before", "after")).alias("matches"))
+    once = scanned.select("id", "mark", "units").dropDuplicates(["id", "mark"])
+    return once.join(matches, ["id", "mark"]).mapInPandas(_extend, "id long, mark long, begin array<int>, end array<int>")
 
 
 def _kept(text: str | None, begin: list | None, end: list | None) -> tuple[str | None, int]:
@@ -204,9 +216,7 @@ def _rewrite(texts: pd.Series, begin: pd.Series, end: pd.Series) -> pd.DataFrame
 
 def cut(docs: DataFrame) -> DataFrame:
     """``docs`` with later repeated runs cut from ``text``, plus ``__dropped``; extra columns may have any name."""
-    whole = docs.select(F.struct(*docs.columns).alias("all"), F.xxhash64("text").alias("mark"), "doc_id").select(
-        "all", row_key("doc_id", "mark").alias("row"))
-    joined = whole.join(spans(docs), "row", "left")
+    joined = keyed(docs).join(spans(docs), ["id", "mark"], "left")
     hit = joined.withColumn("new", F.when(F.col("begin").isNotNull(), _rewrite("all.text", "begin", "end")))
     return hit.select(*[F.coalesce("new.text", "all.text").alias("text") if c == "text" else F.col(f"all.`{c}`").alias(c) for c in docs.columns],
                       F.coalesce("new.dropped", F.lit(0).cast("long")).alias("__dropped"))
