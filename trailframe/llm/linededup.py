@@ -21,6 +21,7 @@ empty table gives no rows. Other columns are kept by ``cut``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -35,6 +36,8 @@ WINDOW_WORDS = 16
 #: Context of a fingerprint on either side: a window, and a gram because units are whole.
 REACH_WORDS = WINDOW_WORDS + GRAM_WORDS
 PIECE_WORDS = 8
+#: Texts are hashed together up to so many bytes; in the word count, one stands so many words after the other.
+GROUP_BYTES, APART = 1 << 18, 1 << 20
 BLANKS = np.zeros(256, dtype=bool)
 BLANKS[[9, 10, 11, 12, 13, 32]] = True
 STOPS = np.zeros(256, dtype=bool)
@@ -75,45 +78,66 @@ def run_hashes(values: np.ndarray, begin: np.ndarray, end: np.ndarray, powers: P
 BYTES, WORDS = Powers(BYTE_FACTOR), Powers(WORD_FACTOR)
 
 
-def units(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, word counts and ends (in UTF-8 bytes) of the units of a text; white space around a unit doesn't count."""
-    raw = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
+@dataclass
+class Units:
+    """Units of some texts in a row: hashes, word counts, ends (UTF-8 bytes from the start of the text) and text numbers."""
+
+    hashes: np.ndarray
+    words: np.ndarray
+    ends: np.ndarray
+    text: np.ndarray
+
+
+def units_of(texts: list[str]) -> Units:
+    """Units of all texts at once; white space around a unit doesn't count."""
+    parts = [t.encode("utf-8", "replace") for t in texts]
+    raw = np.frombuffer(b"\n".join([*parts, b""]), dtype=np.uint8)
+    stop = np.cumsum([len(p) + 1 for p in parts]) - 1  # where each text ends
     blank = np.concatenate(([True], BLANKS[raw], [True]))
     edge = np.flatnonzero(blank[1:] != blank[:-1])
     begin, end = edge[::2], edge[1::2]
     if not len(begin):
-        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        return Units(np.empty(0, dtype=np.uint64), *[np.empty(0, dtype=np.int64)] * 3)
     words = run_hashes(raw.astype(np.uint64) + np.uint64(1), begin, end, BYTES)
-    lines = np.concatenate(([0], np.cumsum(raw == 10)))
+    lines = np.flatnonzero(raw == 10)
     closes = STOPS[raw[end - 1]] | ((words >> np.uint64(40)) % np.uint64(PIECE_WORDS) == 0)
-    closes[:-1] |= lines[begin[1:]] > lines[end[:-1]]
+    closes[:-1] |= np.searchsorted(lines, begin[1:]) > np.searchsorted(lines, end[:-1])
     closes[-1] = True
     last = np.flatnonzero(closes)
     first = np.concatenate(([0], last[:-1] + 1))
-    ends = np.append(begin[first[1:]], len(raw))  # the blanks after a unit belong to it
-    return run_hashes(words, first, last + 1, WORDS), last + 1 - first, ends
+    text = np.searchsorted(stop, begin[first])
+    ends = np.minimum(np.append(begin[first[1:]], len(raw)), stop[text])  # the blanks after a unit belong to it
+    return Units(run_hashes(words, first, last + 1, WORDS), last + 1 - first, ends - (stop[text] - np.array([len(p) for p in parts])[text]), text)
+
 
+def units(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, word counts and ends of the units of one text."""
+    found = units_of([text])
+    return found.hashes, found.words, found.ends
 
-def winnow(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of one text: place, length, and units of a window's context on both sides (four rows), and hashes."""
-    ends = np.cumsum(words)
-    starts = ends - words
+
+def winnow(found: Units) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints: place, length, and units of context on both sides (four rows), and hashes. Places count over all texts."""
+    ends = np.cumsum(found.words) + found.text * APART
+    starts = ends - found.words
     last = np.searchsorted(ends, starts + GRAM_WORDS)
-    real = np.nonzero((last < len(ends)) & (words > 0))[0]
+    real = np.flatnonzero(last < len(ends))
+    real = real[found.text[last[real]] == found.text[real]]
     if not len(real):
         return np.empty((4, 0), dtype=np.int32), np.empty(0, dtype=np.int64)
-    grams = run_hashes(hashes, real, last[real] + 1, WORDS)
+    grams = run_hashes(found.hashes, real, last[real] + 1, WORDS)
     place = starts[real]
     reach = np.searchsorted(place, place + WINDOW_WORDS)
-    best = np.arange(len(real))
-    for step in range(1, int((reach - np.arange(len(real))).max(initial=1))):
-        other = np.arange(len(real)) + step
-        inside = other < reach
-        other = np.minimum(other, len(real) - 1)
-        best = np.where(inside & (grams[other] <= grams[best]), other, best)
+    best, row = np.arange(len(real)), np.arange(len(real))
+    for step in range(1, int((reach - row).max())):
+        other = row + step
+        inside = np.flatnonzero(other < reach)
+        smaller = inside[grams[other[inside]] <= grams[best[inside]]]
+        best[smaller] = other[smaller]
     chosen = np.unique(best)
     at, to = real[chosen], last[real[chosen]] + 1
-    left = at - np.maximum(0, np.searchsorted(starts, starts[at] - REACH_WORDS) - 1)
+    low = np.searchsorted(found.text, found.text[at])
+    left = at - np.maximum(low, np.searchsorted(starts, starts[at] - REACH_WORDS) - 1)
     right = np.searchsorted(starts, ends[to - 1] + REACH_WORDS, side="right") - to
     return np.stack([at, to - at, left, right]).astype(np.int32), grams[chosen].view(np.int64)
 
@@ -126,18 +150,42 @@ def short(hashes: np.ndarray) -> np.ndarray:
 SCANNED = ["id", "mark", "units", "at", "size", "left", "right", "gram"]
 
 
+def _groups(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``GROUP_BYTES``; a longer text is a group of its own."""
+    begin, total = 0, 0
+    for i, size in enumerate(sizes):
+        if total and total + size > GROUP_BYTES:
+            yield begin, i
+            begin, total = i, 0
+        total += size
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = []
-        for doc_id, mark, text in zip(batch["id"], batch["mark"], batch["text"], strict=True):
-            h, n, _ = units(text)
-            places, gram = winnow(h, n)
-            if len(gram):
-                rows.append((doc_id, mark, short(h), *places, gram))
+        ids, marks, texts, rows = batch["id"].tolist(), batch["mark"].tolist(), batch["text"].tolist(), []
+        for lo, hi in _groups([len(t) for t in texts]):
+            found = units_of(texts[lo:hi])
+            places, gram = winnow(found)
+            small, numbers = short(found.hashes), np.arange(hi - lo + 1)
+            edge, cut_at = np.searchsorted(found.text, numbers), np.searchsorted(found.text[places[0]], numbers)
+            for k in np.flatnonzero(np.diff(cut_at)).tolist():
+                a, b = cut_at[k], cut_at[k + 1]
+                own = places[:, a:b].copy()
+                own[0] -= edge[k]
+                rows.append((ids[lo + k], marks[lo + k], small[edge[k]:edge[k + 1]], *own, gram[a:b]))
         if rows:
             yield pd.DataFrame(rows, columns=SCANNED)
 
 
+def agreeing(a: np.ndarray, b: np.ndarray) -> int:
+    """Length of the common beginning."""
+    n = min(len(a), len(b))
+    other = (a[:n] != b[:n]).argmax() if n else 0
+    return int(n if n == 0 or a[other] == b[other] else other)
+
+
 def _spans(rows: pd.DataFrame) -> pd.DataFrame:
     """Extend the matches of each text and merge them into spans (first unit, unit after the last)."""
     out = []
@@ -145,14 +193,8 @@ def _spans(rows: pd.DataFrame) -> pd.DataFrame:
         hit = np.zeros(len(own) + 1, dtype=np.int32)
         for m in matches:
             lo, hi, left, right = m["at"], m["at"] + m["size"], m["before"], m["after"]
-            for x in left[::-1]:
-                if lo == 0 or own[lo - 1] != x:
-                    break
-                lo -= 1
-            for x in right:
-                if hi == len(own) or own[hi] != x:
-                    break
-                hi += 1
+            lo -= agreeing(own[max(0, lo - len(left)):lo][::-1], left[::-1])
+            hi += agreeing(own[hi:hi + len(right)], right)
             hit[lo] += 1
             hit[hi] -= 1
         inside = np.concatenate(([0], (np.cumsum(hit[:-1]) > 0).astype(np.int8), [0]))
