@@ -124,7 +124,7 @@ def winnow(found: Units) -> tuple[np.ndarray, np.ndarray]:
     real = np.flatnonzero(last < len(ends))
     real = real[found.text[last[real]] == found.text[real]]
     if not len(real):
-        return np.empty((4, 0), dtype=np.int32), np.empty(0, dtype=np.int64)
+        return np.empty((4, 0), dtype=np.int64), np.empty(0, dtype=np.int64)
     grams = run_hashes(found.hashes, real, last[real] + 1, WORDS)
     place = starts[real]
     reach = np.searchsorted(place, place + WINDOW_WORDS)
@@ -139,7 +139,7 @@ def winnow(found: Units) -> tuple[np.ndarray, np.ndarray]:
     low = np.searchsorted(found.text, found.text[at])
     left = at - np.maximum(low, np.searchsorted(starts, starts[at] - REACH_WORDS) - 1)
     right = np.searchsorted(starts, ends[to - 1] + REACH_WORDS, side="right") - to
-    return np.stack([at, to - at, left, right]).astype(np.int32), grams[chosen].view(np.int64)
+    return np.stack([at, to - at, left, right]), grams[chosen].view(np.int64)
 
 
 def short(hashes: np.ndarray) -> np.ndarray:
@@ -147,7 +147,17 @@ def short(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-SCANNED = ["id", "mark", "units", "at", "size", "left", "right", "gram"]
+SCANNED = ["id", "mark", "units", "place", "gram"]
+
+
+def packed(places: np.ndarray) -> np.ndarray:
+    """Place, length and context in one number that sorts by place; none but the place reaches 64, as every unit has a word."""
+    return ((places[0] << 6 | places[1]) << 6 | places[2]) << 6 | places[3]
+
+
+def unpack(place: str) -> dict[str, Column]:
+    field = lambda bits: F.shiftright(place, bits).bitwiseAND(F.lit(63).cast("long")).cast("int")
+    return {"at": F.shiftright(place, 18).cast("int"), "size": field(12), "left": field(6), "right": field(0)}
 
 
 def _groups(sizes: list[int]) -> Iterator[tuple[int, int]]:
@@ -174,7 +184,7 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 a, b = cut_at[k], cut_at[k + 1]
                 own = places[:, a:b].copy()
                 own[0] -= edge[k]
-                rows.append((ids[lo + k], marks[lo + k], small[edge[k]:edge[k + 1]], *own, gram[a:b]))
+                rows.append((ids[lo + k], marks[lo + k], small[edge[k]:edge[k + 1]], packed(own), gram[a:b]))
         if rows:
             yield pd.DataFrame(rows, columns=SCANNED)
 
@@ -218,20 +228,19 @@ def keyed(docs: DataFrame) -> DataFrame:
 def spans(docs: DataFrame) -> DataFrame:
     """(id, mark, begin, end): unit spans to delete, by row key."""
     scanned = keyed(docs).filter("all.text is not null").select("id", "mark", "all.text").mapInPandas(
-        _scan, "id long, mark long, units array<int>, at array<int>, size array<int>, left array<int>, right array<int>, gram array<long>")
+        _scan, "id long, mark long, units array<int>, place array<long>, gram array<long>")
     scanned = materialize(scanned, "winnow")
-    each = scanned.select("id", "mark", F.inline(F.arrays_zip("gram", "at", "size", "left", "right")))
-    place = F.struct("id", "mark", "at", "size", "left", "right")
+    each = scanned.select("id", "mark", F.inline(F.arrays_zip("gram", "place")))
+    place = F.struct("id", "mark", "place")
     firsts = each.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.min(place).alias("first")).filter("c > 1").select("gram", "first.*")
     firsts = materialize(firsts, "winnow-first")
-    anchors = firsts.groupBy("id", "mark").agg(F.collect_list(F.struct("gram", "at", "size", "left", "right")).alias("list"))  # a text's fingerprints at most
-    context = scanned.select("id", "mark", "units").join(anchors, ["id", "mark"]).select("id", "mark", "units", F.inline("list")).select(
-        "gram", F.col("id").alias("first_id"), F.col("mark").alias("first_mark"), F.col("at").alias("first_at"),
+    anchors = firsts.groupBy("id", "mark").agg(F.collect_list(F.struct("gram", "place")).alias("list"))  # a text's fingerprints at most
+    context = scanned.select("id", "mark", "units").join(anchors, ["id", "mark"]).select("id", "mark", "units", F.inline("list")).withColumns(unpack("place")).select(
+        "gram", F.col("id").alias("first_id"), F.col("mark").alias("first_mark"), F.col("place").alias("first_place"),
         F.slice("units", F.col("at") - F.col("left") + 1, F.col("left")).alias("before"),
         F.slice("units", F.col("at") + F.col("size") + 1, F.col("right")).alias("after"))
     context = materialize(context.dropDuplicates(["gram"]), "winnow-context")  # written, so that a skewed gram can be split in the join below
-    later = each.select("gram", "id", "mark", "at", "size").join(context, "gram").filter(
-        "id <> first_id or mark <> first_mark or at <> first_at")
+    later = each.join(context, "gram").filter("id <> first_id or mark <> first_mark or place <> first_place").withColumns(unpack("place"))
     matches = later.groupBy("id", "mark").agg(F.collect_set(F.struct("at", "size", "before", "after")).alias("matches"))
     once = scanned.select("id", "mark", "units").dropDuplicates(["id", "mark"])
     return once.join(matches, ["id", "mark"]).mapInPandas(_extend, "id long, mark long, begin array<int>, end array<int>")
