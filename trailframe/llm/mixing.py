@@ -38,6 +38,7 @@ DEFAULT_WEIGHT = 0.05
 BUCKET_ROWS = 4096
 TREE = ("domain", "lang", "source")
 LEAF = "__leaf"
+TIE = "__tie"
 #: Leaf tables of at most so many rows (under 30 MB) are broadcast; larger ones are joined by a shuffle.
 BROADCAST_LEAVES = 200_000
 
@@ -92,8 +93,14 @@ def budgets(leaves: DataFrame, fraction: float, max_epochs: int) -> DataFrame:
         *TREE, "tokens", F.floor(F.round("given", 3)).cast("long").alias("budget"))
 
 
-def order_key(epoch: Column, doc_id: Column, seed: int) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+def order_key(epoch: Column, doc_id: Column, tie: Column, seed: int) -> Column:
+    """Place of a row in an epoch: by hash of its id; rows of one id (or of none) follow each other by ``tie``."""
+    return F.concat(F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("null")))), tie)
+
+
+def tie_key() -> Column:
+    """Hash of the text, then a number of the row. Only for tables that are written before the key is used."""
+    return F.concat(F.lpad(F.hex(F.xxhash64("text")), 16, "0"), F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0"))
 
 
 def at_leaves(rows: DataFrame, leaves: DataFrame, known: int) -> DataFrame:
@@ -113,7 +120,7 @@ def plan(counted: DataFrame, fraction: float, max_epochs: int, seed: int) -> tup
         made.select(leaf_key().alias(LEAF), "budget", F.floor(F.col("budget") / F.col("tokens")).cast("int").alias("epochs"),
                     (F.col("budget") % F.col("tokens")).alias("rest")), "mix-budgets")
     keyed = at_leaves(counted, leaves.filter(F.col("rest") > 0), known).select(
-        LEAF, "n_tokens", "rest", order_key(F.col("epochs"), F.col("doc_id"), seed).alias("key"))
+        LEAF, "n_tokens", "rest", order_key(F.col("epochs"), F.col("doc_id"), F.col(TIE), seed).alias("key"))
     keyed = keyed.withColumn("bucket", F.substring("key", 1, digits))
     buckets = keyed.groupBy(LEAF, "bucket").agg(F.sum("n_tokens").alias("tokens"), F.first("rest").alias("rest"))
     running = F.sum("tokens").over(W.partitionBy(LEAF).orderBy("bucket"))
@@ -129,15 +136,16 @@ def plan(counted: DataFrame, fraction: float, max_epochs: int, seed: int) -> tup
 
 def select(rows: DataFrame, leaves: DataFrame, known: int, seed: int) -> DataFrame:
     """``rows`` (with doc_id and the leaf key) once per epoch that takes them, with column ``__epoch``."""
-    partial = F.col("cut_key").isNotNull() & (order_key(F.col("epochs"), F.col("doc_id"), seed) <= F.col("cut_key"))
+    partial = F.col("cut_key").isNotNull() & (order_key(F.col("epochs"), F.col("doc_id"), F.col(TIE), seed) <= F.col("cut_key"))
     times = F.col("epochs") + F.when(partial, 1).otherwise(0)
     return (at_leaves(rows, leaves, known).withColumn("__times", times).filter(F.col("__times") > 0)
             .withColumn("__epoch", F.explode(F.sequence(F.lit(0), F.col("__times") - 1)))
-            .drop("__times", "epochs", "cut_key"))
+            .drop("__times", "epochs", "cut_key", TIE))
 
 
-def counted(docs: DataFrame) -> DataFrame:
-    found = docs.select("doc_id", domain_of(F.col("source")).alias("domain"), "lang", "source", word_count(F.col("text")).alias("n_tokens"))
+def counted(docs: DataFrame, tie: Column | None = None) -> DataFrame:
+    found = docs.select("doc_id", domain_of(F.col("source")).alias("domain"), "lang", "source",
+                        word_count(F.col("text")).alias("n_tokens"), (tie_key() if tie is None else tie).alias(TIE))
     return materialize(found.withColumn(LEAF, leaf_key()), "mix-counted")
 
 
@@ -150,15 +158,17 @@ def mixture(docs: DataFrame, fraction: float = FRACTION, max_epochs: int = MAX_E
 
 def select_documents(docs: DataFrame, fraction: float, max_epochs: int = 1, seed: int = SEED) -> DataFrame:
     """The mixture's rows of ``docs`` with all their columns."""
-    leaves, known = plan(counted(docs), fraction, max_epochs, seed)
+    columns = docs.columns
+    docs = materialize(docs.withColumn(TIE, tie_key()), "mix-docs")
+    leaves, known = plan(counted(docs, F.col(TIE)), fraction, max_epochs, seed)
     leaves = leaves.select(
         LEAF, F.col("epochs").alias("__epochs"), F.col("cut_key").alias("__cut"))
     key = F.concat_ws("/", *[F.coalesce(F.concat(F.lit("="), c), F.lit("-")) for c in (
         domain_of(F.col("source")), F.col("lang"), F.col("source"))])
-    partial = F.col("__cut").isNotNull() & (order_key(F.col("__epochs"), F.col("doc_id"), seed) <= F.col("__cut"))
+    partial = F.col("__cut").isNotNull() & (order_key(F.col("__epochs"), F.col("doc_id"), F.col(TIE), seed) <= F.col("__cut"))
     times = F.col("__epochs") + F.when(partial, 1).otherwise(0)
     return (at_leaves(docs.withColumn(LEAF, key), leaves, known).withColumn("__times", times).filter(F.col("__times") > 0)
-            .withColumn("__epoch", F.explode(F.sequence(F.lit(0), F.col("__times") - 1))).select(*docs.columns))
+            .withColumn("__epoch", F.explode(F.sequence(F.lit(0), F.col("__times") - 1))).select(*columns))
 
 
 def _case(column: str, weights: dict[str, float]) -> str:
