@@ -63,9 +63,13 @@ def fresh(labels: int, rng: np.random.Generator) -> Weights:
     return {k: v.astype(np.float32) for k, v in made.items()}
 
 
-def run(w: Weights, d: str, x: np.ndarray, keep: list | None = None) -> np.ndarray:
-    """States (steps, rows, hidden) of direction ``d`` over bytes ``x`` (steps, rows)."""
+def run(w: Weights, d: str, x: np.ndarray, size: np.ndarray, keep: list | None = None) -> np.ndarray:
+    """States (steps, rows, hidden) of direction ``d`` over bytes ``x`` (steps, rows), of which each row has ``size`` real ones.
+
+    States stay zero over the padding, so the backward direction begins at a row's last byte whatever it is padded to.
+    """
     steps, rows = x.shape
+    shortest = int(size.min(initial=steps))
     h = np.zeros((rows, HIDDEN), dtype=np.float32)
     states = np.empty((steps, rows, HIDDEN), dtype=np.float32)
     tables, inner = [w[f"x{g}{d}"] for g in GATES], [w[f"h{g}{d}"] for g in GATES]
@@ -78,13 +82,16 @@ def run(w: Weights, d: str, x: np.ndarray, keep: list | None = None) -> np.ndarr
         if keep is not None:
             keep.append((t, h, u, v, z, r, c))
         h = np.add(h, z * (c - h), out=states[t])
+        if t >= shortest:
+            h[size <= t] = 0
     return states
 
 
-def posteriors(w: Weights, x: np.ndarray) -> np.ndarray:
-    """(steps, rows, labels) probabilities of every byte of ``x`` (steps, rows)."""
-    logits = run(w, "f", x).reshape(-1, HIDDEN) @ w["of"]
-    logits += run(w, "b", x).reshape(-1, HIDDEN) @ w["ob"]
+def posteriors(w: Weights, x: np.ndarray, size: np.ndarray | None = None) -> np.ndarray:
+    """(steps, rows, labels) probabilities of every byte of ``x`` (steps, rows); without ``size`` all bytes are real."""
+    size = np.full(x.shape[1], x.shape[0]) if size is None else size
+    logits = run(w, "f", x, size).reshape(-1, HIDDEN) @ w["of"]
+    logits += run(w, "b", x, size).reshape(-1, HIDDEN) @ w["ob"]
     logits += w["bias"]
     np.clip(logits, -40, 40, out=logits)
     np.exp(logits, out=logits)
@@ -95,7 +102,7 @@ def posteriors(w: Weights, x: np.ndarray) -> np.ndarray:
 def _gradients(w: Weights, x: np.ndarray, y: np.ndarray, mask: np.ndarray) -> Weights:
     """Backpropagation through time over bytes ``x`` (steps, rows)."""
     kept: dict[str, list] = {"f": [], "b": []}
-    states = {d: run(w, d, x, kept[d]) for d in "fb"}
+    states = {d: run(w, d, x, mask.sum(axis=0), kept[d]) for d in "fb"}
     e = np.exp(np.clip(states["f"] @ w["of"] + states["b"] @ w["ob"] + w["bias"], -40, 40))
     delta = e / e.sum(axis=2, keepdims=True)
     delta[:, np.arange(len(y)), y] -= 1
@@ -106,7 +113,7 @@ def _gradients(w: Weights, x: np.ndarray, y: np.ndarray, mask: np.ndarray) -> We
         grad[f"o{d}"] = np.tensordot(states[d], delta, axes=((0, 1), (0, 1)))
         back = np.zeros((x.shape[1], HIDDEN), dtype=np.float32)
         for t, h, u, v, z, r, c in reversed(kept[d]):
-            dh = delta[t] @ w[f"o{d}"].T + back
+            dh = (delta[t] @ w[f"o{d}"].T + back) * mask[t][:, None]
             dc = dh * z * slope(c)
             dz = dh * (c - h) * 0.5 * slope(u)
             through = dc @ w[f"hc{d}"].T
@@ -172,7 +179,7 @@ def pooled(w: Weights, raw: list[bytes], labels: int) -> np.ndarray:
         for k in range(0, len(x), WIDE):
             some = by_length[k:k + WIDE]
             longest = int(size[some].max())
-            p = posteriors(w, np.ascontiguousarray(x[some, :longest].T))
+            p = posteriors(w, np.ascontiguousarray(x[some, :longest].T), size[some])
             p *= (np.arange(longest)[:, None] < size[some])[:, :, None]
             np.add.at(sums, place[some], p.sum(axis=0))
             np.add.at(counts, place[some], size[some])
