@@ -13,7 +13,7 @@ import pytest
 import xxhash
 
 from tests.llm.conftest import prose
-from trailframe.llm import chat, decontaminate, language, licenses, linededup, pii, quality, sharding, simhash
+from trailframe.llm import chat, decontaminate, language, licenses, linededup, mixing, pii, quality, sharding, simhash
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -538,3 +538,68 @@ def test_hashes_do_not_depend_on_the_place():
     alone, later = linededup.units(a), linededup.units(f"é 漢字\n{b}\n{a}")
     assert set(alone[0].tolist()) <= set(later[0].tolist()) and sum(later[1]) == 2 + 90 + 90
     assert later[2][-1] == len(f"é 漢字\n{b}\n{a}".encode()) and len(linededup.units(" \n")[0]) == 0
+
+
+# --- rows without an id of their own ----------------------------------------------------------------------------------
+
+
+def test_shards_of_rows_without_ids(documents):
+    """Copies under a null id, or under one repeated id, are spread like any others."""
+    rows = [(None, "one text", "en", "a")] * 2000 + [(7, "another text of some words", "en", "a")] * 2000
+    got = Counter(r["shard"] for r in sharding.assign(documents(rows)).collect())
+    assert sum(got.values()) == 4000 and len(got) == 40 and min(got.values()) > 50 and max(got.values()) < 160
+
+
+@pytest.mark.parametrize("cell_items", [400, 40])
+def test_small_groups_stay_whole_in_any_number_of_cells(documents, monkeypatch, cell_items):
+    monkeypatch.setattr(sharding, "CELL_ITEMS", cell_items)
+    monkeypatch.setattr(sharding, "FAN", 4)
+    rows = [(i, prose(i % 2000, 40), "en", "a") for i in range(4000)] + [(5000 + i, prose(9999, 40), "en", "a") for i in range(20)]
+    docs = documents(rows)
+    got = docs.select("doc_id", "text").join(sharding.assign(docs), "doc_id").collect()
+    shards, held = defaultdict(set), Counter()
+    for r in got:
+        shards[r["text"]].add(r["shard"])
+        held[r["shard"]] += r["size"]
+    assert len(got) == 4020 and all(len(s) == 1 for s in shards.values())
+    assert max(held.values()) < 1.15 * min(held.values())
+
+
+def test_mixture_of_rows_without_ids(documents):
+    """Half of the tokens are half of the rows, whether or not ids tell rows apart."""
+    for ids in (range(110), [None] * 110, [3] * 110):
+        for text in (lambda i: f"a b c w{i}", lambda i: "a b c d"):
+            docs = documents([(x, text(i), "en", "src0") for i, x in enumerate(ids)])
+            assert len(mixing.mixture(docs, fraction=0.5, max_epochs=1).collect()) == 55
+    assert mixing.select_documents(docs, 0.5).count() == 55
+
+
+def test_language_answers_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(3)
+    w = language.fresh(3, rng)
+    raw = [bytes(rng.integers(97, 122, n).astype(np.uint8)) for n in (1, 40, 255, 256, 257, 700)]
+    together = language.pooled(w, raw, 3)
+    for text, p in zip(raw, together, strict=True):
+        assert np.allclose(language.pooled(w, [text], 3)[0], p, atol=1e-6)
+
+
+def test_language_training_ignores_padding():
+    rng = np.random.default_rng(4)
+    w, y, size = language.fresh(2, rng), np.array([0, 1]), np.array([5, 3])
+    x = rng.integers(97, 122, (5, 2)).astype(np.uint8)
+    grads = []
+    for steps in (5, 9):
+        padded, mask = np.zeros((steps, 2), np.uint8), (np.arange(steps)[:, None] < size).astype(np.float32)
+        padded[:5] = x * (np.arange(5)[:, None] < size)
+        grads.append(language._gradients(w, padded, y, mask))
+    for name in grads[0]:
+        assert np.allclose(grads[0][name], grads[1][name], atol=1e-6)
+
+
+def test_license_rows_without_ids(documents):
+    """Rows with a null or repeated id are texts of their own: parts don't add up, copies report each."""
+    notice = licenses.TEMPLATES["MIT-notice"].split()
+    halves = [" ".join(notice[:15]), " ".join(notice[12:])]
+    assert licenses.scan(documents([(None, t, "en", "a") for t in halves])).count() == 0
+    got = licenses.scan(documents([(i, " ".join(notice), "en", "a") for i in (None, None, 3, 3, 4)])).collect()
+    assert Counter((r["doc_id"], r["template"]) for r in got) == {(None, "MIT-notice"): 2, (3, "MIT-notice"): 2, (4, "MIT-notice"): 1}

@@ -13,8 +13,8 @@ template is long form a stretch; a stretch counts when it holds at least ``CONTA
 
 Templates are a fixed list of at most ``MAX_TEMPLATES``, so their bands fit into literals of the plan.
 
-Defined cases: null, blank and short texts have no shingles and no matches; rows of one doc_id (null included) count as
-one document, so repeated rows report once; an empty table gives no rows. Other columns are ignored.
+Defined cases: null, blank and short texts have no shingles and no matches; every row is a text of its
+own, so repeated ids (null included) report once a row; an empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -93,25 +93,25 @@ def template_bands(templates: DataFrame) -> DataFrame:
 
 
 def retrieve(docs: DataFrame, bands: DataFrame) -> DataFrame:
-    """(doc_id, template, at, h0..) of text windows that share a band with a template window.
+    """(row, doc_id, template, at, h0..) of text windows that share a band with a template window.
 
     A shared minimum is a shingle of both, so windows without any template minimum are put aside before their bands are
     computed; this loses none.
     """
     lows = {(r["band"], r["low"]) for r in bands.select("band", "low").distinct().collect()}  # bounded by MAX_TEMPLATES
     known = sorted({low ^ constants()[band] for band, low in lows})
-    hashed = docs.select("doc_id", let(split_words(F.col("text")), shingle_hashes).alias("h0"))
+    hashed = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), let(split_words(F.col("text")), shingle_hashes).alias("h0"))
     shifted = [F.slice("h0", i + 1, F.size("h0")).alias(f"h{i}") for i in range(1, WINDOW)]
-    cells = hashed.filter(F.size("h0") > 0).select("doc_id", F.posexplode(F.arrays_zip("h0", *shifted)).alias("at", "w"))
-    cells = cells.filter(F.col("at") % STRIDE == 0).select("doc_id", "at", *[F.col(f"w.h{i}").alias(f"h{i}") for i in range(WINDOW)])
+    cells = hashed.filter(F.size("h0") > 0).select("row", "doc_id", F.posexplode(F.arrays_zip("h0", *shifted)).alias("at", "w"))
+    cells = cells.filter(F.col("at") % STRIDE == 0).select("row", "doc_id", "at", *[F.col(f"w.h{i}").alias(f"h{i}") for i in range(WINDOW)])
     touched = F.lit(False)
     for i in range(WINDOW):
         touched = touched | F.col(f"h{i}").isin(known)
-    touching = cells.filter(F.coalesce(touched, F.lit(False))).repartition("doc_id")
+    touching = cells.filter(F.coalesce(touched, F.lit(False))).repartition("row")
     marks = F.posexplode(F.array(*minima([F.col(f"h{i}") for i in range(WINDOW)]))).alias("band", "low")
     names = [f"h{i}" for i in range(WINDOW)]
-    return touching.select("doc_id", "at", *names, marks).join(F.broadcast(bands), ["band", "low"]).select(
-        "doc_id", "template", "at", *names).distinct()
+    return touching.select("row", "doc_id", "at", *names, marks).join(F.broadcast(bands), ["band", "low"]).select(
+        "row", "doc_id", "template", "at", *names).distinct()
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
@@ -119,15 +119,15 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     spark = docs.sparkSession
     known = template_table(spark, TEMPLATES if templates is None else templates)
     found = retrieve(docs, template_bands(known))
-    shingles = found.select("doc_id", "template", "at", F.posexplode(F.array(*[F.col(f"h{i}") for i in range(WINDOW)])).alias("i", "shingle"))
-    shingles = shingles.select("doc_id", "template", (F.col("at") + F.col("i")).alias("pos"), "shingle")
+    shingles = found.select("row", "doc_id", "template", "at", F.posexplode(F.array(*[F.col(f"h{i}") for i in range(WINDOW)])).alias("i", "shingle"))
+    shingles = shingles.select("row", "doc_id", "template", (F.col("at") + F.col("i")).alias("pos"), "shingle")
     own = known.select("template", F.explode(F.array_distinct("hashes")).alias("shingle"))
     own = own.withColumn("total", F.count(F.lit(1)).over(W.partitionBy("template")))
     hits = shingles.join(F.broadcast(own), ["template", "shingle"]).distinct()
-    ordered = W.partitionBy("doc_id", "template").orderBy("pos")
+    ordered = W.partitionBy("row", "template").orderBy("pos")
     far = F.coalesce(F.col("pos") - F.lag("pos").over(ordered) > F.col("total"), F.lit(True))
     stretches = hits.withColumn("far", far.cast("int")).withColumn("stretch", F.sum("far").over(ordered))
-    return (stretches.groupBy("doc_id", "template", "stretch")
+    return (stretches.groupBy("row", "doc_id", "template", "stretch")
             .agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.count_distinct("shingle").alias("matched"),
                  F.first("total").alias("total"))
             .filter(F.col("matched") * 10 >= F.col("total") * int(CONTAINMENT * 10))
