@@ -123,6 +123,30 @@ def test_mean_shift_equals_brute_force(df, blobs):
     assert labelled.select("cluster_id").distinct().count() == len(kept)
 
 
+def test_strongest_centres_in_rounds(spark):
+    """5000 centres: what greedy suppression keeps, in a number of rounds that doesn't follow theirs."""
+    rng = np.random.default_rng(5)
+    x = np.round(np.concatenate([rng.uniform(0, 150, (4500, 2)), rng.uniform(0, 5, (500, 2))]), 6)
+    hits = rng.integers(1, 50, len(x))
+    df = spark.createDataFrame([(int(h), float(a), float(b)) for h, (a, b) in zip(hits, x)], "hits long, c0 double, c1 double")
+    before = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    got = cluster.strongest(df, ["c0", "c1"], 1.5).collect()
+    assert spark.sparkContext._jsc.sc().dagScheduler().nextJobId() - before < 150
+    kept = []
+    for h, a, b in sorted(zip(hits, x[:, 0], x[:, 1]), reverse=True):
+        if all((a - p) ** 2 + (b - q) ** 2 > 1.5**2 for _, p, q in kept):
+            kept.append((h, a, b))
+    assert sorted(map(tuple, got)) == sorted(kept) and len(kept) > 2000
+
+
+def test_mean_shift_labels_by_cells(df, monkeypatch):
+    few = cluster.mean_shift(df, ["a", "b"], 0.7).select("id", "cluster_id").toPandas().set_index("id")
+    monkeypatch.setattr(cluster, "FEW_CENTRES", 0)
+    many = cluster.mean_shift(df, ["a", "b"], 0.7).select("id", "cluster_id").toPandas().set_index("id")
+    assert len(few) == len(many) and few["cluster_id"].nunique() > 5
+    assert (few["cluster_id"] == many["cluster_id"].reindex(few.index)).all()
+
+
 def test_mean_shift_needs_a_bandwidth_and_settles(df):
     with pytest.raises(ValueError):
         cluster.cluster(df, ABC, "mean-shift", 3)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from trailframe import schemas as S
 from trailframe.functions.columns import hash_order, sq_distance
+from trailframe.operators.ordered import dense_index
 from trailframe.operators.prep import preprocess
 from trailframe.operators.regions import with_region
 from trailframe.session import materialize, scratch_path
@@ -22,6 +23,8 @@ LABEL = "cluster_id"
 SEED = 42
 BANDWIDTH_QUANTILE = 0.2
 MAX_SHIFTS = 300
+#: Centres that are compared one by one inside the plan.
+FEW_CENTRES = 256
 #: Points that hierarchical clustering condenses a table to, whatever its size.
 MICRO_CLUSTERS = 200
 _VECTOR = "_features"
@@ -173,9 +176,21 @@ def _cells(names: Sequence[str], side: float) -> list[Column]:
     return [F.floor(F.col(n) / F.lit(side)).cast("long").alias(f"_cell{i}") for i, n in enumerate(names[:3])]
 
 
-def mean_shift_centres(df: DataFrame, features: Sequence[str], bandwidth: float,
-                       max_shifts: int = MAX_SHIFTS) -> list[tuple]:
-    """Centres of a flat-kernel mean shift from one start per occupied grid cell.
+def _beside(names: Sequence[str], side: float) -> Column:
+    """Exploded cells around a point, its own included, with fields as ``_cells`` of the same side has them."""
+    own = _cells(names, side)
+    return F.explode(F.array(*[
+        F.struct(*[(F.floor(F.col(n) / F.lit(side)).cast("long") + o).alias(f"_cell{i}")
+                   for i, (n, o) in enumerate(zip(names, offsets))]) for offsets in product((-1, 0, 1), repeat=len(own))]))
+
+
+def _gap(a: Sequence[str], b: Sequence[str]) -> Column:
+    """Squared distance of two points given by column names."""
+    return reduce(lambda t, p: t + (F.col(p[0]) - F.col(p[1])) * (F.col(p[0]) - F.col(p[1])), zip(a, b), F.lit(0.0))
+
+
+def settled_centres(df: DataFrame, features: Sequence[str], bandwidth: float, max_shifts: int = MAX_SHIFTS) -> DataFrame:
+    """(hits, c0..): centres of a flat-kernel mean shift from one start per occupied grid cell.
 
     Starts move in parallel: points meet the starts of their own and neighbouring grid cells by an equality join on the
     cell (the start table is far smaller and is broadcast while Spark's size check allows), and each start becomes the
@@ -191,14 +206,8 @@ def mean_shift_centres(df: DataFrame, features: Sequence[str], bandwidth: float,
     moving = materialize(points.select(*binned).distinct(), "starts")
     base = scratch_path(df.sparkSession, "shifts")
     for shift in range(max_shifts + 1):
-        neighbours = F.array(*[
-            F.struct(*[(F.floor(F.col(f"c{i}") / F.lit(bandwidth)).cast("long") + o).alias(c)
-                       for i, (c, o) in enumerate(zip(cells, offsets))])
-            for offsets in product((-1, 0, 1), repeat=len(cells))
-        ])
-        around = moving.withColumn("_n", F.explode(neighbours)).select(*centre, "_n.*")
-        gap = reduce(lambda t, i: t + (F.col(f"x{i}") - F.col(f"c{i}")) * (F.col(f"x{i}") - F.col(f"c{i}")), range(d), F.lit(0.0))
-        near = points.join(around, cells).where(gap <= F.lit(bandwidth * bandwidth))
+        around = moving.withColumn("_n", _beside(centre, bandwidth)).select(*centre, "_n.*")
+        near = points.join(around, cells).where(_gap(names, centre) <= F.lit(bandwidth * bandwidth))
         means = near.groupBy(*centre).agg(
             F.sum("w").alias("hits"), *[(F.sum(F.col(f"x{i}") * F.col("w")) / F.sum("w")).alias(f"m{i}") for i in range(d)])
         step = reduce(lambda t, i: t + (F.col(f"m{i}") - F.col(f"c{i}")) * (F.col(f"m{i}") - F.col(f"c{i}")), range(d), F.lit(0.0))
@@ -211,27 +220,87 @@ def mean_shift_centres(df: DataFrame, features: Sequence[str], bandwidth: float,
     else:
         raise RuntimeError(f"mean shift has not settled after {max_shifts} moves")
     points.unpersist()
-    # Keep the strongest centre, drop the ones within a bandwidth of it, repeat: one small job per final cluster.
-    left = df.sparkSession.read.parquet(base).where("still").select(
-        *centre, "hits").persist()
-    stored = left
-    centres: list[tuple] = []
+    settled = df.sparkSession.read.parquet(base).where("still").select("hits", *centre)
+    return strongest(materialize(settled.distinct(), "settled"), centre, bandwidth)
+
+
+def strongest(settled: DataFrame, centre: Sequence[str], bandwidth: float) -> DataFrame:
+    """What is left when the strongest centre is kept, all within a bandwidth of it go, and so on.
+
+    Centres without a stronger one within the bandwidth are kept in the same round, and those near a kept one go; that is the
+    same as one after the other. Rounds follow the longest chain of ever stronger neighbours, not the number of centres.
+    """
+    base = scratch_path(settled.sparkSession, "centres")
+    cells = [f"_cell{i}" for i in range(min(len(centre), 3))]
+    other = [f"_{c}" for c in centre]
+    left, number = settled, 0
+    while not left.isEmpty():
+        around = left.select("hits", *centre, _beside(centre, bandwidth).alias("_at")).select("hits", *centre, "_at.*")
+        held = left.select(F.col("hits").alias("_hits"), *[F.col(c).alias(o) for c, o in zip(centre, other)], *_cells(centre, bandwidth))
+        near = around.join(held, cells).where(_gap(centre, other) <= F.lit(bandwidth * bandwidth))
+        top = near.groupBy("hits", *centre).agg(F.max(F.struct("_hits", *other)).alias("_top"))
+        path = f"{base}/round={number}"
+        top.where(F.col("_top") == F.struct(F.col("hits").alias("_hits"), *[F.col(c).alias(o) for c, o in zip(centre, other)])).select(
+            "hits", *centre).write.parquet(path)
+        kept = settled.sparkSession.read.schema(settled.schema).parquet(path)
+        taken = kept.select(*[F.col(c).alias(o) for c, o in zip(centre, other)], _beside(centre, bandwidth).alias("_at")).select(*other, "_at.*")
+        gone = left.select("hits", *centre, *_cells(centre, bandwidth)).join(taken, cells).where(
+            _gap(centre, other) <= F.lit(bandwidth * bandwidth)).select("hits", *centre)
+        left = materialize(left.join(gone, ["hits", *centre], "left_anti"), "centres-left")
+        number += 1
+    if not number:
+        return settled
+    return settled.sparkSession.read.schema(settled.schema).parquet(base).select("hits", *centre)
+
+
+def mean_shift_centres(df: DataFrame, features: Sequence[str], bandwidth: float, max_shifts: int = MAX_SHIFTS) -> list[tuple]:
+    """The centres of ``settled_centres`` as a list, the strongest first."""
+    return _listed(settled_centres(df, features, bandwidth, max_shifts))
+
+
+def _listed(centres: DataFrame) -> list[tuple]:
+    rows = sorted((tuple(r) for r in centres.collect()), reverse=True)
+    return [tuple(float(v) for v in r[1:]) for r in rows]
+
+
+def _nearest_by_cells(df: DataFrame, features: Sequence[str], centres: DataFrame, bandwidth: float) -> DataFrame:
+    """Label of the nearest centre by joins on neighbouring cells, whose side doubles for points that have none near enough."""
+    names, centre = [f"x{i}" for i in range(len(features))], [c for c in centres.columns if c != "hits"]
+    cells = [f"_cell{i}" for i in range(min(len(names), 3))]
+    numbered = materialize(dense_index(
+        centres.select((-F.col("hits")).alias("hits"), *[(-F.col(c)).alias(c) for c in centre]), ["hits", *centre], "_label",
+        F.col("hits").cast("double")).select((F.col("_label") - 1).cast("int").alias(LABEL), *[(-F.col(c)).alias(c) for c in centre]), "labels")
+    left = materialize(df.select(*[F.col(f).cast("double").alias(n) for f, n in zip(features, names)]).dropna().distinct(), "points")
+    reach = numbered.agg(*[F.max(F.abs(c)).alias(c) for c in centre]).first()
+    farthest = left.agg(*[F.max(F.abs(n)).alias(n) for n in names]).first()
+    widest = 2 * max([float(v or 0) for v in (*reach, *farthest)]) + bandwidth
+    side, found = bandwidth, []
     while True:
-        top = left.orderBy(F.desc("hits"), *[F.desc(c) for c in centre]).limit(1).collect()
-        if not top:
+        around = left.select(*names, _beside(names, side).alias("_at")).select(*names, "_at.*")
+        held = numbered.select(LABEL, *centre, *_cells(centre, side))
+        best = around.join(held, cells).groupBy(*names).agg(F.min(F.struct(_gap(names, centre).alias("d"), LABEL)).alias("_b"))
+        sure = F.lit(True) if side > widest else F.col("_b.d") < F.lit(side * side * (1 - 1e-9))
+        found.append(materialize(best.where(sure).select(*names, F.col(f"_b.{LABEL}").alias(LABEL)), "labelled"))
+        left = materialize(left.join(found[-1], names, "left_anti"), "points")
+        if side > widest or left.isEmpty():
             break
-        best = tuple(float(top[0][c]) for c in centre)
-        centres.append(best)
-        left = left.where(sq_distance([F.col(c) for c in centre], best) > F.lit(bandwidth * bandwidth))
-    stored.unpersist()
-    return centres
+        side *= 2
+    labels = reduce(DataFrame.unionByName, found)
+    same = reduce(lambda t, p: t & p, [F.col(f).cast("double") == F.col(n) for f, n in zip(features, names)])
+    return df.drop(LABEL).join(labels, same, "left").drop(*names)
 
 
 def mean_shift(df: DataFrame, features: Sequence[str], bandwidth: float) -> DataFrame:
-    """Label of the nearest mean-shift centre; ``bandwidth_estimate`` proposes a bandwidth from a sample."""
+    """Label of the nearest mean-shift centre; ``bandwidth_estimate`` proposes a bandwidth from a sample.
+
+    A few centres stand in the plan; more are a table that points meet by grid cells, with equal labels.
+    """
     if not bandwidth > 0:
         raise ValueError("mean shift needs a positive bandwidth")
-    return df.withColumn(LABEL, nearest_centre(features, mean_shift_centres(df, features, float(bandwidth))))
+    centres = materialize(settled_centres(df, features, float(bandwidth)), "mean-shift")
+    if 0 < centres.count() <= FEW_CENTRES:
+        return df.withColumn(LABEL, nearest_centre(features, _listed(centres)))
+    return _nearest_by_cells(df, features, centres, float(bandwidth))
 
 
 # -- agglomerative -------------------------------------------------------------
