@@ -279,7 +279,7 @@ ORACLES["silhouette"] = over("located", f"SELECT count(*)::bigint AS points, {r(
 # The fixture's cities lie far apart, so every method with four clusters must return them: user_id mod 4.
 CITY = "(rental_id // 10) % 4"
 BY_CITY = over("feat", f"SELECT rental_id, pos_id, min(pos_id) OVER (PARTITION BY {CITY}) AS cluster_id FROM feat")
-for name in ("kmeans_ml", "gmm", "meanshift", "agglomerative_ward", "agglomerative_complete"):
+for name in ("kmeans_ml", "gmm", "meanshift", "agglomerative_ward", "agglomerative_complete", "ward_cut"):
     ORACLES[name] = BY_CITY
 REGION_OF = f"CASE {CITY} WHEN 0 THEN 'N-E' WHEN 1 THEN 'N-W' WHEN 2 THEN 'S-E' ELSE 'S-W' END"
 METHODS = "(SELECT unnest(['k-means', 'mean-shift', 'gaussian-mixture', 'full-agglomerative', 'ward-agglomerative']) AS method)"
@@ -306,6 +306,12 @@ ORACLES["linkage_table"] = over("feat", " UNION ALL ".join(
     f"SELECT {back}::bigint AS back, {r('distance', 1)} AS distance, size::bigint AS size FROM ({_ward(a, b)})"
     for back, a, b in ((2, "0", "3"), (1, "0, 3", "2"), (0, "0, 2, 3", "1"))))
 
+ORACLES["ward_tree"] = over("feat", " UNION ALL ".join([*[
+    f"SELECT {back}::bigint AS back, {r('distance', 3)} AS distance, size::bigint AS size FROM ({_ward(a, b)})"
+    for back, a, b in ((2, "0", "3"), (1, "0, 3", "2"), (0, "0, 2, 3", "1"))],
+    f"""SELECT -1::bigint, {r(WSS, 3)}, (SELECT count(*) - 1 FROM (SELECT DISTINCT latitude, longitude FROM feat))::bigint
+    FROM (SELECT *, avg(latitude) OVER () AS la, avg(longitude) OVER () AS lo FROM feat)"""]))
+
 
 def _stats(names: list[str]) -> str:
     return "SELECT cluster_id, count(*)::bigint AS rows, " + ", ".join(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from trailframe import schemas as S
 from trailframe.functions import columns as X
 from trailframe.operators import (
-    behavior, cluster, enrich, plotdata, prep, profile, quality, regions, regress, segments, sensors, sequences, similar,
+    behavior, cluster, enrich, linkage, plotdata, prep, profile, quality, regions, regress, segments, sensors, sequences, similar,
 )
 from trailframe.plans import fixtures, pipeline
 from trailframe.session import materialize, scratch_path
@@ -478,6 +478,26 @@ def linkage_table(spark, d):
     return rounded(last.select(F.col("_back").cast("long").alias("back"), "distance", "size"), ["distance"], 1)
 
 
+@query
+def ward_cut(spark, d):
+    """Four clusters of the exact Ward tree over all positions."""
+    return numbered(linkage.ward_labels(features(spark, d), PLACE, 4))
+
+
+@query
+def ward_tree(spark, d):
+    """The exact Ward tree: its last three merges, then all merges together.
+
+    Half of all squared heights is the sum of squares about the mean, whatever the order of the merges.
+    """
+    tree = materialize(linkage.ward_tree(linkage.ward_points(features(spark, d), PLACE)), "ward")
+    total = tree.agg(F.lit(-1).cast("long").alias("back"), (F.sum(F.col("distance") * F.col("distance")) / 2).alias("distance"),
+                     F.count(F.lit(1)).alias("size"))
+    last = tree.orderBy(F.desc("distance")).limit(3)
+    last = last.select((F.row_number().over(Window.orderBy(F.desc("distance"))) - 1).cast("long").alias("back"), "distance", "size")
+    return rounded(last.unionByName(total), ["distance"], 3)
+
+
 @query
 def cluster_scopes(spark, d):
     """Every method on every region and on all rows; a region is one city, so each finds one cluster there."""
