@@ -463,6 +463,22 @@ ORACLES["broken_input"] = over("pos rental usr device", """SELECT rental_id, id,
         AND least(p.server_time, p.device_time) >= start_time
       JOIN usr u ON u.id = r.user_id JOIN device d ON d.id = r.device_id)
     WINDOW w AS (PARTITION BY rental_id ORDER BY server_time, device_time, id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))""")
+ORACLES["stream_segments"] = ORACLES["timedelta_fixed"]
+ORACLES["stream_open_end"] = over("pos rental usr device", """SELECT r.id AS rental_id, p.id AS pos_id, year(stop)::bigint AS stop_year, latitude
+    FROM (SELECT *, CASE WHEN id % 4 = 1 THEN TIMESTAMP '9999-12-31' ELSE stop_time END AS stop FROM rental) r
+    JOIN pos p ON p.device_id = r.device_id AND p.server_time BETWEEN r.start_time AND r.stop AND p.device_time BETWEEN r.start_time AND r.stop
+    JOIN usr u ON u.id = r.user_id JOIN device d ON d.id = r.device_id""")
+ORACLES["remembered_tables"] = over("merge_all", " UNION ALL ".join(
+    f"SELECT {call}::bigint AS call, {made} AS made, count(*) AS rows, sum(pos_id)::bigint AS ids FROM merge_all WHERE rental_km < {km}"
+    for call, made, km in ((0, "true", 1.0), (1, "false", 1.0), (2, "true", 3.0))))
+HOLLOW = ",".join(sorted(["timedelta_id", "spreaddelta_id", "edgedelta_id", "coorddelta_id", "time_gap", *SPREADS, *EDGES]))
+ORACLES["state_checks"] = over("segs", " UNION ALL ".join(
+    f"SELECT '{name}' AS \"table\", count(*) AS rows, count(*) = 0 AS empty, coalesce(bool_or({holes}), false) AS any_null, "
+    f"CASE WHEN coalesce(bool_or({holes}), false) THEN '{columns}' ELSE '' END AS columns FROM segs WHERE {where}"
+    for name, holes, columns, where in (
+        ("generated", "true", HOLLOW, "true"),
+        ("segmented", "timedelta_id IS NULL OR latitude IS NULL OR time_gap IS NULL", "", "true"),
+        ("holes", "pos_id % 7 = 0", "speed", "true"), ("outside", "true", "", "latitude > 90"))))
 SHAPE = [("id", "bigint"), ("rental_id", "bigint"), ("timedelta_id", "bigint"), ("spreaddelta_id", "bigint"), ("edgedelta_id", "bigint"),
          ("coorddelta_id", "bigint"), ("latitude", "double"), ("longitude", "double"), ("spread_latitude", "double"),
          ("spread_longitude", "double"), ("edge_latitude_start", "double"), ("edge_latitude_stop", "double"),

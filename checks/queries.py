@@ -838,6 +838,69 @@ def broken_input(spark, d):
     return pos.join(ids, "rental_id").select("rental_id", "id", "latitude", "grouped")
 
 
+def _far(rental: DataFrame) -> DataFrame:
+    """A quarter of the rentals stop in the year 9999."""
+    far = F.when(F.col("id") % 4 == 1, F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")).otherwise(F.col("stop_time"))
+    return rental.withColumn("stop_time", far)
+
+
+@query
+def stream_open_end(spark, d):
+    """A stream of positions joined to rentals of which many stop in the year 9999."""
+    made, target = fixtures.tables(spark, d), scratch_path(spark, "stream")
+    events = ingest.position_stream(spark, d, "parquet", schema=fixtures.table(spark, d, "events").schema, pattern="events.parquet")
+    ingest.start_ingest(fixtures.pos_from_events(events), _far(made["rental"]), made["usr"], made["device"], target,
+                        scratch_path(spark, "stream-state")).awaitTermination()
+    return spark.read.schema(S.MERGE).parquet(target).select(
+        "rental_id", "pos_id", F.year("stop_time").cast("long").alias("stop_year"), "latitude")
+
+
+@query
+def stream_segments(spark, d):
+    """Segments at a fixed gap from three micro-batches in the order of time, state kept between them."""
+    made, folder = fixtures.tables(spark, d), scratch_path(spark, "chunks")
+    third = F.least(F.lit(2), F.floor((F.dayofmonth("ts") - 1) / 10))
+    for part in range(3):
+        fixtures.table(spark, d, "events").where(third == part).coalesce(1).write.mode("append").parquet(folder)
+    events = ingest.position_stream(spark, folder, "parquet", schema=fixtures.table(spark, d, "events").schema, files_per_trigger=1)
+    target = scratch_path(spark, "stream")
+    ingest.start_segments(fixtures.pos_from_events(events), made["rental"], made["usr"], made["device"], "12 hours", target,
+                          scratch_path(spark, "stream-state")).awaitTermination()
+    return _segments(spark.read.parquet(target))
+
+
+@query
+def remembered_tables(spark, d):
+    """A table made, taken from the store, and made again for another parameter."""
+    store, inputs = scratch_path(spark, "store"), [fixtures.table(spark, d, name) for name in ("events", "customer")]
+    out, made = None, []
+    for call, km in enumerate((1.0, 1.0, 3.0)):
+
+        def make(km: float = km, call: int = call) -> DataFrame:
+            made.append(call)
+            return enrich.merge_positions(**fixtures.tables(spark, d)).where(F.col("rental_km") < km)
+
+        kept = table_source.remembered(spark, store, "short", {"km": km}, inputs, make)
+        row = kept.agg(F.count(F.lit(1)).alias("rows"), F.sum("pos_id").alias("ids")).select(
+            F.lit(call).cast("long").alias("call"), F.lit(call in made).alias("made"), "rows", "ids")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query
+def state_checks(spark, d):
+    """Row counts, emptiness and nulls of four tables, observed while they are written."""
+    pos = pos_gen(spark, d)
+    found = table_source.state_of({
+        "generated": pos,
+        "segmented": segments.timedelta(pos).select("rental_id", "id", "timedelta_id", "latitude", "time_gap"),
+        "holes": pos.select("id", "latitude", F.when(F.col("id") % 7 != 0, F.col("speed")).alias("speed")),
+        "outside": pos.where(F.col("latitude") > 90).select("id", "latitude"),
+    }, scratch_path(spark, "checked"))
+    rows = [(name, rows, empty, holes, ",".join(columns)) for name, rows, empty, holes, columns in found]
+    return spark.createDataFrame(rows, "`table` string, `rows` long, empty boolean, any_null boolean, columns string")
+
+
 @query
 def pipeline_run(spark, d):
     """Raw tables to segments, all three groupings to their last round, and behaviour features."""

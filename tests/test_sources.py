@@ -11,6 +11,7 @@ from trailframe.sources import tables
 from trailframe.streaming import ingest
 
 SF = "/root/testdata/sf0.001"
+START = dt.datetime(2024, 1, 1)
 
 
 def same(a, b):
@@ -47,15 +48,73 @@ def test_parts_of_long_rentals_come_back_in_order(spark, tmp_path):
 
 
 def test_remembered_computes_once(spark, tmp_path):
-    calls = []
+    calls, store, source = [], str(tmp_path / "kept"), str(tmp_path / "in")
+    spark.range(3).write.parquet(source)
 
-    def make():
-        calls.append(1)
-        return spark.range(3)
+    def kept(rows):
+        def make():
+            calls.append(rows)
+            return spark.range(rows)
 
-    path = str(tmp_path / "kept")
-    assert tables.remembered(spark, path, make).count() == tables.remembered(spark, path, make).count() == 3
-    assert len(calls) == 1
+        return tables.remembered(spark, store, "numbers", {"rows": rows}, [spark.read.parquet(source)], make).count()
+
+    assert [kept(3), kept(3), kept(5)] == [3, 3, 5] and calls == [3, 5]
+    spark.range(4).write.mode("append").parquet(source)  # other input files
+    assert kept(3) == 3 and calls == [3, 5, 3]
+
+
+def test_a_half_written_table_is_never_read(spark, tmp_path):
+    store = str(tmp_path / "kept")
+
+    def killed():
+        folder = next((tmp_path / "kept").iterdir()) if (tmp_path / "kept").exists() else None
+        assert folder is None
+        return spark.range(2).select(F.raise_error(F.lit("killed")).alias("id"))
+
+    with pytest.raises(Exception, match="killed"):
+        tables.remembered(spark, store, "numbers", {}, [], killed)
+    for folder in (tmp_path / "kept").iterdir():
+        spark.range(1).write.parquet(str(folder / "data-left"))  # complete, but no marker names it
+    assert tables.remembered(spark, store, "numbers", {}, [], lambda: spark.range(7)).count() == 7
+
+
+def test_state_is_observed_while_writing(spark, tmp_path):
+    df = spark.createDataFrame([(1, None), (2, "x"), (None, None)], "a int, b string")
+    found = tables.state_of({"some": df, "none": df.where("a > 5"), "full": df.where("a = 2")}, str(tmp_path))
+    assert found == [("some", 3, False, True, ["a", "b"]), ("none", 0, True, False, []), ("full", 1, False, False, [])]
+
+
+def test_dyadic_blocks(spark):
+    cases = [(a, b) for a in range(-9, 12) for b in range(a, 14)] + [(19_700, 2_932_896), (-5, -5), (0, 2**31 - 1)]
+    df = spark.createDataFrame(cases, "a long, b long")
+    for a, b, blocks in df.select("a", "b", enrich.dyadic_blocks(F.col("a"), F.col("b"))).collect():
+        assert len(blocks) < 64
+        spans = sorted((x["block"] << x["level"], (x["block"] + 1) << x["level"]) for x in blocks)
+        assert spans[0][0] == a and spans[-1][1] == b + 1
+        assert all(before[1] == after[0] for before, after in zip(spans, spans[1:]))
+
+
+def test_dyadic_join_equals_daily_join(spark):
+    made = fixtures.tables(spark, SF)
+    far = F.when(F.col("id") % 4 == 1, F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")).otherwise(F.col("stop_time"))
+    rentals = made["rental"].withColumn("stop_time", far).withColumnRenamed("id", "rental_id").select("rental_id", "device_id", "start_time", "stop_time")
+    pairs = lambda dyadic: enrich.interval_join(made["pos"], rentals, dyadic=dyadic).select("rental_id", "pos_id")
+    assert same(pairs(True), pairs(False)) and pairs(True).count() > 0
+    assert enrich.interval_join(made["pos"], rentals.limit(0), dyadic=True).count() == 0
+
+
+def test_late_rows_of_a_stream_have_no_segment(spark, tmp_path):
+    schema = "rental_id long, id long, server_time timestamp_ntz, device_time timestamp_ntz"
+    at = lambda minute: START + dt.timedelta(minutes=minute)
+    batches = [[(1, 1, at(0), at(0)), (1, 2, at(1), at(1))], [(1, 3, at(30), at(30)), (2, 4, at(0), at(0)), (1, 5, at(0.5), at(0.5))],
+               [(1, 6, at(31), at(31)), (1, 7, None, at(40)), (2, 8, at(60), at(0))]]
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = ingest.position_stream(spark, str(tmp_path / "in"), "parquet", 1, schema)
+    ingest.segment_stream(stream, "10 minutes").writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
+    found = {r["id"]: (r["timedelta_id"], r["late"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert found == {1: (1, False), 2: (1, False), 3: (2, False), 4: (1, False), 5: (None, True), 6: (3, False), 7: (None, True), 8: (1, False)}
 
 
 def test_stream_equals_batch(spark, tmp_path):

@@ -11,6 +11,8 @@ from trailframe.operators.ordered import Ordered
 
 BUCKET_SECONDS = 86_400
 LIST_ROWS = 100_000
+#: Blocks of up to 2^31 buckets, far beyond what timestamps can express in days.
+DYADIC_LEVELS = 32
 
 
 def time_contained(server: Column, device: Column, start: Column, stop: Column) -> Column:
@@ -38,8 +40,38 @@ def _days(pos: DataFrame, bucket_seconds: int) -> DataFrame:
     return pos.agg(F.min(bucket).alias("_low"), F.max(bucket).alias("_high"))
 
 
+def dyadic_blocks(first: Column, last: Column) -> Column:
+    """The fewest aligned blocks of 2^level buckets that make up first..last: structs (level, block), two a level at most."""
+
+    def at(level: Column) -> Column:
+        scale = F.pow(F.lit(2.0), level)  # exact: bucket numbers stay far below 2^53
+        low, high = F.ceil(first / scale).cast("long"), F.floor((last + 1) / scale).cast("long")
+        block = lambda number: F.struct(level.alias("level"), number.alias("block"))
+        odd = lambda number: F.pmod(number, F.lit(2)) == 1
+        return F.filter(F.array(F.when((low < high) & odd(low), block(low)), F.when((low < high) & odd(high), block(high - 1))),
+                        lambda b: b.isNotNull())
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(DYADIC_LEVELS - 1)), at))
+
+
+def dyadic_join(located: DataFrame, rentals: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Join on the device and any block that covers a position's bucket.
+
+    A rental takes two blocks per doubling of its length at most, whatever its stop time; a position looks up one block per level in
+    use (``DYADIC_LEVELS`` at most, asked of the rental table, which is static). Blocks of one rental don't overlap: no pair comes twice.
+    """
+    blocks = rentals.withColumn("_b", F.explode(dyadic_blocks(first, last))).select(
+        *rentals.columns, F.col("_b.level").alias("_level"), F.col("_b.block").alias("_block"))
+    levels = sorted(row[0] for row in blocks.select("_level").distinct().collect())  # DYADIC_LEVELS rows at most
+    block_at = lambda level: F.expr(f"shiftright(_bucket, {level})")
+    wanted = F.array(*[F.struct(F.lit(level).alias("_level"), block_at(level).alias("_block")) for level in levels])
+    empty = F.array().cast("array<struct<_level:int,_block:bigint>>")
+    return located.withColumn("_at", F.explode(wanted if levels else empty)).select("*", "_at.*").drop("_at").join(
+        blocks, ["device_id", "_level", "_block"]).drop("_level", "_block")
+
+
 def interval_join(pos: DataFrame, rentals: DataFrame, bucket_seconds: int = BUCKET_SECONDS,
-                  span: tuple[str, str] | None = None) -> DataFrame:
+                  span: tuple[str, str] | None = None, dyadic: bool | None = None) -> DataFrame:
     """Every (rental, position) pair with the same device and the position's clocks inside the rental.
 
     Rentals are repeated once per time bucket they touch, so the equality key is (device, bucket): one busy device is
@@ -47,22 +79,22 @@ def interval_join(pos: DataFrame, rentals: DataFrame, bucket_seconds: int = BUCK
     Spark's own size check; larger ones sort-merge with adaptive skew splitting. Rentals only repeat within the time that
     positions cover, so a broken stop time (year 9999) doesn't multiply them. That time is ``span`` (first, last
     timestamp) or, without it and for tables that aren't streams, two numbers aggregated from the positions' clock column.
+    Streams without ``span`` join on dyadic blocks instead (``dyadic_join``), where a long rental costs little.
     """
     start, stop = _bucket(F.col("start_time"), bucket_seconds), _bucket(F.col("stop_time"), bucket_seconds)
     spread = rentals.where(F.col("start_time") <= F.col("stop_time"))
+    located = pos.withColumnsRenamed(S.POS_TO_MERGE).withColumn("_bucket", _bucket(F.col("server_time"), bucket_seconds))
+    contained = time_contained(F.col("server_time"), F.col("device_time"), F.col("start_time"), F.col("stop_time"))
+    if dyadic or (dyadic is None and span is None and pos.isStreaming):
+        return dyadic_join(located, spread, start, stop).where(contained).drop("_bucket")
     if span is not None:
         low, high = (_bucket(F.to_timestamp_ntz(F.lit(s)), bucket_seconds) for s in span)
-    elif pos.isStreaming:
-        low, high = start, stop
     else:
         spread = spread.join(F.broadcast(_days(pos, bucket_seconds)), F.lit(True))
         low, high = F.col("_low"), F.col("_high")
     first, last = F.greatest(start, low), F.least(stop, high)
     spread = spread.where(first <= last).withColumn("_bucket", F.explode(F.sequence(first, last))).drop("_low", "_high")
-    located = pos.withColumnsRenamed(S.POS_TO_MERGE).withColumn("_bucket", _bucket(F.col("server_time"), bucket_seconds))
-    return located.join(spread, ["device_id", "_bucket"]).where(
-        time_contained(F.col("server_time"), F.col("device_time"), F.col("start_time"), F.col("stop_time"))
-    ).drop("_bucket")
+    return located.join(spread, ["device_id", "_bucket"]).where(contained).drop("_bucket")
 
 
 def merge_positions(pos: DataFrame, rental: DataFrame, usr: DataFrame, device: DataFrame,

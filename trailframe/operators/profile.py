@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,8 @@ from trailframe.operators.ordered import Ordered
 from trailframe.session import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
+#: Equal ranges between a column's extremes in the first pass over its values.
+BUCKETS = 4096
 
 
 def _is_time(field: T.StructField) -> bool:
@@ -63,6 +65,52 @@ def exact_quantiles(values: DataFrame, keys: Sequence[str], probabilities: Seque
     return picked.select(*keys, "q", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_share")).alias("quantile"))
 
 
+def refined_quantiles(numeric: DataFrame, columns: int, by: Sequence[str], bounds: DataFrame,
+                      probabilities: Sequence[float] = QUARTILES) -> DataFrame:
+    """(by, column number, q, quantile) of the columns v0, v1, ..., exact, in two passes that don't shuffle values.
+
+    ``bounds`` holds min0, max0, ... per group. The first pass counts each column's values in ``BUCKETS`` equal ranges, which
+    combine before the shuffle. The second one counts the values in the few ranges that hold a wanted rank; a column whose values
+    crowd into one range has its repeats counted there, as ``exact_quantiles`` does. Groups with a null key are left out.
+    """
+    meet = lambda left, right: left.join(right, list(by)) if by else left.join(F.broadcast(right), F.lit(True))
+    held = meet(numeric, bounds.select(*by, *[f"{s}{i}" for i in range(columns) for s in ("min", "max")]))
+    value = lambda i: F.col(f"v{i}")
+
+    def bucket(i: int) -> Column:
+        share = F.try_divide(value(i) - F.col(f"min{i}"), F.col(f"max{i}") - F.col(f"min{i}"))
+        return F.coalesce(F.least(F.floor(F.nanvl(share, F.lit(0.0)) * BUCKETS), F.lit(BUCKETS - 1)), F.lit(0)).cast("int")
+
+    entries = F.array(*[F.when(value(i).isNotNull(), F.struct(F.lit(i).alias("_i"), bucket(i).alias("_bucket"))) for i in range(columns)])
+    counts = held.select(*by, F.explode(entries).alias("_e")).where("_e IS NOT NULL").select(*by, "_e.*").groupBy(
+        *by, "_i", "_bucket").agg(F.count(F.lit(1)).alias("_c"))
+    group = Window.partitionBy(*by, "_i")  # BUCKETS rows at most
+    upto = F.sum("_c").over(group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.withColumns({"_before": upto - F.col("_c"), "_n": F.sum("_c").over(group)})
+    low = lambda p: F.floor((F.col("_n") - 1) * F.lit(float(p)))
+    high = lambda p: F.least(low(p) + 1, F.col("_n") - 1)
+    inside = lambda rank: (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_c"))
+    wanted = F.lit(False)
+    for p in probabilities:
+        wanted = wanted | inside(low(p)) | inside(high(p))
+    chosen = materialize(ranked.where(wanted).select(*by, "_i", "_bucket", "_before", "_n"), "quantile-ranges")
+
+    sets = chosen.groupBy(*by).agg(*[F.collect_set(F.when(F.col("_i") == i, F.col("_bucket"))).alias(f"_s{i}") for i in range(columns)])
+    near = F.array(*[F.when(value(i).isNotNull() & F.array_contains(f"_s{i}", bucket(i)), F.struct(
+        F.lit(i).alias("_i"), bucket(i).alias("_bucket"), value(i).alias("_v"))) for i in range(columns)])
+    counted = materialize(meet(held, sets).select(*by, F.explode(F.array_compact(near)).alias("_e")).select(*by, "_e.*").groupBy(
+        *by, "_i", "_bucket", "_v").agg(F.count(F.lit(1)).alias("_c")), "quantile-values")
+    running = Ordered.open(counted, [*by, "_i", "_bucket"], ["_v"], F.col("_v")).running_sum({"_upto": F.col("_c")}).finish()
+    placed = running.join(chosen, [*by, "_i", "_bucket"]).withColumn("_before", F.col("_before") + F.col("_upto") - F.col("_c"))
+    at = placed.withColumn("q", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
+    rank = F.floor((F.col("_n") - 1) * F.col("q"))
+    after = F.least(rank + 1, F.col("_n") - 1)
+    picked = at.where(inside(rank) | inside(after)).groupBy(*by, "_i", "q").agg(
+        F.max(F.when(inside(rank), F.col("_v"))).alias("_a"), F.max(F.when(inside(after), F.col("_v"))).alias("_b"),
+        F.max((F.col("_n") - 1) * F.col("q") - rank).alias("_share"))
+    return picked.select(*by, "_i", "q", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_share")).alias("quantile"))
+
+
 def describe(df: DataFrame, names: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """(by, column, count, mean, std, min, q25, q50, q75, max) of numeric and time columns.
 
@@ -74,12 +122,14 @@ def describe(df: DataFrame, names: Sequence[str] | None = None, by: Sequence[str
     keys = [*by, "column"]
     stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     numeric = df.select(*by, *[c.alias(f"v{i}") for i, c in enumerate(_numeric(df, names))])
-    wide = numeric.groupBy(*by).agg(*[f(f"v{i}").alias(f"{s}{i}") for i in range(len(names)) for s, f in stats.items()])
+    wide = materialize(numeric.groupBy(*by).agg(
+        *[f(f"v{i}").alias(f"{s}{i}") for i in range(len(names)) for s, f in stats.items()]), "moments")
     entry = lambda i, n: F.struct(F.lit(n).alias("column"), *[
         (F.lit(None).cast("double") if s == "std" and n in times else F.col(f"{s}{i}")).alias(s) for s in stats])
     moments = wide.select(*by, F.explode(F.array(*[entry(i, n) for i, n in enumerate(names)])).alias("_e")).select(
         *by, "_e.*").where("count > 0")
-    quantiles = exact_quantiles(long_values(df, names, by), keys).groupBy(*keys).agg(*[
+    named = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_i") + 1).alias("column")
+    quantiles = refined_quantiles(numeric, len(names), by, wide).select(*by, named, "q", "quantile").groupBy(*keys).agg(*[
         F.max(F.when(F.col("q") == p, F.col("quantile"))).alias(f"q{int(p * 100)}") for p in QUARTILES])
     joined = moments.join(quantiles, keys)
     return joined.select(*keys, "count", "mean", "std", "min", "q25", "q50", "q75", "max")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import hashlib
+import json
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +63,26 @@ def store_generated(tables: Mapping[str, DataFrame], folder: str, fmt: str = "pa
     return stored
 
 
+def store_checked(df: DataFrame, path: str) -> dict[str, int]:
+    """Write ``df`` and return its row count (``rows``) and the nulls of every column, counted while it is written."""
+    seen = Observation()
+    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls).write.mode("overwrite").parquet(path)
+    found = seen.get
+    return {"rows": found.get("rows", 0), **{c: found.get(f"n{i}", 0) for i, c in enumerate(df.columns)}}
+
+
+def state_of(tables: Mapping[str, DataFrame], folder: str) -> list[tuple[str, int, bool, bool, list[str]]]:
+    """Store the tables; for each (name, rows, is it empty, is any value null, columns with nulls), without a second pass."""
+    out = []
+    for name, df in tables.items():
+        found = store_checked(df, f"{folder.rstrip('/')}/{name}")
+        rows = found.pop("rows")
+        holes = sorted(c for c, n in found.items() if n)
+        out.append((name, rows, rows == 0, bool(holes), holes))
+    return out
+
+
 def load_generated(spark: SparkSession, folder: str, keys: list[str], fmt: str = "parquet") -> dict[str, DataFrame]:
     """The five generated tables in their fixed schemas. A missing table is empty, a missing column null."""
     loaded = {}
@@ -79,12 +102,46 @@ def load_generated(spark: SparkSession, folder: str, keys: list[str], fmt: str =
     return loaded
 
 
-def remembered(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """Reuse the table stored at ``path``, or compute and store it. Put every parameter of ``make`` into the path."""
+def _fs(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def input_listing(spark: SparkSession, inputs: Sequence[DataFrame]) -> list[list]:
+    """(path, length, modification time) of every file that the tables read, in order of path."""
+    files = {file for df in inputs for file in df.inputFiles()}
+    found = []
+    for folder in sorted({file.rsplit("/", 1)[0] for file in files}):
+        fs, path = _fs(spark, folder)
+        for status in fs.listStatus(path):
+            name = status.getPath().getName()
+            if f"{folder}/{name}" in files:
+                found.append([f"{folder}/{name}", status.getLen(), status.getModificationTime()])
+    return sorted(found)
+
+
+def remembered(spark: SparkSession, store: str, name: str, parameters: Mapping[str, object], inputs: Sequence[DataFrame],
+               make: Callable[[], DataFrame]) -> DataFrame:
+    """The table of an earlier call with equal ``parameters`` and unchanged input files, or a new one.
+
+    Each set of parameters and inputs has a folder of its own. A new table goes to a fresh subfolder and counts only once a
+    marker that names it is in place, so a job killed while writing leaves files that nobody reads. Two jobs that make the
+    same table at once both end well: the first marker stays.
+    """
+    key = hashlib.sha256(json.dumps([name, sorted(parameters.items()), input_listing(spark, inputs)], default=str).encode()).hexdigest()
+    folder = f"{store.rstrip('/')}/{name}-{key[:32]}"
+    fs, marker = _fs(spark, f"{folder}/COMMITTED")
+    if not fs.exists(marker):
+        fresh = f"data-{uuid.uuid4().hex}"
+        make().write.parquet(f"{folder}/{fresh}")
+        _, draft = _fs(spark, f"{folder}/draft-{fresh}")
+        out = fs.create(draft, False)
+        out.write(bytearray(fresh.encode()))
+        out.close()
+        fs.rename(draft, marker)  # refused where another job's marker is in place
+    source = fs.open(marker)
     try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-    make().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        chosen = bytes(source.readNBytes(256)).decode()
+    finally:
+        source.close()
+    return spark.read.parquet(f"{folder}/{chosen}")

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from trailframe import schemas as S
+from trailframe.functions.columns import epoch_micros
 from trailframe.operators.enrich import merge_positions
+from trailframe.operators.segments import threshold_micros
 
 
 def position_stream(spark: SparkSession, path: str, fmt: str = "csv", files_per_trigger: int | None = None,
@@ -38,3 +44,53 @@ def start_ingest(positions: DataFrame, rental: DataFrame, usr: DataFrame, device
         merged.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(availableNow=True).start()
     )
+
+
+def segment_stream(pos_gen: DataFrame, threshold: int | float | str) -> DataFrame:
+    """(rental_id, id, timedelta_id, time_gap, late) of a stream of enriched positions, cut at a fixed gap.
+
+    Each rental keeps its last row's clocks, id and flag and the number of its segment between micro-batches, five numbers. Rows of
+    a micro-batch are taken in the order of ``timedelta``; a row that isn't after the last one of an earlier micro-batch is
+    late: it comes out with ``late`` set and without a segment, and changes nothing. Without late rows the result is that of
+    ``timedelta`` with the same threshold. A task holds three numbers for each row that one rental has in one micro-batch, which
+    ``files_per_trigger`` bounds. Rows with a null clock or id have no place in the order and count as late.
+    """
+    limit = threshold_micros(threshold)
+
+    def advance(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(parts).sort_values(["server", "device", "id"], na_position="last", ignore_index=True)
+        known = rows.notna().all(axis=1).to_numpy()
+        last = state.get if state.exists else None
+        if last is not None:
+            known &= np.fromiter((ok and (s, d, i) > last[:3] for ok, s, d, i in zip(
+                known, rows["server"], rows["device"], rows["id"])), dtype=bool, count=len(rows))
+        new = rows[known].astype("int64")
+        segment, gap = pd.array([pd.NA] * len(rows), dtype="Int64"), pd.array([pd.NA] * len(rows), dtype="Float64")
+        if len(new):
+            clocks = new[["server", "device"]].to_numpy()
+            before = np.vstack([clocks[:1] if last is None else [last[:2]], clocks[:-1]])
+            gaps = clocks - before
+            flag = (gaps >= limit).all(axis=1)
+            turned = flag != np.concatenate([[flag[0] if last is None else bool(last[3])], flag[:-1]])
+            run = (1 if last is None else last[4]) + np.cumsum(turned)
+            segment[known], gap[known] = run, (gaps // 1000).sum(axis=1) / 2.0
+            state.update((int(clocks[-1, 0]), int(clocks[-1, 1]), int(new["id"].iloc[-1]), bool(flag[-1]), int(run[-1])))
+        yield pd.DataFrame({"rental_id": [key[0]] * len(rows), "id": rows["id"].astype("Int64"), "timedelta_id": segment,
+                            "time_gap": gap, "late": ~known})
+
+    narrow = pos_gen.select("rental_id", "id", epoch_micros(F.col("server_time")).alias("server"),
+                            epoch_micros(F.col("device_time")).alias("device"))
+    return narrow.groupBy("rental_id").applyInPandasWithState(
+        lambda key, parts, state: advance(key, (p[["id", "server", "device"]] for p in parts), state),
+        "rental_id long, id long, timedelta_id long, time_gap double, late boolean",
+        "server long, device long, id long, flag boolean, run long", "append", GroupStateTimeout.NoTimeout)
+
+
+def start_segments(positions: DataFrame, rental: DataFrame, usr: DataFrame, device: DataFrame, threshold: int | float | str,
+                   target: str, checkpoint: str) -> StreamingQuery:
+    """Append the segments of enriched positions to ``target`` and stop when the present input is used up."""
+    merged = S.merge_to_pos_gen(merge_positions(positions, rental, usr, device))
+    return (
+        segment_stream(merged, threshold).writeStream.format("parquet").option("path", target)
+        .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    )
