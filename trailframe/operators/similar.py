@@ -10,6 +10,10 @@ per group, and the boxes are then guessed from these counts, each under the boxe
 until a guess confirms itself. The first unconfirmed start of a guess is always right, and starts far from each other are
 right at once, so a batch takes fewer jobs than rounds, with the result of one round after the other. A spread round needs one aggregate: the group nearest to the mean
 comes from a list of near groups, as long as the mean has not moved so far that another could be nearer.
+
+The first rounds cover the dense parts, most rounds number a few groups each. Once at most ``REST_GROUPS`` groups are open after a
+batch, the driver holds their measures and runs their rounds itself, with the same rules; the positions stay distributed and are
+counted per open group and start, ``REST_PAIRS`` counts in one job at most.
 """
 
 from __future__ import annotations
@@ -20,7 +24,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +37,11 @@ from trailframe.session import materialize, scratch_path
 BATCH_ROUNDS = 64
 #: Near groups that the driver holds for the spread rounds.
 NEAR_GROUPS = 1000
+#: Open groups, and counts of their positions, that the driver holds for the last rounds.
+REST_GROUPS = 32_768
+#: Rounds before that in tables that are small from the start.
+FIRST_ROUNDS = 16
+REST_PAIRS = 2_097_152
 #: Merged latitude intervals by which a scan of a batch is pruned.
 SCAN_INTERVALS = 8
 CELL_DEGREES = 0.01
@@ -178,10 +189,10 @@ class _Ledger:
         columns = [pa.array([row[k] for row in rows], pa.float64() if k else pa.int64()) for k in range(len(names))]
         return self.session.createDataFrame(pa.table(columns, names=list(names)))
 
-    def ballots(self, starts: Sequence[Row], measures: Sequence[str]) -> DataFrame:
-        """(keys, measures, near): how many rows of each open group lie near which start; one scan for a whole batch.
+    def near(self, rows: DataFrame, starts: Sequence[Row], measures: Sequence[str]) -> DataFrame:
+        """Pairs of a row and a start ``i`` near it: within two standard deviations of the start's mean position.
 
-        Near means within two standard deviations of the start's mean position. The start's own measures come along.
+        The start's own measures come along.
         """
         lat, lon = "latitude", "longitude"
         ranges = [(i, *[v for n in (lat, lon) for v in (s[f"mean_{n}"] - 2 * s[f"std_{n}"], s[f"mean_{n}"] + 2 * s[f"std_{n}"])],
@@ -189,7 +200,11 @@ class _Ledger:
         fence = " OR ".join(f"{lat} BETWEEN {a!r}D AND {b!r}D" for a, b in _merged([r[1:3] for r in ranges]))
         table = self.small(ranges, ["i", "lat_lo", "lat_hi", "lon_lo", "lon_hi", *[f"o_{n}" for n in measures]])
         inside = F.col(lat).between(F.col("lat_lo"), F.col("lat_hi")) & F.col(lon).between(F.col("lon_lo"), F.col("lon_hi"))
-        each = self.rows.where(fence).join(F.broadcast(table), inside).groupBy("i", *self.keys).agg(
+        return rows.where(fence).join(F.broadcast(table), inside)
+
+    def ballots(self, starts: Sequence[Row], measures: Sequence[str]) -> DataFrame:
+        """(keys, measures, near): how many rows of each open group lie near which start; one scan for a whole batch."""
+        each = self.near(self.rows, starts, measures).groupBy("i", *self.keys).agg(
             F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for n in measures for c in (n, f"o_{n}")])
         start = F.struct("i", "n", *[f"o_{n}" for n in measures])
         return self.stored(each.groupBy(*self.keys, *measures).agg(F.collect_list(start).alias("near")))  # one entry a start at most
@@ -229,6 +244,19 @@ class _Ledger:
         self.rows = self.left if same else self.stored(self.rows.where(first.isNull()))
         self.next_id += len(boxes)
 
+    def batch_rounds(self) -> int:
+        """How many rounds the next batch takes; none when the driver may hold what a batch left open."""
+        if self.left.count() > REST_GROUPS:
+            return BATCH_ROUNDS
+        return 0 if self.wrote else min(FIRST_ROUNDS, BATCH_ROUNDS)
+
+    def settle_rest(self, rest: _Rest) -> None:
+        """Number the groups whose rounds the driver ran."""
+        table = self.session.createDataFrame(rest.table.select(self.keys).append_column(self.name, pa.array(rest.ids)))
+        types = dict(self.left.dtypes)
+        table.select(*[F.col(k).cast(types[k]) for k in self.keys], self.name).write.mode("append").parquet(self.done_path)
+        self.next_id = rest.next_id
+
     def result(self, spark: SparkSession) -> DataFrame:
         """(keys, id) of every group that took part."""
         rest = self.left.select(*self.keys, F.lit(0).cast("long").alias(self.name))
@@ -237,6 +265,50 @@ class _Ledger:
         return spark.read.schema(rest.schema).parquet(self.done_path)
 
 
+class _Rest:
+    """The groups that are left open, few enough for the driver, in the order of ``by``."""
+
+    def __init__(self, ledger: _Ledger, measures: Sequence[str], by: Sequence[str]):
+        self.ledger, self.measures = ledger, tuple(measures)
+        table = ledger.left.toArrow()
+        self.table = table.take(_sorted(table, by))
+        self.rank = np.empty(len(table), dtype=np.int64)  # place in the order of the keys
+        self.rank[_sorted(self.table, ledger.keys).to_numpy()] = np.arange(len(table))
+        self.values = np.column_stack([self.table[n].to_numpy() for n in measures])
+        self.open = np.ones(len(table), dtype=bool)
+        self.ids = np.zeros(len(table), dtype=np.int64)
+        self.next_id = ledger.next_id
+
+    def nearest(self, groups: np.ndarray, mean: np.ndarray) -> int:
+        """Of ``groups``, the one nearest (L1) to a mean of the first measures."""
+        distance = reduce(lambda t, k: t + np.abs(self.values[groups, k] - mean[k]), range(len(mean)), 0.0)
+        return int(groups[np.lexsort((self.rank[groups], distance))[0]])
+
+    def give(self, centre: int, delta: Sequence[float]) -> None:
+        """The next id for the open groups in a box."""
+        middle = self.values[centre]
+        hit = self.open & ((middle - delta <= self.values) & (self.values <= middle + delta)).all(axis=1)
+        self.ids[hit] = self.next_id
+        self.open &= ~hit
+        self.next_id += 1
+
+    def counts(self, starts: np.ndarray) -> np.ndarray:
+        """(groups x starts): how many rows of an open group lie near a start."""
+        keys, session = self.ledger.keys, self.ledger.session
+        still = np.nonzero(self.open)[0]
+        numbers = session.createDataFrame(self.table.select(keys).take(pa.array(still)).append_column("_g", pa.array(still)))
+        rows = _by_key(self.ledger.rows.select(*keys, "latitude", "longitude"), F.broadcast(numbers), keys)
+        head = [Row(**row) for row in self.table.take(pa.array(starts)).to_pylist()]
+        found = self.ledger.near(rows.drop(*keys), head, ()).groupBy("_g", "i").agg(F.count(F.lit(1)).alias("n")).toArrow()
+        out = np.zeros((len(self.open), len(starts)), dtype=np.int64)
+        out[found["_g"].to_numpy(), found["i"].to_numpy()] = found["n"].to_numpy()
+        return out
+
+
+def _sorted(table: pa.Table, by: Sequence[str]) -> pa.Array:
+    return pc.sort_indices(table, sort_keys=[(k, "ascending") for k in by], null_placement="at_start")
+
+
 def _vector(row: Row, names: Sequence[str]) -> tuple[float, ...]:
     return tuple(float(row[n]) for n in names)
 
@@ -263,8 +335,12 @@ def spread_ids(pos: DataFrame, keys: list[str], delta: float | None = None) -> D
     ledger = _Ledger(groups, keys, "spreaddelta_id")
     finished, near = False, _Near(ledger, S.SPREADS)
     while not finished:
+        batch = ledger.batch_rounds()
+        if not batch:
+            ledger.settle_rest(_spread_rest(_Rest(ledger, S.SPREADS, keys), delta))
+            break
         boxes: list[_Box] = []
-        while len(boxes) < BATCH_ROUNDS:
+        while len(boxes) < batch:
             stats = ledger.open(boxes).selectExpr(
                 "count(*) AS n", *[f"avg({n}) AS avg_{n}" for n in S.SPREADS],
                 *[f"stddev_samp({n}) AS std_{n}" for n in S.SPREADS]).collect()[0]
@@ -280,6 +356,16 @@ def spread_ids(pos: DataFrame, keys: list[str], delta: float | None = None) -> D
     return _with_ids(groups, missing, ledger.result(pos.sparkSession), keys, "spreaddelta_id", S.SPREADS)
 
 
+def _spread_rest(rest: _Rest, delta: float | None) -> _Rest:
+    """The last spread rounds."""
+    while rest.open.any():
+        groups = np.nonzero(rest.open)[0]
+        values = rest.values[groups]
+        reach = 0.25 * values.std(axis=0, ddof=1) if len(groups) > 1 else np.zeros(values.shape[1])
+        rest.give(rest.nearest(groups, values.mean(axis=0)), reach if delta is None else np.full_like(reach, delta))
+    return rest
+
+
 class _Near:
     """The open group nearest (L1) to a mean that moves from round to round.
 
@@ -381,11 +467,43 @@ def _box_rounds(groups: DataFrame, positions: DataFrame, keys: list[str], name:
                 at += 1
         return list(final.values()), head[-1]
 
+    def last_rounds(after: str) -> _Rest:
+        """The rounds of the rest, from the first start behind ``after`` on."""
+        rest = _Rest(ledger, measures, ["_order"])
+        edges, at = len(S.EDGES), int(np.searchsorted(rest.table["_order"].to_numpy(zero_copy_only=False).astype(str), after, "right"))
+        factor = np.array([2.0] * edges + [0.25] * (len(measures) - edges))
+        while rest.open.any():
+            starts = np.nonzero(rest.open[at:])[0][:max(BATCH_ROUNDS, REST_PAIRS // int(rest.open.sum()))] + at
+            counts = rest.counts(starts) if len(starts) else None
+            for column, start in enumerate(starts):
+                if not rest.open[start]:
+                    continue
+                voters = np.nonzero(rest.open & (counts[:, column] > 0))[0]
+                if not len(voters):
+                    voters, n = np.array([start]), np.ones(1)
+                else:
+                    n = counts[voters, column].astype(float)
+                moved, total = rest.values[voters] - rest.values[start], n.sum()
+                sums = n @ moved
+                square = np.maximum(n @ (moved * moved) - sums * sums / total, 0.0)
+                delta = np.sqrt(square / (total - 1)) * factor if total > 1 else np.zeros(len(measures))
+                if edge_delta is not None:
+                    delta[:edges] = edge_delta
+                if spread_delta is not None:
+                    delta[edges:] = spread_delta
+                rest.give(rest.nearest(voters, (rest.values[start] + sums / total)[:edges]), delta)
+            at = int(starts[-1]) + 1 if len(starts) else 0
+        return rest
+
     # Starts follow one hashed order, round after round, and begin again at its end: a group that its own box missed is
     # not tried again before the others. A bounded head of the order is enough for a batch.
     last, finished = "", False
     while not finished:
-        head = ledger.left.where(f"_order > '{last}'").orderBy("_order").limit(BATCH_ROUNDS).collect()
+        batch = ledger.batch_rounds()
+        if not batch:
+            ledger.settle_rest(last_rounds(last))
+            break
+        head = ledger.left.where(f"_order > '{last}'").orderBy("_order").limit(batch).collect()
         if ledger.next_id == 1:
             several = ledger.left.where("n > 1").orderBy("_order").limit(1).collect()
             head = several + [row for row in head if several and row["_order"] > several[0]["_order"]] or head
