@@ -103,6 +103,19 @@ def test_dyadic_join_equals_daily_join(spark):
     assert enrich.interval_join(made["pos"], rentals.limit(0), dyadic=True).count() == 0
 
 
+def test_looked_up_positions_are_not_broadcast(spark, capsys):
+    """Rentals until the year 9999 make few look-ups, and the multiplied positions aren't sent to every task."""
+    made = fixtures.tables(spark, SF)
+    far = F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")
+    rentals = made["rental"].withColumn("stop_time", far).withColumnRenamed("id", "rental_id").select("rental_id", "device_id", "start_time", "stop_time")
+    joined = enrich.interval_join(made["pos"], rentals, dyadic=True)
+    joined.explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert plan.count("shiftright") <= 2 * enrich.RANGE_LEVEL
+    assert same(joined.select("rental_id", "pos_id"), enrich.interval_join(made["pos"], rentals, dyadic=False).select("rental_id", "pos_id"))
+
+
 def test_late_rows_of_a_stream_have_no_segment(spark, tmp_path):
     schema = "rental_id long, id long, server_time timestamp_ntz, device_time timestamp_ntz"
     at = lambda minute: START + dt.timedelta(minutes=minute)

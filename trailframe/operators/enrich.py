@@ -13,6 +13,8 @@ BUCKET_SECONDS = 86_400
 LIST_ROWS = 100_000
 #: Blocks of up to 2^31 buckets, far beyond what timestamps can express in days.
 DYADIC_LEVELS = 32
+#: From this block size on, the middle of a long rental is one range.
+RANGE_LEVEL = 8
 
 
 def time_contained(server: Column, device: Column, start: Column, stop: Column) -> Column:
@@ -40,8 +42,11 @@ def _days(pos: DataFrame, bucket_seconds: int) -> DataFrame:
     return pos.agg(F.min(bucket).alias("_low"), F.max(bucket).alias("_high"))
 
 
-def dyadic_blocks(first: Column, last: Column) -> Column:
-    """The fewest aligned blocks of 2^level buckets that make up first..last: structs (level, block), two a level at most."""
+def dyadic_blocks(first: Column, last: Column, levels: int = DYADIC_LEVELS) -> Column:
+    """The fewest aligned blocks of 2^level buckets that make up first..last: structs (level, block), two a level at most.
+
+    With fewer ``levels``, whole blocks of 2^levels buckets are left out.
+    """
 
     def at(level: Column) -> Column:
         scale = F.pow(F.lit(2.0), level)  # exact: bucket numbers stay far below 2^53
@@ -51,23 +56,30 @@ def dyadic_blocks(first: Column, last: Column) -> Column:
         return F.filter(F.array(F.when((low < high) & odd(low), block(low)), F.when((low < high) & odd(high), block(high - 1))),
                         lambda b: b.isNotNull())
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(DYADIC_LEVELS - 1)), at))
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels - 1)), at))
 
 
 def dyadic_join(located: DataFrame, rentals: DataFrame, first: Column, last: Column) -> DataFrame:
     """Join on the device and any block that covers a position's bucket.
 
-    A rental takes two blocks per doubling of its length at most, whatever its stop time; a position looks up one block per level in
-    use (``DYADIC_LEVELS`` at most, asked of the rental table, which is static). Blocks of one rental don't overlap: no pair comes twice.
+    A rental takes two blocks per doubling of its length at most, and beyond 2^``RANGE_LEVEL`` buckets one range for all whole blocks of
+    that size, whatever its stop time; a position looks up one block per level in use (``RANGE_LEVEL`` and the range at most, asked of
+    the rental table, which is static). Blocks of one rental don't overlap: no pair comes twice. Both sides are shuffled: Spark's size
+    check doesn't see that looked-up blocks multiply the positions and would broadcast them.
     """
-    blocks = rentals.withColumn("_b", F.explode(dyadic_blocks(first, last))).select(
-        *rentals.columns, F.col("_b.level").alias("_level"), F.col("_b.block").alias("_block"))
-    levels = sorted(row[0] for row in blocks.select("_level").distinct().collect())  # DYADIC_LEVELS rows at most
-    block_at = lambda level: F.expr(f"shiftright(_bucket, {level})")
+    size = 1 << RANGE_LEVEL
+    low, high = F.ceil(first / size).cast("long") * size, F.floor((last + 1) / size).cast("long") * size - 1
+    middle = F.struct(F.lit(RANGE_LEVEL).alias("level"), F.lit(0).cast("long").alias("block"))
+    pieces = F.concat(dyadic_blocks(first, last, RANGE_LEVEL), F.filter(F.array(middle), lambda _: low <= high))
+    blocks = rentals.withColumn("_b", F.explode(pieces)).select(
+        *rentals.columns, F.col("_b.level").alias("_level"), F.col("_b.block").alias("_block"), low.alias("_from"), high.alias("_to"))
+    levels = sorted(row[0] for row in blocks.select("_level").distinct().collect())  # RANGE_LEVEL + 1 rows at most
+    block_at = lambda level: F.expr(f"shiftright(_bucket, {level})") if level < RANGE_LEVEL else F.lit(0).cast("long")
     wanted = F.array(*[F.struct(F.lit(level).alias("_level"), block_at(level).alias("_block")) for level in levels])
     empty = F.array().cast("array<struct<_level:int,_block:bigint>>")
-    return located.withColumn("_at", F.explode(wanted if levels else empty)).select("*", "_at.*").drop("_at").join(
-        blocks, ["device_id", "_level", "_block"]).drop("_level", "_block")
+    looked_up = located.withColumn("_at", F.explode(wanted if levels else empty)).select("*", "_at.*").drop("_at")
+    met = (F.col("_level") < RANGE_LEVEL) | F.col("_bucket").between(F.col("_from"), F.col("_to"))
+    return looked_up.hint("merge").join(blocks, ["device_id", "_level", "_block"]).where(met).drop("_level", "_block", "_from", "_to")
 
 
 def interval_join(pos: DataFrame, rentals: DataFrame, bucket_seconds: int = BUCKET_SECONDS,
