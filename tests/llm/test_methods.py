@@ -603,3 +603,26 @@ def test_license_rows_without_ids(documents):
     assert licenses.scan(documents([(None, t, "en", "a") for t in halves])).count() == 0
     got = licenses.scan(documents([(i, " ".join(notice), "en", "a") for i in (None, None, 3, 3, 4)])).collect()
     assert Counter((r["doc_id"], r["template"]) for r in got) == {(None, "MIT-notice"): 2, (3, "MIT-notice"): 2, (4, "MIT-notice"): 1}
+
+
+def test_latent_directions_cover_all_documents(spark, documents):
+    """Subspace iteration over every passage of 2300 documents, none left out, equals the direct computation."""
+    rng = random.Random(3)
+    words = [f"k{i}" for i in range(40)]
+    items = spark.createDataFrame([(str(i), " ".join(rng.choices(words, k=12))) for i in range(6)], "item_id string, text string")
+    texts = [" ".join(rng.choices(words[:1 + i % 40] + ["a", "b", "c"] * 20, k=rng.choice([1, 5, 33, 47, 48, 49, 90]))) for i in range(2300)]
+    search = next(decontaminate.searchers(documents([(i, t, "en", "src0") for i, t in enumerate(texts)] + [(9999, None, "en", "src0")]), items))
+    search = search[0] if isinstance(search, tuple) else search
+    block, n = search.block, len(texts) + 1
+    numbers = [block.numbers(t) for t in texts]
+    seen = np.array([sum(k in set(x.tolist()) for x in numbers) for k in range(len(block.vocabulary))])
+    idf = decontaminate.term_weights(block, seen, n)
+    passages = block.words + [x[s:s + decontaminate.PASSAGE] for x in numbers for s in decontaminate.starts(len(x))]
+    a = np.array([np.bincount(p[p >= 0], minlength=len(idf)) * idf for p in passages])
+    a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
+    width = min(decontaminate.SKETCH, len(idf))
+    q = np.linalg.qr(np.random.default_rng(decontaminate.SEED).normal(size=(len(idf), width)))[0]
+    for _ in range(2):
+        y = a.T @ (a @ q)
+        q = np.linalg.qr(y @ np.linalg.eigh((q.T @ y + y.T @ q) / 2)[1][:, ::-1])[0]
+    assert np.allclose(np.abs(search.table[:, :5]), np.abs(idf[:, None] * q[:, :5]), atol=1e-3)

@@ -3,7 +3,8 @@
 Texts become lower-case words. The vocabulary is that of the benchmark; document frequencies are counted over all documents. A
 distributed randomised SVD of TF-IDF passages gives ``RANK`` latent directions: every task multiplies its passages with the test
 matrix and returns partial sums per term, Spark adds them, and the driver only orthonormalises a (vocabulary x ``SKETCH``) matrix. It is
-fitted on the benchmark and on passages of at most about ``SVD_DOCS`` sampled documents; statistics and search cover all documents.
+fitted on the benchmark and on all passages of all documents. Every text becomes word numbers once; they are written, so that statistics,
+both iterations and the search of ``leaks`` read them instead of the texts.
 
 Every passage of ``PASSAGE`` words (one every ``STEP``) of every whole text is compared by cosine with all items that verification could
 accept in that text, those of whose words the text holds a share of ``PARAPHRASE``. Candidates at or above
@@ -36,10 +37,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trailframe.session import materialize
+
 BLOCK_ITEMS = 2000
 PASSAGE, STEP = 32, 16
 RANK, SKETCH = 128, 144
-SVD_DOCS = 2000
+#: Matrix entries multiplied at once, and words whose passages are made at once.
+CHUNK, GROUP_WORDS = 32_768, 1_000_000
 MIN_COSINE = 0.5
 #: Words that more than this share of the documents hold carry no weight, unless an item has no others.
 COMMON = 0.1
@@ -129,22 +133,39 @@ def key_words(words: np.ndarray, seen: np.ndarray) -> np.ndarray:
     return words[np.sort(np.argsort(seen[words], kind="stable")[:math.ceil(len(words) / 3)])]
 
 
-def document_frequencies(docs: DataFrame, block: Block) -> tuple[np.ndarray, int]:
-    """Documents that hold each term, and the number of documents, over all of ``docs``."""
+def numbered(docs: DataFrame, block: Block, *kept: str) -> DataFrame:
+    """``kept`` columns and the word numbers of every text, as 32-bit integers, written once."""
+
+    @F.pandas_udf("binary")
+    def numbers(texts: pd.Series) -> pd.Series:
+        return pd.Series([block.numbers(t).astype(np.int32).tobytes() for t in texts], dtype=object)
+
+    return materialize(docs.select(*kept, numbers("text").alias("numbers")), "numbers")
+
+
+def unpacked(numbers: bytes) -> np.ndarray:
+    return np.frombuffer(numbers, dtype=np.int32).astype(np.int64)
+
+
+def document_frequencies(texts: DataFrame, block: Block) -> tuple[np.ndarray, int]:
+    """Documents that hold each term, and the number of documents, over all rows of ``numbered``."""
+    size = len(block.vocabulary)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen, n = np.zeros(len(block.vocabulary) + 1, dtype=np.int64), 0
+        seen, n = np.zeros(size + 1, dtype=np.int64), 0
+        own = np.zeros(size + 1, dtype=bool)
         for batch in batches:
-            for text in batch["text"]:
-                found = block.vocabulary.keys() & set(tokens(text)) if text else ()
-                seen[[block.vocabulary[w] for w in found]] += 1
+            for packed in batch["numbers"]:
+                own[:] = False
+                own[unpacked(packed)] = True
+                seen += own
             n += len(batch)
         seen[-1] = n
         at = np.nonzero(seen)[0]
         yield pd.DataFrame({"term": at, "n": seen[at]})
 
-    out = np.zeros(len(block.vocabulary) + 1, dtype=np.int64)
-    for row in docs.select("text").mapInPandas(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+    out = np.zeros(size + 1, dtype=np.int64)
+    for row in texts.select("numbers").mapInPandas(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
         out[row["term"]] = row["n"]  # at most one row per benchmark word
     return out[:-1], int(out[-1])
 
@@ -159,42 +180,77 @@ def term_weights(block: Block, seen: np.ndarray, n: int) -> np.ndarray:
     return np.where(common, 0.0, idf)
 
 
-def _gram_times(passages: Iterator[np.ndarray], idf: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """A'A q over passages given as word numbers; rows of A are unit TF-IDF vectors."""
-    out = np.zeros_like(q)
-    for p in passages:
-        term, tf = np.unique(p[p >= 0], return_counts=True)
-        if len(term):
-            a = tf * idf[term]
-            a = a / max(float(np.linalg.norm(a)), 1e-12)
-            out[term] += a[:, None] * (a @ q[term])
-    return out
-
-
-def latent_directions(docs: DataFrame, block: Block, idf: np.ndarray, n_docs: int) -> np.ndarray:
-    """(vocabulary x rank) orthonormal right singular vectors, by subspace iteration over distributed passages."""
+def passage_rows(texts: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit TF-IDF vectors of all passages of some texts: first entry of each, and the term and value of every entry."""
+    lengths = np.array([len(t) for t in texts])
+    begin = np.cumsum(lengths) - lengths
+    passages = np.maximum(1, -(-(lengths - PASSAGE + STEP) // STEP))
+    base = np.cumsum(passages) - passages
+    flat = np.concatenate(texts)
+    heavy = np.nonzero(np.append(idf > 0, False)[flat])[0]
+    text = np.searchsorted(begin, heavy, "right") - 1
+    step = (heavy - begin[text]) // STEP
+    inside, later = step < passages[text], step > 0  # a word stands in the passage that starts at its step and in the one before
+    row = np.concatenate([(base[text] + step)[inside], (base[text] + step - 1)[later]])
+    term = np.concatenate([flat[heavy[inside]], flat[heavy[later]]])
+    entry, tf = np.unique(row * len(idf) + term, return_counts=True)
+    row, term = np.divmod(entry, len(idf))
+    first = np.nonzero(np.diff(row, prepend=-1))[0]
+    value = tf * idf[term]
+    if len(first):
+        norms = np.sqrt(np.add.reduceat(value * value, first))
+        value = value / np.repeat(np.maximum(norms, 1e-12), np.diff(first, append=len(row)))
+    return first, term, value
+
+
+def add_gram(out: np.ndarray, rows: tuple[np.ndarray, np.ndarray, np.ndarray], q: np.ndarray) -> None:
+    """Add A'A q over the rows of A, some ``CHUNK`` entries at a time."""
+    first, term, value = rows
+    ends, at = np.append(first, len(term)), 0
+    while at < len(first):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + CHUNK, "right")) - 1)
+        part, lo = slice(ends[at], ends[to]), ends[at]
+        t, v = term[part], value[part].astype(q.dtype)[:, None]
+        z = np.add.reduceat(v * q[t], first[at:to] - lo)
+        order = np.argsort(t, kind="stable")
+        held = np.nonzero(np.diff(t[order], prepend=-1))[0]
+        owner = np.repeat(np.arange(to - at), np.diff(ends[at:to + 1]))
+        out[t[order[held]]] += np.add.reduceat(v[order] * z[owner[order]], held)
+        at = to
+
+
+def latent_directions(texts: DataFrame, block: Block, idf: np.ndarray) -> np.ndarray:
+    """(vocabulary x rank) orthonormal right singular vectors, by subspace iteration over all passages of rows of ``numbered``."""
     size = len(block.vocabulary)
     width = min(SKETCH, size)
-    sample = docs.select("text")
-    if n_docs > SVD_DOCS:
-        sample = sample.sample(SVD_DOCS / n_docs, seed=SEED)
     q = np.linalg.qr(np.random.default_rng(SEED).normal(size=(size, width)))[0]
     for _ in range(2):
 
-        def part(batches: Iterator[pd.DataFrame], q: np.ndarray = q) -> Iterator[pd.DataFrame]:
-            def passages() -> Iterator[np.ndarray]:
-                for batch in batches:
-                    for text in batch["text"]:
-                        numbers = block.numbers(text)
-                        yield from (numbers[s:s + PASSAGE] for s in starts(len(numbers)))
-
-            y = _gram_times(passages(), idf, q)
+        def part(batches: Iterator[pd.DataFrame], q: np.ndarray = q.astype(np.float32)) -> Iterator[pd.DataFrame]:
+            y = np.zeros((size, width))
+            for batch in batches:
+                found, words = [], 0
+                for numbers in map(unpacked, batch["numbers"]):
+                    if len(numbers):
+                        found.append(numbers)
+                        words += len(numbers)
+                    if words >= GROUP_WORDS:
+                        add_gram(y, passage_rows(found, idf), q)
+                        found, words = [], 0
+                if found:
+                    add_gram(y, passage_rows(found, idf), q)
             at = np.nonzero(y.any(axis=1))[0]
             yield pd.DataFrame({"term": at, **{f"y{j}": y[at, j] for j in range(width)}})
 
         schema = "term long, " + ", ".join(f"y{j} double" for j in range(width))
-        summed = sample.mapInPandas(part, schema).groupBy("term").agg(*[F.sum(f"y{j}").alias(f"y{j}") for j in range(width)])
-        y = _gram_times(iter(block.words), idf, q)
+        summed = texts.select("numbers").mapInPandas(part, schema).groupBy("term").agg(
+            *[F.sum(f"y{j}").alias(f"y{j}") for j in range(width)])
+        y = np.zeros((size, width))
+        for words in block.words:  # an item is one row, however long
+            term, tf = np.unique(words, return_counts=True)
+            value = tf * idf[term]
+            value = value / max(float(np.linalg.norm(value)), 1e-12)
+            y[term] += value[:, None] * (value @ q[term])
         for row in summed.collect():  # at most one row per benchmark word
             y[row["term"]] += np.array(row[1:])
         small = q.T @ y
@@ -250,7 +306,9 @@ class Searcher:
                 yield column, np.nonzero(upto >= need)[0]
 
     def __call__(self, text: str | None) -> list[dict]:
-        numbers = self.block.numbers(text)
+        return self.search(self.block.numbers(text))
+
+    def search(self, numbers: np.ndarray) -> list[dict]:
         if not len(numbers):
             return []
         possible = self.possible(numbers)
@@ -294,11 +352,13 @@ def blocks(benchmark: DataFrame) -> Iterator[Block]:
             yield block
 
 
-def searchers(docs: DataFrame, benchmark: DataFrame) -> Iterator[Searcher]:
+def searchers(docs: DataFrame, benchmark: DataFrame, *kept: str) -> Iterator[tuple[Searcher, DataFrame]]:
+    """A searcher for each block, with the word numbers of all texts in that block's vocabulary."""
     for block in blocks(benchmark):
-        seen, n = document_frequencies(docs, block)
+        texts = numbered(docs, block, *kept)
+        seen, n = document_frequencies(texts, block)
         idf = term_weights(block, seen, n)
-        yield Searcher(block, idf, latent_directions(docs, block, idf, n), seen)
+        yield Searcher(block, idf, latent_directions(texts, block, idf), seen), texts
 
 
 LEAKS = "array<struct<item string, score double, copied boolean, word int>>"
@@ -312,10 +372,18 @@ def _udf(search: Searcher):
     return found
 
 
+def _numbers_udf(search: Searcher):
+    @F.pandas_udf(LEAKS)
+    def found(numbers: pd.Series) -> pd.Series:
+        return pd.Series([search.search(unpacked(n)) for n in numbers], dtype=object)
+
+    return found
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, score, copied, near_word) of every benchmark item found in a document."""
     kind = benchmark.schema["item_id"].dataType
-    parts = [docs.select("doc_id", F.explode(_udf(s)("text")).alias("x")) for s in searchers(docs, benchmark)]
+    parts = [texts.select("doc_id", F.explode(_numbers_udf(s)("numbers")).alias("x")) for s, texts in searchers(docs, benchmark, "doc_id")]
     if not parts:
         parts = [docs.select("doc_id", F.explode(F.array().cast(LEAKS)).alias("x"))]
     out = parts[0]
@@ -327,6 +395,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of ``docs`` in which no benchmark item is found, all columns kept."""
-    for search in searchers(docs, benchmark):
+    for search, _ in searchers(docs, benchmark):
         docs = docs.filter(F.size(_udf(search)("text")) == 0)
     return docs
