@@ -861,7 +861,9 @@ def stream_segments(spark, d):
     made, folder = fixtures.tables(spark, d), scratch_path(spark, "chunks")
     third = F.least(F.lit(2), F.floor((F.dayofmonth("ts") - 1) / 10))
     for part in range(3):
-        fixtures.table(spark, d, "events").where(third == part).coalesce(1).write.mode("append").parquet(folder)
+        # small row groups, so that many tasks read the one file of a micro-batch
+        fixtures.table(spark, d, "events").where(third == part).coalesce(1).write.mode("append").option(
+            "parquet.block.size", 4 << 20).parquet(folder)
     events = ingest.position_stream(spark, folder, "parquet", schema=fixtures.table(spark, d, "events").schema, files_per_trigger=1)
     target = scratch_path(spark, "stream")
     ingest.start_segments(fixtures.pos_from_events(events), made["rental"], made["usr"], made["device"], "12 hours", target,

@@ -58,30 +58,34 @@ def segment_stream(pos_gen: DataFrame, threshold: int | float | str) -> DataFram
     limit = threshold_micros(threshold)
 
     def advance(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(parts).sort_values(["server", "device", "id"], na_position="last", ignore_index=True)
-        known = rows.notna().all(axis=1).to_numpy()
+        # groups are short and many: plain arrays, one table a group
+        found = [tuple(part[c].to_numpy() for c in ("server", "device", "id")) for part in parts]
+        columns = [np.concatenate(c) if len(c) > 1 else c[0] for c in zip(*found)]
+        order = np.lexsort(columns[::-1])
+        server, device, ids = (c[order] for c in columns)
+        known = ~(np.isnan(server) | np.isnan(device) | np.isnan(ids))
         last = state.get if state.exists else None
         if last is not None:
-            known &= np.fromiter((ok and (s, d, i) > last[:3] for ok, s, d, i in zip(
-                known, rows["server"], rows["device"], rows["id"])), dtype=bool, count=len(rows))
-        new = rows[known].astype("int64")
-        segment, gap = pd.array([pd.NA] * len(rows), dtype="Int64"), pd.array([pd.NA] * len(rows), dtype="Float64")
-        if len(new):
-            clocks = new[["server", "device"]].to_numpy()
+            known &= (server > last[0]) | ((server == last[0]) & ((device > last[1]) | ((device == last[1]) & (ids > last[2]))))
+        segment, gap = np.zeros(len(order), dtype=np.int64), np.zeros(len(order))
+        if known.any():
+            clocks = np.column_stack([server[known], device[known]]).astype(np.int64)
             before = np.vstack([clocks[:1] if last is None else [last[:2]], clocks[:-1]])
             gaps = clocks - before
             flag = (gaps >= limit).all(axis=1)
             turned = flag != np.concatenate([[flag[0] if last is None else bool(last[3])], flag[:-1]])
             run = (1 if last is None else last[4]) + np.cumsum(turned)
             segment[known], gap[known] = run, (gaps // 1000).sum(axis=1) / 2.0
-            state.update((int(clocks[-1, 0]), int(clocks[-1, 1]), int(new["id"].iloc[-1]), bool(flag[-1]), int(run[-1])))
-        yield pd.DataFrame({"rental_id": [key[0]] * len(rows), "id": rows["id"].astype("Int64"), "timedelta_id": segment,
-                            "time_gap": gap, "late": ~known})
+            state.update((int(clocks[-1, 0]), int(clocks[-1, 1]), int(ids[known][-1]), bool(flag[-1]), int(run[-1])))
+        if not known.all():
+            ids = pd.Series(ids).astype("Int64").array
+            segment, gap = pd.arrays.IntegerArray(segment, ~known), pd.arrays.FloatingArray(gap, ~known)
+        yield pd.DataFrame({"rental_id": [key[0]] * len(order), "id": ids, "timedelta_id": segment, "time_gap": gap, "late": ~known})
 
     narrow = pos_gen.select("rental_id", "id", epoch_micros(F.col("server_time")).alias("server"),
                             epoch_micros(F.col("device_time")).alias("device"))
     return narrow.groupBy("rental_id").applyInPandasWithState(
-        lambda key, parts, state: advance(key, (p[["id", "server", "device"]] for p in parts), state),
+        advance,
         "rental_id long, id long, timedelta_id long, time_gap double, late boolean",
         "server long, device long, id long, flag boolean, run long", "append", GroupStateTimeout.NoTimeout)
 
