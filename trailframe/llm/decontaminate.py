@@ -42,8 +42,8 @@ from trailframe.session import materialize
 BLOCK_ITEMS = 2000
 PASSAGE, STEP = 32, 16
 RANK, SKETCH = 128, 144
-#: Matrix entries multiplied at once, and words whose passages are made at once.
-CHUNK, GROUP_WORDS = 32_768, 1_000_000
+#: Passages multiplied at once, and words whose passages are made at once.
+GROUP_ROWS, GROUP_WORDS = 256, 1_000_000
 MIN_COSINE = 0.5
 #: Words that more than this share of the documents hold carry no weight, unless an item has no others.
 COMMON = 0.1
@@ -204,19 +204,16 @@ def passage_rows(texts: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray,
 
 
 def add_gram(out: np.ndarray, rows: tuple[np.ndarray, np.ndarray, np.ndarray], q: np.ndarray) -> None:
-    """Add A'A q over the rows of A, some ``CHUNK`` entries at a time."""
+    """Add A'A q over the rows of A, ``GROUP_ROWS`` at a time as a dense matrix over the terms they hold."""
     first, term, value = rows
-    ends, at = np.append(first, len(term)), 0
-    while at < len(first):
-        to = max(at + 1, int(np.searchsorted(ends, ends[at] + CHUNK, "right")) - 1)
-        part, lo = slice(ends[at], ends[to]), ends[at]
-        t, v = term[part], value[part].astype(q.dtype)[:, None]
-        z = np.add.reduceat(v * q[t], first[at:to] - lo)
-        order = np.argsort(t, kind="stable")
-        held = np.nonzero(np.diff(t[order], prepend=-1))[0]
-        owner = np.repeat(np.arange(to - at), np.diff(ends[at:to + 1]))
-        out[t[order[held]]] += np.add.reduceat(v[order] * z[owner[order]], held)
-        at = to
+    ends = np.append(first, len(term))
+    for at in range(0, len(first), GROUP_ROWS):
+        bounds = ends[at:at + GROUP_ROWS + 1]
+        part = slice(bounds[0], bounds[-1])
+        held, column = np.unique(term[part], return_inverse=True)
+        a = np.zeros((len(bounds) - 1, len(held)), dtype=q.dtype)
+        a[np.repeat(np.arange(len(a)), np.diff(bounds)), column] = value[part]
+        out[held] += a.T @ (a @ q[held])
 
 
 def latent_directions(texts: DataFrame, block: Block, idf: np.ndarray) -> np.ndarray:
