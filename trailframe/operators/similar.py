@@ -11,9 +11,9 @@ until a guess confirms itself. The first unconfirmed start of a guess is always
 right at once, so a batch takes fewer jobs than rounds, with the result of one round after the other. A spread round needs one aggregate: the group nearest to the mean
 comes from a list of near groups, as long as the mean has not moved so far that another could be nearer.
 
-The first rounds cover the dense parts, most rounds number a few groups each. Once at most ``REST_GROUPS`` groups are open after a
-batch, the driver holds their measures and runs their rounds itself, with the same rules; the positions stay distributed and are
-counted per open group and start, ``REST_PAIRS`` counts in one job at most.
+The first rounds cover the dense parts, most rounds number a few groups each. Once at most ``REST_GROUPS`` groups are open, be it from
+the start or after a batch, the driver holds their measures and runs their rounds itself, with the same rules; the positions stay
+distributed and are counted per open group and start, ``REST_PAIRS`` counts in one job at most.
 """
 
 from __future__ import annotations
@@ -39,8 +39,8 @@ BATCH_ROUNDS = 64
 NEAR_GROUPS = 1000
 #: Open groups, and counts of their positions, that the driver holds for the last rounds.
 REST_GROUPS = 32_768
-#: Rounds before that in tables that are small from the start.
-FIRST_ROUNDS = 16
+#: Rounds before that in tables of a few groups; other tables that the driver may hold from the start take none.
+FIRST_ROUNDS, FEW_GROUPS = 16, 256
 REST_PAIRS = 2_097_152
 #: Merged latitude intervals by which a scan of a batch is pruned.
 SCAN_INTERVALS = 8
@@ -246,15 +246,17 @@ class _Ledger:
 
     def batch_rounds(self) -> int:
         """How many rounds the next batch takes; none when the driver may hold what a batch left open."""
-        if self.left.count() > REST_GROUPS:
+        groups = self.left.count()
+        if groups > REST_GROUPS:
             return BATCH_ROUNDS
-        return 0 if self.wrote else min(FIRST_ROUNDS, BATCH_ROUNDS)
+        return 0 if self.wrote or groups > FEW_GROUPS else min(FIRST_ROUNDS, BATCH_ROUNDS)
 
     def settle_rest(self, rest: _Rest) -> None:
         """Number the groups whose rounds the driver ran."""
         table = self.session.createDataFrame(rest.table.select(self.keys).append_column(self.name, pa.array(rest.ids)))
         types = dict(self.left.dtypes)
         table.select(*[F.col(k).cast(types[k]) for k in self.keys], self.name).write.mode("append").parquet(self.done_path)
+        self.wrote = True
         self.next_id = rest.next_id
 
     def result(self, spark: SparkSession) -> DataFrame:
@@ -433,7 +435,9 @@ def _box_rounds(groups: DataFrame, positions: DataFrame, keys: list[str], name:
     measures = [*S.EDGES, *S.SPREADS] if with_spread else list(S.EDGES)
     ordered = groups.withColumn("_order", hash_order(*[F.col(k) for k in keys], seed=seed))
     ledger = _Ledger(ordered, keys, name)
-    ledger.rows = ledger.stored(_clustered(positions.select(*keys, "latitude", "longitude", *measures)))
+    batch = ledger.batch_rounds()
+    located = [*keys, "latitude", "longitude"]
+    ledger.rows = ledger.stored(_clustered(positions.select(*located, *measures)) if batch else positions.select(*located))
 
     def rounds(head: Sequence[Row]) -> tuple[list[_Box], Row]:
         """The boxes of the next rounds and the last start that was looked at."""
@@ -471,6 +475,9 @@ def _box_rounds(groups: DataFrame, positions: DataFrame, keys: list[str], name:
         """The rounds of the rest, from the first start behind ``after`` on."""
         rest = _Rest(ledger, measures, ["_order"])
         edges, at = len(S.EDGES), int(np.searchsorted(rest.table["_order"].to_numpy(zero_copy_only=False).astype(str), after, "right"))
+        several = np.nonzero(rest.table["n"].to_numpy() > 1)[0]
+        if ledger.next_id == 1 and len(several):
+            at = int(several[0])
         factor = np.array([2.0] * edges + [0.25] * (len(measures) - edges))
         while rest.open.any():
             starts = np.nonzero(rest.open[at:])[0][:max(BATCH_ROUNDS, REST_PAIRS // int(rest.open.sum()))] + at
@@ -499,7 +506,6 @@ def _box_rounds(groups: DataFrame, positions: DataFrame, keys: list[str], name:
     # not tried again before the others. A bounded head of the order is enough for a batch.
     last, finished = "", False
     while not finished:
-        batch = ledger.batch_rounds()
         if not batch:
             ledger.settle_rest(last_rounds(last))
             break
@@ -513,6 +519,7 @@ def _box_rounds(groups: DataFrame, positions: DataFrame, keys: list[str], name:
         boxes, end = rounds(head)
         last = end["_order"]
         ledger.settle(boxes)
+        batch = ledger.batch_rounds()
     return ledger.result(groups.sparkSession)
 
 
