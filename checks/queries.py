@@ -531,10 +531,10 @@ def cluster_report(spark, d):
 
 
 def _scoped(spark, d) -> tuple[DataFrame, DataFrame]:
-    """Prepared rows and the labels of a clustering run over all rows."""
+    """Prepared rows and the labels of a clustering run over all rows, written once, as they are numbered and joined."""
     prepared = prep.prepare(merge(spark, d))
     labels = cluster.cluster_scopes(prepared, 4, columns=PLACE, methods=S.EXAM_METHODS, bandwidth=1.0, scopes=["all"])
-    return prepared, numbered(labels, ["scope", "method"])
+    return prepared, numbered(materialize(labels, "labels"), ["scope", "method"])
 
 
 @query

@@ -297,3 +297,26 @@ def test_kernel_density_integrates_to_about_one(df, blobs):
     total = plotdata.kernel_density(df, "a", "b", 40).agg(F.sum("density")).first()[0]
     area = np.ptp(blobs.a) * np.ptp(blobs.b) / 1600
     assert 0.8 < total * area < 1.05
+
+
+def test_lines_of_clusters_join_once(spark):
+    """The labelled rows are stored before they are counted and listed, and lists that fit one part need no window."""
+    rows = [(r, p, float(10 * p % 7), float(p), 44.0 + p / 10, 12.0 + r) for r in (1, 2) for p in range(1, 8)]
+    prepared = spark.createDataFrame(rows, "rental_id long, pos_id long, server_time double, device_time double, latitude double, longitude double")
+    clusters = prepared.select("rental_id", "pos_id", F.lit("all").alias("scope"), F.lit("m").alias("method"),
+                               (F.col("pos_id") % 2).cast("int").alias("cluster_id"))
+    lines = plotdata.cluster_lines(prepared, clusters, ["rental_id"])
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+    got = {(r["rental_id"], r["cluster_id"], r["part"]): [tuple(p) for p in r["points"]] for r in lines.collect()}
+    ordered = sorted(rows, key=lambda r: (r[2], r[3], r[1]))
+    assert got == {(r, c, 0): [(x[5], x[4]) for x in ordered if x[0] == r and x[1] % 2 == c] for r in (1, 2) for c in (0, 1)}
+    short = polylines_of(prepared, 3)
+    whole = polylines_of(prepared, 100)
+    assert {k: sum((short[k, p] for p in range(3)), []) for k in (1, 2)} == {k: whole[k, 0] for k in (1, 2)}
+
+
+def polylines_of(df, part_rows):
+    lines = plotdata.polylines(df, ["rental_id"], "longitude", "latitude", order=["server_time", "device_time", "pos_id"],
+                               split=F.col("server_time"), part_rows=part_rows)
+    return {(r["rental_id"], r["part"]): [tuple(p) for p in r["points"]] for r in lines.collect()}

@@ -141,9 +141,15 @@ def in_parts(df: DataFrame, keys: list[str], order: list[str], value: Column, na
     """Group into ordered lists of at most ``part_rows`` entries: columns ``keys``, ``part``, ``name``.
 
     ``part`` (0, 1, ...) belongs to the row key of every such table, at every size: a row holds one stretch of a group, so
-    neither a row nor an aggregation buffer grows with the group.
+    neither a row nor an aggregation buffer grows with the group. When every group fits one part, its list is sorted as it
+    is gathered, without numbering the rows first.
     """
-    indexed = Ordered.open(df, keys, order, split).row_index(position).finish()
+    opened = Ordered.open(df, keys, order, split)
+    if not opened.chunked and opened.largest <= part_rows:
+        entry = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], value.alias("v"))
+        whole = df.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_list"))
+        return whole.select(*keys, F.lit(0).cast("long").alias("part"), F.transform("_list", lambda e: e["v"]).alias(name))
+    indexed = opened.row_index(position).finish()
     listed = indexed.withColumn("part", F.floor(F.col(position) / part_rows).cast("long")).groupBy(*keys, "part").agg(
         F.array_sort(F.collect_list(F.struct(F.col(position).alias("at"), value.alias("v")))).alias("_list"))
     return listed.select(*keys, "part", F.transform("_list", lambda e: e["v"]).alias(name))

@@ -40,13 +40,18 @@ def _limits(df: DataFrame) -> tuple[int, int]:
 
 def hot_key_rows(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame | None, int]:
     """Keys with more rows than a fair share (at most ``shares`` of them), or None; and the share itself."""
+    return _hot_key_rows(df, keys)[:2]
+
+
+def _hot_key_rows(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame | None, int, int]:
+    """``hot_key_rows`` and the rows of the largest key."""
     min_rows, shares = _limits(df)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total, largest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
     limit = max(min_rows, (total or 0) // shares)
     if largest is None or largest <= limit:
-        return None, limit
-    return counts.where(F.col("_rows") > limit), limit
+        return None, limit, largest or 0
+    return counts.where(F.col("_rows") > limit), limit, largest
 
 
 @dataclass(frozen=True)
@@ -57,13 +62,15 @@ class Ordered:
     keys: tuple[str, ...]
     order: tuple[str, ...]
     chunked: bool
+    #: Rows of the largest key.
+    largest: int
 
     @staticmethod
     def open(df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Column) -> "Ordered":
         """``split`` is a numeric column that never decreases along ``order``."""
-        hot, limit = hot_key_rows(df, keys)
+        hot, limit, largest = _hot_key_rows(df, keys)
         if hot is None:
-            return Ordered(df, tuple(keys), tuple(order), False)
+            return Ordered(df, tuple(keys), tuple(order), False, largest)
         _, shares = _limits(df)
         steps = min(shares, 2048)
         fractions = [i / steps for i in range(1, steps)]
@@ -99,7 +106,7 @@ class Ordered:
         )
         joined = joined.withColumn(_HOT, F.col("_points").isNotNull()).withColumn(
             _CHUNK, F.when(F.col(_HOT), search).otherwise(F.lit(0))).drop("_points")
-        return Ordered(materialize(joined, "ordered"), tuple(keys), tuple(order), True)
+        return Ordered(materialize(joined, "ordered"), tuple(keys), tuple(order), True, largest)
 
     # -- helpers -----------------------------------------------------------
     @property

@@ -12,6 +12,7 @@ from trailframe.operators.enrich import LIST_ROWS, in_parts
 from trailframe.operators.profile import long_values
 from trailframe.operators.regions import first_rentals, shift_for_map, with_region
 from trailframe.operators.regress import Fit
+from trailframe.session import materialize
 
 BINS, TARGET_BINS, GRID = 50, 30, 50
 _ORDER = ["server_time", "device_time", "id"]
@@ -145,12 +146,15 @@ def cluster_lines(prepared: DataFrame, clusters: DataFrame, keys: Sequence[str],
                   row: Sequence[str] = ("rental_id", "pos_id")) -> DataFrame:
     """(scope, method, keys, cluster_id, part, points): clustered lines of every scope and method.
 
-    ``prepared`` holds float-second times, ``clusters`` is the labelled output of a clustering run.
+    ``prepared`` holds float-second times, ``clusters`` is the labelled output of a clustering run. The labelled rows are
+    written once, as they are counted and then listed.
     """
     shown = first_rentals(prepared, rentals)
-    labelled = shown.join(clusters, list(row))
+    order = ["server_time", "device_time", "pos_id"]
+    needed = dict.fromkeys([*row, *keys, *order, "longitude", "latitude"])
+    labelled = materialize(shown.select(*needed).join(clusters.select(*row, "scope", "method", "cluster_id"), list(row)), "lines")
     return polylines(labelled, ["scope", "method", *keys], "longitude", "latitude", "cluster_id",
-                     order=["server_time", "device_time", "pos_id"], split=F.col("server_time"))
+                     order=order, split=F.col("server_time"))
 
 
 def cluster_summary(prepared: DataFrame, clusters: DataFrame, features: Sequence[str],
