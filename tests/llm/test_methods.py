@@ -4,6 +4,7 @@ import datetime as dt
 import hashlib
 import random
 import re
+import sys
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -367,6 +368,58 @@ def test_blocks_cover_the_benchmark(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, items).collect()} == whole != set()
 
 
+def searcher(texts):
+    block = decontaminate.Block.of([(str(k), t) for k, t in enumerate(texts)])
+    size = len(block.vocabulary)
+    seen = np.arange(size) % 7 + 1
+    return decontaminate.Searcher(block, decontaminate.term_weights(block, seen, 1000), np.eye(size), seen)
+
+
+def test_search_equals_verification_of_every_passage():
+    """Nothing that verification accepts anywhere is put aside by the cosine, the rare words or the counts around passages."""
+    rng, words = random.Random(21), [f"k{i}" for i in range(30)]
+    search = searcher([" ".join(rng.choices(words, k=n)) for n in (1, 2, 4, 5, 5, 6, 7, 9, 12, 12, 20, 33, 70)])
+    found = 0
+    for _ in range(150):
+        parts = [rng.choices([*words[:rng.randint(1, 30)], "a", "b"], k=rng.randint(0, 90)) for _ in range(rng.randint(1, 4))]
+        for part in parts:  # most of an item, with some words changed
+            item = [words[int(x) % 30] if rng.random() < 0.1 else list(search.block.vocabulary)[x].decode() for x in rng.choice(search.block.words)]
+            part[rng.randint(0, len(part)):0] = item if rng.random() < 0.7 else []
+        numbers, want = search.block.numbers(" ".join(x for p in parts for x in p)), {}
+        for at in decontaminate.starts(len(numbers)).tolist() if len(numbers) else []:
+            for k, item in enumerate(search.block.words):
+                n = len(item)
+                around = numbers[max(0, at - n):at + decontaminate.PASSAGE + n]
+                score = decontaminate.lcs(item, around) / n
+                answered = decontaminate.lcs(search.answers[k], around) >= decontaminate.ANSWER * len(search.answers[k])
+                whole = n >= decontaminate.MIN_ITEM_WORDS or decontaminate.run_at(item, around)
+                if whole and score >= (decontaminate.PARAPHRASE if answered else decontaminate.COPY) and score > want.get(str(k), (0,))[0]:
+                    want[str(k)] = score, score >= decontaminate.COPY, at
+        got = {x["item"]: (x["score"], x["copied"], x["word"]) for x in search.search(numbers)}
+        assert got == want
+        found += len(want)
+    assert found > 150
+
+
+def test_passages_with_too_few_words_cost_no_calls_of_their_own():
+    """A text that holds all words of an item, but never enough of them together, is searched in few calls, however long it is."""
+    words = [f"k{i}" for i in range(10)]
+    search = searcher([" ".join(words)])
+    numbers = search.block.numbers(" ".join(f"{a} {b} " * 800 for a, b in zip(words[::2], words[1::2], strict=True)))
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        got = search.search(numbers)
+    finally:
+        sys.setprofile(None)
+    assert got == [] and calls < len(decontaminate.starts(len(numbers))) == 499
+
+
 # --- SimHash --------------------------------------------------------------------------------------------------------
 
 

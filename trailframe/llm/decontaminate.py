@@ -13,8 +13,9 @@ is a copy; ``PARAPHRASE`` of them is a paraphrase if the answer (the item's last
 sentence only) is there too, by ``ANSWER`` of its words.
 
 An exact retrieval adds what falls below the cosine. A text can hold a share of a sequence only if it holds one of its rarest words,
-one more than may be missing; texts with such a word of an item or of its answer have the item's words counted around every passage, and
-passages with too few are put aside. Whatever verification accepts at any passage is thus a candidate, whatever the latent directions.
+one more than may be missing; every passage of texts with such a word of an item or of its answer is a candidate for that item. So
+whatever verification accepts at any passage is a candidate, whatever the latent directions. Before verification the item's words around
+all passages of a text are counted at once, and passages with too few are put aside.
 Items under ``MIN_ITEM_WORDS`` words count only where they stand word for word.
 
 The benchmark is handled in blocks of about ``BLOCK_ITEMS`` items, each small enough to be sent to every task, so its size is not
@@ -122,6 +123,16 @@ def run_at(item: np.ndarray, text: np.ndarray) -> bool:
     return any(np.array_equal(text[p:p + len(item)], item) for p in places.tolist())
 
 
+def occurrences(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of a text's words of the vocabulary, their numbers, and where each stood last (far before the text: nowhere)."""
+    at = np.nonzero(numbers >= 0)[0]
+    words, before = numbers[at], np.full(len(at), -(1 << 62))
+    order = np.argsort(words, kind="stable")
+    same = np.nonzero(words[order[1:]] == words[order[:-1]])[0]
+    before[order[same + 1]] = at[order[same]]
+    return at, words, before
+
+
 def rarest(words: np.ndarray, share: float, seen: np.ndarray) -> set[int]:
     """Words of which any text with ``share`` of ``words`` holds one: as many of the rarest as may be missing, and one more."""
     spare = len(words) - math.ceil(share * len(words) - 1e-9)
@@ -274,6 +285,8 @@ class Searcher:
         self.posted = np.zeros(len(block.vocabulary) + 1, dtype=bool)
         self.posted[list(self.posts)] = True
         self.own = np.zeros(len(block.vocabulary) + 1, dtype=bool)
+        self.distinct = [np.unique(w, return_counts=True) for w in block.words]
+        self.times = np.zeros(len(block.vocabulary) + 1, dtype=np.int64)
         self.flat = np.concatenate(block.words)
         sizes = np.array([len(w) for w in block.words])
         self.first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
@@ -287,20 +300,23 @@ class Searcher:
         self.own[numbers] = False
         return np.nonzero(held >= self.need)[0]
 
-    def exact(self, numbers: np.ndarray, begin: np.ndarray, possible: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Items that the text may hold, each with the places in ``begin`` around which enough of its words stand."""
-        found = set(numbers[self.posted[numbers]].tolist())
-        rare = {k for x in found for k in self.posts[x]}
-        for column, k in enumerate(possible.tolist()):
-            if k not in rare:
-                continue
-            item, need, own = self.block.words[k], self.need[k], self.own
-            own[item] = True
-            at = np.nonzero(own[numbers])[0]  # where the text has words of the item
-            own[item] = False
-            if len(at) >= need:
-                upto = np.searchsorted(at, begin + PASSAGE + len(item)) - np.searchsorted(at, begin - len(item))
-                yield column, np.nonzero(upto >= need)[0]
+    def rare(self, numbers: np.ndarray) -> set[int]:
+        """Items of which the text holds one of the words that it must hold."""
+        return {k for x in set(numbers[self.posted[numbers]].tolist()) for k in self.posts[x]}
+
+    def held(self, k: int, at: np.ndarray, words: np.ndarray, before: np.ndarray, passages: int) -> np.ndarray:
+        """How many of an item's words stand around each passage of a text with these ``occurrences``."""
+        own, counts = self.distinct[k]
+        self.times[own] = counts
+        times = self.times[words]
+        self.times[own] = 0
+        of, n = np.nonzero(times)[0], len(self.block.words[k])
+        at, times = at[of], times[of]
+        # a place is the first of its word around the passages that begin in (max(before, at - n - PASSAGE), at + n]
+        since = np.maximum(np.maximum(before[of], at - 2 * n - PASSAGE) + n, -1) // STEP + 1
+        until = (at + n) // STEP + 1
+        first, past = (np.bincount(np.minimum(p, passages), times, passages + 1) for p in (since, until))
+        return np.cumsum(first - past)[:-1]
 
     def __call__(self, text: str | None) -> list[dict]:
         return self.search(self.block.numbers(text))
@@ -313,20 +329,16 @@ class Searcher:
             return []
         z = embedded(numbers, self.table, self.heavy)
         close = (z @ self.items[possible].T) >= MIN_COSINE * np.maximum(np.linalg.norm(z, axis=1), 1e-9)[:, None]
-        begin, best = starts(len(numbers)), {}
-        for column, places in self.exact(numbers, begin, possible):
-            close[places, column] = True
+        begin, best, rare = starts(len(numbers)), {}, self.rare(numbers)
+        found = occurrences(numbers)
+        for column, k in enumerate(possible.tolist()):
+            if k in rare or close[:, column].any():
+                enough = self.held(k, *found, len(begin)) >= self.need[k]
+                close[:, column] = enough if k in rare else enough & close[:, column]
         for p, column in zip(*np.nonzero(close), strict=True):
             k = int(possible[column])
             item, answer, at = self.block.words[k], self.answers[k], int(begin[p])
-            lo, hi = max(0, at - len(item)), at + PASSAGE + len(item)
-            around, held = numbers[lo:hi], self.own
-            held[around] = True
-            held[-1] = False
-            words = np.count_nonzero(held[item])
-            held[around] = False
-            if words < self.need[k]:
-                continue
+            around = numbers[max(0, at - len(item)):at + PASSAGE + len(item)]
             if len(item) < MIN_ITEM_WORDS and not run_at(item, around):
                 continue
             around = around[around >= 0]
