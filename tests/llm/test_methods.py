@@ -401,6 +401,16 @@ def test_search_equals_verification_of_every_passage():
     assert found > 150
 
 
+def test_numbers_of_many_texts_equal_those_of_each():
+    block = decontaminate.Block.of([("1", "Alpha beta, gamma's delta 漢字"), ("2", "alpha Ünï x")])
+    rng, parts = random.Random(4), ["alpha", "BETA", "s", "漢字", "Ünï", "other", " ", "\n", "\t", "--", "\x00", ".", "\u00a0", "\ud800", "é"]
+    texts = [None, "", "   ", "...", "alpha", *("".join(rng.choices(parts, k=rng.randint(1, 40))) for _ in range(300))]
+    want = [block.numbers(t).tolist() for t in texts]
+    got = block.packed([decontaminate.separated(t) for t in texts])
+    assert [decontaminate.unpacked(x).tolist() for x in got] == want and max(map(len, want)) > 5
+    assert block.packed([]) == []
+
+
 def test_passages_with_too_few_words_cost_no_calls_of_their_own():
     """A text that holds all words of an item, but never enough of them together, is searched in few calls, however long it is."""
     words = [f"k{i}" for i in range(10)]

@@ -31,10 +31,12 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import pairwise, repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +45,8 @@ from trailframe.session import materialize
 BLOCK_ITEMS = 2000
 PASSAGE, STEP = 32, 16
 RANK, SKETCH = 128, 144
-#: Passages multiplied at once, and words whose passages are made at once.
-GROUP_ROWS, GROUP_WORDS = 256, 1_000_000
+#: Passages multiplied at once, words whose passages are made at once, and bytes of texts whose words are numbered at once.
+GROUP_ROWS, GROUP_WORDS, GROUP_BYTES = 256, 1_000_000, 4_000_000
 MIN_COSINE = 0.5
 #: Words that more than this share of the documents hold carry no weight, unless an item has no others.
 COMMON = 0.1
@@ -57,9 +59,14 @@ UPPER_AND_MARKS = bytes(
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
+def separated(text: str | None) -> bytes:
+    """Lower-case (A-Z) words between spaces, which stand for ASCII marks."""
+    return (text or "").encode("utf-8", "replace").translate(UPPER_AND_MARKS)
+
+
 def tokens(text: str) -> list[bytes]:
     """Lower-case (A-Z) words; ASCII marks separate them."""
-    return text.encode("utf-8", "replace").translate(UPPER_AND_MARKS).split()
+    return separated(text).split()
 
 
 @dataclass
@@ -85,6 +92,16 @@ class Block:
             answers.append(number(tokens(ends[-1])))
         return cls(names, words, answers, vocabulary)
 
+    def packed(self, texts: list[bytes]) -> list[bytes]:
+        """``numbers`` of some ``separated`` texts, as 32-bit integers."""
+        pieces = pc.split_pattern(pa.array(texts, pa.large_binary()), b" ")
+        empty = len(self.vocabulary)
+        found = pc.index_in(pieces.values, pa.array([*self.vocabulary, b""], pa.large_binary())).fill_null(-1).to_numpy()
+        words = found != empty
+        ends = np.append(0, np.cumsum(words))[pieces.offsets.to_numpy()].tolist()
+        found = found[words]
+        return [found[a:b].tobytes() for a, b in pairwise(ends)]
+
     def numbers(self, text: str | None) -> np.ndarray:
         """Vocabulary number of each word, -1 outside."""
         found = tokens(text) if text else []
@@ -149,7 +166,14 @@ def numbered(docs: DataFrame, block: Block, *kept: str) -> DataFrame:
 
     @F.pandas_udf("binary")
     def numbers(texts: pd.Series) -> pd.Series:
-        return pd.Series([block.numbers(t).astype(np.int32).tobytes() for t in texts], dtype=object)
+        out, some, size = [], [], 0
+        for text in texts:
+            some.append(separated(text))
+            size += len(some[-1])
+            if size >= GROUP_BYTES:
+                out += block.packed(some)
+                some, size = [], 0
+        return pd.Series(out + block.packed(some), dtype=object)
 
     return materialize(docs.select(*kept, numbers("text").alias("numbers")), "numbers")
 
@@ -217,14 +241,19 @@ def passage_rows(texts: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray,
 def add_gram(out: np.ndarray, rows: tuple[np.ndarray, np.ndarray, np.ndarray], q: np.ndarray) -> None:
     """Add A'A q over the rows of A, ``GROUP_ROWS`` at a time as a dense matrix over the terms they hold."""
     first, term, value = rows
-    ends = np.append(first, len(term))
+    ends, total = np.append(first, len(term)), np.zeros_like(q)
+    row = np.repeat(np.arange(len(first)), np.diff(ends))
+    some, column = np.zeros(len(q), dtype=bool), np.zeros(len(q), dtype=np.int64)
     for at in range(0, len(first), GROUP_ROWS):
         bounds = ends[at:at + GROUP_ROWS + 1]
         part = slice(bounds[0], bounds[-1])
-        held, column = np.unique(term[part], return_inverse=True)
+        some[term[part]] = True
+        held = np.nonzero(some)[0]
+        some[held], column[held] = False, np.arange(len(held))
         a = np.zeros((len(bounds) - 1, len(held)), dtype=q.dtype)
-        a[np.repeat(np.arange(len(a)), np.diff(bounds)), column] = value[part]
-        out[held] += a.T @ (a @ q[held])
+        a[row[part] - at, column[term[part]]] = value[part]
+        total[held] += a.T @ (a @ q[held])
+    out += total
 
 
 def latent_directions(texts: DataFrame, block: Block, idf: np.ndarray) -> np.ndarray:
